@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aislane.session import scratch_path
+
 # Runs unchanged on Spark and in the SQL checks.
 AIS_SELECT = """
 select cast(200000000+user_id as varchar(20)) as mmsi, ts as date_bucket, event_id,
@@ -47,6 +49,7 @@ def raw_lines(ais: DataFrame) -> DataFrame:
         (F.col("longitude") * 600000.0).alias("longitude"),
         F.col("nav_status").alias("navigationalStatus"),
         (n % 3 == 0).alias("raimFlag"),
+        (n % 256 - 128).cast("double").alias("rateOfTurn"),
         F.when(in_sog, F.col("sog")).alias("sog"),
         F.when(~in_sog, F.col("sog")).alias("speedOverGround"),
         F.when(n % 5 < 3, n % 60).alias("timeStamp"),
@@ -60,7 +63,10 @@ def raw_lines(ais: DataFrame) -> DataFrame:
     flat = F.to_json(
         F.struct(F.col("msg_type").alias("messageId"), time.alias("dataBucket"), *members, vsi.alias("vsi"))
     )
-    with_nan = F.concat(F.lit('{"note":"a \\"NaN\\" here","bad":NaN,'), F.substring(wrapped, F.lit(2), F.length(wrapped)))
+    with_nan = F.concat(
+        F.lit('{"note":"a \\"NaN\\" here","bad":NaN,'),
+        F.substring(wrapped, F.lit(2), F.length(wrapped)),
+    )
     value = (
         F.when(digit == 1, F.concat(F.lit("["), wrapped, F.lit(',{"data":{"foo":1}}]')))
         .when(digit == 2, F.concat(wrapped, F.lit("\\nbad{")))
@@ -73,3 +79,26 @@ def raw_lines(ais: DataFrame) -> DataFrame:
         .otherwise(wrapped)
     )
     return ais.select(value.alias("value"))
+
+
+# Raw files of this session, by source folder.
+_landed: dict[tuple[str, str], str] = {}
+
+# Spark writes text under this name.
+RAW_PATTERN = "*.txt"
+
+
+def write_raw(ais: DataFrame, path: str) -> None:
+    """Append the rows' raw lines as text files."""
+    parallel = ais.sparkSession.sparkContext.defaultParallelism
+    raw_lines(ais).repartition(parallel).write.mode("append").text(path)
+
+
+def landed_raw(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with the raw text files of all rows, written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _landed:
+        path = scratch_path(spark, "raw")
+        write_raw(ais_rows(spark, sf_dir), path)
+        _landed[key] = path
+    return _landed[key]

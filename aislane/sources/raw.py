@@ -20,9 +20,12 @@ _BARE_WORDS = r"(?<![\w.+-])(-?Infinity|NaN)(?![\w.])"
 
 
 def read_lines(
-    spark: SparkSession, paths: str | Sequence[str], line_separator: str | None = None
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    line_separator: str | None = None,
+    file_pattern: str = "*.json",
 ) -> DataFrame:
-    """Logical lines of all ``*.json`` files under the paths: file, line.
+    """Logical lines of all matching files under the paths: file, line.
 
     ``line_separator`` only chooses where Spark may cut a file into tasks. Files
     whose records are joined by the two characters ``\\n`` hold one physical line;
@@ -31,7 +34,7 @@ def read_lines(
     """
     reader = (
         spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", file_pattern)
         .option("ignoreMissingFiles", True)
         .option("ignoreCorruptFiles", True)
     )
@@ -42,6 +45,22 @@ def read_lines(
     return split_lines(files.select(F.col("_metadata.file_path").alias("file"), "value"))
 
 
+def stream_lines(
+    spark: SparkSession, path: str, line_separator: str | None = None, file_pattern: str = "*.json"
+) -> DataFrame:
+    """As ``read_lines``, as a stream that takes each file once."""
+    reader = (
+        spark.readStream.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", file_pattern)
+        .option("ignoreMissingFiles", True)
+        .option("ignoreCorruptFiles", True)
+    )
+    if line_separator is not None:
+        reader = reader.option("lineSep", line_separator)
+    files = reader.text(path)
+    return split_lines(files.select(F.col("_metadata.file_path").alias("file"), "value"))
+
+
 def split_lines(physical: DataFrame) -> DataFrame:
     """Cut the ``value`` text at every line break, trim, drop blanks; other columns stay."""
     others = [c for c in physical.columns if c != "value"]
