@@ -46,7 +46,5 @@ def band_label(number: Column) -> Column:
 
 def band_table(spark: SparkSession) -> DataFrame:
     """The five bands as a frame: band_id, dist_band, colour."""
-    return spark.createDataFrame(
-        [(number, label, colour) for number, _, _, label, colour in BANDS],
-        "band_id int, dist_band string, colour string",
-    )
+    rows = ", ".join(f"({number}, '{label}', '{colour}')" for number, _, _, label, colour in BANDS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS bands(band_id, dist_band, colour)")

@@ -13,9 +13,10 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 GROUP_ROW_LIMIT = 5_000_000
 
@@ -69,8 +70,6 @@ def exact_quantiles(
 def _by_closing_in(
     rows: DataFrame, group: str, value: str, shares: Sequence[float], limit: int
 ) -> DataFrame:
-    spark = rows.sparkSession
-    group_type = rows.schema[group].dataType
     sizes = rows.groupBy(group).agg(
         F.count(value).alias("n"), F.min(value).alias("low"), F.max(value).alias("high")
     ).collect()
@@ -107,23 +106,30 @@ def _by_closing_in(
             for under, over, part in ends
         ]
         result.append((key, found))
-    schema = T.StructType(
-        [T.StructField(group, group_type), T.StructField("quantiles", T.ArrayType(T.DoubleType()))]
-    )
-    return spark.createDataFrame(result, schema)
+    fields = [(group, _arrow_type(rows, group)), ("quantiles", pa.list_(pa.float64()))]
+    return _small_frame(rows.sparkSession, result, fields)
+
+
+def _arrow_type(rows: DataFrame, column: str) -> pa.DataType:
+    return to_arrow_type(rows.schema[column].dataType)
+
+
+def _small_frame(
+    spark: SparkSession, rows: Sequence[tuple], fields: Sequence[tuple[str, pa.DataType]]
+) -> DataFrame:
+    columns = [[row[i] for row in rows] for i in range(len(fields))]
+    return spark.createDataFrame(pa.table(columns, schema=pa.schema(fields)))
 
 
 def _beside_bounds(rows: DataFrame, group: str, bounds: Sequence[tuple]) -> DataFrame:
     """Each row beside the bounds of its group: at most two per share, so a handful in all."""
-    schema = T.StructType(
-        [
-            T.StructField(group, rows.schema[group].dataType),
-            T.StructField("low", T.DoubleType()),
-            T.StructField("high", T.DoubleType()),
-            T.StructField("place", T.LongType()),
-        ]
-    )
-    return rows.join(F.broadcast(rows.sparkSession.createDataFrame(bounds, schema)), group)
+    fields = [
+        (group, _arrow_type(rows, group)),
+        ("low", pa.float64()),
+        ("high", pa.float64()),
+        ("place", pa.int64()),
+    ]
+    return rows.join(F.broadcast(_small_frame(rows.sparkSession, bounds, fields)), group)
 
 
 def _narrow(rows: DataFrame, group: str, value: str, searches: Sequence[_Search]) -> None:

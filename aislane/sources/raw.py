@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_log = logging.getLogger(__name__)
+
 # Line breaks inside one physical line: the two characters \n, and all that a
 # text splitter takes for a break besides newline itself.
 _BREAKS = r"\\n|[\n\r\x0b\x0c\x1c\x1d\x1e\u0085\u2028\u2029]"
@@ -30,7 +34,7 @@ def read_lines(
     ``line_separator`` only chooses where Spark may cut a file into tasks. Files
     whose records are joined by the two characters ``\\n`` hold one physical line;
     pass that text as separator and they are read in parallel as well. The lines
-    are the same either way.
+    are the same either way. A missing folder is passed over with a warning.
     """
     reader = (
         spark.read.option("recursiveFileLookup", True)
@@ -40,8 +44,18 @@ def read_lines(
     )
     if line_separator is not None:
         reader = reader.option("lineSep", line_separator)
-    # `text` takes a list of paths as well as one.
-    files = reader.text(paths if isinstance(paths, str) else list(paths))
+    present = []
+    for path in [paths] if isinstance(paths, str) else paths:
+        try:
+            reader.text(path)
+            present.append(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            _log.warning("no such folder, going on without it: %s", path)
+    if not present:
+        return spark.createDataFrame([], "file string, line string")
+    files = reader.text(present)
     return split_lines(files.select(F.col("_metadata.file_path").alias("file"), "value"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -57,7 +58,7 @@ def of_vessels(rows: DataFrame, vessels: Sequence[str] | DataFrame) -> DataFrame
         return rows.join(vessels.select("mmsi").distinct(), "mmsi", "left_semi")
     if len(vessels) <= _LISTED_VESSELS:
         return rows.where(F.col("mmsi").isin(list(vessels)))
-    wanted = rows.sparkSession.createDataFrame([(v,) for v in vessels], "mmsi string")
+    wanted = rows.sparkSession.createDataFrame(pa.table({"mmsi": list(vessels)}))
     return of_vessels(rows, wanted)
 
 
