@@ -25,23 +25,22 @@ def distance_km(
     chord = F.pow(F.sin(lat_half), F.lit(2.0)) + F.cos(F.radians(F.lit(base_latitude))) * F.cos(
         F.radians(latitude)
     ) * F.pow(F.sin(lon_half), F.lit(2.0))
-    return F.lit(EARTH_RADIUS_KM * 2) * F.asin(F.sqrt(chord))
+    # No angle where rounding lifts the chord of two opposite points above 1.
+    angle = F.nanvl(F.asin(F.sqrt(chord)), F.lit(None).cast("double"))
+    return F.lit(EARTH_RADIUS_KM * 2) * angle
 
 
 def band_id(km: Column) -> Column:
     """Number of the band [lower, upper) that holds the distance; NULL outside all."""
-    found = F.lit(None).cast("int")
-    for number, lower, upper, _, _ in reversed(BANDS):
-        inside = (km >= lower) & (km < upper)
-        found = F.when(inside, F.lit(number)).otherwise(found)
+    found = F.when(km < BANDS[0][1], F.lit(None).cast("int"))
+    for number, _, upper, _, _ in BANDS:
+        found = found.when(km < upper, F.lit(number))
     return found
 
 
 def band_label(number: Column) -> Column:
-    label = F.lit(None).cast("string")
-    for band, _, _, text, _ in BANDS:
-        label = F.when(number == band, F.lit(text)).otherwise(label)
-    return label
+    labels = F.array(*[F.lit(label) for _, _, _, label, _ in BANDS])
+    return F.get(labels, number)
 
 
 def band_table(spark: SparkSession) -> DataFrame:

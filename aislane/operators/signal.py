@@ -31,14 +31,20 @@ def with_distance(
     rows: DataFrame, base_latitude: float = BASE_LATITUDE, base_longitude: float = BASE_LONGITUDE
 ) -> DataFrame:
     """Add distance_km, band_id and dist_band; all NULL without a position."""
-    return (
-        rows.withColumn(
-            "distance_km",
-            distance_km(F.col("latitude"), F.col("longitude"), base_latitude, base_longitude),
+    km = distance_km(F.col("latitude"), F.col("longitude"), base_latitude, base_longitude)
+    number = band_id(F.col("_km"))
+    # The generator keeps a filter on the band from repeating the trigonometry for
+    # each comparison it would be rewritten into.
+    banded = F.inline(
+        F.array(
+            F.struct(
+                F.col("_km").alias("distance_km"),
+                number.alias("band_id"),
+                band_label(number).alias("dist_band"),
+            )
         )
-        .withColumn("band_id", band_id(F.col("distance_km")))
-        .withColumn("dist_band", band_label(F.col("band_id")))
     )
+    return rows.withColumn("_km", km).select(*rows.columns, banded)
 
 
 def band_counts(signal: DataFrame) -> DataFrame:
@@ -101,7 +107,7 @@ def vessel_signal(signal: DataFrame) -> DataFrame:
         .withColumn("band_id", band_id(F.col("mean_dist")))
     )
     colours = band_table(signal.sparkSession)
-    label = F.coalesce(F.format_string("%.1fkm (n=%d)", "mean_dist", "count"))
+    label = F.format_string("%.1fkm (n=%d)", "mean_dist", "count")
     no_distance = F.format_string("nankm (n=%d)", "count")
     return (
         stats.join(F.broadcast(colours), "band_id", "left")
