@@ -11,7 +11,8 @@ from aislane.functions import timegrid
 from aislane.functions.constants import SOURCE_ROOT
 from aislane.plans.reports import process_run, signal_report, slot_report
 from aislane.session import configure
-from aislane.sources.table import read_records, scan
+from aislane.sources.store import read_records
+from aislane.sources.table import scan
 
 
 def main(arguments: list[str] | None = None) -> None:

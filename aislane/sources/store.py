@@ -4,25 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aislane.functions.constants import RECORD_SCHEMA
+
 RECORD_KEY = ("mmsi", "date_bucket")
 
 
 def append_run(records: DataFrame, path: str, run_id: str) -> None:
-    """Write one run's records under their day; a repeated run replaces what it wrote."""
-    dated = records.withColumns({"p_date": F.to_date("date_bucket"), "run_id": F.lit(run_id)})
+    """Write one run's records by day; a repeated run replaces what it wrote."""
     # Rebalancing keeps a day's files few and splits a day that is very large.
     (
-        dated.hint("rebalance", "p_date")
+        records.withColumn("p_date", F.to_date("date_bucket"))
+        .hint("rebalance", "p_date")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("p_date", "run_id")
-        .parquet(path)
+        .partitionBy("p_date")
+        .parquet(f"{path}/run_id={run_id}")
     )
 
 
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """The table ``append_run`` writes, with its partition columns ``p_date`` and ``run_id``."""
+    columns = ", ".join(f"{name} {kind}" for name, kind in RECORD_SCHEMA)
+    return spark.read.schema(f"{columns}, run_id string, p_date date").parquet(path)
+
+
 def latest_records(
     records: DataFrame, key: Sequence[str] = RECORD_KEY, sequence: Sequence[str] = ("received_at",)
 ) -> DataFrame:
@@ -46,13 +53,7 @@ def latest_records(
 
 def write_dataset(dataset: DataFrame, path: str, run_id: str) -> None:
     """Write a report's dataset under its run; a repeated run replaces its own."""
-    (
-        dataset.withColumn("run_id", F.lit(run_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id")
-        .parquet(path)
-    )
+    dataset.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
 
 
 def save_to_cassandra(records: DataFrame, keyspace: str, table: str) -> None:

@@ -1,0 +1,130 @@
+"""The table on files: repeated runs, newest cells, scans."""
+
+from __future__ import annotations
+
+from datetime import date, datetime, timedelta
+
+import pytest
+
+from aislane.functions.constants import RECORD_SCHEMA, SCAN_COLUMNS
+from aislane.operators import runs, vessels
+from aislane.sources import table as tb
+from aislane.sources.store import append_run, latest_records, read_records, write_dataset
+from tests.conftest import as_set
+
+SCHEMA = ", ".join(f"{name} {kind}" for name, kind in RECORD_SCHEMA)
+NAMES = [name for name, _ in RECORD_SCHEMA]
+T0 = datetime(2026, 3, 20, 23, 55)
+
+
+def _record(mmsi, time, received=T0, **cells):
+    values = {"mmsi": mmsi, "date_bucket": time, "received_at": received, **cells}
+    return tuple(values.get(name) for name in NAMES)
+
+
+@pytest.fixture
+def records(spark):
+    rows = [_record(str(i % 3), T0 + timedelta(minutes=i), sog=float(i), slot_num=i) for i in range(12)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_repeated_run_changes_nothing(spark, records, tmp_path):
+    path = str(tmp_path / "table")
+    append_run(records, path, "a")
+    first = as_set(read_records(spark, path), *NAMES)
+    append_run(records, path, "a")
+    assert as_set(read_records(spark, path), *NAMES) == first == as_set(records)
+    append_run(records.limit(2), path, "b")
+    assert read_records(spark, path).count() == 14
+
+
+def test_dataset_of_a_run_is_replaced(spark, records, tmp_path):
+    path = str(tmp_path / "set")
+    write_dataset(records.select("mmsi"), path, "20260320_2350")
+    write_dataset(records.select("mmsi").limit(5), path, "20260321_0000")
+    write_dataset(records.select("mmsi").limit(3), path, "20260320_2350")
+    counts = {r["run_id"]: r["count"] for r in spark.read.parquet(path).groupBy("run_id").count().collect()}
+    assert counts == {"20260320_2350": 3, "20260321_0000": 5}
+    write_dataset(records.select("mmsi").limit(0), path, "20260320_2350")
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_newest_cells_survive(spark):
+    later = T0 + timedelta(seconds=1)
+    rows = [
+        _record("1", T0, T0, sog=5.0, cog=1.0, raim_flag=True),
+        _record("1", T0, later, sog=None, cog=2.0),
+        _record("1", T0, T0 - timedelta(seconds=1), sog=9.0, slot_num=3),
+        _record("2", T0, T0, sog=1.0),
+        _record("2", T0, T0, sog=4.0),
+    ]
+    latest = latest_records(spark.createDataFrame(rows, SCHEMA))
+    assert dict(latest.dtypes) == dict(RECORD_SCHEMA)
+    found = {r["mmsi"]: r for r in latest.collect()}
+    one = found["1"]
+    assert (one["sog"], one["cog"], one["slot_num"], one["raim_flag"]) == (5.0, 2.0, 3, True)
+    assert one["received_at"] == later and one["rssi"] is None
+    assert found["2"]["sog"] == 4.0
+
+
+def test_range_is_inclusive_and_prunes_days(spark, records, tmp_path):
+    path = str(tmp_path / "table")
+    append_run(records, path, "a")
+    table = read_records(spark, path)
+    end = T0 + timedelta(minutes=7)
+    found = tb.scan(table, T0 + timedelta(minutes=2), end)
+    assert sorted(r["slot_num"] for r in found.collect()) == [2, 3, 4, 5, 6, 7]
+    assert found.columns == list(SCAN_COLUMNS)
+    plan = tb.scan(table, start=T0 + timedelta(days=1))._jdf.queryExecution().executedPlan().toString()
+    assert "p_date" in plan.split("PartitionFilters:")[1].split("]")[0]
+    assert "date_bucket" in plan.split("PushedFilters:")[1]
+    assert tb.scan(table, end=T0 - timedelta(days=9)).count() == 0
+    day = tb.on_day(table, date(2026, 3, 21))
+    assert sorted(r["slot_num"] for r in day.collect()) == [5, 6, 7, 8, 9, 10, 11]
+
+
+def test_vessel_lists(spark, records):
+    few = tb.scan(records, vessels=["1", "2", "none"])
+    many = tb.scan(records, vessels=[str(i) for i in range(1, 3000)])
+    frame = tb.scan(records, vessels=spark.createDataFrame([("1",), ("2",), ("2",)], "mmsi string"))
+    assert as_set(few) == as_set(many) == as_set(frame) and few.count() == 8
+
+
+def test_nan_is_null(spark):
+    rows = [_record("1", T0, sog=float("nan"), rssi=-1.0)]
+    row = tb.scan(spark.createDataFrame(rows, SCHEMA)).collect()[0]
+    assert row["sog"] is None and row["rssi"] == -1.0
+
+
+def test_first_rows(records):
+    assert [r["slot_num"] for r in tb.first_rows(records, 5).collect()] == [0, 3, 6, 9, 1]
+
+
+def test_vessels(spark, records):
+    extra = spark.createDataFrame(
+        [_record("0", None), _record("9", None), _record(None, T0)], SCHEMA
+    )
+    rows = records.unionByName(extra)
+    summary = vessels.vessel_summary(rows).collect()
+    assert [(r["mmsi"], r["count"]) for r in summary] == [("0", 5), ("1", 4), ("2", 4), ("9", 1)]
+    assert summary[0]["start_time"] == T0 and summary[3]["start_time"] is None
+    totals = vessels.fleet_totals(rows).collect()[0]
+    assert (totals["vessels"], totals["records"]) == (4, 14)
+    activity = {r["mmsi"]: r for r in vessels.vessel_activity(rows).collect()}
+    assert activity["1"]["duration_min"] == 9.0
+    assert activity["9"]["start_label"] == "N/A" and activity["9"]["duration_min"] is None
+    assert [r["mmsi"] for r in vessels.distinct_vessels(rows).collect()] == ["0", "1", "2", "9"]
+    tracks = vessels.vessel_tracks(rows).collect()
+    keys = [(r["mmsi"], r["date_bucket"] or datetime.max) for r in tracks]
+    assert keys == sorted(keys) and len(keys) == 14
+    none = vessels.fleet_totals(records.limit(0)).collect()[0]
+    assert (none["vessels"], none["records"]) == (0, 0)
+
+
+def test_run_buckets(records):
+    found = [(r["folder"], r["run_id"], r["run_at"], r["records"], r["vessels"])
+             for r in runs.run_buckets(records, "/r").orderBy("bucket_start").collect()]
+    assert found == [
+        ("/r/2026/03/20/23/50", "20260320_2350", datetime(2026, 3, 21, 0, 0), 5, 3),
+        ("/r/2026/03/21/00/00", "20260321_0000", datetime(2026, 3, 21, 0, 10), 7, 3),
+    ]
