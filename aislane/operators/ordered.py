@@ -19,7 +19,7 @@ from aislane.session import scratch_path
 GROUP_ROW_LIMIT = 5_000_000
 
 # Adds columns given the rows, the window, and how many earlier rows of the group
-# the window does not see.
+# the window does not see; the last is always 0 unless asked for with ``count_earlier``.
 Compute = Callable[[DataFrame, WindowSpec, Column], DataFrame]
 
 
@@ -42,6 +42,7 @@ def over_ordered_groups(
     compute: Compute,
     before: int = 0,
     after: int = 0,
+    count_earlier: bool = False,
     group_limit: int | None = None,
 ) -> DataFrame:
     """``compute`` over each group's rows in order.
@@ -53,7 +54,7 @@ def over_ordered_groups(
     window = Window.partitionBy(*keys).orderBy(*_ascending(order))
     if not has_large_group(rows, keys, limit):
         return compute(rows, window, F.lit(0))
-    return _over_pieces(rows, list(keys), order, compute, before, after, limit)
+    return _over_pieces(rows, list(keys), order, compute, before, after, count_earlier, limit)
 
 
 def _over_pieces(
@@ -63,6 +64,7 @@ def _over_pieces(
     compute: Compute,
     before: int,
     after: int,
+    count_earlier: bool,
     rows_per_piece: int,
 ) -> DataFrame:
     columns = rows.columns
@@ -76,9 +78,12 @@ def _over_pieces(
     work = parts[0]
     for part in parts[1:]:
         work = work.unionByName(part)
-    work = work.join(_rows_in_earlier_pieces(work, keys), ["_piece", *keys], "left")
+    earlier = F.lit(0)
+    if count_earlier:
+        work = work.join(_rows_in_earlier_pieces(work, keys), ["_piece", *keys], "left")
+        earlier = F.coalesce(F.col("_earlier"), F.lit(0))
     window = Window.partitionBy("_piece", *keys).orderBy(*_ascending([*order, "_row_id"]))
-    result = compute(work, window, F.coalesce(F.col("_earlier"), F.lit(0)))
+    result = compute(work, window, earlier)
     added = [c for c in result.columns if c not in work.columns]
     return result.where(F.col("_copy") == "no").select(*columns, *added)
 

@@ -49,6 +49,11 @@ class _Search:
     answer: float | None = None
 
 
+def fit_one_task(rows: DataFrame, group_limit: int | None = None) -> bool:
+    """True if no group can be too large for the built-in aggregate."""
+    return rows.count() <= (group_limit or GROUP_ROW_LIMIT)
+
+
 def exact_quantiles(
     rows: DataFrame,
     group: str,
@@ -62,7 +67,7 @@ def exact_quantiles(
     """
     limit = group_limit or GROUP_ROW_LIMIT
     rows = rows.where(F.col(group).isNotNull() & F.col(value).isNotNull()).select(group, value)
-    if rows.count() <= limit:
+    if fit_one_task(rows, limit):
         return rows.groupBy(group).agg(quantile_column(value, shares).alias("quantiles"))
     return _by_closing_in(rows, group, value, shares, limit)
 

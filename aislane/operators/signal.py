@@ -17,7 +17,7 @@ from aislane.functions.constants import (
     WHISKER_IQR,
 )
 from aislane.functions.geo import band_id, band_label, band_table, distance_km
-from aislane.operators.quantiles import exact_quantiles
+from aislane.operators.quantiles import exact_quantiles, fit_one_task, quantile_column
 
 _QUARTILES = (0.25, 0.5, 0.75)
 ORDER = ("date_bucket", "received_at", "mmsi", "slot_num")
@@ -69,15 +69,20 @@ def signal_describe(
     unpivoted = signal.select(
         F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in metrics]))
     )
-    moments = unpivoted.groupBy("metric").agg(
+    moments = [
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
-    )
-    quartiles = exact_quantiles(unpivoted, "metric", "value", _QUARTILES, group_limit)
-    return moments.join(quartiles, "metric", "left").select(
+    ]
+    if fit_one_task(signal, group_limit):
+        quartiles = quantile_column("value", _QUARTILES).alias("quantiles")
+        described = unpivoted.groupBy("metric").agg(*moments, quartiles)
+    else:
+        quartiles = exact_quantiles(unpivoted, "metric", "value", _QUARTILES, group_limit)
+        described = unpivoted.groupBy("metric").agg(*moments).join(quartiles, "metric", "left")
+    return described.select(
         "metric",
         "count",
         "mean",

@@ -121,7 +121,14 @@ def slot_context(
 
     flagged = checked.withColumn("is_anomaly", F.coalesce(~F.col("slot_valid"), F.lit(False)))
     marked = over_ordered_groups(
-        flagged, ["mmsi"], order, mark, before=around, after=around, group_limit=group_limit
+        flagged,
+        ["mmsi"],
+        order,
+        mark,
+        before=around,
+        after=around,
+        count_earlier=True,
+        group_limit=group_limit,
     )
     return marked.where("near").select(
         "mmsi",

@@ -98,7 +98,9 @@ def first_rows_per_vessel(
         window = Window.partitionBy("mmsi").orderBy(*[F.col(c).asc_nulls_last() for c in order])
         numbered = chosen.withColumn("_row", F.row_number().over(window))
     else:
-        numbered = over_ordered_groups(chosen, ["mmsi"], order, number, group_limit=group_limit)
+        numbered = over_ordered_groups(
+            chosen, ["mmsi"], order, number, count_earlier=True, group_limit=group_limit
+        )
     capped = numbered.where(F.col("_row") <= per_vessel)
     if limit is not None:
         place = F.array_position(F.array(*[F.lit(v) for v in vessels]), F.col("mmsi"))

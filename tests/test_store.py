@@ -78,6 +78,8 @@ def test_range_is_inclusive_and_prunes_days(spark, records, tmp_path):
     plan = tb.scan(table, start=T0 + timedelta(days=1))._jdf.queryExecution().executedPlan().toString()
     assert "p_date" in plan.split("PartitionFilters:")[1].split("]")[0]
     assert "date_bucket" in plan.split("PushedFilters:")[1]
+    plan = tb.scan(table, vessels=["1", "2"])._jdf.queryExecution().executedPlan().toString()
+    assert "In(mmsi" in plan.split("PushedFilters:")[1] and "raim_flag" not in plan
     assert tb.scan(table, end=T0 - timedelta(days=9)).count() == 0
     day = tb.on_day(table, date(2026, 3, 21))
     assert sorted(r["slot_num"] for r in day.collect()) == [5, 6, 7, 8, 9, 10, 11]
