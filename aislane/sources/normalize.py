@@ -85,7 +85,8 @@ def _open_records(records: DataFrame) -> DataFrame:
         F.when(F.col("data").isNotNull(), known | (_written("$.data") != "{}")).when(
             ~_unusable("$.data"), False
         ),
-    ).withColumns(
+    )
+    parts = parts.withColumns(
         {
             "body": F.when(F.col("in_data"), F.col("data")).when(
                 ~F.col("in_data"), member_texts(record, "$", _PAYLOAD)
@@ -98,6 +99,13 @@ def _open_records(records: DataFrame) -> DataFrame:
             ),
         }
     )
+    parts = parts.withColumn(
+        "numbers",
+        exact_numbers(
+            [F.col(f"{part}.{name}") for part, name in _NUMBERS],
+            [F.col(f"{part}_number.{name}") for part, name in _NUMBERS],
+        ),
+    )
     return parts.select(
         *carried,
         # Passing the members through a generator keeps later filters, and the
@@ -110,10 +118,7 @@ def _open_records(records: DataFrame) -> DataFrame:
                     "env",
                     "body",
                     "in_data",
-                    exact_numbers(
-                        [F.col(f"{part}.{name}") for part, name in _NUMBERS],
-                        [F.col(f"{part}_number.{name}") for part, name in _NUMBERS],
-                    ).alias("numbers"),
+                    "numbers",
                     (F.col("vsi").isNull() & _unusable("$.vsi")).alias("vsi_unusable"),
                 )
             )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import logging
 from collections.abc import Sequence
 
@@ -11,9 +12,10 @@ from pyspark.sql import functions as F
 
 _log = logging.getLogger(__name__)
 
-# Line breaks inside one physical line: the two characters \n, and all that a
-# text splitter takes for a break besides newline itself.
-_BREAKS = r"\\n|[\n\r\x0b\x0c\x1c\x1d\x1e\u0085\u2028\u2029]"
+# Line breaks within one physical line: the two characters \n, and whatever else ends a
+# line of text. The rare ones are looked for first, for splitting by pattern is slow.
+_TWO_CHARACTERS = r"\n"
+_RARE_BREAKS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 # All that counts as white space at the ends of a line.
 _BLANKS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
@@ -78,10 +80,18 @@ def stream_lines(
 def split_lines(physical: DataFrame) -> DataFrame:
     """Cut the ``value`` text at every line break, trim, drop blanks; other columns stay."""
     others = [c for c in physical.columns if c != "value"]
-    cut = physical.select(*others, F.explode(F.split("value", _BREAKS)).alias("line"))
-    return cut.where(F.btrim("line", F.lit(_BLANKS)) != "").withColumn(
-        "line", F.btrim("line", F.lit(_BLANKS))
-    )
+    value = F.col("value")
+    rare = functools.reduce(Column.__or__, [value.contains(mark) for mark in _RARE_BREAKS])
+    plain = F.replace(value, F.lit(_TWO_CHARACTERS), F.lit("\n"))
+    parts = F.when(rare, F.split(plain, f"[\n{_RARE_BREAKS}]")).otherwise(F.split(plain, "\n"))
+    cut = physical.select(*others, F.explode(F.transform(parts, _trimmed)).alias("line"))
+    return cut.where("line != ''")
+
+
+def _trimmed(line: Column) -> Column:
+    blanks = F.lit(_BLANKS)
+    at_edge = blanks.contains(F.left(line, F.lit(1))) | blanks.contains(F.right(line, F.lit(1)))
+    return F.when(at_edge, F.btrim(line, blanks)).otherwise(line)
 
 
 def _quote_bare_words(line: Column) -> Column:
