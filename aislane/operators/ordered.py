@@ -27,6 +27,16 @@ def _ascending(columns: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in columns]
 
 
+def sorted_rows(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    """All rows in order, over as many partitions as their number asks for.
+
+    The number of the partition a row comes from is the last key. It lets the ranges
+    cut through any number of copies of one row, and a repeated task finds it the same.
+    """
+    keys = [c for c in order if c in rows.columns]
+    return rows.orderBy(*_ascending(keys), F.spark_partition_id())
+
+
 def has_large_group(rows: DataFrame, keys: Sequence[str], limit: int) -> bool:
     """True if any group holds more than ``limit`` rows."""
     if rows.count() <= limit:

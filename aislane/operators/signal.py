@@ -17,16 +17,14 @@ from aislane.functions.constants import (
     WHISKER_IQR,
 )
 from aislane.functions.geo import band_id, band_label, band_table, distance_km
+from aislane.operators.ordered import sorted_rows
 from aislane.operators.quantiles import exact_quantiles, fit_one_task, quantile_column
+from aislane.sources.table import first_rows
 
 _QUARTILES = (0.25, 0.5, 0.75)
 ORDER = ("date_bucket", "received_at", "mmsi", "slot_num")
 
 
-def _sorted(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    return rows.orderBy(*[F.col(c).asc_nulls_last() for c in order if c in rows.columns])
-
-
 def with_distance(
     rows: DataFrame, base_latitude: float = BASE_LATITUDE, base_longitude: float = BASE_LONGITUDE
 ) -> DataFrame:
@@ -165,14 +163,14 @@ def signal_preview(
     signal: DataFrame, rows: int = PREVIEW_ROWS, order: Sequence[str] = ORDER
 ) -> DataFrame:
     """The first rows in time order."""
-    return _sorted(signal, order).limit(rows).select(
+    return first_rows(signal, rows, [c for c in order if c in signal.columns]).select(
         "mmsi", "date_bucket", "distance_km", "dist_band", "rssi", "snr"
     )
 
 
 def signal_raw_series(signal: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
     """RSSI and SNR of all vessels in time order."""
-    return _sorted(signal, order).select("date_bucket", "mmsi", "rssi", "snr")
+    return sorted_rows(signal, order).select("date_bucket", "mmsi", "rssi", "snr")
 
 
 def distance_rssi_points(signal: DataFrame) -> DataFrame:

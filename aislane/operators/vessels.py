@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aislane.operators.ordered import sorted_rows
+
 
 def vessel_summary(rows: DataFrame) -> DataFrame:
     """First and last time and number of receptions per vessel, most first.
@@ -61,7 +63,4 @@ def vessel_tracks(
     The sort is by ranges of vessel and time, so a vessel with very many rows
     spreads over several partitions.
     """
-    sort = [c for c in ("mmsi", *order) if c in rows.columns]
-    return rows.where(F.col("mmsi").isNotNull()).orderBy(
-        *[F.col(c).asc_nulls_last() for c in sort]
-    )
+    return sorted_rows(rows.where(F.col("mmsi").isNotNull()), ("mmsi", *order))

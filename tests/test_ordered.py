@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aislane.operators import slots as sl
-from aislane.operators.ordered import has_large_group, over_ordered_groups
+from aislane.operators.ordered import has_large_group, over_ordered_groups, sorted_rows
 from aislane.sources.table import first_rows_per_vessel
 from tests.conftest import as_set
 
@@ -126,6 +126,22 @@ def test_pieces_are_bounded(spark):
     assert pieces.where("mmsi = 'hot'").select("_piece").distinct().count() >= 8
 
 
+def test_sort_cuts_through_copies(spark):
+    frame = spark.range(0, 9_000, numPartitions=9).selectExpr(
+        "case when id % 3 = 0 then -1 else id end as k"
+    )
+    ordered = sorted_rows(frame, ("k",))
+    assert ordered.columns == ["k"]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = ordered.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert max(r["count"] for r in sizes) < 2_900 and sum(r["count"] for r in sizes) == 9_000
+    values = [r["k"] for r in ordered.collect()]
+    assert values == sorted(values) and values.count(-1) == 3_000
+
+
 def test_by_run_starts_anew(spark):
     rows = [
         (0, "v", START + timedelta(minutes=9), 50.0, 0),
