@@ -17,6 +17,7 @@ from aislane.operators import runs
 from aislane.operators import signal as sg
 from aislane.operators import slots as sl
 from aislane.operators import vessels as vs
+from aislane.plans.reports import process_run
 from aislane.session import scratch_path
 from aislane.sources import table as tb
 from aislane.sources.fixture import AIS_SELECT, RAW_PATTERN, ais_rows, landed_raw, write_raw
@@ -110,6 +111,15 @@ def ingest_counters_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest_counters(_normalized(spark, sf_dir))
 
 
+def process_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole process job, files to written datasets; its vessel summary read back."""
+    configure(spark)
+    table, out = scratch_path(spark, "table"), scratch_path(spark, "out")
+    source = landed_raw(spark, sf_dir)
+    process_run(spark, source, table, out, "whole", RECEIVED_AT, file_pattern=RAW_PATTERN)
+    return spark.read.parquet(f"{out}/vessel_summary").drop("run_id")
+
+
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     # One record per vessel and day, so that later messages meet earlier ones.
     daily = _scan(spark, sf_dir).withColumn(
@@ -200,6 +210,7 @@ def queries() -> dict[str, Query]:
         "run_bucket": lambda s, d: runs.run_buckets(_ais(s, d)),
         "run_as_of": lambda s, d: runs.runs_as_of(_ais(s, d)),
         "upsert_latest": upsert_latest,
+        "process_summary": process_summary,
         # vessels
         "vessel_summary": lambda s, d: vs.vessel_summary(_ais(s, d)),
         "fleet_totals": lambda s, d: vs.fleet_totals(_ais(s, d)),
@@ -372,6 +383,9 @@ def oracle_sql() -> dict[str, str]:
     vessels = ", ".join(f"'{v}'" for v in VESSELS)
     checked = _checked_sql()
     legacy = _checked_sql(legacy=True)
+    summary = """
+select mmsi, min(date_bucket) as start_time, max(date_bucket) as end_time, count(*) as "count"
+from ais group by mmsi"""
     settled = "(select max(date_bucket) - interval '5 minutes' from ais)"
     kinds = """
 select kind, cast(sum(n) as bigint) as n from (select unnest([{kinds}]) as kind, unnest([{counts}]) as n from ais)
@@ -425,9 +439,8 @@ from b group by bucket_start""",
 select date_bucket as as_of,
   time_bucket(interval '10 minutes', date_bucket - interval '5 minutes') as bucket_start from ais""",
         "upsert_latest": _latest_sql(),
-        "vessel_summary": f"""{_AIS}
-select mmsi, min(date_bucket) as start_time, max(date_bucket) as end_time, count(*) as "count"
-from ais group by mmsi""",
+        "process_summary": _AIS + summary,
+        "vessel_summary": _AIS + summary,
         "fleet_totals": f"{_AIS} select count(distinct mmsi) as vessels, count(*) as records from ais",
         "vessel_activity": f"""{_AIS}, s as (
   select mmsi, min(date_bucket) as start_time, max(date_bucket) as end_time, count(*) as "count"

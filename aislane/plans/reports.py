@@ -44,6 +44,8 @@ def process_run(
 
 
 def slot_report(rows: DataFrame, out: str, run_id: str, zero_speed: str = "null") -> None:
+    """Check the rows once and write what follows from it."""
+    rows = rows.select("mmsi", "date_bucket", "received_at", "sog", "slot_num")
     checked = sl.slot_check(rows, zero_speed=zero_speed).persist()
     write_all(
         {
@@ -60,6 +62,10 @@ def slot_report(rows: DataFrame, out: str, run_id: str, zero_speed: str = "null"
 
 
 def signal_report(rows: DataFrame, out: str, run_id: str) -> None:
+    """Compute distances once and write every panel's dataset."""
+    rows = rows.select(
+        "mmsi", "date_bucket", "received_at", "slot_num", "latitude", "longitude", "rssi", "snr"
+    )
     signal = sg.with_distance(rows).persist()
     write_all(
         {
