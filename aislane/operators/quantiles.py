@@ -10,6 +10,7 @@ tighter pair. Nothing but the bounds, a few numbers per group, reaches the drive
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -24,6 +25,7 @@ _GRID = 200
 _GRID_SHARES = [i / _GRID for i in range(_GRID + 1)]
 _ACCURACY = 10_000
 _MARGIN = 2  # grid steps kept on either side of the wanted rank
+_UNKNOWN = sys.maxsize
 
 
 def quantile_column(value: str, shares: Sequence[float]) -> Column:
@@ -44,8 +46,8 @@ class _Search:
     outer_high: float
     low: float
     high: float
-    place: int = 0  # rank among the values strictly between low and high
-    inside: int = 0  # how many those are
+    place: int = 0  # rank among the values strictly between the outer bounds
+    inside: int = _UNKNOWN  # how many those are
     answer: float | None = None
 
 
@@ -159,17 +161,19 @@ def _narrow(rows: DataFrame, group: str, value: str, searches: Sequence[_Search]
     found = {(row[group], row["low"], row["high"]): row for row in counted}
     for search in searches:
         row = found[search.group, search.low, search.high]
-        search.inside = row["inside"]
-        search.place = search.rank - row["below"] - row["at_low"]
-        if search.place < -row["at_low"]:  # before the guess
+        place = search.rank - row["below"] - row["at_low"]
+        at_high = row["at_high"] if search.low < search.high else 0
+        search.inside = _UNKNOWN
+        if place < -row["at_low"]:  # before the guess
             search.high = search.outer_high = search.low
             search.low = search.outer_low
-        elif search.place < 0:
+        elif place < 0:
             search.answer = search.low
-        elif search.place < row["inside"]:
+        elif place < row["inside"]:
+            search.place, search.inside = place, row["inside"]
             search.outer_low, search.outer_high = search.low, search.high
             _tighten(search, row["grid"])
-        elif search.place < row["inside"] + row["at_high"]:
+        elif place < row["inside"] + at_high:
             search.answer = search.high
         else:  # after the guess
             search.low = search.outer_low = search.high

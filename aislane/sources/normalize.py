@@ -189,16 +189,10 @@ def normalize(records: DataFrame, received_at: datetime | Column | None = None)
         .when(F.col("vsi_unusable"), "vsi_not_an_object")
         .when(F.col("date_bucket").isNull(), "no_time")
     )
-    # Two projections: the generated code of all columns at once is too long for the
-    # JVM to compile.
-    chosen = ("mmsi", "date_bucket", "msg_type", "nav_status", "raim_flag", "sog", "timestamp_sec")
     return (
         _open_records(records)
-        .withColumns({name: canonical[name] for name in chosen})
-        .withColumns(
-            {name: canonical[name] for name in RECORD_COLUMNS if name not in chosen}
-            | {"reject_reason": reason}
-        )
+        .withColumns(canonical)
+        .withColumn("reject_reason", reason)
         .select(
             *carried,
             *RECORD_COLUMNS,
