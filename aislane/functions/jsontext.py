@@ -49,19 +49,19 @@ def exact_numbers(texts: Sequence[Column], numbers: Sequence[Column]) -> Column:
 
 
 def truthy(text: Column, number: Column, other: Column) -> Column:
-    """False for absent, null, false, 0 and empty text, list or object.
+    """False for false, 0 and empty text, list or object; NULL for absent and null.
 
-    ``other`` is any member's value written out; only lists and objects get that far.
+    ``other`` is the member's value written out; only lists and objects get that far.
     """
     return (
         F.when(text.isNotNull(), F.octet_length(text) > 0)
         .when(number.isNotNull(), number != 0)
-        .otherwise(F.coalesce(~other.isin("[]", "{}"), F.lit(False)))
+        .otherwise(~other.isin("[]", "{}"))
     )
 
 
 def as_double(number: Column) -> Column:
-    return F.when(~F.isnan(number), number)
+    return F.nanvl(number, F.lit(None).cast("double"))
 
 
 def as_int(number: Column) -> Column:

@@ -27,6 +27,8 @@ _PAYLOAD = (
     "speedOverGround", "timeStamp", "timestamp_sec", "trueHeading",
 )
 _RECEPTION = ("rssi", "slotNum", "snr")
+# Members of the payload whose truthiness decides something.
+_JUDGED = ("mmsi", "messageId", "navigationalStatus", "raimFlag", "sog", "timeStamp")
 
 # Where each number of a record comes from.
 _NUMBERS = (
@@ -52,11 +54,12 @@ def _written(path: str) -> Column:
 
 def _unusable(path: str) -> Column:
     """True where the path holds something other than an object that is not falsy either."""
-    return truthy(
+    found = truthy(
         F.try_variant_get("record", path, "binary"),
         F.try_variant_get("record", path, "double"),
         _written(path),
     )
+    return F.coalesce(found, F.lit(False))
 
 
 def _open_records(records: DataFrame) -> DataFrame:
@@ -65,7 +68,6 @@ def _open_records(records: DataFrame) -> DataFrame:
     The body is ``data`` or, where that is missing or empty, the record itself;
     ``in_data`` tells which, and is NULL where ``data`` is not usable.
     """
-    carried = [c for c in records.columns if c not in ("record", "corrupt_line")]
     record = F.col("record")
     parts = records.withColumns(
         {
@@ -80,49 +82,44 @@ def _open_records(records: DataFrame) -> DataFrame:
         *[F.col(f"data_number.{name}") for name in _PAYLOAD],
         *[F.octet_length(f"data.{name}") for name in _PAYLOAD],
     ).isNotNull()
-    parts = parts.withColumn(
-        "in_data",
-        F.when(F.col("data").isNotNull(), known | (_written("$.data") != "{}")).when(
-            ~_unusable("$.data"), False
-        ),
+    in_data = F.when(F.col("data").isNotNull(), known | (_written("$.data") != "{}")).when(
+        ~_unusable("$.data"), False
     )
-    parts = parts.withColumns(
+
+    def either(inside: Column, outside: Column) -> Column:
+        return F.when(F.col("in_data"), inside).when(~F.col("in_data"), outside)
+
+    parts = parts.withColumn("in_data", in_data).withColumns(
         {
-            "body": F.when(F.col("in_data"), F.col("data")).when(
-                ~F.col("in_data"), member_texts(record, "$", _PAYLOAD)
-            ),
-            "body_number": F.when(F.col("in_data"), F.col("data_number")).when(
-                ~F.col("in_data"), member_numbers(record, "$", _PAYLOAD)
-            ),
+            "body": either(F.col("data"), member_texts(record, "$", _PAYLOAD)),
+            "body_number": either(F.col("data_number"), member_numbers(record, "$", _PAYLOAD)),
             "env_number": F.struct(
                 F.try_variant_get(record, "$.messageId", "double").alias("messageId")
             ),
         }
     )
-    parts = parts.withColumn(
-        "numbers",
-        exact_numbers(
-            [F.col(f"{part}.{name}") for part, name in _NUMBERS],
-            [F.col(f"{part}_number.{name}") for part, name in _NUMBERS],
-        ),
-    )
-    return parts.select(
-        *carried,
-        # Passing the members through a generator keeps later filters, and the
-        # projections that use a member more than once, from repeating the extraction.
-        F.inline(
-            F.array(
-                F.struct(
-                    "record",
-                    "corrupt_line",
-                    "env",
-                    "body",
-                    "in_data",
-                    "numbers",
-                    (F.col("vsi").isNull() & _unusable("$.vsi")).alias("vsi_unusable"),
-                )
-            )
-        ),
+    # Lists and objects need a closer look, so only records that lack a judged member get it.
+    complete = F.lit(True)
+    for name in _JUDGED:
+        complete = complete & F.coalesce(
+            F.octet_length(f"body.{name}"), F.col(f"body_number.{name}")
+        ).isNotNull()
+    judged = f"struct<{','.join(name + ':string' for name in _JUDGED)}>"
+    return parts.withColumns(
+        {
+            "numbers": exact_numbers(
+                [F.col(f"{part}.{name}") for part, name in _NUMBERS],
+                [F.col(f"{part}_number.{name}") for part, name in _NUMBERS],
+            ),
+            "body_other": F.when(
+                ~complete,
+                either(
+                    F.try_variant_get(record, "$.data", judged),
+                    F.try_variant_get(record, "$", judged),
+                ),
+            ),
+            "env_other": F.struct(_written("$.messageId").alias("messageId")),
+        }
     )
 
 
@@ -140,16 +137,12 @@ def normalize(records: DataFrame, received_at: datetime | Column | None = None)
     position = {key: i for i, key in enumerate(_NUMBERS)}
 
     def number(name: str, part: str = "body") -> Column:
-        return F.col("numbers")[position[part, name]]
-
-    def written(name: str, part: str = "body") -> Column:
-        outer = _written(f"$.{name}")
-        if part == "env":
-            return outer
-        return F.when(F.col("in_data"), _written(f"$.data.{name}")).otherwise(outer)
+        return F.get("numbers", F.lit(position[part, name]))
 
     def is_truthy(name: str, part: str = "body") -> Column:
-        return truthy(F.col(f"{part}.{name}"), number(name, part), written(name, part))
+        return truthy(
+            F.col(f"{part}.{name}"), number(name, part), F.col(f"{part}_other.{name}")
+        )
 
     def first_truthy(name: str, fallback: str, part: str = "body") -> Column:
         """The first member if it is truthy, else the body's other member as it is."""
@@ -158,50 +151,59 @@ def normalize(records: DataFrame, received_at: datetime | Column | None = None)
     def degrees(name: str) -> Column:
         return F.round(as_double(number(name)) / POSITION_UNITS_PER_DEGREE, 6)
 
-    canonical = {
+    decided = {
         "mmsi": as_vessel_id(first_truthy("mmsi", "userId")),
         "date_bucket": as_bucket_time(F.col("env.dataBucket").cast("string")),
-        "received_at": received_at.cast("timestamp_ntz"),
         "msg_type": as_int(first_truthy("messageId", "messageId", "env")),
-        "cog": as_double(number("cog")),
-        "integrity_flag": as_int(number("positionAccuracy")),
-        "latitude": degrees("latitude"),
-        "longitude": degrees("longitude"),
         "nav_status": as_int(first_truthy("navigationalStatus", "navigationStatus")),
         # Absent stays NULL; the text "false" is true.
-        "raim_flag": F.when(
-            F.coalesce(number("raimFlag").cast("string"), written("raimFlag")).isNotNull(),
-            is_truthy("raimFlag"),
-        ),
-        "rot": as_double(number("rateOfTurn")),
+        "raim_flag": is_truthy("raimFlag"),
         "sog": as_double(first_truthy("sog", "speedOverGround")),
         "timestamp_sec": as_int(first_truthy("timeStamp", "timestamp_sec")),
-        "true_heading": as_int(number("trueHeading")),
-        "rssi": as_double(number("rssi", "vsi")),
-        "slot_num": as_int(number("slotNum", "vsi")),
-        "snr": as_double(number("snr", "vsi")),
     }
     reason = (
         F.when(F.col("corrupt_line").isNotNull(), "corrupt_json")
         .when(F.col("env").isNull(), "not_an_object")
         .when(F.col("body").isNull(), "data_not_an_object")
         .when(F.col("mmsi").isNull(), "no_vessel_id")
-        .when(F.col("vsi_unusable"), "vsi_not_an_object")
+        .when(F.col("vsi").isNull() & _unusable("$.vsi"), "vsi_not_an_object")
         .when(F.col("date_bucket").isNull(), "no_time")
     )
-    return (
+    # Passing the values through a generator keeps a later filter on the reason from
+    # repeating all that leads to it.
+    settled = (
         _open_records(records)
-        .withColumns(canonical)
-        .withColumn("reject_reason", reason)
+        .withColumns(decided)
         .select(
             *carried,
-            *RECORD_COLUMNS,
-            "reject_reason",
-            F.when(
-                F.col("reject_reason").isNotNull(), F.coalesce("corrupt_line", F.to_json("record"))
-            ).alias("reject_text"),
+            F.inline(
+                F.array(
+                    F.struct(
+                        "record", "corrupt_line", "numbers", *decided, reason.alias("reject_reason")
+                    )
+                )
+            ),
         )
     )
+    direct = {
+        "received_at": received_at.cast("timestamp_ntz"),
+        "cog": as_double(number("cog")),
+        "integrity_flag": as_int(number("positionAccuracy")),
+        "latitude": degrees("latitude"),
+        "longitude": degrees("longitude"),
+        "rot": as_double(number("rateOfTurn")),
+        "true_heading": as_int(number("trueHeading")),
+        "rssi": as_double(number("rssi", "vsi")),
+        "slot_num": as_int(number("slotNum", "vsi")),
+        "snr": as_double(number("snr", "vsi")),
+    }
+    refused = F.col("reject_reason").isNotNull()
+    return settled.select(
+        *carried,
+        *[direct[name].alias(name) if name in direct else name for name in RECORD_COLUMNS],
+        "reject_reason",
+        F.when(refused, F.coalesce("corrupt_line", F.to_json("record"))).alias("reject_text"),
+    )
 
 
 def accepted(normalized: DataFrame) -> DataFrame:
