@@ -6,6 +6,7 @@ from ``events`` with the one SELECT in ``aislane.sources.fixture``.
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -78,6 +79,22 @@ def _normalized_stream(spark: SparkSession, path: str) -> DataFrame:
     return normalize(records(lines), RECEIVED_AT)
 
 
+def _optional(name: str, attribute: str, default):
+    """``attribute`` of a module that may have been left out of this copy; its own errors are not hidden."""
+    try:
+        return getattr(importlib.import_module(name), attribute)
+    except ModuleNotFoundError as missing:
+        if not (missing.name == name or name.startswith(f"{missing.name}.")) or missing.name == "aislane":
+            raise
+        return default
+
+
+_LLM_QUERIES: dict[str, Query] = _optional("aislane.llm.queries", "QUERIES", {})
+_LLM_SQL: dict[str, str] = _optional("aislane.llm.queries", "ORACLE_SQL", {})
+_PIPELINE = _optional("corpus_pipeline", "run", None)
+_PIPELINE_SQL = _optional("corpus_pipeline", "ORACLE_SQL", None)
+
+
 # --- queries -----------------------------------------------------------------
 
 
@@ -249,6 +266,9 @@ def queries() -> dict[str, Query]:
         "stream_vessel_summary": stream_vessel_summary,
         "stream_slot_check": stream_slot_check,
         "stream_signal_series": stream_signal_series,
+        # training data
+        **_LLM_QUERIES,
+        **({"pipeline": _PIPELINE} if _PIPELINE else {}),
     }
 
 
@@ -529,4 +549,6 @@ from ais group by 1, 2 having bucket_start + interval '10 minutes' <= {settled}"
 select mmsi, date_bucket, slot_num, prev_slot, prev_sog, ni, slot_diff, slot_valid from checked""",
         "stream_signal_series": f"""{_SIGNAL}{_SERIES}
 select * from series where window_start + interval '30 seconds' <= {settled}""",
+        **_LLM_SQL,
+        **({"pipeline": _PIPELINE_SQL} if _PIPELINE_SQL else {}),
     }
