@@ -91,13 +91,14 @@ def fingerprint(text: bytes, setting: Setting) -> bytes:
 def fingerprints(
     docs: DataFrame, setting: Setting = CONTRACT, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """``doc_id, row_key, n_chars, code``."""
+    """``doc_id, row_key, n_chars, code`` and ``node``, a number that stands for the code."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             codes = [fingerprint(text, setting) for text in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(codes, pa.binary())], ["doc_id", "row_key", "n_chars", "code"]
+                [*batch.columns[:3], pa.array(codes, pa.binary()), pa.array(map(_node, codes), pa.int64())],
+                ["doc_id", "row_key", "n_chars", "code", "node"],
             )
 
     return docs.select(
@@ -105,7 +106,7 @@ def fingerprints(
         row_key(id_column, text_column).alias("row_key"),
         text_length(text_column).alias("n_chars"),
         text_bytes(text_column).alias("text"),
-    ).mapInArrow(make, "doc_id long, row_key long, n_chars int, code binary")
+    ).mapInArrow(make, "doc_id long, row_key long, n_chars int, code binary, node long")
 
 
 def _matrix(codes: list[bytes], bits: int) -> np.ndarray:
@@ -184,11 +185,10 @@ def near_classes(
 
     ``root`` names the class, ``component_id`` is its smallest document id.
     """
-    numbered = F.udf(_node, "long")
     prints = staged(fingerprints(docs, setting, id_column, text_column), "fingerprints")
-    codes = staged(prints.groupBy("code").agg(F.min("doc_id").alias("first_id")), "codes")
+    codes = staged(prints.groupBy("code", "node").agg(F.min("doc_id").alias("first_id")), "codes")
     labels = components(staged(near_links(codes, setting, group_rows), "links"))
-    named = codes.withColumn("node", numbered("code")).join(labels, "node", "left")
+    named = codes.join(labels, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = named.join(least, "root").select("code", "root", "component_id")
