@@ -8,12 +8,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aislane.llm import decontam, exact, secrets, simhash, tokenbin
+from aislane.llm import decontam, exact, quality, secrets, simhash, tokenbin, toxicity
 from aislane.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.quality_scores(table(spark, sf_dir, "documents"))
+    good = (F.col("score") >= quality.KEEP_FROM).cast("int")
+    return scored.select("doc_id", "posterior", "score", "n_votes", good.alias("predicted"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = simhash.near_classes(table(spark, sf_dir, "documents"), simhash.CONTRACT)
     return classes.select("doc_id", F.lower(F.hex("code")).alias("fingerprint"), "component_id")
@@ -62,6 +72,8 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": op1_quality,
+    "op2_toxicity": op2_toxicity,
     "op3_simhash": op3_simhash,
     "op4_token_ids": op4_token_ids,
     "op6_secrets": op6_secrets,
