@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aislane.llm import decontam, exact, quality, secrets, simhash, tokenbin, toxicity
+from aislane.llm import decontam, exact, pieces, quality, secrets, simhash, tokenbin, toxicity, urls
 from aislane.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,17 @@ def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenbin.read_shards(manifest, folder)
 
 
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = pieces.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id",
+        F.size("piece_ids").cast("long").alias("n_pieces"),
+        F.sha2(F.array_join(F.col("piece_ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
+    )
+
+
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.secret_spans(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["base"])
@@ -71,14 +82,21 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge_urls(table(spark, sf_dir, "pages"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "block_odds")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
     "op3_simhash": op3_simhash,
     "op4_token_ids": op4_token_ids,
+    "op5_pieces": op5_pieces,
     "op6_secrets": op6_secrets,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_decontamination": op8_decontamination,
+    "op10_urls": op10_urls,
 }
 
 _WORDS = r"""
