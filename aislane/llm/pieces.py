@@ -166,7 +166,7 @@ class Encoder:
 
     def _learn(self, chunks: set[str]) -> None:
         """The library's pieces of new chunks, and where in ``skip`` the merges that made them stand."""
-        new = [c for c in chunks if c not in self.plain and len(c) <= _LONG and SPACE not in c]
+        new = [c for c in chunks if c not in self.plain and len(c) <= _LONG and SPACE not in c and c.strip(" ")]
         if not new:
             return
         model = self.model

@@ -63,7 +63,7 @@ def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
     """Another 64 bits from each hash; word 0 is the hash itself."""
     if not word:
         return hashes
-    h = hashes + np.uint64(word) * np.uint64(0x9E3779B97F4A7C15)
+    h = hashes + np.uint64(word * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))

@@ -40,8 +40,6 @@ MAGIC = b"PFR1"
 BLOCK = 4096
 PERCENTILE = 0.95
 END_ID = 1
-# Documents of a worker's batch go to the tokenizer together, at most so many characters.
-ENCODE_CHARS = 2_000_000
 _HEAD = "<IBHH"
 _FOOT = "<QQQ"
 
@@ -185,39 +183,68 @@ def _open(address: str):
     return pafs.FileSystem.from_uri(address)
 
 
-# Characters that every pattern of a white-space-dropping tokenizer takes for white space.
-_SURE_SPACE = str.maketrans("\t\n\r", "   ")
-
-
 class WordEncoder:
-    """Encodes by a tokenizer that drops white space and never joins what stands on two sides of it.
+    """Encodes by a lower-casing tokenizer that drops white space, never joins what stands on two sides of it, and ends words in a mark.
 
-    Each distinct run between spaces goes to the library once per task (``MOST_RUNS`` at a time); documents are put
-    together from the runs' ids. Long or special runs go straight to the library.
+    Each distinct run between white space goes to the library once per task, at most ``MOST_RUNS`` are remembered; documents are
+    put together from the runs' ids. Runs of letters are sent many at a time and taken apart at the ends of words; if their number
+    disagrees, and for all other runs, each is encoded on its own. An ASCII run differs from its lower-case form in
+    nothing, and a comma or full stop behind ASCII letters is a word of its own.
     """
 
-    MOST_RUNS = 400_000
-    LONG_RUN = 256
+    MOST_RUNS = 600_000
+    TOGETHER = 1000
+    END_OF_WORD = "</w>"
 
     def __init__(self, path: str):
+        import os
+
+        # One thread per task, as Spark plans it; read when the library first encodes.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, runs: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch(runs, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        split = [text.translate(_SURE_SPACE).split(" ") for text in texts]
-        new = list({run for runs in split for run in runs if run not in self.known})
-        if len(self.known) + len(new) > self.MOST_RUNS:
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for piece, i in vocabulary.items() if piece.endswith(self.END_OF_WORD)]] = True
+        self.known: dict[bytes, bytes] = {}
+        self.stop = {mark: self._alone([mark])[0] for mark in (b".", b",")}
+
+    def _alone(self, runs: list[bytes]) -> list[bytes]:
+        texts = [r.decode() for r in runs]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _together(self, runs: list[bytes]) -> list[bytes]:
+        (encoded,) = self.tokenizer.encode_batch_fast([b" ".join(runs).decode()], add_special_tokens=False)
+        ids = np.array(encoded.ids, "<u4")
+        bounds = np.flatnonzero(self.ends[ids]) + 1
+        if len(bounds) != len(runs):
+            return self._alone(runs)
+        data, at = ids.tobytes(), [0, *(4 * bounds).tolist()]
+        return [data[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+    def _learn(self, runs: set[bytes]) -> None:
+        stems = {r[:-1] if r[-1:] in self.stop and r[:-1].isalpha() else r for r in runs}
+        new = [s for s in stems if s not in self.known]
+        letters = [s for s in new if s.decode().isalpha()]
+        others = [s for s in new if not s.decode().isalpha()]
+        for batch, encode in ((letters, self._together), (others, self._alone)):
+            for begin in range(0, len(batch), self.TOGETHER):
+                part = batch[begin : begin + self.TOGETHER]
+                self.known.update(zip(part, encode(part), strict=True))
+        for run in runs:
+            if run not in self.known:
+                self.known[run] = self.known[run[:-1]] + self.stop[run[-1:]]
+
+    def encode(self, text: str) -> np.ndarray:
+        data = text.encode()
+        runs = data.lower().split() if text.isascii() else [r.lower() if r.isascii() else r for r in data.split()]
+        if len(self.known) > self.MOST_RUNS:
             self.known.clear()
-            new = list({run for runs in split for run in runs})
-        self.known.update(zip(new, self._learn(new), strict=True))
-        for runs in split:
-            yield np.frombuffer(b"".join(map(self.known.__getitem__, runs)), "<u4")
+        new = {r for r in runs if r not in self.known}
+        if new:
+            self._learn(new)
+        return np.frombuffer(b"".join(map(self.known.__getitem__, runs)), "<u4")
 
 
 def write_shards(
@@ -251,16 +278,8 @@ def write_shards(
                 stream = files.open_output_stream(path)
                 out, first = ShardWriter(stream), batch.column(0)[0].as_py()
                 part = _partition()
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            begin = 0
-            while begin < len(texts):
-                stop, chars = begin, 0
-                while stop < len(texts) and (stop == begin or chars + len(texts[stop]) <= ENCODE_CHARS):
-                    chars += len(texts[stop])
-                    stop += 1
-                for doc_id, coded in zip(ids[begin:stop], encoder.encode(texts[begin:stop]), strict=True):
-                    out.add(doc_id, np.concatenate((coded, end)))
-                begin = stop
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                out.add(doc_id, np.concatenate((encoder.encode(text), end)))
         if out is not None:
             out.close()
             stream.close()
