@@ -12,7 +12,7 @@ Two settings matter:
 * ``CONTRACT``: three words, shingles with repeats, 64 bits, at most 3 differences. Exact: no link is lost.
 * ``SIMILAR``: five words, distinct shingles, 512 bits, similarity 0.8 or more. The angle between two shingle sets
   makes two documents of similarity 0.8 differ in 15 % of their bits; links are fingerprints that
-  differ in at most 16 %. The fingerprint estimates similarity to about 0.04, so pairs just around 0.8 may fall on either side.
+  differ in at most 17 %. The fingerprint estimates similarity to about 0.04, so pairs just around 0.8 may fall on either side.
 
 Defined results: null and empty texts have the fingerprint zero and form one group. Null ids sort after all
 others; a group of only such documents has a null component. Repeated rows are equal fingerprints.
@@ -48,7 +48,7 @@ class Setting:
 
 
 CONTRACT = Setting(words=3, bits=64, most=3, distinct=False)
-SIMILAR = Setting(words=5, bits=512, most=82, distinct=True)
+SIMILAR = Setting(words=5, bits=512, most=86, distinct=True)
 
 
 def shingles(text: bytes, words: int) -> list[bytes]:
