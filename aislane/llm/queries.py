@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aislane.llm import decontam, exact, pieces, quality, secrets, simhash, tokenbin, toxicity, urls
+from aislane.llm import decontam, exact, katz, pieces, quality, secrets, simhash, tokenbin, toxicity, urls
 from aislane.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.katz_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urls.judge_urls(table(spark, sf_dir, "pages"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "block_odds")
@@ -96,6 +100,7 @@ QUERIES: dict[str, Query] = {
     "op6_secrets": op6_secrets,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_decontamination": op8_decontamination,
+    "op9_katz": op9_katz,
     "op10_urls": op10_urls,
 }
 
