@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
+from itertools import islice
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,3 +59,14 @@ def text_length(column: str = "text") -> Column:
 def fold_remainder(id_column: str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % parts
+
+
+def worker_store() -> dict:
+    """A dictionary that lives as long as the Python worker: later tasks find what earlier ones worked out."""
+    return sys.modules.setdefault("_aislane_worker_store", types.ModuleType("_aislane_worker_store")).__dict__
+
+
+def forget_half(remembered: dict) -> None:
+    """Drop the half that came first."""
+    for key in list(islice(remembered, len(remembered) // 2)):
+        del remembered[key]

@@ -229,13 +229,16 @@ def _decide(
         text = names_out[names.index(text_column)]
         hits = _scan(plain, names_out, text, block, window).where(F.lit(cut) | (F.size("spans") == 0))
         if cut:
-            cutter = F.udf(_without, "string")
+            cutter = F.udf(lambda value, spans: _without(value, spans), "string")
             hits = hits.withColumn(text, F.when(F.size("spans") > 0, cutter(text, "spans")).otherwise(F.col(text)))
         docs = hits.select(*[F.col(c).alias(n) for c, n in zip(names_out, names, strict=True)])
     return docs
 
 
-def _without(text: str, spans: list) -> str:
+def _without(text: str | None, spans: list) -> str | None:
+    # Spark may call this on rows whose result it won't use.
+    if not text or not spans:
+        return text
     places = [m.span() for m in WORD.finditer(text)]
     kept, at = [], 0
     for span in spans:

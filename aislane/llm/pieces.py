@@ -4,7 +4,7 @@ A merge (BPE) model's pieces are put together from characters, best-scored merge
 comes up on the agenda is skipped if a keyed hash of seed, draw, place in the word (modulo ``PLACES``) and merged piece says
 so, so the same text has several segmentations, each repeatable. The draw of a word is a keyed hash of the
 document's key and the word's place in the text, one of ``DRAWS``; words that meet the same draw share their segmentation,
-which is worked out once per task. A word none of whose plain merges is skipped keeps its plain pieces, those of the
+which is worked out once per worker. A word none of whose plain merges is skipped keeps its plain pieces, those of the
 sentencepiece library: what is merged inside a piece doesn't depend on what stands around it.
 
 No piece of such a model has a space behind other characters, so words are encoded one by one (checked when the model is
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aislane.llm.common import row_key
+from aislane.llm.common import forget_half, row_key, worker_store
 
 DROPOUT = 0.1
 SEED = 20_240
@@ -75,14 +76,14 @@ class PieceModel:
 class Encoder:
     """Encodes texts; ``dropout`` 0 gives the model's plain segmentation."""
 
-    MOST_KNOWN = 250_000
+    MOST_KNOWN = 1_000_000
 
     def __init__(self, model: PieceModel, dropout: float = DROPOUT, seed: int = SEED, draws: int = DRAWS):
         self.model, self.seed, self.draws = model, seed, draws if dropout else 1
         self.size = len(model.raw)
         self.skip = [self._skips(draw, dropout) for draw in range(self.draws)]
         self.known: list[dict[str, bytes]] = [{} for _ in range(self.draws)]
-        self.plain: dict[str, tuple[bytes, list[int]] | None] = {}
+        self.plain: dict[str, tuple[bytes, array] | None] = {}
         self.inside: dict[int, list[tuple[int, int]]] = {}
 
     def _skips(self, draw: int, dropout: float) -> bytes:
@@ -180,7 +181,7 @@ class Encoder:
                 if len(piece) > 1:
                     merges += [(at + o) % PLACES * self.size + merged for o, merged in self._inside(number, piece)]
                 at += len(piece)
-            self.plain[chunk] = None if merges is None else (np.array(ids, "<u4").tobytes(), merges)
+            self.plain[chunk] = None if merges is None else (np.array(ids, "<u4").tobytes(), array("I", merges))
 
     def _ids(self, chunk: str, draw: int) -> bytes:
         plain, skip = self.plain.get(chunk), self.skip[draw]
@@ -207,9 +208,9 @@ class Encoder:
         if not text:
             return np.zeros(0, "<u4")
         chunks = _CHUNK.findall(" " + text)
-        if len(self.plain) + sum(map(len, self.known)) > 3 * self.MOST_KNOWN:
+        if len(self.plain) + sum(map(len, self.known)) > self.MOST_KNOWN:
             for known in (self.plain, *self.known):
-                known.clear()
+                forget_half(known)
         self._learn(set(chunks))
         parts = []
         for chunk, draw in zip(chunks, self._draws(key, len(chunks)), strict=True):
@@ -232,8 +233,9 @@ def encode_documents(
     """``docs`` with ``piece_ids array<int>`` and ``decoded``, the text got back from them, added."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = PieceModel(model_path)
-        encoder = Encoder(model, dropout, seed)
+        store, name = worker_store(), (model_path, dropout, seed)
+        encoder = store[name] = store.get(name) or Encoder(PieceModel(model_path), dropout, seed)
+        model = encoder.model
         for batch in batches:
             keys = batch.column(batch.num_columns - 2).to_pylist()
             texts = batch.column(batch.num_columns - 1).to_pylist()

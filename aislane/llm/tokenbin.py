@@ -33,7 +33,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aislane.llm.common import staged
+from aislane.llm.common import forget_half, staged, worker_store
 from aislane.session import scratch_path
 
 MAGIC = b"PFR1"
@@ -186,8 +186,8 @@ def _open(address: str):
 class WordEncoder:
     """Encodes by a lower-casing tokenizer that drops white space, never joins what stands on two sides of it, and ends words in a mark.
 
-    Each distinct run between white space goes to the library once per task, at most ``MOST_RUNS`` are remembered; documents are
-    put together from the runs' ids. Runs of letters are sent many at a time and taken apart at the ends of words; if their number
+    Each distinct run between white space goes to the library once per worker, of which about ``MOST_RUNS`` are remembered;
+    documents are put together from the runs' ids. Runs of letters are sent many at a time and taken apart at the ends of words; if their number
     disagrees, and for all other runs, each is encoded on its own. An ASCII run differs from its lower-case form in
     nothing, and a comma or full stop behind ASCII letters is a word of its own.
     """
@@ -240,7 +240,7 @@ class WordEncoder:
         data = text.encode()
         runs = data.lower().split() if text.isascii() else [r.lower() if r.isascii() else r for r in data.split()]
         if len(self.known) > self.MOST_RUNS:
-            self.known.clear()
+            forget_half(self.known)
         new = {r for r in runs if r not in self.known}
         if new:
             self._learn(new)
@@ -269,7 +269,9 @@ def write_shards(
     in_order = ranged.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, out, shard, first, part = WordEncoder(tokenizer_path), None, f"{uuid.uuid4().hex}.pfr", None, 0
+        out, shard, first, part = None, f"{uuid.uuid4().hex}.pfr", None, 0
+        store = worker_store()
+        encoder = store[tokenizer_path] = store.get(tokenizer_path) or WordEncoder(tokenizer_path)
         end = np.array([end_id], "<u4")
         files, path = _open(f"{folder}/{shard}")
         for batch in batches:
