@@ -1,32 +1,38 @@
-"""Windows over the ordered rows of a group, also where one group is very large.
+"""Rows in the order of their group, cut by time so that no group has to fit one task.
 
-A window puts a whole group into one task. That is the right plan while groups are
-small, so their size is checked first. Where a group is larger than
-``GROUP_ROW_LIMIT`` the rows are range-partitioned on group and order instead, so
-a large group spans many pieces, and each piece gets copies of the few rows that
-stand before and after it.
+A window over a whole vessel puts it into one task. Here every window runs over a vessel's
+rows of one 10-minute bucket (a *chunk*). What a row needs from earlier chunks comes from a table
+with one row per vessel and chunk: its last row, found by a partial aggregate, or its count. That table is small, and a window over
+it is all that ever spans a vessel. It is the same plan for any size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aislane.session import scratch_path
+from aislane.functions.constants import BUCKET_MINUTES
 
-GROUP_ROW_LIMIT = 5_000_000
-
-# Adds columns given the rows, the window, and how many earlier rows of the group
-# the window does not see; the last is always 0 unless asked for with ``count_earlier``.
-Compute = Callable[[DataFrame, WindowSpec, Column], DataFrame]
+_NO_TIME = 2**62
 
 
 def _ascending(columns: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in columns]
 
 
+def _sortable(columns: Sequence[str]) -> Column:
+    """The columns as one value that compares as ``_ascending`` sorts."""
+    return F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in columns])
+
+
+def total_order(rows: DataFrame, order: Sequence[str], columns: Sequence[str]) -> list[str]:
+    """``order`` as far as the rows have it, then ``columns``: equal rows are equal in all that is compared."""
+    wanted = [c for c in order if c in rows.columns]
+    return wanted + [c for c in columns if c in rows.columns and c not in wanted]
+
+
 def sorted_rows(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     """All rows in order, over as many partitions as their number asks for.
 
@@ -37,134 +43,40 @@ def sorted_rows(rows: DataFrame, order: Sequence[str]) -> DataFrame:
     return rows.orderBy(*_ascending(keys), F.spark_partition_id())
 
 
-def has_large_group(rows: DataFrame, keys: Sequence[str], limit: int) -> bool:
-    """True if any group holds more than ``limit`` rows."""
-    if rows.count() <= limit:
-        return False
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return not sizes.where(F.col("n") > limit).isEmpty()
+def _chunked(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Add ``_chunk``: the bucket of the first order column, a time; rows without one come last."""
+    seconds = F.unix_seconds(F.col(order[0]).cast("timestamp"))
+    bucket = F.floor(seconds / (60 * BUCKET_MINUTES))
+    return rows.withColumn("_chunk", F.coalesce(bucket, F.lit(_NO_TIME)))
 
 
-def over_ordered_groups(
-    rows: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    compute: Compute,
-    before: int = 0,
-    after: int = 0,
-    count_earlier: bool = False,
-    group_limit: int | None = None,
+def with_previous(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Mapping[str, str]
 ) -> DataFrame:
-    """``compute`` over each group's rows in order.
+    """Add, for each ``new: old`` of ``columns``, ``old`` of the row before in its group, NULL for the first.
 
-    ``before`` and ``after`` tell how many rows from a row the window may look.
-    """
-    limit = group_limit or GROUP_ROW_LIMIT
-    order = [c for c in order if c in rows.columns]
-    window = Window.partitionBy(*keys).orderBy(*_ascending(order))
-    if not has_large_group(rows, keys, limit):
-        return compute(rows, window, F.lit(0))
-    return _over_pieces(rows, list(keys), order, compute, before, after, count_earlier, limit)
-
-
-def _over_pieces(
-    rows: DataFrame,
-    keys: list[str],
-    order: list[str],
-    compute: Compute,
-    before: int,
-    after: int,
-    count_earlier: bool,
-    rows_per_piece: int,
-) -> DataFrame:
-    columns = rows.columns
-    sort = [*keys, *order, "_row_id"]
-    pieces = _write_pieces(rows, sort, rows_per_piece)
-    parts = [pieces.withColumn("_copy", F.lit("no"))]
-    if before:
-        parts.append(_neighbour_rows(pieces, sort, before, preceding=True))
-    if after:
-        parts.append(_neighbour_rows(pieces, sort, after, preceding=False))
-    work = parts[0]
-    for part in parts[1:]:
-        work = work.unionByName(part)
-    earlier = F.lit(0)
-    if count_earlier:
-        work = work.join(_rows_in_earlier_pieces(work, keys), ["_piece", *keys], "left")
-        earlier = F.coalesce(F.col("_earlier"), F.lit(0))
-    window = Window.partitionBy("_piece", *keys).orderBy(*_ascending([*order, "_row_id"]))
-    result = compute(work, window, earlier)
-    added = [c for c in result.columns if c not in work.columns]
-    return result.where(F.col("_copy") == "no").select(*columns, *added)
-
-
-def _write_pieces(rows: DataFrame, sort: list[str], rows_per_piece: int) -> DataFrame:
-    """The rows with ``_row_id`` and ``_piece``, pieces following each other in sort order.
-
-    Both columns depend on how Spark happened to split the rows, so each is written
-    out before anything is derived from it: a task repeated after a lost executor
-    then sees the same values.
-    """
-    spark = rows.sparkSession
-    numbered_path = scratch_path(spark, "numbered")
-    rows.withColumn("_row_id", F.monotonically_increasing_id()).write.parquet(numbered_path)
-    numbered = spark.read.parquet(numbered_path)
-
-    count = -(-numbered.count() // rows_per_piece) + 1
-    pieces_path = scratch_path(spark, "pieces")
-    (
-        numbered.repartitionByRange(count, *_ascending(sort))
-        .withColumn("_piece", F.spark_partition_id())
-        .write.parquet(pieces_path)
-    )
-    return spark.read.parquet(pieces_path)
-
-
-def _neighbour_rows(pieces: DataFrame, sort: list[str], reach: int, preceding: bool) -> DataFrame:
-    """For every piece, copies of the ``reach`` rows next to it, marked in ``_copy``.
-
-    Works on at most ``reach`` rows per piece, so one task for all of them is small.
-    Pieces with fewer rows than ``reach`` are passed over to the ones beyond.
+    ``keys`` are not NULL. ``order`` begins with a time.
     """
-    if preceding:
-        direction = [F.col(c).desc_nulls_first() for c in sort]
-    else:
-        direction = _ascending(sort)
-    edge = (
-        pieces.withColumn("_rank", F.row_number().over(Window.partitionBy("_piece").orderBy(*direction)))
-        .where(F.col("_rank") <= reach)
-        .drop("_rank")
-    )
-    numbered = edge.withColumn("_place", F.row_number().over(Window.orderBy(*_ascending(sort))))
-    spans = numbered.groupBy("_piece").agg(
-        F.min("_place").alias("_first"), F.max("_place").alias("_last")
-    )
-    if preceding:
-        places = F.sequence(F.greatest(F.col("_first") - reach, F.lit(1)), F.col("_first") - 1)
-        has_any = F.col("_first") > 1
-    else:
-        places = F.sequence(F.col("_last") + 1, F.col("_last") + reach)
-        has_any = F.lit(True)
-    wanted = spans.where(has_any).select(
-        F.col("_piece").alias("_to"), F.explode(places).alias("_place")
-    )
-    return (
-        numbered.join(wanted, "_place")
-        .drop("_place", "_piece")
-        .withColumnRenamed("_to", "_piece")
-        .withColumn("_copy", F.lit("before" if preceding else "after"))
-    )
-
-
-def _rows_in_earlier_pieces(work: DataFrame, keys: list[str]) -> DataFrame:
-    """Per piece and group that began before: rows of the group the window does not see there."""
-    counts = work.groupBy(*keys, "_piece").agg(
-        F.count_if(F.col("_copy") == "no").alias("_own"),
-        F.count_if(F.col("_copy") == "before").alias("_seen"),
-    )
-    ahead = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        counts.withColumn("_before", F.sum("_own").over(ahead))
-        .where(F.col("_before") > 0)
-        .select(*keys, "_piece", (F.col("_before") - F.col("_seen")).alias("_earlier"))
-    )
+    chunked = _chunked(rows, order)
+    carried = F.struct(*[F.col(old).alias(new) for new, old in columns.items()])
+    last = F.max_by(carried, _sortable(order)).alias("_last")
+    by_chunk = [*keys, "_chunk"]
+    edges = chunked.groupBy(*by_chunk).agg(last)
+    before = F.lag("_last").over(Window.partitionBy(*keys).orderBy("_chunk"))
+    edges = edges.select(*by_chunk, before.alias("_before"))
+    inside = F.lag(carried).over(Window.partitionBy(*by_chunk).orderBy(*_ascending(order)))
+    joined = chunked.withColumn("_inside", inside).join(edges, by_chunk)
+    found = F.coalesce("_inside", "_before")
+    return joined.select(*rows.columns, *[found[new].alias(new) for new in columns])
+
+
+def with_position(rows: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Add a row's place in its group, counted from 0."""
+    chunked = _chunked(rows, order)
+    by_chunk = [*keys, "_chunk"]
+    counts = chunked.groupBy(*by_chunk).agg(F.count(F.lit(1)).alias("_n"))
+    ahead = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*by_chunk, F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"))
+    inside = F.row_number().over(Window.partitionBy(*by_chunk).orderBy(*_ascending(order))) - 1
+    joined = chunked.withColumn("_inside", inside).join(counts, by_chunk)
+    return joined.select(*rows.columns, (F.col("_inside") + F.col("_ahead")).alias(name))

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aislane.functions.constants import CONTEXT_ROWS
 from aislane.functions.tdma import nominal_increment, slot_distance, within_tolerance
 from aislane.functions.timegrid import bucket_start
-from aislane.operators.ordered import over_ordered_groups
+from aislane.operators.ordered import total_order, with_position, with_previous
 
 ORDER = ("date_bucket", "received_at", "slot_num")
+# After ``ORDER``, so that rows that tie are equal in all that is compared or shown.
+_TIES = ("slot_num", "sog", "msg_type", "cog", "rssi", "snr", "latitude", "longitude", "nav_status")
 
 
 def slot_check(
@@ -20,7 +22,7 @@ def slot_check(
     zero_speed: str = "null",
     by_run: bool = False,
     order: Sequence[str] = ORDER,
-    group_limit: int | None = None,
+    carried: DataFrame | None = None,
 ) -> DataFrame:
     """Each message against its vessel's previous one; the first of a vessel has none.
 
@@ -29,23 +31,27 @@ def slot_check(
     stood still. ``zero_speed="invalid"`` counts such rows as invalid unless no
     row of the frame has an increment, as the published reports do. ``by_run``
     starts anew in every 10-minute run, so the first message of a run is unchecked.
+    ``carried`` holds messages from before the rows (see ``last_before``): they serve as previous ones only.
     """
     if zero_speed not in ("null", "invalid"):
         raise ValueError(f"zero_speed must be 'null' or 'invalid', not {zero_speed!r}")
+    columns = rows.columns
+    if carried is not None:
+        earlier = carried.select(*columns).withColumn("_carried", F.lit(True))
+        rows = earlier.unionByName(rows.withColumn("_carried", F.lit(False)))
     rows = rows.where(F.col("mmsi").isNotNull())
     keys = ["mmsi"]
     if by_run:
         rows = rows.withColumn("run_start", bucket_start(F.col("date_bucket")))
+        # A row without a time has no run of its own to be first in.
+        rows = rows.where(F.col("run_start").isNotNull())
         keys.append("run_start")
-
-    def add_previous(frame: DataFrame, window: WindowSpec, _: Column) -> DataFrame:
-        return frame.withColumn("prev_slot", F.lag("slot_num").over(window)).withColumn(
-            "prev_sog", F.lag("sog").over(window)
-        )
-
+    order = total_order(rows, order, _TIES)
+    before = with_previous(rows, keys, order, {"prev_slot": "slot_num", "prev_sog": "sog"})
+    if carried is not None:
+        before = before.where(~F.col("_carried")).drop("_carried")
     checked = (
-        over_ordered_groups(rows, keys, order, add_previous, before=1, group_limit=group_limit)
-        .dropna(subset=["prev_slot", "prev_sog"])
+        before.dropna(subset=["prev_slot", "prev_sog"])
         .withColumn("ni", nominal_increment(F.col("prev_sog")))
         .withColumn("slot_diff", slot_distance(F.col("prev_slot"), F.col("slot_num")))
         .withColumn("slot_valid", within_tolerance(F.col("slot_diff"), F.col("ni")))
@@ -59,6 +65,16 @@ def slot_check(
     return checked
 
 
+def last_before(rows: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
+    """The last row of each vessel, for the check of the range that follows."""
+    order = total_order(rows, order, _TIES)
+    newest = F.max_by(
+        F.struct(*rows.columns), F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in order])
+    )
+    known = rows.where(F.col("mmsi").isNotNull())
+    return known.groupBy("mmsi").agg(newest.alias("row")).select("row.*")
+
+
 def slot_validity_counts(checked: DataFrame) -> DataFrame:
     """Rows per outcome, NULL included, most first."""
     counts = checked.groupBy("slot_valid").agg(F.count(F.lit(1)).alias("count"))
@@ -78,7 +94,7 @@ def slot_summary(checked: DataFrame) -> DataFrame:
             F.count_if(valid.isNull() & ~missing).alias("sog_zero"),
             F.count_if(valid.isNull() & missing).alias("slot_missing"),
         )
-        .withColumn("invalid_rate_pct", F.round(F.try_divide(F.col("invalid"), F.col("total")) * 100, 2))
+        .withColumn("invalid_rate_pct", F.bround(F.try_divide(F.col("invalid"), F.col("total")) * 100, 2))
         .orderBy("mmsi")
     )
 
@@ -95,42 +111,31 @@ def slot_invalid(checked: DataFrame, vessel: str | None = None) -> DataFrame:
 
 def slot_invalid_counts(checked: DataFrame) -> DataFrame:
     """Invalid rows per vessel that has any, and under a NULL vessel in all."""
-    per_vessel = (
-        checked.where(~F.col("slot_valid")).groupBy("mmsi").agg(F.count(F.lit(1)).alias("invalid"))
+    wrong = checked.where(~F.col("slot_valid"))
+    counted = wrong.rollup("mmsi").agg(
+        F.count(F.lit(1)).alias("invalid"), F.grouping("mmsi").alias("_all")
     )
-    total = per_vessel.agg(
-        F.lit(None).cast("string").alias("mmsi"),
-        F.coalesce(F.sum("invalid"), F.lit(0)).alias("invalid"),
+    # Over no rows a rollup has no total either.
+    none = checked.sparkSession.range(1).select(
+        F.lit(None).cast("string").alias("mmsi"), F.lit(0).cast("long").alias("invalid")
     )
-    return per_vessel.unionByName(total)
+    totals = counted.where("_all = 1").select("mmsi", "invalid").unionByName(none)
+    total = totals.agg(F.lit(None).cast("string").alias("mmsi"), F.max("invalid").alias("invalid"))
+    return counted.where("_all = 0").select("mmsi", "invalid").unionByName(total)
 
 
-def slot_context(
-    checked: DataFrame,
-    around: int = CONTEXT_ROWS,
-    order: Sequence[str] = ORDER,
-    group_limit: int | None = None,
-) -> DataFrame:
-    """Invalid rows with ``around`` rows before and after, each row once, with its position."""
-
-    def mark(frame: DataFrame, window: WindowSpec, offset: Column) -> DataFrame:
-        near = F.max("is_anomaly").over(window.rowsBetween(-around, around))
-        return frame.withColumn("near", near).withColumn(
-            "position", F.row_number().over(window) - 1 + offset
-        )
+def slot_context(checked: DataFrame, around: int = CONTEXT_ROWS, order: Sequence[str] = ORDER) -> DataFrame:
+    """Invalid rows with ``around`` rows before and after, each row once, with its position.
 
+    The places wanted are spelled out from the invalid rows, which are few, and met by vessel and place:
+    no vessel lands in one task.
+    """
     flagged = checked.withColumn("is_anomaly", F.coalesce(~F.col("slot_valid"), F.lit(False)))
-    marked = over_ordered_groups(
-        flagged,
-        ["mmsi"],
-        order,
-        mark,
-        before=around,
-        after=around,
-        count_earlier=True,
-        group_limit=group_limit,
-    )
-    return marked.where("near").select(
+    order = total_order(checked, order, (*_TIES, "slot_diff", "slot_valid"))
+    placed = with_position(flagged, ["mmsi"], order, "position")
+    near = F.sequence(F.col("position") - around, F.col("position") + around)
+    wanted = placed.where("is_anomaly").select("mmsi", F.explode(near).alias("position")).distinct()
+    return placed.join(wanted, ["mmsi", "position"], "left_semi").select(
         "mmsi",
         F.col("position").cast("bigint").alias("position"),
         "date_bucket",

@@ -5,16 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aislane.functions.constants import SCAN_COLUMNS
-from aislane.operators.ordered import over_ordered_groups
-
-_LISTED_VESSELS = 1000
-# Spark cuts rows beyond a small rank before it shuffles them.
-_CUT_BEFORE_SHUFFLE = 1000
+from aislane.operators.ordered import with_position
 
 
 def _nan_as_null(rows: DataFrame) -> DataFrame:
@@ -47,15 +42,12 @@ def on_day(rows: DataFrame, day: date) -> DataFrame:
 def of_vessels(rows: DataFrame, vessels: Sequence[str] | DataFrame) -> DataFrame:
     """Rows of the given vessels, in one scan.
 
-    A long list, or a frame with a ``mmsi`` column, becomes a semi join whose
-    strategy Spark picks by size.
+    A list becomes a filter that reaches the file scan; a frame with a ``mmsi`` column, for lists
+    that are themselves data, a semi join whose strategy Spark picks by size.
     """
     if isinstance(vessels, DataFrame):
         return rows.join(vessels.select("mmsi").distinct(), "mmsi", "left_semi")
-    if len(vessels) <= _LISTED_VESSELS:
-        return rows.where(F.col("mmsi").isin(list(vessels)))
-    wanted = rows.sparkSession.createDataFrame(pa.table({"mmsi": list(vessels)}))
-    return of_vessels(rows, wanted)
+    return rows.where(F.col("mmsi").isin(list(vessels)))
 
 
 def scan(
@@ -86,22 +78,11 @@ def first_rows_per_vessel(
     per_vessel: int,
     limit: int | None = None,
     order: Sequence[str] = ("date_bucket", "received_at", "slot_num"),
-    group_limit: int | None = None,
 ) -> DataFrame:
     """At most ``per_vessel`` rows of each listed vessel, then ``limit`` in list order."""
-
-    def number(frame: DataFrame, window: WindowSpec, offset: Column) -> DataFrame:
-        return frame.withColumn("_row", F.row_number().over(window) + offset)
-
     chosen = of_vessels(rows, vessels)
-    if per_vessel <= _CUT_BEFORE_SHUFFLE and group_limit is None:
-        window = Window.partitionBy("mmsi").orderBy(*[F.col(c).asc_nulls_last() for c in order])
-        numbered = chosen.withColumn("_row", F.row_number().over(window))
-    else:
-        numbered = over_ordered_groups(
-            chosen, ["mmsi"], order, number, count_earlier=True, group_limit=group_limit
-        )
-    capped = numbered.where(F.col("_row") <= per_vessel)
+    placed = with_position(chosen, ["mmsi"], [c for c in order if c in rows.columns], "_row")
+    capped = placed.where(F.col("_row") < per_vessel)
     if limit is not None:
         place = F.array_position(F.array(*[F.lit(v) for v in vessels]), F.col("mmsi"))
         capped = capped.orderBy(place, "_row").limit(limit)

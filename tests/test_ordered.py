@@ -1,4 +1,4 @@
-"""Windows over large groups give what plain windows and brute force give."""
+"""Rows in order of their vessel, cut by time, give what brute force gives."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aislane.operators import slots as sl
-from aislane.operators.ordered import has_large_group, over_ordered_groups, sorted_rows
+from aislane.operators.ordered import sorted_rows
 from aislane.sources.table import first_rows_per_vessel
 from tests.conftest import as_set
 
@@ -18,13 +18,13 @@ SCHEMA = "id long, mmsi string, date_bucket timestamp_ntz, sog double, slot_num
 START = datetime(2026, 3, 20)
 
 
-def _rows(count, seed=7, copies=0):
+def _rows(count, seed=7, copies=0, spread=1):
     """Messages where one vessel sends a third, another just one, some times coincide."""
     chance = random.Random(seed)
     rows = []
     for i in range(count):
         mmsi = "hot" if i % 3 == 0 else ("once" if i == 1 else str(chance.randrange(8)))
-        time = START + timedelta(seconds=chance.randrange(count))
+        time = START + timedelta(seconds=spread * chance.randrange(count)) if i % 50 or spread == 1 else None
         sog = chance.choice([None, 0.0, 50.0, 150.0, 300.0])
         slot = chance.choice([None, *range(0, 2250, 75)])
         rows.append((i, mmsi, time, sog, slot))
@@ -57,29 +57,50 @@ def _as_dict(checked):
     }
 
 
-@pytest.mark.parametrize("limit", [None, 200, 40, 3])
-def test_slot_check_against_brute_force(spark, limit):
-    rows = _rows(400)
+@pytest.mark.parametrize("spread", [1, 7, 600])
+def test_slot_check_against_brute_force(spark, spread):
+    """All in one chunk, over a few, and with long gaps; some rows have no time."""
+    rows = _rows(400, spread=spread)
     frame = spark.createDataFrame(rows, SCHEMA)
-    checked = sl.slot_check(frame, order=("date_bucket", "id"), group_limit=limit)
-    assert _as_dict(checked) == _checked_by_hand(rows, lambda r: (r[2], r[0]))
+    checked = sl.slot_check(frame, order=("date_bucket", "id"))
+    assert _as_dict(checked) == _checked_by_hand(rows, lambda r: (r[2] is None, r[2] or START, r[0]))
 
 
-def test_copies_are_split_and_kept(spark):
+def test_copies_are_kept(spark):
     """A third of all rows are the same message; each copy still follows another."""
     rows = _rows(300, copies=150)
     frame = spark.createDataFrame(rows, SCHEMA).drop("id")
-    order = ("date_bucket", "slot_num", "sog")
-    plain = sl.slot_check(frame, order=order)
-    pieces = sl.slot_check(frame, order=order, group_limit=20)
-    assert as_set(pieces) == as_set(plain.select(*pieces.columns))
+    checked = sl.slot_check(frame, order=("date_bucket", "slot_num", "sog"))
+    key = lambda r: (r[2], r[4] is None, r[4] or 0, r[3] is None, r[3] or 0)
+    by_hand = _checked_by_hand([(i, *r[1:]) for i, r in enumerate(rows)], key)
+    found = as_set(checked, "mmsi", "prev_slot", "prev_sog", "ni", "slot_diff", "slot_valid")
+    assert found == sorted(by_hand.values(), key=str)
 
 
-@pytest.mark.parametrize("limit", [None, 60, 2])
+@pytest.mark.parametrize("turned", [False, True])
+def test_ties_do_not_depend_on_the_input_order(spark, turned):
+    rows = [(0, "v", START, 50.0, 0), (1, "v", START + timedelta(seconds=1), 50.0, 375),
+            (2, "v", START + timedelta(seconds=1), 300.0, 375), (3, "v", START + timedelta(seconds=2), 50.0, 450)]
+    frame = spark.createDataFrame(rows[::-1] if turned else rows, SCHEMA)
+    found = sl.slot_check(frame).where("id = 3").collect()[0]
+    assert (found["prev_sog"], found["slot_valid"]) == (300.0, True)
+
+
+def test_carried_rows_are_previous_ones_only(spark):
+    frame = spark.createDataFrame(_rows(300, spread=9), SCHEMA).where("date_bucket is not null")
+    cut = START + timedelta(minutes=20)
+    late = F.col("date_bucket") >= F.lit(cut).cast("timestamp_ntz")
+    whole = sl.slot_check(frame, order=("date_bucket", "id")).where(late)
+    earlier = sl.last_before(frame.where(~late), order=("date_bucket", "id"))
+    split = sl.slot_check(frame.where(late), order=("date_bucket", "id"), carried=earlier)
+    assert split.columns == whole.columns and as_set(split) == as_set(whole)
+
+
+@pytest.mark.parametrize("spread", [1, 60])
 @pytest.mark.parametrize("around", [0, 1, 2, 5])
-def test_context_against_brute_force(spark, limit, around):
+def test_context_against_brute_force(spark, spread, around):
     rows = [
-        (i, random.Random(i).choice(["a", "hot", "hot"]), START + timedelta(seconds=i), i % 13 == 0)
+        (i, random.Random(i).choice(["a", "hot", "hot"]), START + timedelta(seconds=spread * i), i % 13 == 0)
         for i in range(240)
     ]
     frame = spark.createDataFrame(
@@ -87,7 +108,7 @@ def test_context_against_brute_force(spark, limit, around):
     ).selectExpr(
         "*", "cast(id as int) as slot_num", "1 as slot_diff", "case when id % 7 > 0 then not bad end as slot_valid"
     )
-    context = sl.slot_context(frame, around=around, order=("date_bucket",), group_limit=limit)
+    context = sl.slot_context(frame, around=around, order=("date_bucket",))
     expected = set()
     for vessel in ("a", "hot"):
         track = [r for r in rows if r[1] == vessel]
@@ -98,32 +119,15 @@ def test_context_against_brute_force(spark, limit, around):
     assert found == sorted(expected, key=str)
 
 
-def test_only_large_groups_are_split(spark):
+def test_no_window_spans_a_vessel(spark):
+    """Windows over messages run by vessel and chunk; only chunk ends meet by vessel."""
     frame = spark.createDataFrame(_rows(90), SCHEMA)
-    assert has_large_group(frame, ["mmsi"], 29)
-    assert not has_large_group(frame, ["mmsi"], 30)
-    plans = []
-
-    def keep(rows, window, offset):
-        plans.append(rows.columns)
-        return rows
-
-    over_ordered_groups(frame, ["mmsi"], ["date_bucket"], keep, group_limit=30)
-    over_ordered_groups(frame, ["mmsi"], ["date_bucket"], keep, group_limit=29)
-    assert "_piece" not in plans[0] and "_piece" in plans[1]
-
-
-def test_pieces_are_bounded(spark):
-    """A vessel with a third of the rows spreads over pieces near the wanted size."""
-    from aislane.operators.ordered import _write_pieces
-
-    frame = spark.range(30_000).selectExpr(
-        "id", "case when id % 3 = 0 then 'hot' else cast(id % 50 as string) end as mmsi", "0 as date_bucket"
-    )
-    pieces = _write_pieces(frame, ["mmsi", "date_bucket", "_row_id"], 1_000)
-    assert pieces.count() == 30_000
-    assert pieces.groupBy("_piece").count().agg({"count": "max"}).collect()[0][0] < 3_000
-    assert pieces.where("mmsi = 'hot'").select("_piece").distinct().count() >= 8
+    for checked in (sl.slot_check(frame), sl.slot_context(sl.slot_check(frame))):
+        plan = checked._jdf.queryExecution().optimizedPlan().toString()
+        windows = [line for line in plan.split("\n") if "Window" in line]
+        assert windows and all("_chunk" in line for line in windows)
+        wide = [line for line in windows if "lag(_last" in line or "sum(_n" in line]
+        assert len(windows) > len(wide)
 
 
 def test_sort_cuts_through_copies(spark):
@@ -151,9 +155,7 @@ def test_by_run_starts_anew(spark):
     ]
     frame = spark.createDataFrame(rows, SCHEMA)
     assert [r["id"] for r in sl.slot_check(frame).orderBy("id").collect()] == [1, 2, 3]
-    for limit in (None, 1):
-        found = sl.slot_check(frame, by_run=True, group_limit=limit).orderBy("id").collect()
-        assert [r["id"] for r in found] == [1, 3]
+    assert [r["id"] for r in sl.slot_check(frame, by_run=True).orderBy("id").collect()] == [1, 3]
 
 
 def test_zero_speed_options(spark):
@@ -198,15 +200,14 @@ def test_empty_input(spark):
     assert sl.slot_invalid_counts(checked).collect()[0]["invalid"] == 0
 
 
-@pytest.mark.parametrize("limit", [None, 5])
-def test_capped_vessels(spark, limit):
+def test_capped_vessels(spark):
     rows = _rows(200)
     frame = spark.createDataFrame(rows, SCHEMA)
     order = ("date_bucket", "id")
-    capped = first_rows_per_vessel(frame, ["3", "hot", "once"], 10, order=order, group_limit=limit)
+    capped = first_rows_per_vessel(frame, ["3", "hot", "once"], 10, order=order)
     expected = []
     for vessel in ("3", "hot", "once"):
         expected += sorted((r for r in rows if r[1] == vessel), key=lambda r: (r[2], r[0]))[:10]
     assert {r["id"] for r in capped.collect()} == {r[0] for r in expected}
-    cut = first_rows_per_vessel(frame, ["3", "hot", "once"], 10, 15, order, group_limit=limit)
+    cut = first_rows_per_vessel(frame, ["3", "hot", "once"], 10, 15, order)
     assert {r["id"] for r in cut.collect()} == {r[0] for r in expected[:15]}
