@@ -1,10 +1,10 @@
-"""Exact quantiles, also of groups too large for one task.
+"""Exact quantiles of a few groups of any size.
 
-The built-in ``percentile`` keeps every distinct value of a group in one place.
-Beyond ``GROUP_ROW_LIMIT`` rows the wanted order statistics are closed in on
-instead: each pass over the data counts the values below, at and inside a pair of
-bounds, and an approximate quantile sketch of the inside gives the next, far
-tighter pair. Nothing but the bounds, a few numbers per group, reaches the driver.
+The built-in ``percentile`` keeps every distinct value of a group in one place. Here the wanted order statistics are closed in
+on: a sketch of each group gives bounds around every rank, a pass over the data counts the values below, at and
+inside them and sketches the inside again, and once little is left inside, it is sorted. Nothing but the bounds, a few
+numbers per group, reaches the driver, and there may be at most ``MOST_GROUPS`` groups. The steps are the same at every size; a
+sketch that is off costs a pass, never the result.
 """
 
 from __future__ import annotations
@@ -15,11 +15,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-GROUP_ROW_LIMIT = 5_000_000
+MOST_GROUPS = 1000
+# Values left inside the bounds of one rank when they are sorted.
+PICK_ROWS = 100_000
 
 _GRID = 200
 _GRID_SHARES = [i / _GRID for i in range(_GRID + 1)]
@@ -28,11 +30,6 @@ _MARGIN = 2  # grid steps kept on either side of the wanted rank
 _UNKNOWN = sys.maxsize
 
 
-def quantile_column(value: str, shares: Sequence[float]) -> Column:
-    """Array of exact quantiles with linear interpolation, for groups of modest size."""
-    return F.percentile(value, F.array(*[F.lit(s) for s in shares]))
-
-
 @dataclass
 class _Search:
     """One order statistic: the value that has ``rank`` values before it in its group.
@@ -51,35 +48,20 @@ class _Search:
     answer: float | None = None
 
 
-def fit_one_task(rows: DataFrame, group_limit: int | None = None) -> bool:
-    """True if no group can be too large for the built-in aggregate."""
-    return rows.count() <= (group_limit or GROUP_ROW_LIMIT)
-
-
 def exact_quantiles(
-    rows: DataFrame,
-    group: str,
-    value: str,
-    shares: Sequence[float],
-    group_limit: int | None = None,
+    rows: DataFrame, group: str, value: str, shares: Sequence[float], pick_rows: int = PICK_ROWS
 ) -> DataFrame:
     """Per group an array ``quantiles`` of the values at the shares; NULL values are left out.
 
-    ``group`` must have few distinct values, such as a distance band or a metric's name.
+    Between two values the quantile is interpolated. ``group`` is a column of few values, such as a distance band or a metric's name.
     """
-    limit = group_limit or GROUP_ROW_LIMIT
     rows = rows.where(F.col(group).isNotNull() & F.col(value).isNotNull()).select(group, value)
-    if fit_one_task(rows, limit):
-        return rows.groupBy(group).agg(quantile_column(value, shares).alias("quantiles"))
-    return _by_closing_in(rows, group, value, shares, limit)
-
-
-def _by_closing_in(
-    rows: DataFrame, group: str, value: str, shares: Sequence[float], limit: int
-) -> DataFrame:
+    sketch = F.percentile_approx(value, F.array(*[F.lit(s) for s in _GRID_SHARES]), F.lit(_ACCURACY))
     sizes = rows.groupBy(group).agg(
-        F.count(value).alias("n"), F.min(value).alias("low"), F.max(value).alias("high")
-    ).collect()
+        F.count(value).alias("n"), F.min(value).alias("low"), F.max(value).alias("high"), sketch.alias("grid")
+    ).limit(MOST_GROUPS + 1).collect()
+    if len(sizes) > MOST_GROUPS:
+        raise ValueError(f"more than {MOST_GROUPS} groups in {group}")
 
     searches: dict[tuple, _Search] = {}
     wanted: list[tuple[object, list[tuple[int, int, float]]]] = []
@@ -91,16 +73,18 @@ def _by_closing_in(
             ends.append((under, over, position - under))
             for rank in (under, over):
                 ends_of_all = (size["low"], size["high"])
-                searches.setdefault(
-                    (size[group], rank), _Search(size[group], rank, *ends_of_all, *ends_of_all)
-                )
+                search = _Search(size[group], rank, *ends_of_all, *ends_of_all, rank, size["n"])
+                _tighten(search, size["grid"])
+                searches.setdefault((size[group], rank), search)
         wanted.append((size[group], ends))
 
     unsolved = list(searches.values())
+    for search in unsolved:
+        search.inside = _UNKNOWN
     while unsolved:
         _narrow(rows, group, value, unsolved)
         unsolved = [s for s in unsolved if s.answer is None]
-        if unsolved and all(s.inside <= limit for s in unsolved):
+        if unsolved and all(s.inside <= pick_rows for s in unsolved):
             _pick(rows, group, value, unsolved)
             break
 

@@ -18,7 +18,7 @@ from aislane.functions.constants import (
 )
 from aislane.functions.geo import band_id, band_label, band_table, distance_km
 from aislane.operators.ordered import sorted_rows
-from aislane.operators.quantiles import exact_quantiles, fit_one_task, quantile_column
+from aislane.operators.quantiles import exact_quantiles
 from aislane.sources.table import first_rows
 
 _QUARTILES = (0.25, 0.5, 0.75)
@@ -59,9 +59,7 @@ def band_counts(signal: DataFrame) -> DataFrame:
 
 
 def signal_describe(
-    signal: DataFrame,
-    metrics: Sequence[str] = ("rssi", "snr", "distance_km"),
-    group_limit: int | None = None,
+    signal: DataFrame, metrics: Sequence[str] = ("rssi", "snr", "distance_km")
 ) -> DataFrame:
     """Per metric: count, mean, sample standard deviation, extremes and quartiles."""
     unpivoted = signal.select(
@@ -74,12 +72,8 @@ def signal_describe(
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     ]
-    if fit_one_task(signal, group_limit):
-        quartiles = quantile_column("value", _QUARTILES).alias("quantiles")
-        described = unpivoted.groupBy("metric").agg(*moments, quartiles)
-    else:
-        quartiles = exact_quantiles(unpivoted, "metric", "value", _QUARTILES, group_limit)
-        described = unpivoted.groupBy("metric").agg(*moments).join(quartiles, "metric", "left")
+    quartiles = exact_quantiles(unpivoted, "metric", "value", _QUARTILES)
+    described = unpivoted.groupBy("metric").agg(*moments).join(F.broadcast(quartiles), "metric", "left")
     return described.select(
         "metric",
         "count",
@@ -93,8 +87,9 @@ def signal_describe(
     )
 
 
-def signal_means(signal: DataFrame) -> DataFrame:
-    return signal.agg(F.avg("rssi").alias("mean_rssi"), F.avg("snr").alias("mean_snr"))
+def signal_means(rows: DataFrame) -> DataFrame:
+    """Plain averages; needs no distance, so hand it the scan itself."""
+    return rows.agg(F.avg("rssi").alias("mean_rssi"), F.avg("snr").alias("mean_snr"))
 
 
 def vessel_signal(signal: DataFrame) -> DataFrame:
@@ -110,7 +105,8 @@ def vessel_signal(signal: DataFrame) -> DataFrame:
         .withColumn("band_id", band_id(F.col("mean_dist")))
     )
     colours = band_table(signal.sparkSession)
-    label = F.format_string("%.1fkm (n=%d)", "mean_dist", "count")
+    # Ties go to the even digit, as the published labels do.
+    label = F.format_string("%.1fkm (n=%d)", F.bround("mean_dist", 1), F.col("count"))
     no_distance = F.format_string("nankm (n=%d)", "count")
     return (
         stats.join(F.broadcast(colours), "band_id", "left")
@@ -168,22 +164,38 @@ def signal_preview(
     )
 
 
-def signal_raw_series(signal: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
-    """RSSI and SNR of all vessels in time order."""
-    return sorted_rows(signal, order).select("date_bucket", "mmsi", "rssi", "snr")
+def signal_raw_series(rows: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
+    """RSSI and SNR of all vessels in time order; needs no distance, so hand it the scan itself."""
+    return sorted_rows(rows, order).select("date_bucket", "mmsi", "rssi", "snr")
 
 
 def distance_rssi_points(signal: DataFrame) -> DataFrame:
     return signal.where(F.col("distance_km").isNotNull()).select("distance_km", "rssi")
 
 
+def distance_rssi_bins(signal: DataFrame, km_step: float = 1.0, rssi_step: float = 1.0) -> DataFrame:
+    """The scatter as counts by cell: as many rows as there are cells, whatever the number of messages.
+
+    A cell is named by its lower ends and holds [lower, lower + step).
+    """
+    finite = F.abs("rssi") < F.lit(float("inf"))
+    return (
+        signal.where(F.col("distance_km").isNotNull() & F.col("rssi").isNotNull() & finite)
+        .groupBy(
+            (F.floor(F.col("distance_km") / km_step) * km_step).cast("double").alias("km_from"),
+            (F.floor(F.col("rssi") / rssi_step) * rssi_step).cast("double").alias("rssi_from"),
+        )
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def _banded_rssi(signal: DataFrame) -> DataFrame:
     return signal.where(F.col("band_id").isNotNull() & F.col("rssi").isNotNull())
 
 
-def _box_fences(signal: DataFrame, group_limit: int | None) -> DataFrame:
+def box_fences(signal: DataFrame) -> DataFrame:
     """Quartiles and fences, one row per band at most."""
-    quartiles = exact_quantiles(_banded_rssi(signal), "band_id", "rssi", _QUARTILES, group_limit)
+    quartiles = exact_quantiles(_banded_rssi(signal), "band_id", "rssi", _QUARTILES)
     q1, q3 = F.col("quantiles")[0], F.col("quantiles")[2]
     reach = (q3 - q1) * WHISKER_IQR
     return quartiles.select(
@@ -196,10 +208,14 @@ def _box_fences(signal: DataFrame, group_limit: int | None) -> DataFrame:
     )
 
 
-def band_boxplot(signal: DataFrame, group_limit: int | None = None) -> DataFrame:
-    """Box-plot numbers of RSSI per band; a band without data has n = 0."""
+def band_boxplot(signal: DataFrame, fences: DataFrame | None = None) -> DataFrame:
+    """Box-plot numbers of RSSI per band; a band without data has n = 0.
+
+    ``fences`` are those of ``box_fences``, if they are known already.
+    """
     rssi = F.col("rssi")
-    boxed = _banded_rssi(signal).join(F.broadcast(_box_fences(signal, group_limit)), "band_id")
+    fences = box_fences(signal) if fences is None else fences
+    boxed = _banded_rssi(signal).join(F.broadcast(fences), "band_id")
     boxes = (
         boxed.groupBy("band_id", "q1", "median", "q3")
         .agg(
@@ -231,9 +247,10 @@ def band_boxplot(signal: DataFrame, group_limit: int | None = None) -> DataFrame
     )
 
 
-def band_outliers(signal: DataFrame, group_limit: int | None = None) -> DataFrame:
-    """RSSI values beyond the whiskers."""
-    boxed = _banded_rssi(signal).join(F.broadcast(_box_fences(signal, group_limit)), "band_id")
+def band_outliers(signal: DataFrame, fences: DataFrame | None = None) -> DataFrame:
+    """RSSI values beyond the whiskers; ``fences`` as in ``band_boxplot``."""
+    fences = box_fences(signal) if fences is None else fences
+    boxed = _banded_rssi(signal).join(F.broadcast(fences), "band_id")
     beyond = (F.col("rssi") < F.col("low_fence")) | (F.col("rssi") > F.col("high_fence"))
     return boxed.where(beyond).select("band_id", "dist_band", "mmsi", "date_bucket", "rssi")
 
@@ -242,16 +259,25 @@ def band_histogram(signal: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """RSSI counts in equal-width bins over each band's own range, empty bins too.
 
     The last bin includes its upper edge; a band with one single value gets a
-    range of that value plus and minus a half.
+    range of that value plus and minus a half. Infinite values have no bin: each row of a band tells in ``not_finite``
+    how many the band has, and a band with no others has bins without edges.
     """
-    data = _banded_rssi(signal)
+    every = _banded_rssi(signal)
     rssi = F.col("rssi")
-    ranges = data.groupBy("band_id").agg(F.min(rssi).alias("low"), F.max(rssi).alias("high"))
+    finite = F.abs(rssi) < F.lit(float("inf"))
+    data = every.where(finite)
+    # An aggregate over ``when`` leaves out what is not finite but keeps its band.
+    ranges = every.groupBy("band_id").agg(
+        F.min(F.when(finite, rssi)).alias("low"),
+        F.max(F.when(finite, rssi)).alias("high"),
+        F.count_if(~finite).alias("not_finite"),
+    )
     flat = F.col("low") == F.col("high")
     ranges = ranges.select(
         "band_id",
         F.when(flat, F.col("low") - 0.5).otherwise(F.col("low")).alias("low"),
         F.when(flat, F.col("high") + 0.5).otherwise(F.col("high")).alias("high"),
+        "not_finite",
     ).withColumn("width", (F.col("high") - F.col("low")) / bins)
 
     def edge(number):
@@ -284,4 +310,5 @@ def band_histogram(signal: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
         edge(F.col("bin")).alias("bin_start"),
         edge(F.col("bin") + 1).alias("bin_end"),
         F.coalesce("n", F.lit(0)).alias("n"),
+        "not_finite",
     )

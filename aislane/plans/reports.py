@@ -43,10 +43,16 @@ def process_run(
     normalized.unpersist()
 
 
-def slot_report(rows: DataFrame, out: str, run_id: str, zero_speed: str = "null") -> None:
-    """Check the rows once and write what follows from it."""
-    rows = rows.select("mmsi", "date_bucket", "received_at", "sog", "slot_num")
-    checked = sl.slot_check(rows, zero_speed=zero_speed).persist()
+def slot_report(
+    rows: DataFrame, out: str, run_id: str, zero_speed: str = "null", earlier: DataFrame | None = None
+) -> None:
+    """Check the rows once and write what follows from it.
+
+    With ``earlier`` rows, each vessel's last one before the range is what its first one is checked against.
+    """
+    columns = ["mmsi", "date_bucket", "received_at", "sog", "slot_num"]
+    carried = None if earlier is None else sl.last_before(earlier.select(*columns))
+    checked = sl.slot_check(rows.select(*columns), zero_speed=zero_speed, carried=carried).persist()
     write_all(
         {
             "slot_validity_counts": sl.slot_validity_counts(checked),
@@ -61,30 +67,33 @@ def slot_report(rows: DataFrame, out: str, run_id: str, zero_speed: str = "null"
     checked.unpersist()
 
 
-def signal_report(rows: DataFrame, out: str, run_id: str) -> None:
-    """Compute distances once and write every panel's dataset."""
+def signal_report(rows: DataFrame, out: str, run_id: str, full: bool = False) -> None:
+    """Compute distances and fences once and write every panel's dataset.
+
+    With ``full`` also the two that are as long as the rows: the raw series and the scatter's points, beside its cells.
+    """
     rows = rows.select(
         "mmsi", "date_bucket", "received_at", "slot_num", "latitude", "longitude", "rssi", "snr"
     )
     signal = sg.with_distance(rows).persist()
-    write_all(
-        {
-            "signal_describe": sg.signal_describe(signal),
-            "band_counts": sg.band_counts(signal),
-            "signal_preview": sg.signal_preview(signal),
-            "signal_means": sg.signal_means(signal),
-            "vessel_signal": sg.vessel_signal(signal),
-            "vessel_signal_bounds": sg.vessel_signal_bounds(signal),
-            "signal_series": sg.signal_series(signal),
-            "signal_raw_series": sg.signal_raw_series(signal),
-            "distance_rssi_points": sg.distance_rssi_points(signal),
-            "band_boxplot": sg.band_boxplot(signal),
-            "band_outliers": sg.band_outliers(signal),
-            "band_histogram": sg.band_histogram(signal),
-        },
-        out,
-        run_id,
-    )
+    fences = sg.box_fences(signal)
+    datasets = {
+        "signal_describe": sg.signal_describe(signal),
+        "band_counts": sg.band_counts(signal),
+        "signal_preview": sg.signal_preview(signal),
+        "signal_means": sg.signal_means(rows),
+        "vessel_signal": sg.vessel_signal(signal),
+        "vessel_signal_bounds": sg.vessel_signal_bounds(signal),
+        "signal_series": sg.signal_series(signal),
+        "distance_rssi_bins": sg.distance_rssi_bins(signal),
+        "band_boxplot": sg.band_boxplot(signal, fences),
+        "band_outliers": sg.band_outliers(signal, fences),
+        "band_histogram": sg.band_histogram(signal),
+    }
+    if full:
+        datasets["signal_raw_series"] = sg.signal_raw_series(rows)
+        datasets["distance_rssi_points"] = sg.distance_rssi_points(signal)
+    write_all(datasets, out, run_id)
     signal.unpersist()
 
 

@@ -35,8 +35,8 @@ def test_against_numpy(spark, name):
     groups = {"a": _distribution(name, 4000), "b": _distribution(name, 37), "c": [1.0], "d": [2.0, 1.0]}
     rows = [(g, v) for g, values in groups.items() for v in values] + [("a", None), (None, 1.0)]
     frame = spark.createDataFrame(rows, "g string, v double").repartition(4)
-    for limit in (None, 30):
-        found = exact_quantiles(frame, "g", "v", SHARES, group_limit=limit)
+    for limit in (100_000, 30):
+        found = exact_quantiles(frame, "g", "v", SHARES, pick_rows=limit)
         assert found.columns == ["g", "quantiles"]
         result = {r["g"]: r["quantiles"] for r in found.collect()}
         assert set(result) == set(groups)
@@ -49,7 +49,7 @@ def test_nothing_to_rank(spark):
     frame = spark.createDataFrame([], "g int, v double")
     assert exact_quantiles(frame, "g", "v", SHARES).count() == 0
     nulls = spark.createDataFrame([(1, None)] * 3, "g int, v double")
-    assert exact_quantiles(nulls, "g", "v", SHARES, group_limit=1).count() == 0
+    assert exact_quantiles(nulls, "g", "v", SHARES, pick_rows=1).count() == 0
 
 
 @pytest.mark.parametrize("place", [0, 100, -1])
@@ -67,6 +67,12 @@ def test_a_wrong_guess_is_undone(spark, monkeypatch, place):
     for name in ("even", "copies"):
         values = _distribution(name, 3000)
         frame = spark.createDataFrame([("a", v) for v in values], "g string, v double")
-        found = exact_quantiles(frame, "g", "v", SHARES, group_limit=40).collect()[0]["quantiles"]
+        found = exact_quantiles(frame, "g", "v", SHARES, pick_rows=40).collect()[0]["quantiles"]
         assert found == pytest.approx(list(np.quantile(values, SHARES)), rel=1e-14)
     assert misled
+
+
+def test_many_groups_are_refused(spark):
+    frame = spark.range(1500).selectExpr("id as g", "1.0d as v")
+    with pytest.raises(ValueError):
+        exact_quantiles(frame, "g", "v", SHARES)

@@ -49,9 +49,8 @@ def test_bands_without_rows_are_listed(signal):
     assert sum(counts.values()) + signal.where("band_id is null").count() == 600
 
 
-@pytest.mark.parametrize("limit", [None, 50])
-def test_describe(signal, limit):
-    for row in sg.signal_describe(signal, group_limit=limit).collect():
+def test_describe(signal):
+    for row in sg.signal_describe(signal).collect():
         values = [r[0] for r in signal.select(row["metric"]).collect() if r[0] is not None]
         assert row["count"] == len(values)
         expected = [np.mean(values), np.std(values, ddof=1), min(values),
@@ -67,13 +66,13 @@ def test_describe_one_row_and_none(spark):
     assert rows["distance_km"]["max"] == 0.0
 
 
-@pytest.mark.parametrize("limit", [None, 20])
-def test_boxplot_and_outliers(signal, limit):
-    outliers = {}
-    for r in sg.band_outliers(signal, limit).collect():
+@pytest.mark.parametrize("known", [False, True])
+def test_boxplot_and_outliers(signal, known):
+    outliers, fences = {}, sg.box_fences(signal) if known else None
+    for r in sg.band_outliers(signal, fences).collect():
         outliers.setdefault(r["band_id"], []).append(r["rssi"])
     bands = _rssi_by_band(signal)
-    for row in sg.band_boxplot(signal, limit).collect():
+    for row in sg.band_boxplot(signal, fences).collect():
         values = np.array(bands.get(row["band_id"], []))
         assert row["n"] == len(values)
         if not len(values):
@@ -124,6 +123,31 @@ def test_histogram_of_one_value(spark):
     assert (bins[0]["bin_start"], bins[24]["bin_end"]) == (-80.5, -79.5)
 
 
+@pytest.mark.parametrize("beyond", [[float("inf")], [float("-inf"), float("inf")]])
+@pytest.mark.parametrize("values", [[], [-80.0], [-80.0, -70.5, -60.0]])
+def test_histogram_counts_every_value(spark, values, beyond):
+    rows = [(i, "a", START, *BASE, v, None) for i, v in enumerate(values + beyond)]
+    bins = sg.band_histogram(sg.with_distance(spark.createDataFrame(rows, SCHEMA))).collect()
+    assert len(bins) == 25 and sum(r["n"] for r in bins) == len(values)
+    assert {r["not_finite"] for r in bins} == {len(beyond)}
+
+
+def test_scatter_cells(signal):
+    cells = sg.distance_rssi_bins(signal, 5.0, 2.0).collect()
+    points = signal.where("distance_km is not null and rssi is not null").collect()
+    for cell in cells:
+        inside = [p for p in points if cell["km_from"] <= p["distance_km"] < cell["km_from"] + 5
+                  and cell["rssi_from"] <= p["rssi"] < cell["rssi_from"] + 2]
+        assert cell["n"] == len(inside) > 0
+    assert sum(c["n"] for c in cells) == len(points)
+
+
+def test_label_rounds_ties_to_even(spark):
+    frame = spark.createDataFrame([("a", START, -80.0, 0.25, 0, "0~10 km")],
+                                  "mmsi string, date_bucket timestamp_ntz, rssi double, distance_km double, band_id int, dist_band string")
+    assert sg.vessel_signal(frame).collect()[0]["label"] == "0.2km (n=1)"
+
+
 def test_series(signal):
     expected = {}
     for r in signal.where("band_id is not null").collect():
