@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aislane import configure
+from aislane.functions.constants import RECORD_SCHEMA
 from aislane.operators import runs
 from aislane.operators import signal as sg
 from aislane.operators import slots as sl
@@ -21,10 +22,10 @@ from aislane.operators import vessels as vs
 from aislane.plans.reports import process_run
 from aislane.session import scratch_path
 from aislane.sources import table as tb
-from aislane.sources.fixture import AIS_SELECT, RAW_PATTERN, ais_rows, landed_raw, write_raw
+from aislane.sources.fixture import AIS_SELECT, ais_rows, landed_raw, write_raw
 from aislane.sources.normalize import accepted, ingest_counters, normalize, rejected
 from aislane.sources.raw import read_lines, records, stream_lines
-from aislane.sources.store import latest_records
+from aislane.sources.store import append_run, latest_records, read_records, run_name
 from aislane.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,7 +68,7 @@ def _signal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_lines(configure(spark), landed_raw(spark, sf_dir), file_pattern=RAW_PATTERN)
+    return read_lines(configure(spark), landed_raw(spark, sf_dir))
 
 
 def _normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +76,7 @@ def _normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _normalized_stream(spark: SparkSession, path: str) -> DataFrame:
-    lines = stream_lines(configure(spark), path, file_pattern=RAW_PATTERN)
+    lines = stream_lines(configure(spark), path)
     return normalize(records(lines), RECEIVED_AT)
 
 
@@ -133,10 +134,54 @@ def process_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     table, out = scratch_path(spark, "table"), scratch_path(spark, "out")
     source = landed_raw(spark, sf_dir)
-    process_run(spark, source, table, out, "whole", RECEIVED_AT, file_pattern=RAW_PATTERN)
+    process_run(spark, source, table, out, "whole", RECEIVED_AT)
     return spark.read.parquet(f"{out}/vessel_summary").drop("run_id")
 
 
+def _processed(spark: SparkSession, sf_dir: str, runs: dict[str, DataFrame]) -> DataFrame:
+    """The table's newest cells after the runs, each of which reads raw files of its own."""
+    configure(spark)
+    table, out = scratch_path(spark, "table"), scratch_path(spark, "out")
+    for run_id, rows in runs.items():
+        source = landed_raw(spark, sf_dir) if rows is None else scratch_path(spark, "raw")
+        if rows is not None:
+            write_raw(rows, source)
+        process_run(spark, source, table, out, run_id, RECEIVED_AT)
+    return tb.scan(latest_records(read_records(spark, table)))
+
+
+def reprocess_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files read under two run ids: the summary counts every message once."""
+    table = _processed(spark, sf_dir, {"first": None, "second": None})
+    return sl.slot_summary(sl.slot_check(table))
+
+
+def two_sources_one_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders read for the same bucket: the table holds what both had."""
+    ais = _ais(spark, sf_dir)
+    halves = {run_name("20240101_0000", f"/folder/{i}"): ais.where(F.col("event_id") % 2 == i) for i in (0, 1)}
+    return vs.vessel_summary(_processed(spark, sf_dir, halves))
+
+
+def slot_check_carried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check of a range whose first messages meet their vessels' last ones before it."""
+    rows = _scan(spark, sf_dir, start=MIDDLE)
+    cut = F.lit(MIDDLE).cast("timestamp_ntz")
+    earlier = sl.last_before(_scan(spark, sf_dir, end=MIDDLE).where(F.col("date_bucket") < cut), TRACK_ORDER)
+    return _check_columns(sl.slot_check(rows, order=TRACK_ORDER, carried=earlier))
+
+
+def scan_table_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same range from the written table, of which only the range's days are listed."""
+    configure(spark)
+    table = scratch_path(spark, "table")
+    missing = {c: F.lit(None).cast(kind) for c, kind in RECORD_SCHEMA}
+    rows = _ais(spark, sf_dir)
+    rows = rows.withColumns({c: v for c, v in missing.items() if c not in rows.columns})
+    append_run(rows.select(*[c for c, _ in RECORD_SCHEMA]), table, "whole")
+    return tb.scan(read_records(spark, table, START, END), START, END).drop("received_at")
+
+
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     # One record per vessel and day, so that later messages meet earlier ones.
     daily = _scan(spark, sf_dir).withColumn(
@@ -174,7 +219,7 @@ def _settled_stream(spark: SparkSession, sf_dir: str, name: str, stream) -> Data
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = stream_lines(configure(spark), landed_raw(spark, sf_dir), file_pattern=RAW_PATTERN)
+    lines = stream_lines(configure(spark), landed_raw(spark, sf_dir))
     table, rejects = scratch_path(spark, "table"), scratch_path(spark, "rejects")
     checkpoint = scratch_path(spark, "ingest-checkpoint")
     jobs.start_ingest(lines, table, rejects, checkpoint, RECEIVED_AT).awaitTermination()
@@ -228,6 +273,9 @@ def queries() -> dict[str, Query]:
         "run_as_of": lambda s, d: runs.runs_as_of(_ais(s, d)),
         "upsert_latest": upsert_latest,
         "process_summary": process_summary,
+        "reprocess_idempotent": reprocess_idempotent,
+        "two_sources_one_bucket": two_sources_one_bucket,
+        "scan_table_range": scan_table_range,
         # vessels
         "vessel_summary": lambda s, d: vs.vessel_summary(_ais(s, d)),
         "fleet_totals": lambda s, d: vs.fleet_totals(_ais(s, d)),
@@ -238,6 +286,7 @@ def queries() -> dict[str, Query]:
         "slot_check": lambda s, d: _check_columns(_checked(s, d)),
         "slot_check_legacy": lambda s, d: _check_columns(_checked(s, d, zero_speed="invalid")),
         "slot_check_by_run": lambda s, d: _check_columns(_checked(s, d, by_run=True), "run_start"),
+        "slot_check_carried": slot_check_carried,
         "slot_validity_counts": lambda s, d: sl.slot_validity_counts(_checked(s, d)),
         "slot_summary": lambda s, d: sl.slot_summary(_checked(s, d)),
         "slot_summary_legacy": lambda s, d: sl.slot_summary(_checked(s, d, zero_speed="invalid")),
@@ -249,13 +298,14 @@ def queries() -> dict[str, Query]:
         "distance_bands": distance_bands,
         "band_counts": lambda s, d: sg.band_counts(_signal(s, d)),
         "signal_describe": signal_describe,
-        "signal_means": lambda s, d: _rounded(sg.signal_means(_signal(s, d)), "mean_rssi", "mean_snr"),
+        "signal_means": lambda s, d: _rounded(sg.signal_means(_scan(s, d)), "mean_rssi", "mean_snr"),
         "vessel_signal": lambda s, d: _rounded(sg.vessel_signal(_signal(s, d)), "mean_rssi", "mean_dist"),
         "vessel_signal_bounds": lambda s, d: _rounded(sg.vessel_signal_bounds(_signal(s, d)), "axis_left"),
         "signal_series_30s": lambda s, d: _rounded(sg.signal_series(_signal(s, d)), "mean_value"),
         "signal_top50": signal_top50,
-        "signal_raw_series": lambda s, d: sg.signal_raw_series(_signal(s, d), TIME_ORDER),
+        "signal_raw_series": lambda s, d: sg.signal_raw_series(_scan(s, d), TIME_ORDER),
         "distance_rssi_points": lambda s, d: _rounded(sg.distance_rssi_points(_signal(s, d)), "distance_km"),
+        "distance_rssi_bins": lambda s, d: sg.distance_rssi_bins(_signal(s, d), 2.0, 5.0),
         "band_boxplot": lambda s, d: _rounded(
             sg.band_boxplot(_signal(s, d)), "q1", "median", "q3", "whisker_low", "whisker_high"
         ),
@@ -287,7 +337,16 @@ _SCAN = (
 )
 
 
-def _checked_sql(partition: str = "mmsi", legacy: bool = False, view: str = "ais") -> str:
+# Raw files lose a zero speed held in the first-choice member.
+_RAW_VIEW = """(select * replace (case when sog = 0 and event_id % 2 = 1 then null else sog end as sog) from ais)"""
+
+
+_SCAN_ONLY = _SCAN.removesuffix(", event_id")
+
+
+def _checked_sql(
+    partition: str = "mmsi", legacy: bool = False, view: str = "ais", ties: str = "event_id"
+) -> str:
     valid = "slot_diff between ni - 0.2e0*ni and ni + 0.2e0*ni"
     if legacy:
         valid = f"case when ni is null and bool_or(ni is not null) over () then false else {valid} end"
@@ -295,7 +354,7 @@ def _checked_sql(partition: str = "mmsi", legacy: bool = False, view: str = "ais
 binned as (select *, time_bucket(interval '10 minutes', date_bucket) as run_start from {view}),
 lagged as (
   select *, lag(slot_num) over w as prev_slot, lag(sog) over w as prev_sog
-  from binned window w as (partition by {partition} order by date_bucket, event_id)),
+  from binned window w as (partition by {partition} order by date_bucket, {ties})),
 stepped as (
   select *,
     cast(case when slot_num < prev_slot then slot_num - prev_slot + 2250
@@ -316,7 +375,7 @@ select mmsi, count(slot_valid) as total, count(*) filter (where slot_valid) as v
   count(*) filter (where slot_valid is null and slot_num is not null) as sog_zero,
   count(*) filter (where slot_valid is null and slot_num is null) as slot_missing,
   case when count(slot_valid) > 0 then
-    round(100.0e0 * count(*) filter (where not slot_valid) / count(slot_valid), 2) end as invalid_rate_pct
+    round_even(100.0e0 * count(*) filter (where not slot_valid) / count(slot_valid), 2) end as invalid_rate_pct
 from checked group by mmsi"""
 
 _SIGNAL = f"""{_AIS},
@@ -363,7 +422,7 @@ _VESSEL_SIGNAL = """
 vessel_signal as (
   select mmsi, round(mean_rssi, 6) as mean_rssi, round(mean_dist, 6) as mean_dist, "count",
     dist_band, coalesce(colour, '#aaaaaa') as colour,
-    format('{:.1f}km (n={})', mean_dist, "count") as label
+    format('{:.1f}km (n={})', round_even(mean_dist, 1), "count") as label
   from stats left join bands on band_id = case when mean_dist < 10 then 0 when mean_dist < 20 then 1
     when mean_dist < 30 then 2 when mean_dist < 40 then 3 when mean_dist >= 40 then 4 end)"""
 
@@ -460,6 +519,10 @@ select date_bucket as as_of,
   time_bucket(interval '10 minutes', date_bucket - interval '5 minutes') as bucket_start from ais""",
         "upsert_latest": _latest_sql(),
         "process_summary": _AIS + summary,
+        "reprocess_idempotent": _checked_sql(view=_RAW_VIEW, ties="slot_num") + _SUMMARY,
+        "two_sources_one_bucket": _AIS + summary,
+        "scan_table_range": f"{_AIS} select {_SCAN_ONLY} from ais "
+        f"where date_bucket between timestamp '{START}' and timestamp '{END}'",
         "vessel_summary": _AIS + summary,
         "fleet_totals": f"{_AIS} select count(distinct mmsi) as vessels, count(*) as records from ais",
         "vessel_activity": f"""{_AIS}, s as (
@@ -474,6 +537,8 @@ from s""",
         "slot_check": f"{checked} select {_CHECK_COLUMNS} from checked",
         "slot_check_legacy": f"{legacy} select {_CHECK_COLUMNS} from checked",
         "slot_check_by_run": f"{_checked_sql('mmsi, run_start')} select {_CHECK_COLUMNS}, run_start from checked",
+        "slot_check_carried": f"{checked} select {_CHECK_COLUMNS} from checked "
+        f"where date_bucket >= timestamp '{MIDDLE}'",
         "slot_validity_counts": f'{checked} select slot_valid, count(*) as "count" from checked group by slot_valid',
         "slot_summary": checked + _SUMMARY,
         "slot_summary_legacy": legacy + _SUMMARY,
@@ -512,6 +577,9 @@ from signal order by date_bucket, event_id limit 50""",
         "order by date_bucket, event_id",
         "distance_rssi_points": f"{_SIGNAL} select round(distance_km, 6) as distance_km, rssi from signal "
         "where distance_km is not null",
+        "distance_rssi_bins": f"""{_SIGNAL}
+select floor(distance_km / 2.0e0) * 2.0e0 as km_from, floor(rssi / 5.0e0) * 5.0e0 as rssi_from, count(*) as n
+from signal where distance_km is not null and rssi is not null group by all""",
         "band_boxplot": f"""{_SIGNAL}{_FENCES}, boxes as (
   select band_id, q1, median, q3, count(*) as n,
     least(min(rssi) filter (where rssi >= low_fence), q1) as whisker_low,
@@ -535,7 +603,7 @@ bins as (
     case when bin = 24 then hi else lo + (bin + 1) * ((hi - lo) / 25) end as bin_end
   from ranges, (select cast(unnest(range(25)) as int) as bin))
 select b.band_id, b.dist_band, b.bin, round(bin_start, 6) as bin_start, round(bin_end, 6) as bin_end,
-  count(s.rssi) as n
+  count(s.rssi) as n, cast(0 as bigint) as not_finite
 from bins b left join signal s on s.band_id = b.band_id and s.rssi >= bin_start
   and (s.rssi < bin_end or (bin = 24 and s.rssi <= bin_end))
 group by all""",
@@ -544,8 +612,7 @@ group by all""",
 select time_bucket(interval '10 minutes', date_bucket) as bucket_start, mmsi,
   min(date_bucket) as start_time, max(date_bucket) as end_time, count(*) as "count"
 from ais group by 1, 2 having bucket_start + interval '10 minutes' <= {settled}""",
-        # Raw files lose a zero speed held in the first-choice member.
-        "stream_slot_check": f"""{_checked_sql(view="(select * replace (case when sog = 0 and event_id % 2 = 1 then null else sog end as sog) from ais)")}
+        "stream_slot_check": f"""{_checked_sql(view=_RAW_VIEW)}
 select mmsi, date_bucket, slot_num, prev_slot, prev_sog, ni, slot_diff, slot_valid from checked""",
         "stream_signal_series": f"""{_SIGNAL}{_SERIES}
 select * from series where window_start + interval '30 seconds' <= {settled}""",

@@ -6,12 +6,13 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from aislane.operators import signal as sg
 from aislane.operators import slots as sl
 from aislane.operators.vessels import fleet_totals, vessel_summary
 from aislane.sources.normalize import accepted, ingest_counters, normalize, rejected
-from aislane.sources.raw import read_lines, records
+from aislane.sources.raw import read_lines, records, unreadable_files
 from aislane.sources.store import append_run, write_dataset
 
 
@@ -24,22 +25,28 @@ def process_run(
     received_at: datetime | None = None,
     file_pattern: str = "*.json",
     line_separator: str | None = None,
+    skip_unreadable: bool = False,
 ) -> None:
-    """Read one run's files once: append to the table, write summary, totals, counters, rejects."""
-    lines = read_lines(spark, source, line_separator, file_pattern)
+    """Read one run's files once: append to the table, write summary, totals, counters, rejects.
+
+    With ``skip_unreadable`` also the files passed over, which the counters tell.
+    """
+    lines = read_lines(spark, source, line_separator, file_pattern, skip_unreadable)
     normalized = normalize(records(lines), received_at).persist()
     append_run(accepted(normalized), table, run_id)
     # Records refused by the table for another reason still count for their vessel.
-    write_all(
-        {
-            "vessel_summary": vessel_summary(normalized),
-            "fleet_totals": fleet_totals(normalized),
-            "ingest_counters": ingest_counters(normalized),
-            "rejects": rejected(normalized),
-        },
-        out,
-        run_id,
-    )
+    datasets = {
+        "vessel_summary": vessel_summary(normalized),
+        "fleet_totals": fleet_totals(normalized),
+        "ingest_counters": ingest_counters(normalized),
+        "rejects": rejected(normalized),
+    }
+    if skip_unreadable:
+        skipped = unreadable_files(spark, source, file_pattern)
+        datasets["unreadable_files"] = skipped
+        count = skipped.agg(F.count(F.lit(1)).alias("files_skipped"))
+        datasets["ingest_counters"] = datasets["ingest_counters"].withColumn("files_skipped", count.scalar())
+    write_all(datasets, out, run_id)
     normalized.unpersist()
 
 

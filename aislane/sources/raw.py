@@ -30,22 +30,32 @@ def read_lines(
     paths: str | Sequence[str],
     line_separator: str | None = None,
     file_pattern: str = "*.json",
+    skip_unreadable: bool = False,
 ) -> DataFrame:
     """Logical lines of all matching files under the paths: file, line.
 
     ``line_separator`` only chooses where Spark may cut a file into tasks. Files
     whose records are joined by the two characters ``\\n`` hold one physical line;
     pass that text as separator and they are read in parallel as well. The lines
-    are the same either way. A missing folder is passed over with a warning.
+    are the same either way. A missing folder is passed over with a warning. A file
+    that can't be read fails the job unless ``skip_unreadable``; ``unreadable_files`` lists those passed over.
     """
     reader = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", file_pattern)
-        .option("ignoreMissingFiles", True)
-        .option("ignoreCorruptFiles", True)
+        .option("ignoreMissingFiles", skip_unreadable)
+        .option("ignoreCorruptFiles", skip_unreadable)
     )
     if line_separator is not None:
         reader = reader.option("lineSep", line_separator)
+    present = _present(spark, paths, reader)
+    if not present:
+        return spark.createDataFrame([], "file string, line string")
+    files = reader.text(present)
+    return split_lines(files.select(F.col("_metadata.file_path").alias("file"), "value"))
+
+
+def _present(spark: SparkSession, paths: str | Sequence[str], reader) -> list[str]:
     present = []
     for path in [paths] if isinstance(paths, str) else paths:
         try:
@@ -55,21 +65,42 @@ def read_lines(
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             _log.warning("no such folder, going on without it: %s", path)
+    return present
+
+
+def unreadable_files(
+    spark: SparkSession, paths: str | Sequence[str], file_pattern: str = "*.json"
+) -> DataFrame:
+    """Files that hold bytes but give no text when files that can't be read are passed over: file, bytes.
+
+    A file that breaks off in the middle gives its first part and is not listed; without ``skip_unreadable`` it fails the job.
+    """
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", file_pattern)
+    present = _present(spark, paths, reader)
     if not present:
-        return spark.createDataFrame([], "file string, line string")
-    files = reader.text(present)
-    return split_lines(files.select(F.col("_metadata.file_path").alias("file"), "value"))
+        return spark.createDataFrame([], "file string, bytes long")
+    listed = reader.format("binaryFile").load(present).select(F.col("path").alias("file"), F.col("length").alias("bytes"))
+    lenient = reader.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
+    read = lenient.text(present).select(F.col("_metadata.file_path").alias("file")).distinct()
+    return listed.where("bytes > 0").join(read, "file", "left_anti")
 
 
 def stream_lines(
-    spark: SparkSession, path: str, line_separator: str | None = None, file_pattern: str = "*.json"
+    spark: SparkSession,
+    path: str,
+    line_separator: str | None = None,
+    file_pattern: str = "*.json",
+    skip_unreadable: bool = False,
 ) -> DataFrame:
-    """As ``read_lines``, as a stream that takes each file once."""
+    """As ``read_lines``, as a stream that takes each file once.
+
+    A file that can't be read stops the stream before it is marked as taken, unless ``skip_unreadable``.
+    """
     reader = (
         spark.readStream.option("recursiveFileLookup", True)
         .option("pathGlobFilter", file_pattern)
-        .option("ignoreMissingFiles", True)
-        .option("ignoreCorruptFiles", True)
+        .option("ignoreMissingFiles", skip_unreadable)
+        .option("ignoreCorruptFiles", skip_unreadable)
     )
     if line_separator is not None:
         reader = reader.option("lineSep", line_separator)

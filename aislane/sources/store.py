@@ -1,35 +1,96 @@
-"""The canonical table on files: append by run, newest cells per key, run datasets."""
+"""The canonical table on files: runs by day, newest cells per key, run datasets.
+
+A run's records lie at ``p_date=…/run_id=…``. Readers name the days they want, so only those folders are listed. A run id
+carries its source: a repeated run replaces what the same source wrote and nothing else.
+"""
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Sequence
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aislane.functions.constants import RECORD_SCHEMA
+from aislane.sources import files
 
 RECORD_KEY = ("mmsi", "date_bucket")
+COMPACTED = "compacted"
+_COLUMNS = ", ".join(f"{name} {kind}" for name, kind in RECORD_SCHEMA)
+
+
+def run_name(moment: str, source: str) -> str:
+    """A run's id: its moment, and what it reads."""
+    return f"{moment}_{zlib.crc32(source.rstrip('/').encode()):08x}"
+
+
+def _days_of(spark: SparkSession, path: str, run_id: str) -> set[str]:
+    return {p.split("p_date=")[1].split("/")[0] for p in files.matching(spark, f"{path}/p_date=*/run_id={run_id}")}
 
 
 def append_run(records: DataFrame, path: str, run_id: str) -> None:
-    """Write one run's records by day; a repeated run replaces what it wrote."""
+    """Write one run's records by day; a repeated run replaces what it wrote.
+
+    The records are written beside the table and moved in when they are complete, so a failed repeat leaves the old ones.
+    """
+    spark = records.sparkSession
+    fresh = f"{path}/_new-{uuid.uuid4().hex}"
     # Rebalancing keeps a day's files few and splits a day that is very large. Sorted
     # files let a scan for a few vessels skip most row groups.
     (
-        records.withColumn("p_date", F.to_date("date_bucket"))
+        records.withColumns({"p_date": F.to_date("date_bucket"), "run_id": F.lit(run_id)})
         .hint("rebalance", "p_date")
         .sortWithinPartitions("p_date", "mmsi", "date_bucket")
-        .write.mode("overwrite")
-        .partitionBy("p_date")
-        .parquet(f"{path}/run_id={run_id}")
+        .write.partitionBy("p_date", "run_id")
+        .parquet(fresh)
     )
+    written = _days_of(spark, fresh, run_id)
+    for day in sorted(written):
+        place = f"p_date={day}/run_id={run_id}"
+        files.replace(spark, f"{fresh}/{place}", f"{path}/{place}")
+    for day in sorted(_days_of(spark, path, run_id) - written):
+        files.remove(spark, f"{path}/p_date={day}/run_id={run_id}")
+    files.remove(spark, fresh)
+
 
+def read_records(
+    spark: SparkSession, path: str, start: datetime | None = None, end: datetime | None = None
+) -> DataFrame:
+    """The table ``append_run`` writes, with its partition columns ``p_date`` and ``run_id``.
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """The table ``append_run`` writes, with its partition columns ``p_date`` and ``run_id``."""
-    columns = ", ".join(f"{name} {kind}" for name, kind in RECORD_SCHEMA)
-    return spark.read.schema(f"{columns}, run_id string, p_date date").parquet(path)
+    With both ends of a time range given, only its days' folders are listed. The rows are whole days; filter on
+    top (``table.scan``).
+    """
+    reader = spark.read.schema(f"{_COLUMNS}, p_date date, run_id string").option("basePath", path)
+    days = "*"
+    if start is not None and end is not None:
+        count = (end.date() - start.date()).days + 1
+        days = "{" + ",".join(str(start.date() + timedelta(d)) for d in range(count)) + "}"
+    found = files.matching(spark, f"{path}/p_date={days}")
+    if not found:
+        return spark.createDataFrame([], f"{_COLUMNS}, p_date date, run_id string")
+    return reader.parquet(*found)
+
+
+def compact_day(spark: SparkSession, path: str, day: date) -> None:
+    """Make one run of a day's many: the newest cells of every key.
+
+    The runs go when the compacted one stands. If that is interrupted, a record stands twice, and readers
+    take its newest cells as always.
+    """
+    old = files.matching(spark, f"{path}/p_date={day}/run_id=*")
+    if len(old) < 2:
+        return
+    fresh = f"{path}/_new-{uuid.uuid4().hex}"
+    rows = spark.read.schema(_COLUMNS).parquet(*old)
+    newest = latest_records(rows).select(*rows.columns)
+    newest.repartitionByRange("mmsi", "date_bucket").sortWithinPartitions("mmsi", "date_bucket").write.parquet(fresh)
+    files.move(spark, fresh, f"{path}/p_date={day}/run_id={COMPACTED}-{uuid.uuid4().hex}")
+    for run in old:
+        files.remove(spark, run)
 
 
 def latest_records(
@@ -54,8 +115,10 @@ def latest_records(
 
 
 def write_dataset(dataset: DataFrame, path: str, run_id: str) -> None:
-    """Write a report's dataset under its run; a repeated run replaces its own."""
-    dataset.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
+    """Write a report's dataset under its run; a repeated run replaces its own, once the new one is complete."""
+    fresh = f"{path}/_new-{uuid.uuid4().hex}"
+    dataset.write.parquet(fresh)
+    files.replace(dataset.sparkSession, fresh, f"{path}/run_id={run_id}")
 
 
 def save_to_cassandra(records: DataFrame, keyspace: str, table: str) -> None:

@@ -5,16 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from aislane.functions.constants import BUCKET_MINUTES, SERIES_STEP, SETTLE_MINUTES
 from aislane.operators.signal import series_rows
-from aislane.operators.slots import ORDER, slot_check
+from aislane.operators.slots import ORDER, last_before, slot_check
 from aislane.sources.normalize import accepted, normalize, rejected
 from aislane.sources.raw import records
-from aislane.sources.store import append_run, write_dataset
+from aislane.sources import files
+from aislane.sources.store import append_run, run_name, write_dataset
 
 
 def _with_event_time(rows: DataFrame, delay_minutes: int) -> DataFrame:
@@ -79,12 +81,13 @@ def start_ingest(
 ) -> StreamingQuery:
     """Lines to the canonical table and the rejects, every file once.
 
-    A repeated batch replaces what it wrote before.
+    A repeated batch replaces what it wrote before. Batches are named after the checkpoint, so another stream, or the same one
+    begun anew, never replaces them.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
         normalized = normalize(records(batch), received_at).persist()
-        run = f"batch_{batch_id}"
+        run = run_name(f"batch_{batch_id}", checkpoint)
         append_run(accepted(normalized), table, run)
         write_dataset(rejected(normalized), rejects, run)
         normalized.unpersist()
@@ -97,6 +100,35 @@ def start_ingest(
     )
 
 
+# After so many batches the vessels' last rows are gathered into one table.
+STATE_BATCHES = 10
+STATE_DAYS = 30
+
+
+def _state_parts(batch_id: int) -> list[str]:
+    """What a batch reads: the last gathered state and what the batches since have left."""
+    first = batch_id // STATE_BATCHES * STATE_BATCHES
+    gathered = [f"all-{first}"] if first else []
+    return gathered + [f"batch-{i}" for i in range(first, batch_id)]
+
+
+def _gather_state(spark: SparkSession, schema: StructType, state: str, batch_id: int, order: Sequence[str]) -> None:
+    """Every vessel's last row in one table; the state before the one before goes."""
+    first = batch_id - STATE_BATCHES
+    parts = ([f"all-{first}"] if first else []) + [f"batch-{i}" for i in range(first, batch_id)]
+    known = spark.read.schema(schema).parquet(*[f"{state}/{p}" for p in parts])
+    last = last_before(known, order)
+    newest = last.agg(F.max("date_bucket")).scalar()
+    horizon = F.expr(f"INTERVAL {STATE_DAYS} DAYS")
+    kept = last.where(F.col("date_bucket") >= newest - horizon)
+    kept.write.mode("overwrite").parquet(f"{state}/all-{batch_id}")
+    # A repeated batch may still ask for the last generation, never for the one before.
+    if first:
+        for i in range(max(0, first - STATE_BATCHES), first):
+            files.remove(spark, f"{state}/batch-{i}")
+        files.remove(spark, f"{state}/all-{first - STATE_BATCHES}")
+
+
 def start_slot_check(
     rows: DataFrame,
     path: str,
@@ -107,30 +139,30 @@ def start_slot_check(
 ) -> StreamingQuery:
     """Slot check across batches: a vessel's first message meets its last one of earlier batches.
 
-    Each batch reads the vessels' last rows as the batch before left them and
-    leaves its own, so a repeated batch gives the same rows. A message older than
+    A batch looks up the last rows of its own vessels only, and leaves the new last rows of those; every
+    ``STATE_BATCHES`` batches they are gathered, without vessels silent for ``STATE_DAYS`` days, and older state is
+    removed. It reads what earlier batches left and nothing of its own, so a repeated batch gives the same rows. A message older than
     its vessel's last known one has no previous message to compare with.
     """
     order = [c for c in order if c in rows.columns]
 
     def check(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.where(F.col("mmsi").isNotNull()).withColumn("carried", F.lit(False))
-        known = fresh
-        if batch_id > 0:
-            last = batch.sparkSession.read.schema(batch.schema).parquet(f"{state}/{batch_id - 1}")
-            known = last.withColumn("carried", F.lit(True)).unionByName(fresh)
-        known = known.persist()
-        checked = slot_check(known, zero_speed=zero_speed, order=order)
-        write_dataset(checked.where(~F.col("carried")).drop("carried"), path, f"batch_{batch_id}")
-        newest = F.max_by(F.struct(*batch.columns), F.struct(*order)).alias("row")
-        (
-            known.groupBy("mmsi")
-            .agg(newest)
-            .select("row.*")
-            .write.mode("overwrite")
-            .parquet(f"{state}/{batch_id}")
-        )
-        known.unpersist()
+        spark = batch.sparkSession
+        if batch_id and batch_id % STATE_BATCHES == 0:
+            _gather_state(spark, batch.schema, state, batch_id, order)
+        fresh = batch.where(F.col("mmsi").isNotNull()).persist()
+        parts = [f"{state}/{p}" for p in _state_parts(batch_id)]
+        if parts:
+            known = spark.read.schema(batch.schema).parquet(*parts)
+            mine = known.join(fresh.select("mmsi").distinct(), "mmsi", "left_semi")
+            carried = last_before(mine, order)
+        else:
+            carried = fresh.limit(0)
+        checked = slot_check(fresh, zero_speed=zero_speed, order=order, carried=carried)
+        write_dataset(checked, path, f"batch_{batch_id}")
+        left = last_before(carried.unionByName(fresh), order)
+        left.write.mode("overwrite").parquet(f"{state}/batch-{batch_id}")
+        fresh.unpersist()
 
     return (
         rows.writeStream.foreachBatch(check)
