@@ -4,8 +4,8 @@ A merge (BPE) model's pieces are put together from characters, best-scored merge
 comes up on the agenda is skipped if a keyed hash of seed, draw, place in the word (modulo ``PLACES``) and merged piece says
 so, so the same text has several segmentations, each repeatable. The draw of a word is a keyed hash of the
 document's key and the word's place in the text, one of ``DRAWS``; words that meet the same draw share their segmentation,
-which is worked out once per worker. A word none of whose plain merges is skipped keeps its plain pieces, those of the
-sentencepiece library: what is merged inside a piece doesn't depend on what stands around it.
+which a worker remembers. Words that are new are merged many at a time: all of one length make a matrix, and every step does
+the best merge of each row.
 
 No piece of such a model has a space behind other characters, so words are encoded one by one (checked when the model is
 read). A character without a piece becomes its UTF-8 bytes, and so does the model's own space mark where a text holds it, which
@@ -19,8 +19,9 @@ from __future__ import annotations
 
 import heapq
 import re
-from array import array
 from collections.abc import Iterator
+from itertools import chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +32,15 @@ from aislane.llm.common import forget_half, row_key, worker_store
 
 DROPOUT = 0.1
 SEED = 20_240
+# At most 128, for draws are written as characters.
 DRAWS = 8
 PLACES = 16
 # Fixed value: the mark that stands for a space in pieces.
 SPACE = "▁"
-_CHUNK = re.compile(r" *[^ ]+| +")
+# Chunks that are merged on their own. Where no piece joins a letter with a full stop or comma behind it, and none
+# holds a line break, texts are cut there too: fewer different chunks.
+_WORDS = re.compile(r" *[^ ]+| +")
+_FINE_WORDS = re.compile(r"\n+| *[^ \n]*[^\W\d_](?=[.,](?:[ \n]|$))| *[^ \n]+| +")
 _LONG = 48
 _NONE = float("-inf")
 _MASK = (1 << 64) - 1
@@ -47,7 +52,7 @@ class PieceModel:
     def __init__(self, path: str):
         import sentencepiece
 
-        self.library = model = sentencepiece.SentencePieceProcessor(model_file=path)
+        model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.score: dict[str, float] = {}
         self.id: dict[str, int] = {}
         self.piece: dict[int, str] = {}
@@ -66,6 +71,8 @@ class PieceModel:
                     raise ValueError("a piece goes across words")
                 self.id[piece], self.score[piece], self.piece[i] = i, model.get_score(i), piece
                 self.raw.append(piece.replace(SPACE, " ").encode())
+        joined = any(a.isalpha() and b in ".," for p in self.id for a, b in zip(p, p[1:], strict=False))
+        self.chunks = _WORDS if joined or any("\n" in p for p in self.id) else _FINE_WORDS
 
     def decode(self, ids) -> str:
         """The text of ``ids``; the space put before every text is taken off again."""
@@ -76,23 +83,114 @@ class PieceModel:
 class Encoder:
     """Encodes texts; ``dropout`` 0 gives the model's plain segmentation."""
 
-    MOST_KNOWN = 1_000_000
+    MOST_KNOWN = 600_000
 
     def __init__(self, model: PieceModel, dropout: float = DROPOUT, seed: int = SEED, draws: int = DRAWS):
         self.model, self.seed, self.draws = model, seed, draws if dropout else 1
         self.size = len(model.raw)
-        self.skip = [self._skips(draw, dropout) for draw in range(self.draws)]
-        self.known: list[dict[str, bytes]] = [{} for _ in range(self.draws)]
-        self.plain: dict[str, tuple[bytes, array] | None] = {}
-        self.inside: dict[int, list[tuple[int, int]]] = {}
+        self.skip = np.stack([self._skips(draw, dropout) for draw in range(self.draws)])
+        self.known: dict[str, bytes] = {}
+        self._pairs()
 
-    def _skips(self, draw: int, dropout: float) -> bytes:
-        """Whether a merge is skipped, for every place and piece: 1 at ``place * size + piece id``."""
+    def _skips(self, draw: int, dropout: float) -> np.ndarray:
+        """Whether a merge is skipped, at ``place * size + piece id``."""
         h = np.arange(PLACES * self.size, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         h += np.uint64(((draw + 1) * 0x165667B19E3779F9 + self.seed * 0xC2B2AE3D27D4EB4F) & _MASK)
         h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return ((h >> np.uint64(32)) < np.uint64(int(dropout * 2**32))).astype(np.uint8).tobytes()
+        return (h >> np.uint64(32)) < np.uint64(int(dropout * 2**32))
+
+    def _pairs(self) -> None:
+        """All pairs of pieces that merge, as rising numbers, with the merged piece; characters by code point."""
+        ids, found = self.model.id, []
+        for piece, number in ids.items():
+            for cut in range(1, len(piece)):
+                left, right = ids.get(piece[:cut]), ids.get(piece[cut:])
+                if left is not None and right is not None:
+                    found.append((left * self.size + right, number))
+        found.sort()
+        # The last place stands for pairs that don't merge.
+        self.pair_keys = np.array([k for k, _ in found] + [2**62], dtype=np.int64)
+        self.pair_piece = np.array([n for _, n in found] + [0], dtype=np.int32)
+        # Smaller is better.
+        self.pair_cost = np.array([-self.model.score[self.model.piece[n]] for _, n in found] + [np.inf], dtype=np.float32)
+        single = [number for piece, number in ids.items() if len(piece) == 1]
+        self.single = np.zeros(self.size, dtype=np.int32)
+        self.single[single] = np.arange(len(single))
+        self.of_singles = np.full((len(single), len(single)), len(found), dtype=np.int32)
+        ones = np.zeros(self.size, dtype=bool)
+        ones[single] = True
+        left, right = self.pair_keys[:-1] // self.size, self.pair_keys[:-1] % self.size
+        at = np.flatnonzero(ones[left] & ones[right])
+        self.of_singles[self.single[left[at]], self.single[right[at]]] = at
+        self.char = np.full(0x110000, -1, dtype=np.int32)
+        for piece, number in ids.items():
+            if len(piece) == 1 and piece != SPACE:
+                self.char[ord(piece)] = number
+        self.char[ord(" ")] = ids.get(SPACE, -1)
+
+    def _find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Where a pair stands among those that merge, the last place if it doesn't."""
+        keys = left.astype(np.int64) * self.size + right
+        at = np.searchsorted(self.pair_keys, keys)
+        at[self.pair_keys[at] != keys] = len(self.pair_keys) - 1
+        return at
+
+    def _cost(self, at: np.ndarray, place: np.ndarray, draw: np.ndarray) -> np.ndarray:
+        """The cost of merging pairs, infinite if they don't or the merge is skipped. ``place`` is multiplied out already."""
+        cost = self.pair_cost[at]
+        cost[self.skip[draw, place + self.pair_piece[at]]] = np.inf
+        return cost
+
+    def _merge_rows(self, symbols: np.ndarray, draw: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Pieces of words of one length: (rows, their pieces), by number of pieces. A step does one merge in every row."""
+        done, rows = [], np.arange(len(symbols))
+        place_of = (np.arange(symbols.shape[1], dtype=np.int32) % PLACES) * self.size
+        places = np.tile(place_of, (len(symbols), 1))
+        short = self.single[symbols]
+        costs = self._cost(self.of_singles[short[:, :-1], short[:, 1:]], places[:, :-1], draw[:, None])
+        while True:
+            width = symbols.shape[1]
+            best = costs.argmin(axis=1) if width > 1 else np.zeros(len(rows), np.int64)
+            live = np.isfinite(costs[np.arange(len(rows)), best]) if width > 1 else np.zeros(len(rows), bool)
+            done.append((rows[~live], symbols[~live]))
+            if not live.any():
+                return done
+            if not live.all():
+                rows, symbols, places, costs, draw, best = (x[live] for x in (rows, symbols, places, costs, draw, best))
+            each = np.arange(len(rows))
+            merged = self.pair_piece[self._find(symbols[each, best], symbols[each, best + 1])]
+            # What stands right of the merge moves one place left.
+            right = np.arange(width - 1)[None, :] > best[:, None]
+            symbols = np.where(right, symbols[:, 1:], symbols[:, :-1])
+            places = np.where(right, places[:, 1:], places[:, :-1])
+            symbols[each, best] = merged
+            if width == 2:
+                costs = np.zeros((len(rows), 0), dtype=np.float32)
+                continue
+            costs = np.where(right[:, :-1], costs[:, 1:], costs[:, :-1])
+            behind, before = best < width - 2, best > 0
+            r, c = np.r_[each[behind], each[before]], np.r_[best[behind], best[before] - 1]
+            costs[r, c] = self._cost(self._find(symbols[r, c], symbols[r, c + 1]), places[r, c], draw[r])
+
+    def _learn(self, keys: list[str]) -> None:
+        """Remember the pieces of chunks, each followed by its draw."""
+        lengths = np.array([len(k) - 1 for k in keys], dtype=np.int64)
+        flat = np.frombuffer("".join(keys).encode("utf-32-le"), "<u4").astype(np.int64)
+        begin = np.cumsum(np.r_[0, lengths + 1])[:-1]
+        draw = flat[begin + lengths]
+        ids = self.char[flat]
+        ids[begin + lengths] = 0
+        plain = (np.minimum.reduceat(ids, begin) >= 0) & (lengths <= _LONG)
+        for length in np.unique(lengths[plain]).tolist():
+            which = np.flatnonzero(plain & (lengths == length))
+            symbols = ids[begin[which][:, None] + np.arange(length)]
+            for rows, pieces in self._merge_rows(symbols, draw[which]):
+                data, width = pieces.astype("<u4").tobytes(), 4 * pieces.shape[1]
+                for i, row in enumerate(which[rows].tolist()):
+                    self.known[keys[row]] = data[i * width : (i + 1) * width]
+        for i in np.flatnonzero(~plain).tolist():
+            self.known[keys[i]] = self._ids(keys[i][:-1], int(draw[i]))
 
     def _symbols(self, chunk: str) -> list[str]:
         # A text's own space mark stays apart from the spaces: no piece holds a NUL with something else.
@@ -100,31 +198,16 @@ class Encoder:
 
     def merge(self, chunk: str, draw: int) -> list[str]:
         """The chunk's pieces, merges of the draw skipped."""
-        merger = self._merge_short if len(chunk) <= _LONG else self._merge_long
-        return merger(self._symbols(chunk), self.skip[draw])
+        return self._merge_long(self._symbols(chunk), self.skip[draw])
 
-    def _gain(self, piece: str, place: int, skip: bytes) -> float:
+    def _gain(self, piece: str, place: int, skip: np.ndarray) -> float:
         number = self.model.id.get(piece)
         if number is None or skip[place % PLACES * self.size + number]:
             return _NONE
         return self.model.score[piece]
 
-    def _merge_short(self, symbols: list[str], skip: bytes) -> list[str]:
-        gain = self._gain
-        places = list(range(len(symbols)))
-        gains = [gain(a + b, i, skip) for i, a, b in zip(places, symbols, symbols[1:], strict=False)]
-        while gains and (best := max(gains)) != _NONE:
-            at = gains.index(best)
-            symbols[at] += symbols.pop(at + 1)
-            del places[at + 1], gains[at]
-            if at < len(gains):
-                gains[at] = gain(symbols[at] + symbols[at + 1], places[at], skip)
-            if at:
-                gains[at - 1] = gain(symbols[at - 1] + symbols[at], places[at - 1], skip)
-        return symbols
-
-    def _merge_long(self, symbols: list[str | None], skip: bytes) -> list[str]:
-        """The same with an agenda, for chunks where looking at every pair each time would take too long."""
+    def _merge_long(self, symbols: list[str | None], skip: np.ndarray) -> list[str]:
+        """One chunk with an agenda: for long ones, and those with characters that have no piece."""
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         agenda: list[tuple[float, int, str]] = []
@@ -151,42 +234,7 @@ class Encoder:
             offer(before[left])
         return [s for s in symbols if s is not None]
 
-    def _inside(self, number: int, piece: str) -> list[tuple[int, int]]:
-        """(place, merged piece's id) of the merges that make a piece."""
-        found = self.inside.get(number)
-        if found is None:
-            found, none = [], bytes(PLACES * self.size)
-            symbols = list(piece)
-            while len(symbols) > 1:
-                gains = [self._gain(a + b, 0, none) for a, b in zip(symbols, symbols[1:], strict=False)]
-                at = gains.index(max(gains))
-                symbols[at] += symbols.pop(at + 1)
-                found.append((sum(map(len, symbols[:at])), self.model.id[symbols[at]]))
-            self.inside[number] = found
-        return found
-
-    def _learn(self, chunks: set[str]) -> None:
-        """The library's pieces of new chunks, and where in ``skip`` the merges that made them stand."""
-        new = [c for c in chunks if c not in self.plain and len(c) <= _LONG and SPACE not in c and c.strip(" ")]
-        if not new:
-            return
-        model = self.model
-        for chunk, ids in zip(new, model.library.encode([c[1:] for c in new]), strict=True):
-            at, merges = 0, []
-            for number in ids:
-                piece = model.piece.get(number)
-                if piece is None:
-                    merges = None
-                    break
-                if len(piece) > 1:
-                    merges += [(at + o) % PLACES * self.size + merged for o, merged in self._inside(number, piece)]
-                at += len(piece)
-            self.plain[chunk] = None if merges is None else (np.array(ids, "<u4").tobytes(), array("I", merges))
-
     def _ids(self, chunk: str, draw: int) -> bytes:
-        plain, skip = self.plain.get(chunk), self.skip[draw]
-        if plain is not None and not any(map(skip.__getitem__, plain[1])):
-            return plain[0]
         model, out = self.model, []
         for piece in self.merge(chunk, draw):
             known = model.id.get(piece)
@@ -196,30 +244,30 @@ class Encoder:
                 out += [model.byte_id[b] for b in piece.removeprefix("\0").encode() or b"\0"]
         return np.array(out, "<u4").tobytes()
 
-    def _draws(self, key: int, count: int) -> list[int]:
-        """The draw of each of a text's words."""
+    def _draws(self, key: int, count: int) -> str:
+        """The draw of each of a text's words, as characters."""
         h = np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         h ^= np.uint64((key ^ self.seed * 0x2545F4914F6CDD1D) & _MASK)
         h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return ((h ^ (h >> np.uint64(31))) % np.uint64(self.draws)).tolist()
+        return ((h ^ (h >> np.uint64(31))) % np.uint64(self.draws)).astype(np.uint8).tobytes().decode("ascii")
 
     def encode(self, text: str, key: int = 0) -> np.ndarray:
-        if not text:
-            return np.zeros(0, "<u4")
-        chunks = _CHUNK.findall(" " + text)
-        if len(self.plain) + sum(map(len, self.known)) > self.MOST_KNOWN:
-            for known in (self.plain, *self.known):
-                forget_half(known)
-        self._learn(set(chunks))
-        parts = []
-        for chunk, draw in zip(chunks, self._draws(key, len(chunks)), strict=True):
-            known = self.known[draw]
-            found = known.get(chunk)
-            if found is None:
-                found = known[chunk] = self._ids(chunk, draw)
-            parts.append(found)
-        return np.frombuffer(b"".join(parts), "<u4")
+        return next(self.encode_all([text], [key]))
+
+    def encode_all(self, texts: list[str], keys: list[int]) -> Iterator[np.ndarray]:
+        """The pieces of every text; what is new in them is merged together."""
+        if len(self.known) > self.MOST_KNOWN:
+            forget_half(self.known)
+        drawn = []
+        for text, key in zip(texts, keys, strict=True):
+            chunks = self.model.chunks.findall(" " + text) if text else []
+            drawn.append(list(map(add, chunks, self._draws(key, len(chunks)))))
+        new = list(set(chain.from_iterable(drawn)).difference(self.known))
+        for begin in range(0, len(new), 50_000):
+            self._learn(new[begin : begin + 50_000])
+        for own in drawn:
+            yield np.frombuffer(b"".join(map(self.known.__getitem__, own)), "<u4")
 
 
 def encode_documents(
@@ -239,7 +287,7 @@ def encode_documents(
         for batch in batches:
             keys = batch.column(batch.num_columns - 2).to_pylist()
             texts = batch.column(batch.num_columns - 1).to_pylist()
-            ids = [encoder.encode(t, k) for t, k in zip(texts, keys, strict=True)]
+            ids = list(encoder.encode_all(texts, keys))
             ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             flat = np.concatenate([*ids, np.zeros(0, "<u4")]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(

@@ -1,0 +1,87 @@
+"""Quality classifier: the label model by hand, held-out accuracy against given labels."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from aislane.llm import quality
+from aislane.llm.common import table
+from aislane.llm.queries import op1_quality
+from tests.llm.common import awkward, empty, frame, prose
+
+
+def junk(kind, seed):
+    words = prose(seed).split()
+    if kind == "shouting":
+        return "!! ".join(words).upper()
+    if kind == "symbols":
+        return " ".join(w + "$%#"[i % 3] * 3 for i, w in enumerate(words))
+    if kind == "bars":
+        return " | ".join(words)
+    return " ".join(w for w in words[:6] for _ in range(20))
+
+
+KINDS = ["shouting", "symbols", "bars", "repeats"]
+
+
+def corpus(spark):
+    rows = [(i, prose(i)) for i in range(300)]
+    rows += [(1000 + i, junk(KINDS[i % 4], 5000 + i)) for i in range(60)]
+    return frame(spark, rows)
+
+
+def test_label_model_finds_accuracies():
+    """Votes drawn with known accuracies: EM tells good from bad labellers without labels."""
+    rng = np.random.default_rng(3)
+    names = list(quality.LABELLERS)
+    right = np.linspace(0.95, 0.6, len(names))
+    patterns, truth = {}, {}
+    for _ in range(6000):
+        good = rng.random() < 0.7
+        key = "".join("+-"[int(good != (rng.random() < r))] if rng.random() < 0.8 else "0" for r in right)
+        patterns[key] = patterns.get(key, 0) + 1
+        truth.setdefault(key, []).append(good)
+    model = quality.LabelModel(patterns)
+    assert model.prior == pytest.approx(0.7, abs=0.05)
+    found = [model.accuracy[n] for n in names]
+    assert found == pytest.approx(right, abs=0.06)
+    agree = sum((model.posterior[k] >= 0.5) == g for k, v in truth.items() for g in v)
+    assert agree > 0.95 * 6000
+
+
+def test_a_text_too_short_to_judge_has_the_prior():
+    model = quality.LabelModel({"": 5, "+" * len(quality.LABELLERS): 9, "-" * len(quality.LABELLERS): 1})
+    assert quality.votes(b"just a few words") == "" and model.posterior[""] == model.prior
+
+
+def test_junk_goes_and_prose_stays(spark):
+    kept = {r.doc_id for r in quality.keep_good(corpus(spark)).collect()}
+    assert {i for i in kept if i < 1000} == set(range(300))
+    assert len([i for i in kept if i >= 1000]) <= 3
+
+
+def test_columns_and_awkward_rows(spark):
+    docs, rows = awkward(spark)
+    docs = docs.unionByName(corpus(spark), allowMissingColumns=True)
+    scored = quality.quality_scores(docs.drop("score", "posterior")).collect()
+    assert len(scored) == len(rows) + 360
+    for row in scored:
+        assert 0 <= row["score"] <= 1 and 0 <= row["posterior"] <= 1
+        if not (row["text"] or "").split():
+            assert row["score"] == 0 and row["n_votes"] == 0
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
+
+
+def test_empty_table(spark):
+    assert quality.quality_scores(empty(spark)).count() == 0
+    assert quality.keep_good(empty(spark)).count() == 0
+
+
+def test_held_out_accuracy(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    given = {r.doc_id: r.quality for r in table(spark, sf_dir, "labels").collect()}
+    scored = [r for r in op1_quality(spark, sf_dir).collect() if r.doc_id in given]
+    right = sum(r.predicted == given[r.doc_id] for r in scored)
+    assert len(scored) == len(given) and right >= 0.97 * len(scored)

@@ -1,0 +1,73 @@
+"""Positive-unlabelled learning: the risk by hand, held-out accuracy, fold rules."""
+
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+
+from aislane.llm import toxicity
+from aislane.llm.queries import op2_toxicity
+from tests.llm.common import awkward, empty, frame, prose
+
+BAD = ["zorkel", "grumpf", "blastix"]
+MARKS = "doc_id long, toxic int"
+
+
+def text(i):
+    words = prose(i, 80).split()
+    if i % 5 == 0:
+        words[3::30] = [BAD[i % 3]] * len(words[3::30])
+    return " ".join(words)
+
+
+def corpus(spark, marked=0.5):
+    docs = frame(spark, [(i, text(i)) for i in range(600)])
+    marks = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(600) if (i * 7) % 10 < marked * 10], MARKS)
+    return docs, marks
+
+
+def test_unmarked_toxic_texts_are_found(spark):
+    docs, marks = corpus(spark)
+    got = toxicity.toxicity(docs, marks).collect()
+    assert len(got) == 600
+    right = [r.predicted == int(r.doc_id % 5 == 0) for r in got]
+    assert np.mean(right) > 0.97
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+
+
+def test_labels_of_the_held_out_fold_change_nothing(spark):
+    docs, marks = corpus(spark)
+    turned = marks.selectExpr("doc_id", "case when crc32(cast(doc_id as string)) % 5 = 0 then 1 - toxic else toxic end as toxic")
+    first, second = (sorted(tuple(r) for r in toxicity.toxicity(docs, m).collect()) for m in (marks, turned))
+    assert first == second
+
+
+def test_the_clean_part_of_the_risk_does_not_go_far_below_zero():
+    rng = np.random.default_rng(1)
+    positive = [{1: 2.0, 10 + int(rng.integers(0, 40)): 1.0} for _ in range(100)]
+    unlabelled = [{1: 2.0} if i % 5 == 0 else {10 + int(rng.integers(0, 40)): 1.0} for i in range(500)]
+    model = toxicity.fit_pu(positive, unlabelled, 0.2)
+    score = lambda t: sum(model.weights.get(b, 0) * v for b, v in t.items()) + model.bias
+    assert score({1: 2.0}) > 0 > score({20: 1.0})
+
+
+def test_awkward_rows_and_empty_tables(spark):
+    docs, rows = awkward(spark)
+    more, marks = corpus(spark)
+    marks = marks.unionByName(spark.createDataFrame([(None, 1), (1, None), (5, 1), (5, 0)], MARKS))
+    got = toxicity.toxicity(docs.unionByName(more, allowMissingColumns=True), marks).collect()
+    assert len(got) == len(rows) + 600
+    none = toxicity.toxicity(docs, spark.createDataFrame([], MARKS)).collect()
+    assert len(none) == len(rows) and not any(r.predicted for r in none)
+    assert toxicity.toxicity(empty(spark), marks).count() == 0
+
+
+def test_held_out_accuracy(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    given = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    held = [r for r in op2_toxicity(spark, sf_dir).collect() if r.held_out and r.doc_id in given]
+    right = [r.predicted == given[r.doc_id] for r in held]
+    assert len(held) > 500 and np.mean(right) > 0.96
