@@ -70,11 +70,11 @@ def as_int(number: Column) -> Column:
 
 
 def as_vessel_id(number: Column) -> Column:
-    """Vessel id as plain digits, also from ``5.38007769E8``."""
+    """Vessel id as plain digits, also from ``2.0E8``."""
     return number.try_cast("bigint").cast("string")
 
 
 def as_bucket_time(text: Column) -> Column:
-    """Time from ``2026-03-20-12:50:21.494``, fraction of 0 to 6 digits; NULL if malformed."""
+    """Time from ``2025-07-01-08:15:30.5``, fraction of 0 to 6 digits; NULL if malformed."""
     iso = F.when(text.rlike(_BUCKET), F.regexp_replace(text, _BUCKET, "$1 $2"))
     return iso.try_cast("timestamp_ntz")

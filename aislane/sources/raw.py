@@ -164,20 +164,37 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     ).drop("_strict", "_seal", "_listed")
 
 
+# A list this long may be too much for one VARIANT, whose limit is 128 MB; its elements are not.
+_LONG_LIST = 64 << 20
+
+
+def long_list(line: Column) -> Column:
+    """The elements of a JSON list, each a value of its own; NULL unless the line is one list."""
+    bare = line.contains("NaN") | line.contains("Infinity")
+    return F.from_json(F.when(bare, _quote_bare_words(line)).otherwise(line), "array<variant>")
+
+
 def records(lines: DataFrame) -> DataFrame:
     """One row per record: an object gives one, a list its elements, a bare scalar none.
 
     A corrupt line keeps one row, with its text in ``corrupt_line`` and no record.
     """
-    parsed = parse_lines(lines)
+    line = F.col("line")
+    parsed = parse_lines(lines).withColumn(
+        "_long",
+        F.when(
+            F.col("value").isNull() & line.startswith("[") & (F.octet_length(line) > _LONG_LIST), long_list(line)
+        ),
+    )
     others = [c for c in lines.columns if c != "line"]
     listed = (
-        F.when(F.col("value").isNull(), F.array(F.lit(None).cast("variant")))
+        F.when(F.col("_long").isNotNull(), F.col("_long"))
+        .when(F.col("value").isNull(), F.array(F.lit(None).cast("variant")))
         .when(F.col("line").startswith("["), F.try_variant_get("value", "$", "array<variant>"))
         .when(F.col("line").startswith("{"), F.array("value"))
     )
     return parsed.select(
         *others,
-        F.when(F.col("value").isNull(), F.col("line")).alias("corrupt_line"),
+        F.when(F.col("value").isNull() & F.col("_long").isNull(), line).alias("corrupt_line"),
         F.explode(listed).alias("record"),
     )

@@ -5,6 +5,9 @@ from __future__ import annotations
 import json
 from datetime import datetime
 
+import pytest
+from pyspark.sql import functions as F
+
 from aislane.functions.constants import RECORD_COLUMNS, RECORD_SCHEMA
 from aislane.sources.normalize import accepted, ingest_counters, normalize, rejected
 from aislane.sources.raw import read_lines, records, split_lines
@@ -35,13 +38,13 @@ def _one(spark, line):
 def test_sample_record(spark):
     row = _one(
         spark,
-        '{"messageId": 1.0, "dataBucket": "2026-03-20-12:50:21.494",'
-        ' "data": {"mmsi": 5.38007769E8, "cog": 1969.0, "latitude": 21048319, "rateOfTurn": -3,'
+        '{"messageId": 3.0, "dataBucket": "2025-07-01-08:15:30.25",'
+        ' "data": {"mmsi": 2.11E8, "cog": 45.5, "latitude": 30000000, "rateOfTurn": -3,'
         ' "positionAccuracy": "1", "trueHeading": 511.9}, "vsi": {"rssi": "-81.5", "slotNum": 2249.0, "snr": 9}}',
     )
     expected = {
-        "mmsi": "538007769", "date_bucket": datetime(2026, 3, 20, 12, 50, 21, 494000),
-        "received_at": RECEIVED, "msg_type": 1, "cog": 1969.0, "latitude": 35.080532, "rot": -3.0,
+        "mmsi": "211000000", "date_bucket": datetime(2025, 7, 1, 8, 15, 30, 250000),
+        "received_at": RECEIVED, "msg_type": 3, "cog": 45.5, "latitude": 50.0, "rot": -3.0,
         "integrity_flag": 1, "true_heading": 511, "rssi": -81.5, "slot_num": 2249, "snr": 9.0,
         "reject_reason": None, "reject_text": None,
     }
@@ -72,7 +75,7 @@ MEMBER_VALUES = [
     ('{"mmsi":1,"sog":null,"speedOverGround":3}', "sog", 3.0),
     ('{"mmsi":1,"sog":-0.0,"speedOverGround":3}', "sog", 3.0),
     ('{"mmsi":0,"userId":5}', "mmsi", "5"),
-    ('{"mmsi":"538007769"}', "mmsi", "538007769"),
+    ('{"mmsi":"211000007"}', "mmsi", "211000007"),
     ('{"mmsi":" 12.9 "}', "mmsi", "12"),
     ('{"mmsi":1,"raimFlag":"false"}', "raim_flag", True),
     ('{"mmsi":1,"raimFlag":false}', "raim_flag", False),
@@ -232,3 +235,36 @@ def test_missing_folder_is_passed_over(spark, tmp_path):
     empty = read_lines(spark, str(tmp_path / "none"))
     assert empty.columns == ["file", "line"]
     assert accepted(normalize(records(empty))).count() == 0
+
+
+def test_long_lists_give_their_elements(spark):
+    """What lists beyond one VARIANT's limit are read by, on short ones."""
+    from aislane.sources.raw import long_list, parse_lines
+
+    lines = ['[{"data":{"mmsi":1}},5,"a",[2]]', "[]", '[{"a":NaN}]', '[1,2', '[1] x', '{"a":1}', "5"]
+    frame = spark.createDataFrame([(x,) for x in lines], "line string")
+    split = parse_lines(frame).selectExpr("line", "try_variant_get(value, '$', 'array<variant>') as whole")
+    for row in split.withColumn("parts", long_list(F.col("line"))).selectExpr(
+        "line", "to_json(struct(whole)) as whole", "to_json(struct(parts as whole)) as parts"
+    ).collect():
+        if row["line"].startswith("["):
+            assert row["whole"] == row["parts"], row["line"]
+
+
+def test_files_that_cannot_be_read(spark, tmp_path):
+    import gzip
+
+    from aislane.sources.raw import read_lines, unreadable_files
+
+    (tmp_path / "a.json").write_text('{"data":{"mmsi":1}}')
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep" / "b.json.gz").write_bytes(b"this is no gzip file")
+    (tmp_path / "deep" / "c.json.gz").write_bytes(gzip.compress(b'{"data":{"mmsi":2}}'))
+    (tmp_path / "empty.json").write_text("")
+    path, pattern = str(tmp_path), "*.json*"
+    with pytest.raises(Exception, match="gzip"):
+        read_lines(spark, path, file_pattern=pattern).collect()
+    assert read_lines(spark, path, file_pattern=pattern, skip_unreadable=True).count() == 2
+    (skipped,) = unreadable_files(spark, path, pattern).collect()
+    assert skipped["file"].endswith("deep/b.json.gz") and skipped["bytes"] == 20
+    assert unreadable_files(spark, f"{path}/none").count() == 0

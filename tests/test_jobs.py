@@ -70,3 +70,48 @@ def test_other_folder_and_empty_range(spark, tmp_path):
     main(["slot-report", *common, "--start", "2026-03-20T12:50:00", "--end", "2026-03-20T12:55:00"])
     main(["signal-report", *common])
     assert {r["run_id"] for r in spark.read.parquet(f"{out}/slot_summary").collect()} == {"20260320_1250"}
+
+
+def test_messages_count_once_and_sources_stay(spark, tmp_path):
+    """The same folder read under two run ids, then another one for the same bucket."""
+    _write_bucket(tmp_path / "raw")
+    table, out = str(tmp_path / "table"), str(tmp_path / "out")
+    common = ["--table", table, "--out", out]
+    main(["process", *common, "--root", str(tmp_path / "raw"), "--as-of", "2026-03-20T13:00:05"])
+    main(["process", *common, "--path", str(tmp_path / "raw"), "--as-of", "2026-03-20T13:03:00"])
+    assert spark.read.parquet(table).count() == 120
+    main(["slot-report", *common, "--as-of", "2026-03-20T13:00:00"])
+    summary = spark.read.parquet(f"{out}/slot_summary").collect()
+    assert [(r["total"], r["invalid"]) for r in summary] == [(19, 0)] * 3
+
+
+def test_joined_records_carry_over_and_skipped_files(spark, tmp_path):
+    """Records joined by the two characters, in several tasks; the first message of a range meets the last one before."""
+    from aislane.sources.raw import read_lines
+
+    _write_bucket(tmp_path / "raw")
+    file = next((tmp_path / "raw").rglob("*.json"))
+    joined = tmp_path / "joined"
+    joined.mkdir()
+    (joined / "0.json").write_text(file.read_text().replace("\n", r"\n"))
+    (joined / "bad.json.gz").write_bytes(b"this is no gzip file")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert read_lines(spark, str(joined), r"\n").rdd.getNumPartitions() > 2
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    table, out = str(tmp_path / "table"), str(tmp_path / "out")
+    common = ["--table", table, "--out", out]
+    main(["process", *common, "--path", str(joined), "--line-separator", r"\n", "--skip-unreadable", "--as-of", "2026-03-20T13:00:05"])
+    counters = spark.read.parquet(f"{out}/ingest_counters").collect()[0]
+    assert (counters["saved"], counters["failed"], counters["files_skipped"]) == (60, 2, 0)
+    later = ["--start", "2026-03-20T12:55:00", "--end", "2026-03-20T13:00:00"]
+    main(["slot-report", *common, *later])
+    alone = sum(r["total"] for r in spark.read.parquet(f"{out}/slot_summary").collect())
+    main(["slot-report", *common, *later, "--carry-minutes", "10"])
+    carried = sum(r["total"] for r in spark.read.parquet(f"{out}/slot_summary").collect())
+    assert carried == alone + 3
+    main(["compact", "--table", table, "--day", "2026-03-20"])
+    assert spark.read.parquet(table).count() == 60

@@ -9,7 +9,7 @@ import pytest
 from aislane.functions.constants import RECORD_SCHEMA, SCAN_COLUMNS
 from aislane.operators import runs, vessels
 from aislane.sources import table as tb
-from aislane.sources.store import append_run, latest_records, read_records, write_dataset
+from aislane.sources.store import append_run, compact_day, latest_records, read_records, run_name, write_dataset
 from tests.conftest import as_set
 
 SCHEMA = ", ".join(f"{name} {kind}" for name, kind in RECORD_SCHEMA)
@@ -130,3 +130,40 @@ def test_run_buckets(records):
         ("/r/2026/03/20/23/50", "20260320_2350", datetime(2026, 3, 21, 0, 0), 5, 3),
         ("/r/2026/03/21/00/00", "20260321_0000", datetime(2026, 3, 21, 0, 10), 7, 3),
     ]
+
+
+def test_runs_of_other_sources_stay(spark, records, tmp_path):
+    path = str(tmp_path / "table")
+    one, other = run_name("20260320_2350", "/a"), run_name("20260320_2350", "/b/")
+    assert one != other and other == run_name("20260320_2350", "/b")
+    append_run(records.where("mmsi = '0'"), path, one)
+    append_run(records.where("mmsi != '0'"), path, other)
+    assert read_records(spark, path).count() == 12
+    # A repeat that reaches fewer days leaves none of its old rows behind.
+    append_run(records.where("mmsi != '0' and slot_num < 5"), path, other)
+    kept = read_records(spark, path)
+    assert kept.where("mmsi = '0'").count() == 4 and kept.where("mmsi != '0'").count() == 3
+    assert not list((tmp_path / "table").glob("_new*"))
+
+
+def test_only_days_of_the_range_are_listed(spark, tmp_path):
+    path = tmp_path / "table"
+    rows = [_record("1", T0 + timedelta(days=i), slot_num=i) for i in range(3)]
+    append_run(spark.createDataFrame(rows, SCHEMA), str(path), "first")
+    for day in range(3):  # 600 runs in all
+        folder = next(path.glob(f"p_date={(T0 + timedelta(days=day)).date()}"))
+        file = next(folder.glob("run_id=first/*.parquet"))
+        for run in range(199):
+            copy = folder / f"run_id=copy_{run}"
+            copy.mkdir()
+            (copy / file.name).write_bytes(file.read_bytes())
+    start = T0 + timedelta(days=1)
+    some = read_records(spark, str(path), start, start + timedelta(minutes=1))
+    assert len(some.inputFiles()) == 200 + 200 * (start.date() != (start + timedelta(minutes=1)).date())
+    assert {r["p_date"] for r in some.select("p_date").distinct().collect()} == {start.date()}
+    assert len(read_records(spark, str(path)).inputFiles()) == 600
+    assert read_records(spark, str(path), datetime(2030, 1, 1), datetime(2030, 1, 2)).count() == 0
+    compact_day(spark, str(path), start.date())
+    left = read_records(spark, str(path), start, start)
+    assert left.count() == 1 and len(list(path.glob(f"p_date={start.date()}/*"))) == 1
+    assert read_records(spark, str(path)).count() == 401

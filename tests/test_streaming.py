@@ -133,3 +133,41 @@ def test_series_equals_the_batch_where_settled(spark, stage, ais):
         return as_set(frame, "band_id", "window_start", "metric", F.round("mean_value", 9))
 
     assert rounded(found) == rounded(settled) and found.count() > 0
+
+
+def test_two_checkpoints_do_not_replace_each_other(spark, stage):
+    from aislane.sources.store import latest_records, read_records
+
+    stage.arrive(*[("1", T0 + timedelta(minutes=i), {"sog": 5}, {"slotNum": i}) for i in range(4)])
+    for checkpoint in (stage.checkpoint, stage.checkpoint + "-2"):
+        jobs.start_ingest(stage.lines(), stage.out, stage.rejects, checkpoint, RECEIVED).awaitTermination()
+    assert read_records(spark, stage.out).count() == 8
+    assert latest_records(read_records(spark, stage.out)).count() == 4
+
+
+def test_state_stays_bounded(spark, stage, monkeypatch):
+    """Vessels that say nothing are not written again; older state goes; a silent vessel is forgotten at last."""
+    import pathlib
+
+    monkeypatch.setattr(jobs, "STATE_BATCHES", 3)
+    monkeypatch.setattr(jobs, "STATE_DAYS", 1)
+    state = pathlib.Path(stage.state)
+    for i in range(8):
+        vessel = "quiet" if i == 0 else "busy"
+        stage.arrive((vessel, T0 + timedelta(hours=6 * i), {"sog": 50}, {"slotNum": 375 * i % 2250}))
+        jobs.start_slot_check(stage.rows(), stage.out, stage.state, stage.checkpoint).awaitTermination()
+        if i:
+            assert [r["mmsi"] for r in spark.read.parquet(f"{stage.state}/batch-{i}").collect()] == ["busy"]
+    assert {p.name for p in state.iterdir()} == {"all-3", "all-6", "batch-3", "batch-4", "batch-5", "batch-6", "batch-7"}
+    assert [r["mmsi"] for r in spark.read.parquet(f"{stage.state}/all-6").collect()] == ["busy"]
+    assert spark.read.parquet(stage.out).count() == 6
+
+
+def test_stream_of_records_joined_by_two_characters(spark, stage):
+    import pathlib
+
+    text = r"\n".join(json.dumps({"dataBucket": "2026-03-20-12:00:00", "data": {"mmsi": i + 1}}) for i in range(50))
+    (pathlib.Path(stage.source) / "joined.json").write_text(text)
+    lines = stream_lines(spark, stage.source, line_separator=r"\n")
+    jobs.start_ingest(lines, stage.out, stage.rejects, stage.checkpoint, RECEIVED).awaitTermination()
+    assert spark.read.parquet(stage.out).count() == 50
