@@ -2,7 +2,7 @@
 
 The longest rule that fits decides: it fits its host and all subdomains if the path starts with the rule's. URLs that no rule
 fits go to the method. A host's labels are split into words by Viterbi over unigram probabilities counted in all pages' visible
-text (the ``LEXICON_WORDS`` most frequent words are the lexicon, the bound of the model; every count covers all pages). Multinomial
+text (at most ``LEXICON_WORDS`` of them, the most frequent, are the lexicon, the bound of the model; every count covers all pages). Multinomial
 naive Bayes scores these words and the path's tokens; it learns from the URLs that the rules decide. Its counts are kept
 by hashed token, at most 2 to ``BUCKET_BITS`` of them, and pre-aggregated per batch, so a host with a third of all pages is no hot spot.
 
@@ -23,6 +23,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aislane.llm.common import staged
+from aislane.llm.sparse import most_frequent
+
 LEXICON_WORDS = 50_000
 LONGEST_WORD = 24
 BUCKET_BITS = 18
@@ -76,10 +79,10 @@ def lexicon(pages: DataFrame, html_column: str = "html", words: int = LEXICON_WO
     """Counts of the most frequent words of the pages' visible text, and how many words there are in all."""
     text = F.regexp_replace(F.coalesce(F.col(html_column).cast("string"), F.lit("")), r"(?s)<(script|style)\b.*?</\1>|<[^>]*>", " ")
     found = pages.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"[a-z]+"), F.lit(0))).alias("word"))
-    counts = found.groupBy("word").agg(F.count("*").alias("n"))
+    counts = staged(found.groupBy("word").agg(F.count("*").alias("n")), "lexicon")
     total = counts.agg(F.sum("n")).first()[0] or 0
-    top = counts.where(F.length("word") <= LONGEST_WORD).orderBy(F.desc("n"), "word").limit(words)
-    return {r["word"]: r["n"] for r in top.collect()}, total
+    top = most_frequent(counts.where(F.length("word") <= LONGEST_WORD), "n", words).toArrow()
+    return dict(sorted(zip(top["word"].to_pylist(), top["n"].to_pylist(), strict=True))), total
 
 
 class Segmenter:
