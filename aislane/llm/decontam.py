@@ -13,7 +13,6 @@ words but are not listed. Items that share an id count as one. Repeated document
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 from itertools import repeat
@@ -26,7 +25,8 @@ from pyspark.sql import functions as F
 from aislane.llm.common import ALNUM_WORDS, row_key, staged, text_bytes, text_length
 
 WINDOW = 10
-BLOCK_CHARS = 8_000_000
+# About 150 MB in a worker, most of it windows.
+BLOCK_CHARS = 2_000_000
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _FILTER_BITS = 20
 # Fixed value: the words' pattern on the original text.
@@ -222,8 +222,12 @@ def _decide(
     window: int = WINDOW,
     block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
-    """Block after block on the same rows: a text that is cut or dropped needs no second look at what is gone."""
-    for block in _item_blocks(items, item_id, item_text, block_chars):
+    """Block after block on the same rows: a text that is cut or dropped needs no second look at what is gone.
+
+    Each further block starts from a written table, so that a worker holds one block at a time.
+    """
+    for number, block in enumerate(_item_blocks(items, item_id, item_text, block_chars)):
+        docs = staged(docs, "decontaminated") if number else docs
         names, names_out = docs.columns, [f"_c{i}" for i in range(len(docs.columns))]
         plain = docs.toDF(*names_out)
         text = names_out[names.index(text_column)]
@@ -245,7 +249,3 @@ def _without(text: str | None, spans: list) -> str | None:
         kept.append(text[at : places[span["begin"]][0]])
         at = places[span["end"] - 1][1]
     return "".join([*kept, text[at:]])
-
-
-def items_digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()

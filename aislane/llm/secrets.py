@@ -13,10 +13,10 @@ that overlaps a pattern's span is left out. Repeated rows are scanned one by one
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -150,17 +150,8 @@ def masked(docs: DataFrame, text_column: str = "text", mask: str = "[secret]") -
             at = max(at, end)
         return "".join([*parts, text[at:]])
 
-    def batchwise(batches):
+    def batchwise(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield texts.map(replace)
 
-    from collections.abc import Iterator as Texts  # the hint that makes this an iterator function
-
-    import pandas as pd
-
-    batchwise.__annotations__ = {"batches": Texts[pd.Series], "return": Texts[pd.Series]}
-    return docs.withColumn(text_column, F.pandas_udf(batchwise, "string")(F.col(text_column)))
-
-
-def digest(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
+    return docs.withColumn(text_column, F.pandas_udf(batchwise, "string")(F.col(text_column).cast("string")))
