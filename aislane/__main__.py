@@ -23,8 +23,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--as-of", type=datetime.fromisoformat, help="moment of the run, now if left out")
     parser.add_argument("--root", default=SOURCE_ROOT, help="root of the raw file tree")
     parser.add_argument("--path", help="raw folder to read instead of the run's own")
-    parser.add_argument("--start", type=datetime.fromisoformat, help="start of the analysis range")
-    parser.add_argument("--end", type=datetime.fromisoformat, help="end of the analysis range")
+    parser.add_argument("--start", type=datetime.fromisoformat, help="start of the analysis range, or of the buckets to process anew")
+    parser.add_argument("--end", type=datetime.fromisoformat, help="end of the range")
     parser.add_argument("--zero-speed", choices=("null", "invalid"), default="null")
     parser.add_argument("--line-separator", help=r"text that ends records in the raw files, such as \n as two characters")
     parser.add_argument("--skip-unreadable", action="store_true", help="go on without files that can't be read, and list them")
@@ -43,9 +43,13 @@ def main(arguments: list[str] | None = None) -> None:
         compact_day(spark, options.table, options.day)
         return
     if options.job == "process":
-        bucket = timegrid.bucket_for_run(as_of)
-        source = options.path or timegrid.folder_of(bucket, options.root)
-        run = run_name(f"{bucket:%Y%m%d_%H%M}", source)
+        if options.start and options.end:
+            source = timegrid.folders_between(options.start, options.end, options.root)
+            run = run_name(f"{options.start:%Y%m%d_%H%M}-{options.end:%Y%m%d_%H%M}", options.root)
+        else:
+            bucket = timegrid.bucket_for_run(as_of)
+            source = options.path or timegrid.folder_of(bucket, options.root)
+            run = run_name(f"{bucket:%Y%m%d_%H%M}", source)
         process_run(
             spark, source, options.table, options.out, run, timegrid.local_clock(as_of),
             line_separator=options.line_separator, skip_unreadable=options.skip_unreadable,

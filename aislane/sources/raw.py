@@ -6,10 +6,11 @@ import functools
 import logging
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aislane.sources import files
+
 _log = logging.getLogger(__name__)
 
 # Line breaks within one physical line: the two characters \n, and whatever else ends a
@@ -48,22 +49,20 @@ def read_lines(
     )
     if line_separator is not None:
         reader = reader.option("lineSep", line_separator)
-    present = _present(spark, paths, reader)
+    present = _present(spark, paths)
     if not present:
         return spark.createDataFrame([], "file string, line string")
-    files = reader.text(present)
-    return split_lines(files.select(F.col("_metadata.file_path").alias("file"), "value"))
+    physical = reader.text(present)
+    return split_lines(physical.select(F.col("_metadata.file_path").alias("file"), "value"))
 
 
-def _present(spark: SparkSession, paths: str | Sequence[str], reader) -> list[str]:
+def _present(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
+    """The paths that exist; only their names are looked up, the files are listed once, by the scan."""
     present = []
     for path in [paths] if isinstance(paths, str) else paths:
-        try:
-            reader.text(path)
+        if files.matching(spark, path):
             present.append(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        else:
             _log.warning("no such folder, going on without it: %s", path)
     return present
 
@@ -76,7 +75,7 @@ def unreadable_files(
     A file that breaks off in the middle gives its first part and is not listed; without ``skip_unreadable`` it fails the job.
     """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", file_pattern)
-    present = _present(spark, paths, reader)
+    present = _present(spark, paths)
     if not present:
         return spark.createDataFrame([], "file string, bytes long")
     listed = reader.format("binaryFile").load(present).select(F.col("path").alias("file"), F.col("length").alias("bytes"))
@@ -104,8 +103,8 @@ def stream_lines(
     )
     if line_separator is not None:
         reader = reader.option("lineSep", line_separator)
-    files = reader.text(path)
-    return split_lines(files.select(F.col("_metadata.file_path").alias("file"), "value"))
+    physical = reader.text(path)
+    return split_lines(physical.select(F.col("_metadata.file_path").alias("file"), "value"))
 
 
 def split_lines(physical: DataFrame) -> DataFrame:
@@ -169,9 +168,19 @@ _LONG_LIST = 64 << 20
 
 
 def long_list(line: Column) -> Column:
-    """The elements of a JSON list, each a value of its own; NULL unless the line is one list."""
+    """The elements of a JSON list, each a value of its own; NULL unless the line is one list and nothing else.
+
+    The line's own hash goes in as the last element: text behind the list moves or breaks it.
+    """
     bare = line.contains("NaN") | line.contains("Infinity")
-    return F.from_json(F.when(bare, _quote_bare_words(line)).otherwise(line), "array<variant>")
+    strict = F.when(bare, _quote_bare_words(line)).otherwise(line)
+    seal = F.xxhash64(line)
+    opened = F.left(strict, F.length(strict) - 1)
+    none = F.length(opened) == 1
+    sealed = F.concat(opened, F.when(none, "").otherwise(","), seal.cast("string"), F.lit("]"))
+    elements = F.from_json(F.when(strict.endswith("]"), sealed), "array<variant>")
+    intact = F.try_variant_get(F.element_at(elements, -1), "$", "bigint") == seal
+    return F.when(intact, F.slice(elements, 1, F.size(elements) - 1))
 
 
 def records(lines: DataFrame) -> DataFrame:

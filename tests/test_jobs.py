@@ -115,3 +115,11 @@ def test_joined_records_carry_over_and_skipped_files(spark, tmp_path):
     assert carried == alone + 3
     main(["compact", "--table", table, "--day", "2026-03-20"])
     assert spark.read.parquet(table).count() == 60
+
+
+def test_buckets_of_a_range_are_processed_anew(spark, tmp_path):
+    _write_bucket(tmp_path / "raw")
+    table, out = str(tmp_path / "table"), str(tmp_path / "out")
+    main(["process", "--table", table, "--out", out, "--root", str(tmp_path / "raw"),
+          "--start", "2026-03-20T12:30:00", "--end", "2026-03-20T13:10:00"])
+    assert spark.read.parquet(table).count() == 60
