@@ -83,7 +83,7 @@ class PieceModel:
 class Encoder:
     """Encodes texts; ``dropout`` 0 gives the model's plain segmentation."""
 
-    MOST_KNOWN = 600_000
+    MOST_KNOWN = 300_000
 
     def __init__(self, model: PieceModel, dropout: float = DROPOUT, seed: int = SEED, draws: int = DRAWS):
         self.model, self.seed, self.draws = model, seed, draws if dropout else 1
@@ -114,14 +114,15 @@ class Encoder:
         self.pair_piece = np.array([n for _, n in found] + [0], dtype=np.int32)
         # Smaller is better.
         self.pair_cost = np.array([-self.model.score[self.model.piece[n]] for _, n in found] + [np.inf], dtype=np.float32)
-        single = [number for piece, number in ids.items() if len(piece) == 1]
-        self.single = np.zeros(self.size, dtype=np.int32)
-        self.single[single] = np.arange(len(single))
-        self.of_singles = np.full((len(single), len(single)), len(found), dtype=np.int32)
+        # A table for pairs of characters. Only those that some pair joins have a place of their own, the rest share place 0.
         ones = np.zeros(self.size, dtype=bool)
-        ones[single] = True
+        ones[[number for piece, number in ids.items() if len(piece) == 1]] = True
         left, right = self.pair_keys[:-1] // self.size, self.pair_keys[:-1] % self.size
         at = np.flatnonzero(ones[left] & ones[right])
+        joined = np.unique(np.r_[left[at], right[at]])
+        self.single = np.zeros(self.size, dtype=np.int32)
+        self.single[joined] = np.arange(1, len(joined) + 1)
+        self.of_singles = np.full((len(joined) + 1, len(joined) + 1), len(found), dtype=np.int32)
         self.of_singles[self.single[left[at]], self.single[right[at]]] = at
         self.char = np.full(0x110000, -1, dtype=np.int32)
         for piece, number in ids.items():

@@ -22,15 +22,15 @@ def text(i):
 
 
 def corpus(spark, marked=0.5):
-    docs = frame(spark, [(i, text(i)) for i in range(600)])
-    marks = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(600) if (i * 7) % 10 < marked * 10], MARKS)
+    docs = frame(spark, [(i, text(i)) for i in range(1500)])
+    marks = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(1500) if (i * 7) % 10 < marked * 10], MARKS)
     return docs, marks
 
 
 def test_unmarked_toxic_texts_are_found(spark):
     docs, marks = corpus(spark)
     got = toxicity.toxicity(docs, marks).collect()
-    assert len(got) == 600
+    assert len(got) == 1500
     right = [r.predicted == int(r.doc_id % 5 == 0) for r in got]
     assert np.mean(right) > 0.97
     for r in got:
@@ -59,7 +59,7 @@ def test_awkward_rows_and_empty_tables(spark):
     more, marks = corpus(spark)
     marks = marks.unionByName(spark.createDataFrame([(None, 1), (1, None), (5, 1), (5, 0)], MARKS))
     got = toxicity.toxicity(docs.unionByName(more, allowMissingColumns=True), marks).collect()
-    assert len(got) == len(rows) + 600
+    assert len(got) == len(rows) + 1500
     none = toxicity.toxicity(docs, spark.createDataFrame([], MARKS)).collect()
     assert len(none) == len(rows) and not any(r.predicted for r in none)
     assert toxicity.toxicity(empty(spark), marks).count() == 0
