@@ -1,11 +1,11 @@
 """SentencePiece encoding with seeded merge-dropout, and lossless decoding.
 
-A merge (BPE) model's pieces are put together from characters, best-scored merge first. With dropout, a merge that
-comes up on the agenda is skipped if a keyed hash of seed, draw, place in the word (modulo ``PLACES``) and merged piece says
-so, so the same text has several segmentations, each repeatable. The draw of a word is a keyed hash of the
-document's key and the word's place in the text, one of ``DRAWS``; words that meet the same draw share their segmentation,
-which a worker remembers. Words that are new are merged many at a time: all of one length make a matrix, and every step does
-the best merge of each row.
+A merge (BPE) model's pieces are put together from characters, best-scored merge first. With dropout, every merge that
+comes up is skipped with the stated chance, by its own draw: a keyed hash of seed, the document's key, the word's place in the text and
+the number of the merge in the word, so the same text has several segmentations, each repeatable. A skipped pair comes up again only as part of a longer piece.
+What a worker remembers is free of draws: a word's pieces without a skip and with one, and how many merges come up then.
+An occurrence starts without skips and adds its next one as long as that merge comes up. Words that are new are
+merged many at a time: those of one length make matrices, and every step does or skips the best merge of each row.
 
 No piece of such a model has a space behind other characters, so words are encoded one by one (checked when the model is
 read). A character without a piece becomes its UTF-8 bytes, and so does the model's own space mark where a text holds it, which
@@ -20,21 +20,20 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
-from itertools import chain
-from operator import add
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aislane.llm.common import forget_half, row_key, worker_store
+from aislane.llm.common import row_key, worker_store
 
 DROPOUT = 0.1
 SEED = 20_240
-# At most 128, for draws are written as characters.
-DRAWS = 8
-PLACES = 16
+# A word's first skip is remembered as a character behind the chunk, one bit a merge; 20 bits fit. All else is worked out each batch.
+_BITS = 20
+# The draws say after how many merges the next one is skipped, up to so many at once.
+_GAPS = 256
 # Fixed value: the mark that stands for a space in pieces.
 SPACE = "▁"
 # Chunks that are merged on their own. Where no piece joins a letter with a full stop or comma behind it, and none
@@ -42,7 +41,6 @@ SPACE = "▁"
 _WORDS = re.compile(r" *[^ ]+| +")
 _FINE_WORDS = re.compile(r"\n+| *[^ \n]*[^\W\d_](?=[.,](?:[ \n]|$))| *[^ \n]+| +")
 _LONG = 48
-_NONE = float("-inf")
 _MASK = (1 << 64) - 1
 
 
@@ -85,20 +83,36 @@ class Encoder:
 
     MOST_KNOWN = 300_000
 
-    def __init__(self, model: PieceModel, dropout: float = DROPOUT, seed: int = SEED, draws: int = DRAWS):
-        self.model, self.seed, self.draws = model, seed, draws if dropout else 1
+    def __init__(self, model: PieceModel, dropout: float = DROPOUT, seed: int = SEED):
+        self.model, self.seed = model, seed
         self.size = len(model.raw)
-        self.skip = np.stack([self._skips(draw, dropout) for draw in range(self.draws)])
+        # What part of the draws go on after so many merges, rising.
+        self.goes_on = np.array([int((1 - dropout) ** (g + 1) * 2**53) for g in range(_GAPS)][::-1], dtype=np.uint64)
         self.known: dict[str, bytes] = {}
+        self.steps: dict[str, int] = {}
+        # What was known before the last change; what is asked for again moves up.
+        self.older: tuple[dict[str, bytes], dict[str, int]] = {}, {}
         self._pairs()
 
-    def _skips(self, draw: int, dropout: float) -> np.ndarray:
-        """Whether a merge is skipped, at ``place * size + piece id``."""
-        h = np.arange(PLACES * self.size, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        h += np.uint64(((draw + 1) * 0x165667B19E3779F9 + self.seed * 0xC2B2AE3D27D4EB4F) & _MASK)
+    def _gaps(self, words: np.ndarray, number: int | np.ndarray) -> np.ndarray:
+        """How many merges go well before the next skip, by the words' hashes and the number of the draw; ``_GAPS`` or more are ``_GAPS``."""
+        h = words + np.asarray(number, dtype=np.uint64) * np.uint64(0x165667B19E3779F9)
         h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return (h >> np.uint64(32)) < np.uint64(int(dropout * 2**32))
+        h = (h ^ (h >> np.uint64(31))) >> np.uint64(11)
+        return _GAPS - np.searchsorted(self.goes_on, h, side="right")
+
+    def _all_skips(self, word: int) -> Iterator[int]:
+        """The numbers of all merges skipped in a word, rising, by the word's hash."""
+        at, begin = 0, 0
+        while True:
+            numbers = np.arange(begin, begin + 64, dtype=np.uint64)
+            for gap in self._gaps(np.full(64, word, dtype=np.uint64), numbers).tolist():
+                at += gap
+                if gap < _GAPS:
+                    yield at
+                    at += 1
+            begin += 64
 
     def _pairs(self) -> None:
         """All pairs of pieces that merge, as rising numbers, with the merged piece; characters by code point."""
@@ -137,87 +151,95 @@ class Encoder:
         at[self.pair_keys[at] != keys] = len(self.pair_keys) - 1
         return at
 
-    def _cost(self, at: np.ndarray, place: np.ndarray, draw: np.ndarray) -> np.ndarray:
-        """The cost of merging pairs, infinite if they don't or the merge is skipped. ``place`` is multiplied out already."""
-        cost = self.pair_cost[at]
-        cost[self.skip[draw, place + self.pair_piece[at]]] = np.inf
-        return cost
-
-    def _merge_rows(self, symbols: np.ndarray, draw: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Pieces of words of one length: (rows, their pieces), by number of pieces. A step does one merge in every row."""
-        done, rows = [], np.arange(len(symbols))
-        place_of = (np.arange(symbols.shape[1], dtype=np.int32) % PLACES) * self.size
-        places = np.tile(place_of, (len(symbols), 1))
-        short = self.single[symbols]
-        costs = self._cost(self.of_singles[short[:, :-1], short[:, 1:]], places[:, :-1], draw[:, None])
-        while True:
-            width = symbols.shape[1]
-            best = costs.argmin(axis=1) if width > 1 else np.zeros(len(rows), np.int64)
-            live = np.isfinite(costs[np.arange(len(rows)), best]) if width > 1 else np.zeros(len(rows), bool)
-            done.append((rows[~live], symbols[~live]))
-            if not live.any():
-                return done
-            if not live.all():
-                rows, symbols, places, costs, draw, best = (x[live] for x in (rows, symbols, places, costs, draw, best))
-            each = np.arange(len(rows))
-            merged = self.pair_piece[self._find(symbols[each, best], symbols[each, best + 1])]
-            # What stands right of the merge moves one place left.
-            right = np.arange(width - 1)[None, :] > best[:, None]
-            symbols = np.where(right, symbols[:, 1:], symbols[:, :-1])
-            places = np.where(right, places[:, 1:], places[:, :-1])
-            symbols[each, best] = merged
-            if width == 2:
-                costs = np.zeros((len(rows), 0), dtype=np.float32)
-                continue
-            costs = np.where(right[:, :-1], costs[:, 1:], costs[:, :-1])
-            behind, before = best < width - 2, best > 0
-            r, c = np.r_[each[behind], each[before]], np.r_[best[behind], best[before] - 1]
-            costs[r, c] = self._cost(self._find(symbols[r, c], symbols[r, c + 1]), places[r, c], draw[r])
+    def _merge_rows(self, symbols: np.ndarray, masks: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        """Pieces of words of one length: rows, their pieces, how many merges came up. Bit t of a row's mask skips its merge t.
 
-    def _learn(self, keys: list[str]) -> None:
-        """Remember the pieces of chunks, each followed by its draw."""
-        lengths = np.array([len(k) - 1 for k in keys], dtype=np.int64)
-        flat = np.frombuffer("".join(keys).encode("utf-32-le"), "<u4").astype(np.int64)
-        begin = np.cumsum(np.r_[0, lengths + 1])[:-1]
-        draw = flat[begin + lengths]
+        A step does or skips one merge in every row; rows with the same number of pieces left are one matrix.
+        """
+        short = self.single[symbols]
+        costs = self.pair_cost[self.of_singles[short[:, :-1], short[:, 1:]]]
+        parts, step = {symbols.shape[1]: [(np.arange(len(symbols)), symbols, costs, masks)]}, 0
+        while parts:
+            following: dict[int, list] = {}
+            for width, same in parts.items():
+                rows, symbols, costs, masks = same[0] if len(same) == 1 else map(np.concatenate, zip(*same, strict=True))
+                if width == 1:
+                    yield rows, symbols, step
+                    continue
+                best = costs.argmin(axis=1)
+                live = np.isfinite(costs[np.arange(len(rows)), best])
+                if not live.all():
+                    yield rows[~live], symbols[~live], step
+                    rows, symbols, costs, masks, best = (x[live] for x in (rows, symbols, costs, masks, best))
+                    if not len(rows):
+                        continue
+                skipped = (masks >> np.uint64(step)) & np.uint64(1) != 0 if step < 64 else np.zeros(len(rows), bool)
+                if skipped.any():
+                    left_out = costs[skipped]
+                    left_out[np.arange(len(left_out)), best[skipped]] = np.inf
+                    following.setdefault(width, []).append((rows[skipped], symbols[skipped], left_out, masks[skipped]))
+                    rows, symbols, costs, masks, best = (x[~skipped] for x in (rows, symbols, costs, masks, best))
+                if len(rows):
+                    symbols, costs = self._merged(symbols, costs, best)
+                    following.setdefault(width - 1, []).append((rows, symbols, costs, masks))
+            parts, step = following, step + 1
+
+    def _merged(self, symbols: np.ndarray, costs: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows with their pair at ``best`` merged."""
+        each, width = np.arange(len(symbols)), symbols.shape[1]
+        merged = self.pair_piece[self._find(symbols[each, best], symbols[each, best + 1])]
+        # What stands right of the merge moves one place left.
+        right = np.arange(width - 1)[None, :] > best[:, None]
+        symbols = np.where(right, symbols[:, 1:], symbols[:, :-1])
+        symbols[each, best] = merged
+        if width == 2:
+            return symbols, np.zeros((len(symbols), 0), dtype=np.float32)
+        costs = np.where(right[:, :-1], costs[:, 1:], costs[:, :-1])
+        behind, before = best < width - 2, best > 0
+        r, c = np.r_[each[behind], each[before]], np.r_[best[behind], best[before] - 1]
+        costs[r, c] = self.pair_cost[self._find(symbols[r, c], symbols[r, c + 1])]
+        return symbols, costs
+
+    def _work_out(self, chunks: list[str], masks: np.ndarray) -> list[tuple[bytes, int]]:
+        """The pieces of chunks with the merges of their masks skipped, and how many merges come up."""
+        out: list = [None] * len(chunks)
+        lengths = np.array(list(map(len, chunks)), dtype=np.int64)
+        flat = np.frombuffer("".join(chunks).encode("utf-32-le"), "<u4").astype(np.int64)
+        begin = np.cumsum(np.r_[0, lengths])[:-1]
         ids = self.char[flat]
-        ids[begin + lengths] = 0
         plain = (np.minimum.reduceat(ids, begin) >= 0) & (lengths <= _LONG)
         for length in np.unique(lengths[plain]).tolist():
             which = np.flatnonzero(plain & (lengths == length))
             symbols = ids[begin[which][:, None] + np.arange(length)]
-            for rows, pieces in self._merge_rows(symbols, draw[which]):
+            for rows, pieces, steps in self._merge_rows(symbols, masks[which]):
                 data, width = pieces.astype("<u4").tobytes(), 4 * pieces.shape[1]
                 for i, row in enumerate(which[rows].tolist()):
-                    self.known[keys[row]] = data[i * width : (i + 1) * width]
+                    out[row] = data[i * width : (i + 1) * width], steps
         for i in np.flatnonzero(~plain).tolist():
-            self.known[keys[i]] = self._ids(keys[i][:-1], int(draw[i]))
+            out[i] = self._encoded(chunks[i], _set_bits(int(masks[i])))
+        return out
+
+    def _learn(self, keys: list[str]) -> None:
+        """Remember the pieces of chunks, each followed by its skips."""
+        masks = np.array([ord(k[-1]) for k in keys], dtype=np.uint64)
+        for key, (data, steps) in zip(keys, self._work_out([k[:-1] for k in keys], masks), strict=True):
+            self.known[key], self.steps[key] = data, steps
 
     def _symbols(self, chunk: str) -> list[str]:
         # A text's own space mark stays apart from the spaces: no piece holds a NUL with something else.
         return [SPACE if c == " " else "\0" + SPACE if c == SPACE else c for c in chunk]
 
-    def merge(self, chunk: str, draw: int) -> list[str]:
-        """The chunk's pieces, merges of the draw skipped."""
-        return self._merge_long(self._symbols(chunk), self.skip[draw])
-
-    def _gain(self, piece: str, place: int, skip: np.ndarray) -> float:
-        number = self.model.id.get(piece)
-        if number is None or skip[place % PLACES * self.size + number]:
-            return _NONE
-        return self.model.score[piece]
-
-    def _merge_long(self, symbols: list[str | None], skip: np.ndarray) -> list[str]:
+    def _merge_long(self, symbols: list[str | None], skips: Iterator[int]) -> tuple[list[str], int]:
         """One chunk with an agenda: for long ones, and those with characters that have no piece."""
-        n = len(symbols)
+        n, step, skip = len(symbols), 0, next(skips, -1)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         agenda: list[tuple[float, int, str]] = []
 
         def offer(left: int) -> None:
             if left >= 0 and after[left] < n:
                 piece = symbols[left] + symbols[after[left]]
-                gain = self._gain(piece, left, skip)
-                if gain != _NONE:
+                gain = self.model.score.get(piece)
+                if gain is not None:
                     heapq.heappush(agenda, (-gain, left, piece))
 
         for i in range(n):
@@ -227,48 +249,108 @@ class Encoder:
             right = after[left]
             if symbols[left] is None or right >= n or symbols[left] + symbols[right] != piece:
                 continue
+            step += 1
+            if step - 1 == skip:
+                skip = next(skips, -1)
+                continue
             symbols[left], symbols[right] = piece, None
             after[left] = after[right]
             if after[right] < n:
                 before[after[right]] = left
             offer(left)
             offer(before[left])
-        return [s for s in symbols if s is not None]
+        return [s for s in symbols if s is not None], step
 
-    def _ids(self, chunk: str, draw: int) -> bytes:
+    def _encoded(self, chunk: str, skips: Iterator[int]) -> tuple[bytes, int]:
         model, out = self.model, []
-        for piece in self.merge(chunk, draw):
+        pieces, steps = self._merge_long(self._symbols(chunk), skips)
+        for piece in pieces:
             known = model.id.get(piece)
             if known is not None:
                 out.append(known)
             else:
                 out += [model.byte_id[b] for b in piece.removeprefix("\0").encode() or b"\0"]
-        return np.array(out, "<u4").tobytes()
+        return np.array(out, "<u4").tobytes(), steps
+
+    def _ids(self, chunk: str, mask: int) -> bytes:
+        return self._encoded(chunk, _set_bits(mask))[0]
 
-    def _draws(self, key: int, count: int) -> str:
-        """The draw of each of a text's words, as characters."""
+    def _words(self, key: int, count: int) -> np.ndarray:
+        """A hash of each of a text's words by its place."""
         h = np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         h ^= np.uint64((key ^ self.seed * 0x2545F4914F6CDD1D) & _MASK)
         h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return ((h ^ (h >> np.uint64(31))) % np.uint64(self.draws)).astype(np.uint8).tobytes().decode("ascii")
+        return h ^ (h >> np.uint64(31))
 
     def encode(self, text: str, key: int = 0) -> np.ndarray:
         return next(self.encode_all([text], [key]))
 
+    def _learn_new(self, keys: list[str]) -> None:
+        new, (known, steps) = [], self.older
+        for key in set(keys).difference(self.known):
+            if key in known:
+                self.known[key], self.steps[key] = known[key], steps[key]
+            else:
+                new.append(key)
+        for begin in range(0, len(new), 50_000):
+            self._learn(new[begin : begin + 50_000])
+
     def encode_all(self, texts: list[str], keys: list[int]) -> Iterator[np.ndarray]:
         """The pieces of every text; what is new in them is merged together."""
-        if len(self.known) > self.MOST_KNOWN:
-            forget_half(self.known)
-        drawn = []
+        if len(self.known) > self.MOST_KNOWN // 2:
+            self.older, self.known, self.steps = (self.known, self.steps), {}, {}
+        chunks, words, ends = [], [], [0]
         for text, key in zip(texts, keys, strict=True):
-            chunks = self.model.chunks.findall(" " + text) if text else []
-            drawn.append(list(map(add, chunks, self._draws(key, len(chunks)))))
-        new = list(set(chain.from_iterable(drawn)).difference(self.known))
-        for begin in range(0, len(new), 50_000):
-            self._learn(new[begin : begin + 50_000])
-        for own in drawn:
-            yield np.frombuffer(b"".join(map(self.known.__getitem__, own)), "<u4")
+            own = self.model.chunks.findall(" " + text) if text else []
+            chunks += own
+            words.append(self._words(key, len(own)))
+            ends.append(len(chunks))
+        hashes = np.concatenate([*words, np.zeros(0, np.uint64)])
+        plain = [c + "\0" for c in chunks]
+        self._learn_new(plain)
+        out = list(map(self.known.__getitem__, plain))
+        skip = self._gaps(hashes, 0)
+        active = np.flatnonzero(skip < np.fromiter(map(self.steps.__getitem__, plain), np.int64, len(plain)))
+        skip, masks, number = skip[active], np.zeros(len(active), np.uint64), 0
+        while len(active):
+            number += 1
+            # Beyond what a mask holds a word is worked out with all its skips.
+            far = skip >= 64
+            for i in active[far].tolist():
+                out[i] = self._encoded(chunks[i], self._all_skips(int(hashes[i])))[0]
+            active, skip, masks = active[~far], skip[~far], masks[~far]
+            masks = masks | np.uint64(1) << skip.astype(np.uint64)
+            own, bits = [chunks[i] for i in active.tolist()], masks.tolist()
+            short = masks < np.uint64(1 << _BITS) if number == 1 else np.zeros(len(active), bool)
+            steps = np.zeros(len(active), np.int64)
+            if short.any():
+                keyed = [c + chr(m) for c, m in zip(own, bits, strict=True) if m < 1 << _BITS]
+                self._learn_new(keyed)
+                steps[short] = np.fromiter(map(self.steps.__getitem__, keyed), np.int64, len(keyed))
+                for i, data in zip(active[short].tolist(), map(self.known.__getitem__, keyed), strict=True):
+                    out[i] = data
+            # Further skips are too many to remember beyond the batch.
+            rest = np.flatnonzero(~short).tolist()
+            found, new = {}, list({(own[j], bits[j]) for j in rest})
+            for begin in range(0, len(new), 50_000):
+                part = new[begin : begin + 50_000]
+                found |= zip(part, self._work_out([c for c, _ in part], np.array([m for _, m in part], np.uint64)), strict=True)
+            for j, i in zip(rest, active[rest].tolist(), strict=True):
+                out[i], steps[j] = found[own[j], bits[j]]
+            gap = self._gaps(hashes[active], number)
+            skip = skip + 1 + gap
+            more = (skip < steps) & (gap < _GAPS)
+            # A gap that is not told in full is followed by others.
+            for i in active[(skip < steps) & (gap >= _GAPS)].tolist():
+                out[i] = self._encoded(chunks[i], self._all_skips(int(hashes[i])))[0]
+            active, skip, masks = active[more], skip[more], masks[more]
+        for begin, end in zip(ends, ends[1:], strict=False):
+            yield np.frombuffer(b"".join(out[begin:end]), "<u4")
+
+
+def _set_bits(mask: int) -> Iterator[int]:
+    return (bit for bit in range(mask.bit_length()) if mask >> bit & 1)
 
 
 def encode_documents(

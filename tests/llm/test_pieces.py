@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -57,6 +58,33 @@ def test_ways_of_merging_agree():
         assert encoder.known[key] == encoder._ids(key[:-1], ord(key[-1]))
 
 
+def test_every_occurrence_has_its_own_draws():
+    """A frequent word's first merge is dropped at the stated rate, and segmentations grow with occurrences."""
+    encoder = pieces.Encoder(MODEL, 0.1)
+    word, number = "international", 4000
+    parts = [list(map(bytes, encoder.encode_all([word] * number, range(k * number, (k + 1) * number)))) for k in range(5)]
+    assert 8 < len(set(parts[0])) < len(set().union(*parts))
+    # One merge: the space mark and the letter. It is dropped in a tenth of the documents, and of the places in one.
+    assert len(pieces.Encoder(MODEL, 0.0).encode("a")) == 1
+    dropped = [len(i) == 2 for i in encoder.encode_all(["a"] * 20_000, range(20_000))]
+    assert abs(sum(dropped) / 20_000 - 0.1) < 0.01
+    assert abs(len(encoder.encode(" ".join("a" * 20_000), 5)) / 20_000 - 1.1) < 0.01
+    hashes = encoder._words(3, 200_000)
+    assert abs((encoder._gaps(hashes, 0) == 0).mean() - 0.1) < 0.005
+    assert abs((encoder._gaps(hashes, 1) == 1).mean() - 0.09) < 0.005
+
+
+def test_ways_of_drawing_agree():
+    """Skips added one after another, and all of them with an agenda."""
+    rng, encoder = random.Random(6), pieces.Encoder(MODEL, 0.3)
+    texts = ["".join(rng.choice("theanoi rst.,é\n") for _ in range(rng.randint(1, 200))) for _ in range(200)]
+    texts += ["the" * 40, "é" * 300, "x" * 47, "international" * 3]
+    for key, (text, got) in enumerate(zip(texts, encoder.encode_all(texts, list(range(len(texts)))), strict=True)):
+        chunks = MODEL.chunks.findall(" " + text)
+        want = [encoder._encoded(c, encoder._all_skips(int(h)))[0] for c, h in zip(chunks, encoder._words(key, len(chunks)), strict=True)]
+        assert got.tobytes() == b"".join(want)
+
+
 def test_rows(spark):
     docs, rows = awkward(spark)
     coded = pieces.encode_documents(docs, PATH)
