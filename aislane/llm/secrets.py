@@ -6,9 +6,12 @@ of the context words occurs in the 48 characters before it. Its novelty is margi
 zstandard frame of context and candidate takes beyond a frame of the context alone, both primed with a dictionary of
 common identifiers and of the text's own words nearby, against the candidate's length. Words, identifiers and
 repeats cost few bytes; random keys cost three quarters of a byte per character or more and are reported as kind ``novel``.
+Copies of the candidate, or of a long part of it with digits, are taken out of the context first, so a key that stands twice is judged like one
+that stands once, and reported at each place in a sensitive context.
 
-Defined results: a null text is empty and has no spans. Spans are in code points, end exclusive. A novel span
-that overlaps a pattern's span is left out. Repeated rows are scanned one by one.
+Defined results: a null text is empty and has no spans. Spans are in code points, end exclusive. Of a candidate that
+overlaps patterns' spans only what they leave over counts: letters and digits that go on beside an access key or a hexadecimal string without a break are
+reported with it, the rest is judged like a candidate. Repeated rows are scanned one by one.
 """
 
 from __future__ import annotations
@@ -38,6 +41,10 @@ CONTEXT = re.compile(
 )
 CONTEXT_REACH = 48
 AROUND = 256
+# Where a candidate may be put together of a name and a key, first on one side of ``=`` only.
+JOINTS = (re.compile("="), re.compile("[=/_-]"))
+LEAST_PART = 16
+RUN_ON, RUN_UP = re.compile(r"[A-Za-z0-9]+"), re.compile(r"[A-Za-z0-9]+\Z")
 NOVELTY = 0.7
 
 # Words of code and configuration that a coder should know already.
@@ -84,22 +91,63 @@ def in_order(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
+def _without(text: str, copies: re.Pattern, begin: int, end: int, reach: tuple[int, int]) -> str:
+    """``text[begin:end]`` without copies that lie within ``reach``, which is wider."""
+    kept, at = [], begin
+    for match in copies.finditer(text, *reach):
+        kept.append(text[at : min(end, max(at, match.start()))])
+        at = min(end, max(at, match.end()))
+    return "".join([*kept, text[at:end]])
+
+
+def _around(text: str, begin: int, end: int) -> str:
+    """The text on both sides of a candidate without its copies."""
+    candidate = text[begin:end]
+    parts = {p for joint in JOINTS for p in joint.split(candidate) if len(p) >= LEAST_PART and any(c.isdigit() for c in p)}
+    copies = re.compile("|".join(map(re.escape, sorted({candidate, *parts}, key=lambda p: (-len(p), p)))))
+    first, last = max(0, begin - AROUND), min(len(text), end + AROUND)
+    wider = max(0, first - len(candidate)), min(len(text), last + len(candidate))
+    before = _without(text, copies, first, begin, (wider[0], begin))
+    return before + _without(text, copies, end, last, (end, wider[1]))
+
+
+def _left_over(text: str, begin: int, end: int, taken: list[tuple[int, int, str]]) -> tuple[list, list]:
+    """What spans leave of a candidate: runs that belong to a span beside them, and other parts."""
+    runs, parts, at, kind = [], [], begin, None
+    over = sorted(s for s in taken if s[0] < end and begin < s[1])
+    for a, b, following in [*over, (end, end, None)]:
+        first, last = at, max(at, a)
+        if kind in ("access", "hex") and (match := RUN_ON.match(text, first, last)):
+            first = match.end()
+            runs.append(match.span())
+        if following in ("access", "hex") and (match := RUN_UP.search(text[first:last])):
+            runs.append((first + match.start(), last))
+            last = first + match.start()
+        if first < last:
+            parts.append((first, last))
+        if b >= at:
+            at, kind = b, following
+    return runs, parts
+
+
 def novel_spans(text: str, taken: list[tuple[int, int, str]], novelty: Novelty) -> list[tuple[int, int, str]]:
     """Candidates in a sensitive context that the primed coder can't shorten."""
     found = []
     for match in CANDIDATE.finditer(text):
-        begin, end = match.span()
         candidate = match.group()
         if not (any(c.isdigit() for c in candidate) and any(c.isalpha() for c in candidate)):
             continue
-        if not CONTEXT.search(text, max(0, begin - CONTEXT_REACH), begin):
-            continue
-        if any(a < end and begin < b for a, b, _ in taken):
+        if not CONTEXT.search(text, max(0, match.start() - CONTEXT_REACH), match.start()):
             continue
-        around = text[max(0, begin - AROUND) : begin] + text[end : end + AROUND]
-        if novelty.ratio(around, candidate) >= NOVELTY:
-            found.append((begin, end, "novel"))
-    return found
+        runs, parts = _left_over(text, *match.span(), taken)
+        found += [(begin, end, "novel") for begin, end in runs]
+        for begin, end in parts:
+            own = text[begin:end]
+            if len(own) < LEAST_PART or not (any(c.isdigit() for c in own) and any(c.isalpha() for c in own)):
+                continue
+            if novelty.ratio(_around(text, begin, end), own) >= NOVELTY:
+                found.append((begin, end, "novel"))
+    return sorted(found)
 
 
 def joined(spans: list[tuple[int, int, str]]) -> str:
