@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aislane.llm import decontam, exact, katz, pieces, quality, secrets, simhash, tokenbin, toxicity, urls
+from aislane.llm import (
+    balltree,
+    decontam,
+    exact,
+    katz,
+    languages,
+    pieces,
+    quality,
+    secrets,
+    simhash,
+    tokenbin,
+    toxicity,
+    urls,
+    whitening,
+)
 from aislane.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +105,19 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "block_odds")
 
 
+def op11_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.held_out_languages(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return white.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
@@ -102,6 +129,9 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_katz": op9_katz,
     "op10_urls": op10_urls,
+    "op11_ball_tree": op11_ball_tree,
+    "op12_language": op12_language,
+    "op13_whitening": op13_whitening,
 }
 
 _WORDS = r"""
@@ -140,4 +170,25 @@ hit_items as (
 select d.doc_id, len(words) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
   sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from docs d left join hit_words using (doc_id) left join hit_items using (doc_id)""",
+    "op11_ball_tree": f"""
+with texts as (select row_number() over () as doc, doc_id, {_WORDS} from documents),
+asked as (
+  select row_number() over () as item, item_id, {_WORDS}
+  from (select distinct item_id, coalesce(text, '') as text from benchmark)),
+counted as (select doc, doc_id, len(words) as n, words from texts where len(words) > 0),
+whole as (select count(*) as docs, cast(sum(n) as bigint) as total from counted),
+held as (select doc, term, count(*) as tf from (select doc, unnest(words) as term from counted) group by doc, term),
+wanted as (select item, item_id, term, count(*) as times
+  from (select item, item_id, unnest(words) as term from asked) group by all),
+weighed as (
+  select term, cast(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) as bigint) as w
+  from held, whole where term in (select term from wanted) group by term),
+scored as (
+  select item, item_id, c.doc, doc_id,
+    cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total)))) as bigint) as score
+  from wanted join weighed using (term) join held using (term) join counted c using (doc), whole
+  group by item, item_id, c.doc, doc_id),
+placed as (
+  select *, row_number() over (partition by item order by score desc, doc_id nulls last) as rank from scored where score > 0)
+select item_id, cast(rank as int) as rank, doc_id, score from placed where rank <= 20""",
 }

@@ -1,0 +1,155 @@
+"""Language identification against plain sets, and accuracy on rows it hasn't learned from."""
+
+from __future__ import annotations
+
+import unicodedata
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from aislane.llm import languages as lg
+from tests.llm.common import DOCS, awkward, empty, frame, prose
+
+OTHER = str.maketrans("aeiou", "uoeia")
+
+
+def plain_words(text):
+    word, out = "", []
+    for c in text.lower() + " ":
+        if unicodedata.category(c)[0] in "LM":
+            word += c
+        elif word:
+            out.append(word)
+            word = ""
+    return out
+
+
+def plain_grams(text):
+    """Pairs and triples in `` word word ``, none across a space."""
+    line = f" {' '.join(plain_words(text))} "
+    triples = [line[i : i + 3] for i in range(len(line) - 2)]
+    return [line[i : i + 2] for i in range(len(line) - 1)] + [t for t in triples if t[1] != " "]
+
+
+def as_gram(number):
+    return "".join(chr(number >> shift & 0x1FFFFF) for shift in (42, 21, 0)).lstrip("\0")
+
+
+def learned(lang, seed):
+    return prose(seed) if lang == "aa" else prose(seed).translate(OTHER)
+
+
+@pytest.fixture
+def two(spark):
+    langs = ["aa", "bb", "aa"]
+    return frame(spark, [(i, learned(langs[i % 3], i), langs[i % 3]) for i in range(90)])
+
+
+@pytest.mark.parametrize("text", ["A", "Ab, cD e!", "  x--yz ", "é́ ß123ßt ĳ", "नमस्ते दुनिया", prose(3)])
+def test_grams(text):
+    found = np.concatenate(list(lg.gram_pieces(lg.cleaned(text))))
+    assert Counter(map(as_gram, found.tolist())) == Counter(plain_grams(text))
+
+
+def test_pieces_join(monkeypatch):
+    points = lg.cleaned(prose(1))
+    whole = np.sort(np.concatenate(list(lg.gram_pieces(points))))
+    for chars in (1, 2, 7, len(points) - 1, len(points), len(points) + 1):
+        monkeypatch.setattr(lg, "PIECE_CHARS", chars)
+        parts = [p for p in lg.gram_pieces(points)]
+        assert np.array_equal(np.sort(np.concatenate(parts)), whole)
+
+
+def test_counts(spark, two):
+    want = Counter()
+    for r in two.collect():
+        want[r.lang, "documents"] += 1
+        want.update((r.lang, g) for g in plain_grams(r.text))
+    found = {(r.lang, as_gram(r.gram) or "documents"): r.n for r in lg.gram_counts(two).collect()}
+    assert found == want
+
+
+def test_filter_returns_every_language_that_holds_a_gram():
+    rng = np.random.default_rng(5)
+    names = [f"l{i:02d}" for i in range(19)]
+    held = {n: rng.integers(1, 1 << 62, 500 + 10 * i) for i, n in enumerate(names[:-1])}
+    held["l03"] = np.concatenate([held["l03"], held["l07"][:200]])
+    made = lg.LanguageFilter.of(held, names)
+    for n, grams in held.items():
+        i = names.index(n)
+        assert ((made.masks(grams)[:, i // 8] >> i % 8) & 1).all()
+        assert made.hits(grams)[i] == len(grams)
+    strange = rng.integers(1, 1 << 62, 200_000)
+    assert np.allclose(made.hits(strange) / len(strange), made.strange, atol=1e-3)
+    assert made.hits(held["l00"])[18] == 0
+
+
+def test_same_as_exact_sets(spark, two):
+    """Corrected popcounts decide as exact sets of the frequent n-grams do."""
+    counts, docs = {}, Counter()
+    for r in two.collect():
+        counts.setdefault(r.lang, Counter()).update(plain_grams(r.text))
+        docs[r.lang] += 1
+    share = 1 << 8
+    sets = {k: {g for g, n in c.items() if n * share >= c.total()} for k, c in counts.items()}
+    assert all(0 < len(s) <= share for s in sets.values()) and any(len(sets[k]) < len(counts[k]) for k in sets)
+    model = lg.fit(two, share=share)
+    assert model.languages == ["aa", "bb"]
+    for seed in range(200, 230):
+        for lang in sets:
+            text = learned(lang, seed)
+            grams = plain_grams(text)
+            hits = {k: sum(g in s for g in grams) for k, s in sets.items()}
+            got, score = model.judge(text)
+            assert got == max(hits, key=hits.get) == lang
+            assert score == pytest.approx(hits[got] / sum(hits.values()), abs=0.02)
+
+
+def test_held_out_accuracy(spark, sf_dir):
+    from aislane.llm.common import table
+
+    docs = table(spark, sf_dir, "documents")
+    found = {r.doc_id: r for r in lg.held_out_languages(docs).collect()}
+    assert len(found) == docs.count()
+    right = total = 0
+    for r in docs.collect():
+        assert found[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2)
+        if found[r.doc_id].held_out and r.lang:
+            total += 1
+            right += found[r.doc_id].lang_pred == r.lang
+    assert total > 10 and right / total > 0.95
+
+
+def test_labels_of_held_out_rows_are_not_learned(spark, two):
+    swapped = [(r.doc_id, r.text, "zz" if zlib.crc32(str(r.doc_id).encode()) % 4 == 2 else r.lang) for r in two.collect()]
+    a, b = (sorted(map(tuple, lg.held_out_languages(d).collect())) for d in (two, frame(spark, swapped)))
+    assert a == b and all(r[2] in ("aa", "bb") for r in a)
+
+
+def test_awkward_rows(spark):
+    docs, rows = awkward(spark)
+    docs = docs.selectExpr("*", "if(doc_id = 7, 'xx', null) as language").withColumnRenamed("language", "gram")
+    found = lg.held_out_languages(docs, lang_column="gram").collect()
+    by_text = {}
+    for r, (i, text) in zip(sorted(found, key=str), sorted(rows, key=str), strict=True):
+        by_text.setdefault(text, set())
+    for r in lg.languages(docs, docs.where("doc_id = 7"), lang_column="gram").collect():
+        by_text[r.text].add((r.lang_pred, r.score > 0))
+    assert by_text[None] == by_text[""] == by_text[" \n\t"] == {("und", False)}
+    assert by_text[prose(1)] == {("xx", True)}
+    assert all(len(v) == 1 for v in by_text.values())
+    assert {r.lang_pred for r in lg.held_out_languages(docs.drop("gram")).collect()} == {"und"}
+
+
+def test_ties_and_strange_texts(spark):
+    rows = [(1, "abc", "b"), (2, "abc", "a"), (3, "xyz", "a"), (4, "...", "c")]
+    model = lg.fit(frame(spark, rows, DOCS))
+    assert model.languages == ["a", "b", "c"]
+    assert model.judge("abc")[0] == "a" and model.judge("日本")[0] == "a" and model.judge("日本")[1] == 0.0
+    assert model.judge("12")[0] == "und"
+
+
+def test_nothing(spark):
+    assert lg.held_out_languages(empty(spark)).collect() == []

@@ -1,0 +1,125 @@
+"""Whitening against exact fractions and numpy's eigenvalues."""
+
+from __future__ import annotations
+
+import math
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from aislane.llm import whitening as wh
+from aislane.llm.common import table
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def exact_fit(vectors):
+    """Distinct integer vectors, their number, sums and covariance as fractions."""
+    x = sorted({tuple(v) for v in vectors})
+    n, dims = len(x), len(x[0])
+    s = [sum(v[i] for v in x) for i in range(dims)]
+    cov = [[sum((Fraction(v[i]) - Fraction(s[i], n)) * (Fraction(v[j]) - Fraction(s[j], n)) for v in x) / n
+            for j in range(dims)] for i in range(dims)]
+    return x, n, s, cov
+
+
+def check(rows, found):
+    """``rows``: vec_id and doubles that remain."""
+    ints = [(i, [math.floor(256 * c) for c in v]) for i, v in rows]
+    x, n, s, cov = exact_fit([v for _, v in ints])
+    dims, values = len(s), np.linalg.eigvalsh(np.array([[float(c) for c in row] for row in cov]))[::-1]
+    trace = float(sum(cov[i][i] for i in range(dims)))
+    by_row = {}
+    for r in found:
+        by_row.setdefault(r.component, []).append(r)
+    assert len(by_row) == min(4, int((values > 1e-9 * values[0]).sum()))
+    for k, own in by_row.items():
+        own = sorted(own, key=lambda r: (r.vec_id is None, r.vec_id or 0, r.whitened))
+        assert len(own) == len(rows)
+        assert own[0].explained == pytest.approx(values[k - 1] / trace, rel=1e-9)
+        assert {r.n for r in own} == {n} and {r.identity_error for r in own} == {own[0].identity_error}
+        assert own[0].identity_error < 1e-9
+    deviations = sorted(sum((n * c - t) ** 2 for c, t in zip(v, s, strict=True)) for _, v in ints)
+    assert sorted(int(r.deviation) for r in by_row[1]) == deviations
+    # Whitened values of the fit list are orthonormal components: W'VW is the identity.
+    white = {k: np.array([r.whitened for r in sorted(own, key=lambda r: r.vec_id)]) for k, own in by_row.items()}
+    by_id = dict(ints)
+    one = {v: i for i, v in sorted(((i, tuple(v)) for i, v in by_id.items()), reverse=True) for i, v in [(v, i)]}
+    ids = sorted(by_id)
+    chosen = [ids.index(i) for i in {v: i for i, v in ((i, tuple(by_id[i])) for i in ids)}.values()]
+    assert len(chosen) == n and one
+    matrix = np.array([white[k][chosen] for k in sorted(white)])
+    assert np.allclose(matrix @ matrix.T / n, np.eye(len(matrix)), atol=1e-9)
+    assert np.allclose(matrix.mean(axis=1), 0, atol=1e-9)
+
+
+def test_given_table(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    check([(r.vec_id, r.embedding) for r in vectors.collect()], wh.whiten(vectors).collect())
+
+
+def test_awkward_rows(spark):
+    rng = np.random.default_rng(2)
+    good = [(i, [float(np.float32(c)) for c in rng.normal(size=5)]) for i in range(40)]
+    good += [(100 + i, good[3][1]) for i in range(30)] + [(200, [-0.0, 0.0, 0.001, -0.001, 1.0])]
+    bad = [(300, None), (301, [1.0, None, 2.0, 3.0, 4.0]), (302, [float("nan")] * 5), (303, [1.0, float("inf"), 0.0, 0.0, 0.0])]
+    vectors = spark.createDataFrame([(i, v, 1) for i, v in good + bad], SCHEMA)
+    vectors = vectors.selectExpr("*", "1 as x", "2 as c", "3 as packed", "'n' as n", "4 as component")
+    check(good, wh.whiten(vectors).collect())
+
+
+def test_null_and_repeated_ids_stay(spark):
+    rows = [(None, [0.0, 1.0], 1), (None, [0.0, 1.0], 1), (1, [1.0, 0.0], None), (1, [2.0, 5.0], None)]
+    found = wh.whiten(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.vec_id is None, r.component) for r in found) == sorted([(i, c) for i in (0, 0, 1, 1) for c in (1, 2)])
+    assert {r.n for r in found} == {3}
+
+
+def test_short_vectors_are_filled_up(spark):
+    rows = [(1, [1.0], 1), (2, [1.0, 0.0], 1), (3, [], 1), (4, [0.0, 2.0], 1)]
+    found = wh.whiten(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.n for r in found} == {3} and len(found) == 8
+
+
+def test_large_entries_are_exact(spark):
+    rows = [(1, [1e12, 3.0], 1), (2, [-1e12, 5.0], 1), (3, [7e11, 1e30], 1), (4, [0.0, 1.0], 1)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = {r.vec_id: r for r in wh.whiten(vectors).where("component = 1").collect()}
+    top = (1 << 63) - 1
+    ints = {i: [max(-top - 1, min(top, math.floor(256 * c))) for c in v] for i, v, _ in rows}
+    s = [sum(v[d] for v in ints.values()) for d in (0, 1)]
+    for i, v in ints.items():
+        want = sum((4 * c - t) ** 2 for c, t in zip(v, s, strict=True))
+        assert found[i].deviation == (want if want < 10**38 else None)
+    assert found[1].identity_error < 1e-9
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None, 1)], [(1, [], 1)], [(1, [1.0, 2.0], 1)], [(i, [1.0, 2.0], 1) for i in range(5)]])
+def test_nothing_to_whiten(spark, rows):
+    assert wh.whiten(spark.createDataFrame(rows, SCHEMA)).collect() == []
+
+
+@pytest.mark.parametrize("size,rank", [(1, 1), (2, 2), (7, 7), (12, 5), (33, 33)])
+def test_factor_and_rotation(size, rank):
+    rng = np.random.default_rng(size)
+    root = rng.normal(size=(size, rank)) * 10.0 ** rng.integers(-3, 4, rank)
+    a = root @ root.T
+    factor = wh.pivoted_cholesky(a)
+    assert factor.shape == (size, rank) and np.allclose(factor @ factor.T, a, atol=1e-9 * a.max())
+    turned = wh.one_sided_jacobi(factor)
+    norms = np.sqrt((turned * turned).sum(axis=0))
+    inner = (turned / norms).T @ (turned / norms)
+    assert np.abs(inner - np.eye(rank)).max() < 1e-12 and (np.diff(norms) <= 0).all()
+    assert np.allclose(turned @ turned.T, a, atol=1e-9 * a.max())
+
+
+def test_sums_of_many_parts(spark):
+    rng = np.random.default_rng(9)
+    x = [[int(c) for c in rng.integers(-(1 << 40), 1 << 40, 3)] for _ in range(100)] + [[1, 2, 3]] * 7
+    rows = spark.createDataFrame([(v,) for v in x], "x array<long>").repartition(9)
+    packed = wh.fit_list(rows, 3)
+    found = wh.exact_sums(packed, 3)
+    distinct = {tuple(v) for v in x}
+    assert found.n == len(distinct) and found.totals == [sum(v[i] for v in distinct) for i in range(3)]
+    assert found.products == [[sum(v[i] * v[j] for v in distinct) for j in range(3)] for i in range(3)]
