@@ -7,15 +7,7 @@ one of four 12-bit blocks; so 16 keys of 28 bits bring every such pair together.
 two blocks, each block meeting each, so none lands in one task and no pair is lost. A task returns links that
 span its clusters, not pairs, and ``components`` joins them.
 
-Two settings matter:
-
-* ``CONTRACT``: three words, shingles with repeats, 64 bits, at most 3 differences. Exact: no link is lost.
-* ``SIMILAR``: five words, distinct shingles, exact Jaccard similarity 0.8 or more. Documents with equal sets merge first. Sets meet
-  where one of ``BANDS`` keys agrees, each made of ``BAND_ROWS`` min-hashes: a pair of similarity s, however short its texts, meets with
-  1 - (1 - s^3)^16, which is 0.99999 at 0.8. The 512-bit fingerprint only spares comparisons: a pair of similarity 0.8
-  differs in at most 19 % of the bits expected (four shingles against five; long texts 15 %), and pairs up to 27 % go on. What
-  is left is compared set against set, so no link is an estimate. Pairs within 12 % come first, one for each row, and what they join needs no
-  further comparison; then all pairs across classes follow.
+``CONTRACT`` is the registered setting: three words, shingles with repeats, 64 bits, at most 3 differences. No link is lost.
 
 Defined results: null and empty texts have the fingerprint zero and no shingles, and form one group. Null ids sort after all
 others; a group of only such documents has a null component. Repeated rows are equal fingerprints.
@@ -36,7 +28,7 @@ from pyspark.sql import functions as F
 from aislane.llm.common import LOWER, row_key, staged, text_bytes, text_length
 from aislane.llm.components import components
 from aislane.llm.exact import keep_rows
-from aislane.llm.gray import GrayIndex, gray_order, links_in_groups
+from aislane.llm.gray import links_in_groups
 
 GROUP_ROWS = 1024
 SEED = 42
@@ -51,12 +43,6 @@ class Setting:
 
 
 CONTRACT = Setting(words=3, bits=64, most=3, distinct=False)
-# ``most`` is five standard deviations above what four shingles against five of them differ in.
-SIMILAR = Setting(words=5, bits=512, most=140, distinct=True)
-# Similarity of sets as a fraction, the bits within which rows of a class are linked first, and the min-hash keys.
-ALIKE = (4, 5)
-CLOSE = 61
-BANDS, BAND_ROWS = 16, 3
 
 
 def shingles(text: bytes, words: int) -> list[bytes]:
@@ -78,12 +64,11 @@ def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
 
 
 def shingle_hashes(text: bytes, setting: Setting) -> np.ndarray:
-    """A hash of every shingle, sorted if the setting wants each once."""
+    """A hash of every shingle, once if the setting wants each once."""
     found = shingles(text, setting.words)
     if setting.distinct:
-        found = list(set(found))
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, found, repeat(SEED)), dtype=np.uint64, count=len(found))
-    return np.unique(hashes) if setting.distinct else hashes
+        found = sorted(set(found))
+    return np.fromiter(map(xxhash.xxh64_intdigest, found, repeat(SEED)), dtype=np.uint64, count=len(found))
 
 
 def fingerprint(text: bytes, setting: Setting) -> bytes:
@@ -211,134 +196,11 @@ def near_classes(
     return prints.join(classes, "code").select("doc_id", "row_key", "n_chars", "code", "root", "component_id")
 
 
-def meeting_keys(hashes: np.ndarray) -> list[int]:
-    """A key of every band: its number and its min-hashes. Sets without shingles have none."""
-    if not len(hashes):
-        return []
-    salts = np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max)
-    for begin in range(0, len(hashes), 2048):
-        h = hashes[None, begin : begin + 2048] + salts[:, None]
-        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        least = np.minimum(least, (h ^ (h >> np.uint64(31))).min(axis=1))
-    bands = least.astype("<u8").reshape(BANDS, BAND_ROWS)
-    return [xxhash.xxh64_intdigest(band.tobytes(), number) - (1 << 63) for number, band in enumerate(bands)]
-
-
-def _shingle_sets(docs: DataFrame, setting: Setting, id_column: str, text_column: str) -> DataFrame:
-    """``doc_id, row_key, n_chars, code, node, keys, hashes``; ``node`` is a number that stands for the set."""
-
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_hashes(text, setting) for text in batch.column(3).to_pylist()]
-            ends = pa.array(np.cumsum([0, *map(len, sets)]).astype(np.int32))
-            flat = pa.array(np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[:3],
-                    pa.array([_print(h, setting) for h in sets], pa.binary()),
-                    pa.array([xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63) for h in sets], pa.int64()),
-                    pa.array(map(meeting_keys, sets), pa.list_(pa.int64())),
-                    pa.ListArray.from_arrays(ends, flat),
-                ],
-                ["doc_id", "row_key", "n_chars", "code", "node", "keys", "hashes"],
-            )
-
-    return docs.select(
-        F.col(id_column).cast("long").alias("doc_id"),
-        row_key(id_column, text_column).alias("row_key"),
-        text_length(text_column).alias("n_chars"),
-        text_bytes(text_column).alias("text"),
-    ).mapInArrow(
-        make, "doc_id long, row_key long, n_chars int, code binary, node long, keys array<long>, hashes array<long>"
-    )
-
-
-def _near_pairs(codes: DataFrame, setting: Setting, most: int, every: bool, group_rows: int) -> DataFrame:
-    """Pairs ``a, b`` of nodes of different roots that meet and differ in at most ``most`` bits.
-
-    Without ``every`` a row of a group gets one pair at most, so there are no more of them than rows.
-    """
-    keyed = codes.select(F.explode("keys").alias("key"), "node", "code", "root")
-    sizes = codes.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n"))
-    hot = staged(sizes.where(F.col("n") > group_rows).select("key", F.ceil(F.col("n") / group_rows).alias("blocks")), "hot")
-    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    other = F.explode(F.coalesce(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), F.array(F.lit(None).cast("long"))))
-    tiled = (
-        keyed.join(hot, "key", "left")
-        .select("key", "node", "code", "root", own.alias("own"), other.alias("other"))
-        .select("key", "node", "code", "root", F.least("own", "other").alias("s"), F.greatest("own", "other").alias("t"))
-    )
-    member = F.struct("node", "root", "code")
-    groups = tiled.groupBy("key", "s", "t").agg(
-        F.collect_list(member).alias("members"), F.min("root").alias("least"), F.max("root").alias("largest")
-    )
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(0)
-            nodes, roots, codes = column.flatten().flatten()
-            nodes, roots = nodes.to_numpy(), roots.to_numpy()
-            matrix = _matrix(codes.to_pylist(), setting.bits)
-            left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            ends = np.cumsum(column.value_lengths().to_numpy())
-            for begin, end in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
-                order = begin + gray_order(matrix[begin:end])
-                asked, found = GrayIndex(matrix[order]).search(matrix[order], most)
-                later = (found < asked) & (roots[order[asked]] != roots[order[found]])
-                asked, found = asked[later], found[later]
-                if not every:
-                    # The nearest in Gray order, which leaves no row with many.
-                    by_row = np.lexsort([-found, asked])
-                    first = by_row[np.r_[True, np.diff(asked[by_row]) != 0][: len(by_row)]]
-                    asked, found = asked[first], found[first]
-                left.append(nodes[order[asked]])
-                right.append(nodes[order[found]])
-            a, b = np.concatenate(left), np.concatenate(right)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-    return groups.where("least < largest").select("members").mapInArrow(compare, "a long, b long").distinct()
-
-
-def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose shingle sets have the similarity asked for; ``sets`` may have a node in many rows."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = staged(sets.join(nodes, "node", "left_semi").dropDuplicates(["node"]), "sets")
-    both = pairs.join(wanted.toDF("a", "of_a"), "a").join(wanted.toDF("b", "of_b"), "b")
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    least, whole = ALIKE
-    return both.where(whole * common >= least * (F.size("of_a") + F.size("of_b") - common)).select("a", "b")
-
-
-def similar_classes(
-    docs: DataFrame,
-    setting: Setting = SIMILAR,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    group_rows: int = GROUP_ROWS,
-) -> DataFrame:
-    """Like ``near_classes``, but a link is a pair of shingle sets of similarity ``ALIKE`` or more."""
-    prints = staged(_shingle_sets(docs, setting, id_column, text_column), "shingles")
-    sets = prints.select("node", "hashes")
-    one = [F.any_value(c).alias(c) for c in ("code", "keys")]
-    codes = staged(prints.groupBy("node").agg(F.min("doc_id").alias("first_id"), *one), "codes")
-    alone = codes.withColumn("root", F.col("node"))
-    close = staged(_alike(staged(_near_pairs(alone, setting, CLOSE, False, group_rows), "pairs"), sets), "links")
-    joined = codes.join(components(close), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    rest = _alike(staged(_near_pairs(staged(joined, "joined"), setting, setting.most, True, group_rows), "pairs"), sets)
-    labels = components(staged(close.unionByName(rest), "links"))
-    named = codes.select("node", "first_id").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = named.join(least, "root").select("node", "root", "component_id")
-    return prints.join(classes, "node").select("doc_id", "row_key", "n_chars", "code", "root", "component_id")
-
-
 def drop_near_copies(
-    docs: DataFrame, setting: Setting = SIMILAR, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, setting: Setting = CONTRACT, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """``docs`` with one row of each class: the smallest id, then the longest text, then the largest ``row_key``."""
-    classes = (similar_classes if setting.distinct else near_classes)(docs, setting, id_column, text_column)
+    classes = near_classes(docs, setting, id_column, text_column)
     order = F.struct((-F.col("doc_id")).alias("before"), "n_chars", "row_key")
     best = classes.groupBy("root").agg(F.max(order).alias("best"))
     return keep_rows(docs, best.select("best.row_key", "best.n_chars"), id_column, text_column)

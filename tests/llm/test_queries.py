@@ -12,6 +12,7 @@ from aislane.llm.queries import ORACLE_SQL, QUERIES
 from tests.llm.common import awkward, empty, frame, prose
 from tests.llm.test_decontam import brute as brute_hits
 from tests.llm.test_quality import KINDS, junk
+from tests.llm.test_simhash import brute_groups, brute_print
 
 
 def _rows(columns, rows):
@@ -48,10 +49,11 @@ def folder(spark, tmp_path):
     words = prose(900, 300).split()
     near = list(words)
     near[150] = "changed"
+    longer = prose(903, 4000)
     rows = [(i, prose(i)) for i in range(200)]
     rows += [(300 + i, junk(KINDS[i % 4], 300 + i)) for i in range(40)]
     rows += [(400, prose(3).replace(" ", "  ")), (401, prose(4)), (402, prose(4))]
-    rows += [(500, " ".join(words)), (501, " ".join(near)), (502, prose(901) + " " + prose(1000, 20) + " " + prose(902))]
+    rows += [(500, " ".join(words)), (501, " ".join(near)), (503, longer), (504, longer + " end"), (502, prose(901) + " " + prose(1000, 20) + " " + prose(902))]
     docs, odd = awkward(spark)
     items = [(1, prose(1000, 20)), (2, None)]
     frame(spark, rows + [(i and 600 + i, t) for i, t in odd]).write.parquet(str(tmp_path / "documents.parquet"))
@@ -79,9 +81,12 @@ def test_pipeline_stage_by_stage(spark, folder):
     assert sorted(texts) == sorted({exact_key(r.text) for r in got["quality"]})
     assert 400 in {r.doc_id for r in got["exact copies"]}
 
-    before, after = ({r.doc_id for r in got[n]} for n in ("exact copies", "near copies"))
-    assert before - after == {501} | (before & {607, 608} - after)
-    assert {500, 502} <= after
+    before = got["exact copies"]
+    prints = [brute_print(r.text) for r in before]
+    label = brute_groups(len(before), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 3)
+    first = [min((r.doc_id for k, r in enumerate(before) if label[k] == own and r.doc_id is not None), default=None) for own in set(label)]
+    assert sorted(map(str, first)) == sorted(str(r.doc_id) for r in got["near copies"])
+    assert len(first) < len(before) and 502 in first
 
     clean = [r.doc_id for r in got["near copies"] if not brute_hits(r.text, items)[1]]
     assert sorted(map(str, clean)) == sorted(str(r.doc_id) for r in got["decontamination"])
