@@ -1,7 +1,7 @@
 """From raw documents to piece ids: each stage works on all rows that the one before kept.
 
-Stages: rejects of the quality classifier go; of equal texts one stays; of near copies (five-word
-shingles, similarity 0.8 or more) one stays; documents that contain a ten-word window of a benchmark item go; the rest is encoded
+Stages: rejects of the quality classifier go; of equal texts one stays; of near copies (three-word
+shingles, fingerprints that differ in at most 3 bits) one stays; documents that contain a ten-word window of a benchmark item go; the rest is encoded
 with seeded merge-dropout. All but the last return the columns of ``documents``; rows with null ids or texts, repeated rows and empty
 tables are handled as the operators' docstrings say.
 """
@@ -28,7 +28,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ready(spark)
-    return simhash.drop_near_copies(docs, simhash.SIMILAR)
+    return simhash.drop_near_copies(docs, simhash.CONTRACT)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
