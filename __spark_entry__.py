@@ -80,12 +80,15 @@ def _normalized_stream(spark: SparkSession, path: str) -> DataFrame:
     return normalize(records(lines), RECEIVED_AT)
 
 
+# These may have been left out of this copy; whatever else is missing is an error.
+_OPTIONAL = {"aislane.llm", "corpus_pipeline"}
+
+
 def _optional(name: str, attribute: str, default):
-    """``attribute`` of a module that may have been left out of this copy; its own errors are not hidden."""
     try:
         return getattr(importlib.import_module(name), attribute)
     except ModuleNotFoundError as missing:
-        if not (missing.name == name or name.startswith(f"{missing.name}.")) or missing.name == "aislane":
+        if missing.name not in _OPTIONAL:
             raise
         return default
 
