@@ -7,25 +7,26 @@ from ``events`` with the one SELECT in ``aislane.sources.fixture``.
 from __future__ import annotations
 
 import importlib
+import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aislane import configure
 from aislane.functions.constants import RECORD_SCHEMA
-from aislane.operators import runs
+from aislane.operators import runs, sketches
 from aislane.operators import signal as sg
 from aislane.operators import slots as sl
 from aislane.operators import vessels as vs
 from aislane.plans.reports import process_run
 from aislane.session import scratch_path
 from aislane.sources import table as tb
-from aislane.sources.fixture import AIS_SELECT, ais_rows, landed_raw, write_raw
+from aislane.sources.fixture import AIS_SELECT, ORDERED_FILE, ais_rows, landed_ordered, landed_raw, write_ordered, write_raw
 from aislane.sources.normalize import accepted, ingest_counters, normalize, rejected
-from aislane.sources.raw import read_lines, records, stream_lines
-from aislane.sources.store import append_run, latest_records, read_records, run_name
+from aislane.sources.raw import corrupt_lines, read_lines, records, stream_lines
+from aislane.sources.store import append_run, compact_day, latest_records, read_records, run_name, write_bucketed
 from aislane.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +36,7 @@ DAY = date(2024, 1, 15)
 MIDDLE = datetime(2024, 1, 16)
 VESSELS = ["200000011", "200000003", "200000007"]
 RECEIVED_AT = datetime(2024, 2, 1)
+DELAYS = (0, 3, 7, 1)
 TRACK_ORDER = ("date_bucket", "event_id")
 TIME_ORDER = ("date_bucket", "event_id")
 
@@ -244,17 +246,132 @@ def stream_slot_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The files arrive in two parts, as on a schedule; the second run goes on from the first."""
     ais = _ais(spark, sf_dir)
     source, out = scratch_path(spark, "arriving"), scratch_path(spark, "checked")
-    state, checkpoint = scratch_path(spark, "last"), scratch_path(spark, "check-checkpoint")
+    checkpoint = scratch_path(spark, "check-checkpoint")
     cut = F.lit(MIDDLE).cast("timestamp_ntz")
     for part in (ais.where(F.col("date_bucket") < cut), ais.where(F.col("date_bucket") >= cut)):
         write_raw(part, source)
         rows = accepted(_normalized_stream(spark, source))
-        jobs.start_slot_check(rows, out, state, checkpoint).awaitTermination()
+        jobs.start_slot_check(rows, out, checkpoint).awaitTermination()
     return spark.read.parquet(out).select(
         "mmsi", "date_bucket", "slot_num", "prev_slot", "prev_sog", "ni", "slot_diff", "slot_valid"
     )
 
 
+def quarantine_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines without JSON by file and number in the file."""
+    found = corrupt_lines(configure(spark), landed_ordered(spark, sf_dir), file_pattern="*.txt")
+    part = F.regexp_extract("file", r"part=(\d+)/", 1).cast("long")
+    return found.select(part.alias("part"), "line_number", "line")
+
+
+def last_writer_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message stands in two files of one run, each with cells of its own; where both have one the later file's stands."""
+    configure(spark)
+    n, part = F.col("event_id"), F.lpad(F.floor(F.col("event_id") / ORDERED_FILE).cast("string"), 12, "0")
+
+    def lines(folder: str, **cells) -> DataFrame:
+        members = [F.col("mmsi").cast("double").alias("mmsi"), *[value.alias(name) for name, value in cells.items()]]
+        time = F.date_format("date_bucket", "yyyy-MM-dd-HH:mm:ss.SSSSSS").alias("dataBucket")
+        value = F.to_json(F.struct(time, F.struct(*members).alias("data"))).alias("value")
+        return _ais(spark, sf_dir).select(F.concat(F.lit(folder), part).alias("part"), n.alias("place"), value)
+
+    source, table, out = (scratch_path(spark, name) for name in ("two-files", "table", "out"))
+    write_ordered(lines("b", cog=F.when(n % 2 == 0, F.col("cog") - 1), trueHeading=n % 360), source)
+    write_ordered(lines("a", cog=F.col("cog"), rateOfTurn=n % 256 - 128), source)
+    process_run(spark, source, table, out, "both", RECEIVED_AT, file_pattern="*.txt")
+    return latest_records(read_records(spark, table)).select("mmsi", "date_bucket", "cog", "rot", "true_heading")
+
+
+def slot_check_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slot check over tracks written in hash buckets of vessels, which it needs no shuffle for."""
+    tracks = write_bucketed(_scan(spark, sf_dir), f"tracks_{uuid.uuid4().hex}", scratch_path(spark, "tracks"), 8)
+    return _check_columns(sl.slot_check(tracks, order=TRACK_ORDER))
+
+
+def scan_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day's twelve hours of some vessels, from two runs compacted along vessel and time."""
+    configure(spark)
+    table = scratch_path(spark, "table")
+    rows = _ais(spark, sf_dir)
+    missing = {c: F.lit(None).cast(kind) for c, kind in RECORD_SCHEMA if c not in rows.columns}
+    for i in (0, 1):
+        half = rows.where(F.col("event_id") % 2 == i).withColumns(missing)
+        append_run(half.select(*[c for c, _ in RECORD_SCHEMA]), table, f"half{i}")
+    compact_day(spark, table, DAY, layout="both")
+    start = datetime(DAY.year, DAY.month, DAY.day, 6)
+    end = start + timedelta(hours=12)
+    return tb.scan(read_records(spark, table, start, end), start, end).drop("received_at")
+
+
+def _kept_states(spark: SparkSession, states: DataFrame) -> DataFrame:
+    """States as runs leave them: written, and read without the rows."""
+    path = scratch_path(spark, "states")
+    states.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+# The states of one day stand for a run's.
+_RUN = "date_format(date_bucket, 'yyyyMMdd')"
+
+
+def summary_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.merged_summary(_kept_states(spark, sketches.vessel_states(_ais(spark, sf_dir), F.expr(_RUN))))
+
+
+def totals_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records, and whether the vessels' number from the runs' sketches is within the stated error."""
+    ais = _ais(spark, sf_dir)
+    totals = sketches.merged_totals(_kept_states(spark, sketches.total_states(ais, F.expr(_RUN))))
+    exact = vs.fleet_totals(ais).select(F.col("vessels").alias("exact"))
+    near = F.abs(F.col("vessels") - F.col("exact")) <= 0.05 * F.col("exact") + 1
+    return totals.join(F.broadcast(exact)).select("records", near.alias("vessels_near"))
+
+
+def boxplot_from_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, and whether the quartiles from the runs' sketches have the ranks they should, within the stated error."""
+    signal = _signal(spark, sf_dir)
+    boxes = sketches.merged_boxes(_kept_states(spark, sketches.band_states(signal, F.expr(_RUN))))
+    rows = signal.where("band_id is not null and rssi is not null").select("band_id", "rssi")
+    met = rows.join(F.broadcast(boxes.select("band_id", "q1", "median", "q3")), "band_id")
+
+    def near(column: str, share: float):
+        below, upto = F.avg((F.col("rssi") < F.col(column)).cast("int")), F.avg((F.col("rssi") <= F.col(column)).cast("int"))
+        return ((below <= share + 0.01) & (upto >= share - 0.01)).alias(f"{column}_near")
+
+    ranks = met.groupBy("band_id").agg(near("q1", 0.25), near("median", 0.5), near("q3", 0.75))
+    return boxes.select("band_id", "n").join(ranks, "band_id")
+
+
+def run_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many analyses read each message: on time, and with some of them late."""
+    rows = _scan(spark, sf_dir).select("event_id", "date_bucket")
+    ends = rows.agg(F.min(runs.bucket_start(F.col("date_bucket"))), F.max(runs.bucket_start(F.col("date_bucket")))).first()
+    first, last = (end + timedelta(minutes=10) for end in ends)
+    on_time = runs.coverage(rows, runs.analysis_runs(spark, first, last), "scheduled")
+    return runs.coverage(on_time, runs.analysis_runs(spark, first, last, DELAYS), "delayed")
+
+
+def stream_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backlog of files taken in several batches of two."""
+    lines = stream_lines(configure(spark), landed_raw(spark, sf_dir), files_per_batch=2)
+    table, rejects = scratch_path(spark, "table"), scratch_path(spark, "rejects")
+    jobs.start_ingest(lines, table, rejects, scratch_path(spark, "backlog-checkpoint"), RECEIVED_AT).awaitTermination()
+    return spark.read.parquet(table).drop("p_date", "run_id")
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows whose rows came partly after they were closed: what the stream counted, what came late, what is right."""
+    ais = _ais(spark, sf_dir)
+    late = (F.col("event_id") % 7 == 0) & (F.col("date_bucket") < F.lit(MIDDLE).cast("timestamp_ntz"))
+    source, out = scratch_path(spark, "arriving"), scratch_path(spark, "windows")
+    checkpoint = scratch_path(spark, "windows-checkpoint")
+    for part in (ais.where(~late), ais.where(late)):
+        write_raw(part, source)
+        windows = jobs.windowed_vessel_summary(_normalized_stream(spark, source))
+        jobs.start_append(windows, out, checkpoint).awaitTermination()
+    return jobs.corrected_windows(spark.read.parquet(out), ais, ais.where(late))
+
+
 def queries() -> dict[str, Query]:
     """One entry per operator of the inventory."""
     return {
@@ -273,13 +390,19 @@ def queries() -> dict[str, Query]:
         "scan_empty": lambda s, d: _scan(s, d, start=datetime(2030, 1, 1)),
         "day_filter": lambda s, d: tb.on_day(_scan(s, d), DAY),
         "run_bucket": lambda s, d: runs.run_buckets(_ais(s, d)),
+        "run_coverage": run_coverage,
         "run_as_of": lambda s, d: runs.runs_as_of(_ais(s, d)),
         "upsert_latest": upsert_latest,
         "process_summary": process_summary,
         "reprocess_idempotent": reprocess_idempotent,
         "two_sources_one_bucket": two_sources_one_bucket,
         "scan_table_range": scan_table_range,
+        "scan_compacted": scan_compacted,
+        "quarantine_lines": quarantine_lines,
+        "last_writer_wins": last_writer_wins,
         # vessels
+        "summary_from_states": summary_from_states,
+        "totals_from_states": totals_from_states,
         "vessel_summary": lambda s, d: vs.vessel_summary(_ais(s, d)),
         "fleet_totals": lambda s, d: vs.fleet_totals(_ais(s, d)),
         "vessel_activity": vessel_activity,
@@ -290,6 +413,7 @@ def queries() -> dict[str, Query]:
         "slot_check_legacy": lambda s, d: _check_columns(_checked(s, d, zero_speed="invalid")),
         "slot_check_by_run": lambda s, d: _check_columns(_checked(s, d, by_run=True), "run_start"),
         "slot_check_carried": slot_check_carried,
+        "slot_check_bucketed": slot_check_bucketed,
         "slot_validity_counts": lambda s, d: sl.slot_validity_counts(_checked(s, d)),
         "slot_summary": lambda s, d: sl.slot_summary(_checked(s, d)),
         "slot_summary_legacy": lambda s, d: sl.slot_summary(_checked(s, d, zero_speed="invalid")),
@@ -314,7 +438,10 @@ def queries() -> dict[str, Query]:
         ),
         "band_outliers": lambda s, d: sg.band_outliers(_signal(s, d)),
         "band_histogram": lambda s, d: _rounded(sg.band_histogram(_signal(s, d)), "bin_start", "bin_end"),
+        "boxplot_from_states": boxplot_from_states,
         # streams
+        "stream_backlog": stream_backlog,
+        "stream_late_rows": stream_late_rows,
         "stream_ingest": stream_ingest,
         "stream_vessel_summary": stream_vessel_summary,
         "stream_slot_check": stream_slot_check,
@@ -517,6 +644,22 @@ select bucket_start, strftime(bucket_start, '/datalake/ais/%Y/%m/%d/%H/%M') as f
   strftime(bucket_start, '%Y%m%d_%H%M') as run_id, bucket_start + interval '10 minutes' as run_at,
   count(*) as records, count(distinct mmsi) as vessels
 from b group by bucket_start""",
+        "run_coverage": f"""{_AIS},
+ends as (
+  select time_bucket(interval '10 minutes', min(date_bucket)) + interval '10 minutes' as a,
+    time_bucket(interval '10 minutes', max(date_bucket)) + interval '10 minutes' as b from ais),
+grid as (
+  select due, row_number() over (order by due) - 1 as k
+  from (select unnest(generate_series(a, b, interval '10 minutes')) as due from ends)),
+late as (select due + to_minutes(list_extract({list(DELAYS)}, cast(1 + k % {len(DELAYS)} as int))) as due from grid),
+on_time as (
+  select event_id, count(due) as n from ais
+    left join grid on date_bucket between due - interval '10 minutes' and due group by event_id),
+delayed as (
+  select event_id, count(due) as n from ais
+    left join late on date_bucket between due - interval '10 minutes' and due group by event_id)
+select event_id, date_bucket, cast(on_time.n as int) as scheduled, cast(delayed.n as int) as delayed
+from ais join on_time using (event_id) join delayed using (event_id)""",
         "run_as_of": f"""{_AIS}
 select date_bucket as as_of,
   time_bucket(interval '10 minutes', date_bucket - interval '5 minutes') as bucket_start from ais""",
@@ -526,6 +669,27 @@ select date_bucket as as_of,
         "two_sources_one_bucket": _AIS + summary,
         "scan_table_range": f"{_AIS} select {_SCAN_ONLY} from ais "
         f"where date_bucket between timestamp '{START}' and timestamp '{END}'",
+        "scan_compacted": f"{_AIS} select {_SCAN_ONLY} from ais "
+        f"where date_bucket between timestamp '{DAY} 06:00:00' and timestamp '{DAY} 18:00:00'",
+        "quarantine_lines": f"""{_AIS}, counted as (
+  select event_id, event_id // {ORDERED_FILE} as part,
+    case event_id % 10 when 2 then 2 when 4 then 3 else 1 end as lines from ais),
+placed as (select *, sum(lines) over (partition by part order by event_id) as upto from counted)
+select cast(part as bigint) as part, cast(upto as bigint) as line_number, 'bad{{' as line
+from placed where event_id % 10 = 2""",
+        "last_writer_wins": f"""{_AIS}, written as (
+  select mmsi, date_bucket, 0 as file, event_id, cog, cast(event_id % 256 - 128 as double) as rot,
+    cast(null as int) as true_heading from ais
+  union all
+  select mmsi, date_bucket, 1, event_id, case when event_id % 2 = 0 then cog - 1 end, null,
+    cast(event_id % 360 as int) from ais),
+placed as (select *, row_number() over (order by file, event_id) as place from written)
+select mmsi, date_bucket, arg_max(cog, place) filter (where cog is not null) as cog,
+  arg_max(rot, place) filter (where rot is not null) as rot,
+  arg_max(true_heading, place) filter (where true_heading is not null) as true_heading
+from placed group by mmsi, date_bucket""",
+        "summary_from_states": _AIS + summary,
+        "totals_from_states": f"{_AIS} select count(*) as records, true as vessels_near from ais",
         "vessel_summary": _AIS + summary,
         "fleet_totals": f"{_AIS} select count(distinct mmsi) as vessels, count(*) as records from ais",
         "vessel_activity": f"""{_AIS}, s as (
@@ -542,6 +706,7 @@ from s""",
         "slot_check_by_run": f"{_checked_sql('mmsi, run_start')} select {_CHECK_COLUMNS}, run_start from checked",
         "slot_check_carried": f"{checked} select {_CHECK_COLUMNS} from checked "
         f"where date_bucket >= timestamp '{MIDDLE}'",
+        "slot_check_bucketed": f"{checked} select {_CHECK_COLUMNS} from checked",
         "slot_validity_counts": f'{checked} select slot_valid, count(*) as "count" from checked group by slot_valid',
         "slot_summary": checked + _SUMMARY,
         "slot_summary_legacy": legacy + _SUMMARY,
@@ -610,7 +775,17 @@ select b.band_id, b.dist_band, b.bin, round(bin_start, 6) as bin_start, round(bi
 from bins b left join signal s on s.band_id = b.band_id and s.rssi >= bin_start
   and (s.rssi < bin_end or (bin = 24 and s.rssi <= bin_end))
 group by all""",
+        "boxplot_from_states": f"""{_SIGNAL}
+select band_id, count(*) as n, true as q1_near, true as median_near, true as q3_near
+from signal where band_id is not null and rssi is not null group by band_id""",
         "stream_ingest": _AIS + _NORMALIZED,
+        "stream_backlog": _AIS + _NORMALIZED,
+        "stream_late_rows": f"""{_AIS}, windows as (
+  select time_bucket(interval '10 minutes', date_bucket) as bucket_start, mmsi,
+    min(date_bucket) as start_time, max(date_bucket) as end_time, count(*) as "count",
+    count(*) filter (where event_id % 7 = 0 and date_bucket < timestamp '{MIDDLE}') as late
+  from ais group by 1, 2)
+select *, "count" - late as counted from windows where late > 0""",
         "stream_vessel_summary": f"""{_AIS}
 select time_bucket(interval '10 minutes', date_bucket) as bucket_start, mmsi,
   min(date_bucket) as start_time, max(date_bucket) as end_time, count(*) as "count"

@@ -80,3 +80,43 @@ def with_position(rows: DataFrame, keys: Sequence[str], order: Sequence[str], na
     inside = F.row_number().over(Window.partitionBy(*by_chunk).orderBy(*_ascending(order))) - 1
     joined = chunked.withColumn("_inside", inside).join(counts, by_chunk)
     return joined.select(*rows.columns, (F.col("_inside") + F.col("_ahead")).alias(name))
+
+
+def near_flagged(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], flag: str, around: int, name: str
+) -> DataFrame:
+    """Rows at most ``around`` places from a row of their group whose ``flag`` is true, with their place from 0.
+
+    Inside a chunk a window sees the neighbours. Beyond its ends lie at most ``around`` flags of the chunks before and after, which
+    travel in the table of chunks with their counts: ``around`` chunks on either side hold enough rows.
+    """
+    by_chunk = [*keys, "_chunk"]
+    inside = Window.partitionBy(*by_chunk).orderBy(*_ascending(order))
+    placed = _chunked(rows, order).withColumns(
+        {
+            "_inside": F.row_number().over(inside),
+            "_n": F.count(F.lit(1)).over(Window.partitionBy(*by_chunk)),
+            "_near": F.max(flag).over(inside.rowsBetween(-around, around)),
+        }
+    )
+    at_edge = (F.col("_inside") <= around) | (F.col("_inside") > F.col("_n") - around)
+    edge = F.sort_array(F.collect_list(F.when(at_edge, F.struct("_inside", F.col(flag).alias("flag")))))
+    chunks = placed.groupBy(*by_chunk).agg(F.first("_n").alias("_n"), edge.alias("edge"))
+    chunks = chunks.withColumn("edge", F.col("edge.flag"))
+    track = Window.partitionBy(*keys).orderBy("_chunk")
+
+    def flags(first: int, last: int) -> Column:
+        return F.flatten(F.collect_list("edge").over(track.rowsBetween(first, last)))
+
+    chunks = chunks.select(
+        *by_chunk,
+        F.coalesce(F.sum("_n").over(track.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_ahead"),
+        F.reverse(flags(-around, -1)).alias("_before"),
+        flags(1, around).alias("_after"),
+    )
+    # How many places beyond the chunk's start and end a row still sees.
+    back = F.greatest(F.lit(0), around - F.col("_inside") + 1)
+    ahead = F.greatest(F.lit(0), around - (F.col("_n") - F.col("_inside")))
+    seen = F.array_contains(F.concat(F.slice("_before", F.lit(1), back), F.slice("_after", F.lit(1), ahead)), True)
+    joined = placed.join(chunks, by_chunk).where(F.col("_near") | seen)
+    return joined.select(*rows.columns, (F.col("_inside") - 1 + F.col("_ahead")).alias(name))

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from aislane.functions.constants import CONTEXT_ROWS
 from aislane.functions.tdma import nominal_increment, slot_distance, within_tolerance
 from aislane.functions.timegrid import bucket_start
-from aislane.operators.ordered import total_order, with_position, with_previous
+from aislane.operators.ordered import near_flagged, total_order, with_previous
 
 ORDER = ("date_bucket", "received_at", "slot_num")
 # After ``ORDER``, so that rows that tie are equal in all that is compared or shown.
-_TIES = ("slot_num", "sog", "msg_type", "cog", "rssi", "snr", "latitude", "longitude", "nav_status")
+TIES = ("slot_num", "sog", "msg_type", "cog", "rssi", "snr", "latitude", "longitude", "nav_status")
 
 
 def slot_check(
@@ -46,16 +46,11 @@ def slot_check(
         # A row without a time has no run of its own to be first in.
         rows = rows.where(F.col("run_start").isNotNull())
         keys.append("run_start")
-    order = total_order(rows, order, _TIES)
+    order = total_order(rows, order, TIES)
     before = with_previous(rows, keys, order, {"prev_slot": "slot_num", "prev_sog": "sog"})
     if carried is not None:
         before = before.where(~F.col("_carried")).drop("_carried")
-    checked = (
-        before.dropna(subset=["prev_slot", "prev_sog"])
-        .withColumn("ni", nominal_increment(F.col("prev_sog")))
-        .withColumn("slot_diff", slot_distance(F.col("prev_slot"), F.col("slot_num")))
-        .withColumn("slot_valid", within_tolerance(F.col("slot_diff"), F.col("ni")))
-    )
+    checked = against_previous(before)
     if zero_speed == "invalid":
         any_increment = checked.agg(F.bool_or(F.col("ni").isNotNull())).scalar()
         stood_still = F.col("ni").isNull() & any_increment
@@ -65,9 +60,19 @@ def slot_check(
     return checked
 
 
+def against_previous(before: DataFrame) -> DataFrame:
+    """The check of rows that have ``prev_slot`` and ``prev_sog``; those without a previous message drop out."""
+    return (
+        before.dropna(subset=["prev_slot", "prev_sog"])
+        .withColumn("ni", nominal_increment(F.col("prev_sog")))
+        .withColumn("slot_diff", slot_distance(F.col("prev_slot"), F.col("slot_num")))
+        .withColumn("slot_valid", within_tolerance(F.col("slot_diff"), F.col("ni")))
+    )
+
+
 def last_before(rows: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
     """The last row of each vessel, for the check of the range that follows."""
-    order = total_order(rows, order, _TIES)
+    order = total_order(rows, order, TIES)
     newest = F.max_by(
         F.struct(*rows.columns), F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in order])
     )
@@ -125,17 +130,10 @@ def slot_invalid_counts(checked: DataFrame) -> DataFrame:
 
 
 def slot_context(checked: DataFrame, around: int = CONTEXT_ROWS, order: Sequence[str] = ORDER) -> DataFrame:
-    """Invalid rows with ``around`` rows before and after, each row once, with its position.
-
-    The places wanted are spelled out from the invalid rows, which are few, and met by vessel and place:
-    no vessel lands in one task.
-    """
+    """Invalid rows with ``around`` rows before and after, each row once, with its position."""
     flagged = checked.withColumn("is_anomaly", F.coalesce(~F.col("slot_valid"), F.lit(False)))
-    order = total_order(checked, order, (*_TIES, "slot_diff", "slot_valid"))
-    placed = with_position(flagged, ["mmsi"], order, "position")
-    near = F.sequence(F.col("position") - around, F.col("position") + around)
-    wanted = placed.where("is_anomaly").select("mmsi", F.explode(near).alias("position")).distinct()
-    return placed.join(wanted, ["mmsi", "position"], "left_semi").select(
+    order = total_order(checked, order, (*TIES, "slot_diff", "slot_valid"))
+    return near_flagged(flagged, ["mmsi"], order, "is_anomaly", around, "position").select(
         "mmsi",
         F.col("position").cast("bigint").alias("position"),
         "date_bucket",

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from aislane.operators import signal as sg
 from aislane.operators import slots as sl
 from aislane.operators.vessels import fleet_totals, vessel_summary
-from aislane.sources.normalize import accepted, ingest_counters, normalize, rejected
-from aislane.sources.raw import read_lines, records, unreadable_files
+from aislane.sources.normalize import accepted, normalize, observed_counters, rejected
+from aislane.sources.raw import corrupt_lines, read_lines, records, unreadable_files
 from aislane.sources.store import append_run, write_dataset
 
 
@@ -29,18 +29,23 @@ def process_run(
 ) -> None:
     """Read one run's files once: append to the table, write summary, totals, counters, rejects.
 
-    With ``skip_unreadable`` also the files passed over, which the counters tell.
+    The counters are taken while the table is written. Where there are corrupt lines, their files are read again for the
+    lines' numbers. With ``skip_unreadable`` also the files passed over, which the counters tell.
     """
-    lines = read_lines(spark, source, line_separator, file_pattern, skip_unreadable)
+    lines = read_lines(spark, source, line_separator, file_pattern, skip_unreadable, positions=True)
     normalized = normalize(records(lines), received_at).persist()
-    append_run(accepted(normalized), table, run_id)
+    counted, counters = observed_counters(normalized)
+    append_run(accepted(counted), table, run_id)
+    counts = counters()
     # Records refused by the table for another reason still count for their vessel.
     datasets = {
         "vessel_summary": vessel_summary(normalized),
         "fleet_totals": fleet_totals(normalized),
-        "ingest_counters": ingest_counters(normalized),
+        "ingest_counters": counts,
         "rejects": rejected(normalized),
     }
+    if counts.first()["corrupt_json"]:
+        datasets["corrupt_lines"] = corrupt_lines(spark, source, line_separator, file_pattern, skip_unreadable)
     if skip_unreadable:
         skipped = unreadable_files(spark, source, file_pattern)
         datasets["unreadable_files"] = skipped

@@ -15,6 +15,12 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     # A repeated JSON key keeps its last value instead of failing the line.
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    # Streams' state lies on disk, with only its changes in each checkpoint.
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return spark
 
 

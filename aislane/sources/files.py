@@ -1,37 +1,29 @@
-"""Folders on whatever file system Spark writes to."""
+"""Folders of tables and test data, by public file system calls; what is read as data goes through Spark's own readers."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyarrow import fs
 
 
-def _path(spark: SparkSession, address: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(address)
+def _opened(address: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(address)
 
 
-def _system(spark: SparkSession, address: str):
-    return _path(spark, address).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+def listed(address: str, ending: str) -> list[str]:
+    """Addresses of the files in a folder whose names end so, in order."""
+    system, path = _opened(address)
+    found = system.get_file_info(fs.FileSelector(path))
+    return sorted(f"{address.rstrip('/')}/{f.base_name}" for f in found if f.base_name.endswith(ending))
 
 
-def matching(spark: SparkSession, pattern: str) -> list[str]:
-    """Addresses that match a glob pattern, in order."""
-    found = _system(spark, pattern).globStatus(_path(spark, pattern))
-    return sorted(status.getPath().toString() for status in found or [])
+def remove(address: str) -> None:
+    system, path = _opened(address)
+    if system.get_file_info(path).type != fs.FileType.NotFound:
+        system.delete_dir(path)
 
 
-def remove(spark: SparkSession, address: str) -> None:
-    _system(spark, address).delete(_path(spark, address), True)
-
-
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Rename; the target's parent folder is made, the target itself must not exist."""
-    system, into = _system(spark, target), _path(spark, target)
-    system.mkdirs(into.getParent())
-    if not system.rename(_path(spark, source), into):
-        raise OSError(f"could not move {source} to {target}")
-
-
-def replace(spark: SparkSession, source: str, target: str) -> None:
-    """Put a finished folder in the place of another: two renames, no time of writing in between."""
-    remove(spark, target)
-    move(spark, source, target)
+def move(source: str, target: str) -> None:
+    """Rename; the target's parent folder is made."""
+    system, path = _opened(target)
+    system.create_dir(path.rpartition("/")[0], recursive=True)
+    system.move(_opened(source)[1], path)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aislane.session import scratch_path
@@ -33,13 +34,32 @@ from (select *, row_number() over (partition by user_id order by date_bucket, ev
 """
 
 
+# What this session has derived from a source folder: tables and raw files by kind.
+_landed: dict[tuple[str, str, str], str] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, kind: str, write: Callable[[str], None]) -> str:
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _landed:
+        path = scratch_path(spark, kind)
+        write(path)
+        _landed[key] = path
+    return _landed[key]
+
+
 def ais_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return spark.sql(AIS_SELECT.format(events="{events}"), events=events)
+    """The reception rows, as a table written once per session: the analyses read files, as in use."""
 
+    def write(path: str) -> None:
+        events = spark.read.parquet(f"{sf_dir}/events.parquet")
+        rows = spark.sql(AIS_SELECT.format(events="{events}"), events=events)
+        rows.repartitionByRange("mmsi", "date_bucket").sortWithinPartitions("mmsi", "date_bucket").write.parquet(path)
+
+    return spark.read.parquet(_once(spark, sf_dir, "ais", write))
 
-def raw_lines(ais: DataFrame) -> DataFrame:
-    """Physical JSON lines for the rows, in all the shapes a message file has.
+
+def raw_value() -> Column:
+    """The physical JSON line of a row, in all the shapes a message file has.
 
     The last digit of ``event_id`` picks the shape; every row gives one good record.
     """
@@ -88,11 +108,11 @@ def raw_lines(ais: DataFrame) -> DataFrame:
         .when(digit == 9, F.concat(F.lit("["), wrapped, F.lit(',{"data":"text"}]')))
         .otherwise(wrapped)
     )
-    return ais.select(value.alias("value"))
+    return value.alias("value")
 
 
-# Raw files of this session, by source folder.
-_landed: dict[tuple[str, str], str] = {}
+def raw_lines(ais: DataFrame) -> DataFrame:
+    return ais.select(raw_value())
 
 
 def write_raw(ais: DataFrame, path: str) -> None:
@@ -100,16 +120,32 @@ def write_raw(ais: DataFrame, path: str) -> None:
     spark = ais.sparkSession
     fresh = f"{path}/_new-{uuid.uuid4().hex}"
     raw_lines(ais).repartition(spark.sparkContext.defaultParallelism).write.text(fresh)
-    for number, file in enumerate(files.matching(spark, f"{fresh}/*.txt")):
-        files.move(spark, file, f"{path}/{uuid.uuid4().hex}/{number % 3}/{number}.json")
-    files.remove(spark, fresh)
+    for number, file in enumerate(files.listed(fresh, ".txt")):
+        files.move(file, f"{path}/{uuid.uuid4().hex}/{number % 3}/{number}.json")
+    files.remove(fresh)
 
 
 def landed_raw(spark: SparkSession, sf_dir: str) -> str:
     """Folder with the raw text files of all rows, written once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _landed:
-        path = scratch_path(spark, "raw")
-        write_raw(ais_rows(spark, sf_dir), path)
-        _landed[key] = path
-    return _landed[key]
+    return _once(spark, sf_dir, "raw", lambda path: write_raw(ais_rows(spark, sf_dir), path))
+
+
+# Events per file of known order.
+ORDERED_FILE = 512
+
+
+def write_ordered(lines: DataFrame, path: str) -> None:
+    """``part, place, value`` as one text file for each part (``part=…/``), its lines by place."""
+    placed = lines.repartition("part").sortWithinPartitions("part", "place")
+    placed.select("value", "part").write.mode("append").partitionBy("part").text(path)
+
+
+def landed_ordered(spark: SparkSession, sf_dir: str) -> str:
+    """Raw text files whose lines stand in the order of the events, ``ORDERED_FILE`` events in each."""
+
+    def write(path: str) -> None:
+        part = F.lpad(F.floor(F.col("event_id") / ORDERED_FILE).cast("string"), 12, "0")
+        rows = ais_rows(spark, sf_dir)
+        write_ordered(rows.select(part.alias("part"), F.col("event_id").alias("place"), raw_value()), path)
+
+    return _once(spark, sf_dir, "ordered", write)

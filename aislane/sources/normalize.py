@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from aislane.functions.constants import POSITION_UNITS_PER_DEGREE, RECORD_COLUMNS
@@ -207,8 +208,9 @@ def normalize(records: DataFrame, received_at: datetime | Column | None = None)
 
 
 def accepted(normalized: DataFrame) -> DataFrame:
-    """Rows fit for the table: canonical columns only."""
-    return normalized.where(F.col("reject_reason").isNull()).select(*RECORD_COLUMNS)
+    """Rows fit for the table: canonical columns, and ``source`` where known."""
+    source = ["source"] if "source" in normalized.columns else []
+    return normalized.where(F.col("reject_reason").isNull()).select(*RECORD_COLUMNS, *source)
 
 
 def rejected(normalized: DataFrame) -> DataFrame:
@@ -219,12 +221,32 @@ def rejected(normalized: DataFrame) -> DataFrame:
     )
 
 
-def ingest_counters(normalized: DataFrame) -> DataFrame:
-    """One row: records seen, saved and refused, and the refused by reason."""
+def _counts() -> list[Column]:
     reason = F.col("reject_reason")
-    return normalized.agg(
+    return [
         F.count(F.lit(1)).alias("seen"),
         F.count_if(reason.isNull()).alias("saved"),
         F.count_if(reason.isNotNull()).alias("failed"),
         *[F.count_if(reason.eqNullSafe(name)).alias(name) for name in REJECT_REASONS],
-    )
+    ]
+
+
+def ingest_counters(normalized: DataFrame) -> DataFrame:
+    """One row: records seen, saved and refused, and the refused by reason."""
+    return normalized.agg(*_counts())
+
+
+def observed_counters(normalized: DataFrame) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """The rows, and the counters of the job that has used them, without a job of their own.
+
+    A task that is run again after its executor was lost may be counted again; ``ingest_counters`` is exact then too.
+    """
+    counted = Observation("ingest")
+
+    def counters() -> DataFrame:
+        found = counted.get
+        names = ["seen", "saved", "failed", *REJECT_REASONS]
+        kinds = ", ".join(f"{n} long" for n in names)
+        return normalized.sparkSession.createDataFrame([tuple(found.get(n, 0) for n in names)], kinds)
+
+    return normalized.observe(counted, *_counts()), counters

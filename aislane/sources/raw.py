@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import functools
 import logging
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aislane.sources import files
-
 _log = logging.getLogger(__name__)
 
 # Line breaks within one physical line: the two characters \n, and whatever else ends a
@@ -32,6 +32,7 @@ def read_lines(
     line_separator: str | None = None,
     file_pattern: str = "*.json",
     skip_unreadable: bool = False,
+    positions: bool = False,
 ) -> DataFrame:
     """Logical lines of all matching files under the paths: file, line.
 
@@ -40,7 +41,30 @@ def read_lines(
     pass that text as separator and they are read in parallel as well. The lines
     are the same either way. A missing folder is passed over with a warning. A file
     that can't be read fails the job unless ``skip_unreadable``; ``unreadable_files`` lists those passed over.
+    With ``positions`` also ``source``, which sorts as the files are read one after the other, each from its start.
     """
+    physical = _physical(spark, paths, line_separator, file_pattern, skip_unreadable)
+    kept = [F.col("file"), F.col("value")]
+    if positions:
+        kept.append(_source().alias("source"))
+    return split_lines(physical.select(*kept))
+
+
+# Folders' names sort before longer names that begin alike, as a walk through the tree meets them.
+_STEP = "\x01"
+SOURCE_KIND = "struct<path:string,block:bigint,row:bigint,piece:int,element:int>"
+
+
+def _source() -> Column:
+    """Where a physical line stands. Rows are numbered in a task, and a block is read in one task from its start."""
+    path = F.translate("file", "/", _STEP)
+    return F.struct(path.alias("path"), F.col("block"), F.monotonically_increasing_id().alias("row"))
+
+
+def _physical(
+    spark: SparkSession, paths: str | Sequence[str], line_separator: str | None, file_pattern: str, skip_unreadable: bool
+) -> DataFrame:
+    """What Spark takes for lines: file, block (where the task's part of the file begins), value."""
     reader = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", file_pattern)
@@ -49,22 +73,73 @@ def read_lines(
     )
     if line_separator is not None:
         reader = reader.option("lineSep", line_separator)
-    present = _present(spark, paths)
-    if not present:
-        return spark.createDataFrame([], "file string, line string")
-    physical = reader.text(present)
-    return split_lines(physical.select(F.col("_metadata.file_path").alias("file"), "value"))
+    found = _of_present(paths, lambda present: reader.text(present))
+    if found is None:
+        return spark.createDataFrame([], "file string, block long, value string")
+    return found.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value"
+    )
+
+
+def _of_present(paths: str | Sequence[str], read: Callable[[list[str]], DataFrame]) -> DataFrame | None:
+    """What ``read`` gives for the paths that exist. Spark looks all up before it lists any file, so each is listed once."""
+    present = [paths] if isinstance(paths, str) else list(paths)
+    while present:
+        try:
+            return read(present)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            missing = _bare(error.getMessageParameters()["path"])
+            left = [p for p in present if _bare(p) != missing]
+            if len(left) == len(present):
+                raise
+            present = left
+            _log.warning("no such folder, going on without it: %s", missing)
+    return None
 
 
-def _present(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
-    """The paths that exist; only their names are looked up, the files are listed once, by the scan."""
-    present = []
-    for path in [paths] if isinstance(paths, str) else paths:
-        if files.matching(spark, path):
-            present.append(path)
-        else:
-            _log.warning("no such folder, going on without it: %s", path)
-    return present
+def _bare(address: str) -> str:
+    """The path of an address, without scheme and host."""
+    return "/" + re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", address).strip("/")
+
+
+def corrupt_lines(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    line_separator: str | None = None,
+    file_pattern: str = "*.json",
+    skip_unreadable: bool = False,
+) -> DataFrame:
+    """Lines that hold no JSON, with their number in the file, counted from 1: file, line_number, line.
+
+    One scan, whatever the size of a file: each task counts the lines of its blocks and keeps only the corrupt ones and the
+    physical lines that are several; a block is one row then, and sums over a file's blocks give where each begins.
+    """
+    physical = _physical(spark, paths, line_separator, file_pattern, skip_unreadable)
+    # The number is given to rows of the scan, before anything multiplies them.
+    placed = physical.select("file", "block", F.monotonically_increasing_id().alias("row"), _pieces().alias("pieces"))
+    lines = placed.select(
+        "file", "block", "row", F.size("pieces").alias("n"), F.posexplode("pieces").alias("piece", "line")
+    ).withColumn("line", _trimmed(F.col("line")))
+    parsed = parse_lines(lines).withColumn("first", F.col("piece") == 0)
+    corrupt = (F.col("line") != "") & F.col("value").isNull() & ~_is_long_list()
+    several = F.col("first") & (F.col("n") > 1)
+    event = F.struct("row", F.when(corrupt, F.col("piece")).alias("piece"), F.when(corrupt, F.col("line")).alias("line"),
+                     F.when(several, F.col("n") - 1).otherwise(0).alias("more"))
+    blocks = parsed.groupBy("file", "block").agg(
+        F.min("row").alias("begin"),
+        F.sum(F.when(F.col("first"), F.col("n"))).alias("lines"),
+        F.collect_list(F.when(corrupt | several, event)).alias("events"),
+    )
+    ahead = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    based = blocks.withColumn("ahead", F.coalesce(F.sum("lines").over(ahead), F.lit(0)))
+    found = based.select("file", "block", "begin", "ahead", F.inline("events"))
+    above = Window.partitionBy("file", "block").orderBy("row").rangeBetween(Window.unboundedPreceding, -1)
+    more = F.coalesce(F.sum("more").over(above), F.lit(0))
+    number = F.col("ahead") + F.col("row") - F.col("begin") + F.col("more_above") + F.col("piece") + 1
+    counted = found.withColumn("more_above", more).where("line is not null")
+    return counted.select("file", number.alias("line_number"), "line")
 
 
 def unreadable_files(
@@ -75,12 +150,11 @@ def unreadable_files(
     A file that breaks off in the middle gives its first part and is not listed; without ``skip_unreadable`` it fails the job.
     """
     reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", file_pattern)
-    present = _present(spark, paths)
-    if not present:
+    found = _of_present(paths, lambda present: reader.format("binaryFile").load(present))
+    if found is None:
         return spark.createDataFrame([], "file string, bytes long")
-    listed = reader.format("binaryFile").load(present).select(F.col("path").alias("file"), F.col("length").alias("bytes"))
-    lenient = reader.option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
-    read = lenient.text(present).select(F.col("_metadata.file_path").alias("file")).distinct()
+    listed = found.select(F.col("path").alias("file"), F.col("length").alias("bytes"))
+    read = _physical(spark, paths, None, file_pattern, skip_unreadable=True).select("file").distinct()
     return listed.where("bytes > 0").join(read, "file", "left_anti")
 
 
@@ -90,10 +164,15 @@ def stream_lines(
     line_separator: str | None = None,
     file_pattern: str = "*.json",
     skip_unreadable: bool = False,
+    files_per_batch: int | None = None,
+    bytes_per_batch: int | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
     """As ``read_lines``, as a stream that takes each file once.
 
     A file that can't be read stops the stream before it is marked as taken, unless ``skip_unreadable``.
+    A backlog is taken in batches of at most ``files_per_batch`` files or ``bytes_per_batch`` bytes (one of the two, a single larger
+    file is a batch), so a batch has a bound whatever has piled up. Files of finished batches move below the folder ``archive``.
     """
     reader = (
         spark.readStream.option("recursiveFileLookup", True)
@@ -103,18 +182,33 @@ def stream_lines(
     )
     if line_separator is not None:
         reader = reader.option("lineSep", line_separator)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     physical = reader.text(path)
     return split_lines(physical.select(F.col("_metadata.file_path").alias("file"), "value"))
 
 
-def split_lines(physical: DataFrame) -> DataFrame:
-    """Cut the ``value`` text at every line break, trim, drop blanks; other columns stay."""
-    others = [c for c in physical.columns if c != "value"]
+def _pieces() -> Column:
+    """The lines in a physical line, ``value``, as they stand."""
     value = F.col("value")
     rare = functools.reduce(Column.__or__, [value.contains(mark) for mark in _RARE_BREAKS])
     plain = F.replace(value, F.lit(_TWO_CHARACTERS), F.lit("\n"))
-    parts = F.when(rare, F.split(plain, f"[\n{_RARE_BREAKS}]")).otherwise(F.split(plain, "\n"))
-    cut = physical.select(*others, F.explode(F.transform(parts, _trimmed)).alias("line"))
+    return F.when(rare, F.split(plain, f"\r\n|[\n{_RARE_BREAKS}]")).otherwise(F.split(plain, "\n"))
+
+
+def split_lines(physical: DataFrame) -> DataFrame:
+    """Cut the ``value`` text at every line break, trim, drop blanks; other columns stay, ``source`` with the piece."""
+    others = [c for c in physical.columns if c not in ("value", "source")]
+    lines = F.transform(_pieces(), _trimmed)
+    if "source" not in physical.columns:
+        cut = physical.select(*others, F.explode(lines).alias("line"))
+    else:
+        placed = physical.select(*others, "source", F.posexplode(lines).alias("piece", "line"))
+        cut = placed.select(*others, F.col("source").withField("piece", F.col("piece")).alias("source"), "line")
     return cut.where("line != ''")
 
 
@@ -183,10 +277,16 @@ def long_list(line: Column) -> Column:
     return F.when(intact, F.slice(elements, 1, F.size(elements) - 1))
 
 
+def _is_long_list() -> Column:
+    """Is a line that no VARIANT holds one long list?"""
+    line = F.col("line")
+    return F.when(line.startswith("[") & (F.octet_length(line) > _LONG_LIST), long_list(line)).isNotNull()
+
+
 def records(lines: DataFrame) -> DataFrame:
     """One row per record: an object gives one, a list its elements, a bare scalar none.
 
-    A corrupt line keeps one row, with its text in ``corrupt_line`` and no record.
+    A corrupt line keeps one row, with its text in ``corrupt_line`` and no record. A ``source`` gets the element's place.
     """
     line = F.col("line")
     parsed = parse_lines(lines).withColumn(
@@ -195,15 +295,16 @@ def records(lines: DataFrame) -> DataFrame:
             F.col("value").isNull() & line.startswith("[") & (F.octet_length(line) > _LONG_LIST), long_list(line)
         ),
     )
-    others = [c for c in lines.columns if c != "line"]
+    others = [c for c in lines.columns if c not in ("line", "source")]
     listed = (
         F.when(F.col("_long").isNotNull(), F.col("_long"))
         .when(F.col("value").isNull(), F.array(F.lit(None).cast("variant")))
         .when(F.col("line").startswith("["), F.try_variant_get("value", "$", "array<variant>"))
         .when(F.col("line").startswith("{"), F.array("value"))
     )
-    return parsed.select(
-        *others,
-        F.when(F.col("value").isNull() & F.col("_long").isNull(), line).alias("corrupt_line"),
-        F.explode(listed).alias("record"),
-    )
+    corrupt = F.when(F.col("value").isNull() & F.col("_long").isNull(), line).alias("corrupt_line")
+    if "source" not in lines.columns:
+        return parsed.select(*others, corrupt, F.explode(listed).alias("record"))
+    placed = parsed.select(*others, "source", corrupt, F.posexplode(listed).alias("element", "record"))
+    source = F.col("source").withField("element", F.col("element")).cast(SOURCE_KIND)
+    return placed.select(*others, source.alias("source"), "corrupt_line", "record")

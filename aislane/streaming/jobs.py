@@ -5,18 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from aislane.functions.constants import BUCKET_MINUTES, SERIES_STEP, SETTLE_MINUTES
+from aislane.functions.timegrid import bucket_start
+from aislane.operators.ordered import total_order
 from aislane.operators.signal import series_rows
-from aislane.operators.slots import ORDER, last_before, slot_check
+from aislane.operators.slots import ORDER, TIES, against_previous
 from aislane.sources.normalize import accepted, normalize, rejected
 from aislane.sources.raw import records
-from aislane.sources import files
 from aislane.sources.store import append_run, run_name, write_dataset
+from aislane.streaming.laststate import PreviousMessage
 
 
 def _with_event_time(rows: DataFrame, delay_minutes: int) -> DataFrame:
@@ -28,7 +29,7 @@ def _with_event_time(rows: DataFrame, delay_minutes: int) -> DataFrame:
 def windowed_vessel_summary(rows: DataFrame, delay_minutes: int = SETTLE_MINUTES) -> DataFrame:
     """Per 10-minute bucket and vessel: first and last time and count, once the bucket is settled.
 
-    Rows that arrive after their bucket is closed no longer count.
+    Rows that arrive after their bucket is closed no longer count; ``corrected_windows`` finds and adds them.
     """
     return (
         _with_event_time(rows.where(F.col("mmsi").isNotNull()), delay_minutes)
@@ -100,73 +101,68 @@ def start_ingest(
     )
 
 
-# After so many batches the vessels' last rows are gathered into one table.
-STATE_BATCHES = 10
-STATE_DAYS = 30
-
-
-def _state_parts(batch_id: int) -> list[str]:
-    """What a batch reads: the last gathered state and what the batches since have left."""
-    first = batch_id // STATE_BATCHES * STATE_BATCHES
-    gathered = [f"all-{first}"] if first else []
-    return gathered + [f"batch-{i}" for i in range(first, batch_id)]
-
-
-def _gather_state(spark: SparkSession, schema: StructType, state: str, batch_id: int, order: Sequence[str]) -> None:
-    """Every vessel's last row in one table; the state before the one before goes."""
-    first = batch_id - STATE_BATCHES
-    parts = ([f"all-{first}"] if first else []) + [f"batch-{i}" for i in range(first, batch_id)]
-    known = spark.read.schema(schema).parquet(*[f"{state}/{p}" for p in parts])
-    last = last_before(known, order)
-    newest = last.agg(F.max("date_bucket")).scalar()
-    horizon = F.expr(f"INTERVAL {STATE_DAYS} DAYS")
-    kept = last.where(F.col("date_bucket") >= newest - horizon)
-    kept.write.mode("overwrite").parquet(f"{state}/all-{batch_id}")
-    # A repeated batch may still ask for the last generation, never for the one before.
-    if first:
-        for i in range(max(0, first - STATE_BATCHES), first):
-            files.remove(spark, f"{state}/batch-{i}")
-        files.remove(spark, f"{state}/all-{first - STATE_BATCHES}")
-
-
-def start_slot_check(
+def checked_slots(
     rows: DataFrame,
-    path: str,
-    state: str,
-    checkpoint: str,
     zero_speed: str = "null",
     order: Sequence[str] = ORDER,
+    keep_days: int | None = None,
+) -> DataFrame:
+    """Slot check across batches: a vessel's first message of a batch meets its last one of earlier batches.
+
+    The state is keyed by vessel, and grows with the number of vessels, not of messages. ``keep_days`` lets the state of vessels that
+    send nothing for so long expire; Spark then goes on with empty batches for ever, so such a stream runs without an
+    end and not as a scheduled run. A vessel's rows of one batch are in one task; ``stream_lines`` bounds a batch. A stream
+    knows no end of its rows, so with ``zero_speed="invalid"`` every row at rest is invalid.
+    """
+    if zero_speed not in ("null", "invalid"):
+        raise ValueError(f"zero_speed must be 'null' or 'invalid', not {zero_speed!r}")
+    rows = rows.select(*[c for c in rows.columns if c != "source"])
+    kept = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
+    order = total_order(rows, order, TIES)
+    state = PreviousMessage(rows.columns, kept, order, keep_days)
+    known = rows.where(F.col("mmsi").isNotNull() & F.col(order[0]).isNotNull())
+    before = known.groupBy("mmsi").transformWithState(
+        statefulProcessor=state,
+        outputStructType=f"{kept}, prev_slot int, prev_sog double",
+        outputMode="Append",
+        timeMode="None" if keep_days is None else "ProcessingTime",
+    )
+    checked = against_previous(before)
+    if zero_speed == "invalid":
+        valid = F.when(F.col("ni").isNull(), F.lit(False)).otherwise(F.col("slot_valid"))
+        checked = checked.withColumn("slot_valid", valid)
+    return checked
+
+
+def start_slot_check(
+    rows: DataFrame, path: str, checkpoint: str, zero_speed: str = "null", order: Sequence[str] = ORDER
 ) -> StreamingQuery:
-    """Slot check across batches: a vessel's first message meets its last one of earlier batches.
+    """``checked_slots`` of all that is available now, each row once; the next run goes on from its checkpoint."""
+    return start_append(checked_slots(rows, zero_speed, order), path, checkpoint)
 
-    A batch looks up the last rows of its own vessels only, and leaves the new last rows of those; every
-    ``STATE_BATCHES`` batches they are gathered, without vessels silent for ``STATE_DAYS`` days, and older state is
-    removed. It reads what earlier batches left and nothing of its own, so a repeated batch gives the same rows. A message older than
-    its vessel's last known one has no previous message to compare with.
-    """
-    order = [c for c in order if c in rows.columns]
-
-    def check(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if batch_id and batch_id % STATE_BATCHES == 0:
-            _gather_state(spark, batch.schema, state, batch_id, order)
-        fresh = batch.where(F.col("mmsi").isNotNull()).persist()
-        parts = [f"{state}/{p}" for p in _state_parts(batch_id)]
-        if parts:
-            known = spark.read.schema(batch.schema).parquet(*parts)
-            mine = known.join(fresh.select("mmsi").distinct(), "mmsi", "left_semi")
-            carried = last_before(mine, order)
-        else:
-            carried = fresh.limit(0)
-        checked = slot_check(fresh, zero_speed=zero_speed, order=order, carried=carried)
-        write_dataset(checked, path, f"batch_{batch_id}")
-        left = last_before(carried.unionByName(fresh), order)
-        left.write.mode("overwrite").parquet(f"{state}/batch-{batch_id}")
-        fresh.unpersist()
 
-    return (
-        rows.writeStream.foreachBatch(check)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+def corrected_windows(closed: DataFrame, rows: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Windows that a stream closed before all their rows had come: what it gave, how many came late, and what is right.
+
+    ``closed`` is what ``windowed_vessel_summary`` has written, ``rows`` the whole table, ``fresh`` the rows since the last
+    correction. Only windows that fresh rows fall into are worked out anew, so it costs what came late. Windows
+    up to the latest closed one count as closed, also for a vessel that the stream has nothing of.
+    """
+    window = bucket_start(F.col("date_bucket")).alias("bucket_start")
+    last = closed.agg(F.max("bucket_start").alias("last_closed"))
+    touched = fresh.where(F.col("mmsi").isNotNull()).select("mmsi", window).distinct()
+    touched = touched.join(F.broadcast(last), F.col("bucket_start") <= F.col("last_closed")).drop("last_closed")
+    again = rows.withColumn("bucket_start", window).join(touched, ["bucket_start", "mmsi"], "left_semi")
+    right = again.groupBy("bucket_start", "mmsi").agg(
+        F.min("date_bucket").alias("start_time"), F.max("date_bucket").alias("end_time"), F.count(F.lit(1)).alias("count")
     )
+    given = closed.select("bucket_start", "mmsi", F.col("count").alias("counted"))
+    compared = right.join(given, ["bucket_start", "mmsi"], "left").withColumn("counted", F.coalesce("counted", F.lit(0)))
+    return compared.withColumn("late", F.col("count") - F.col("counted")).where("late > 0")
+
+
+def with_corrections(closed: DataFrame, corrections: DataFrame) -> DataFrame:
+    """The closed windows with the corrected ones in their place."""
+    columns = closed.columns
+    others = closed.join(corrections, ["bucket_start", "mmsi"], "left_anti").select(*columns)
+    return others.unionByName(corrections.select(*columns))

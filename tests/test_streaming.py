@@ -27,8 +27,8 @@ class _Runs:
 
     def __init__(self, spark, base):
         self.spark = spark
-        self.source, self.out, self.state, self.rejects, self.checkpoint = (
-            str(base / name) for name in ("source", "out", "state", "rejects", "checkpoint")
+        self.source, self.out, self.rejects, self.checkpoint = (
+            str(base / name) for name in ("source", "out", "rejects", "checkpoint")
         )
         (base / "source").mkdir()
 
@@ -79,7 +79,7 @@ def test_slot_check_goes_on_across_runs(spark, stage, ais):
     cuts = [0, 300, 650, 1000]
     for low, high in zip(cuts, cuts[1:]):
         write_raw(ais.where((F.col("event_id") >= low) & (F.col("event_id") < high)), stage.source)
-        jobs.start_slot_check(stage.rows(), stage.out, stage.state, stage.checkpoint).awaitTermination()
+        jobs.start_slot_check(stage.rows(), stage.out, stage.checkpoint).awaitTermination()
     columns = ("mmsi", "date_bucket", "slot_num", "prev_slot", "prev_sog", "ni", "slot_diff", "slot_valid")
     whole = slot_check(accepted(stage.batch()))
     assert as_set(spark.read.parquet(stage.out), *columns) == as_set(whole, *columns)
@@ -91,7 +91,7 @@ def test_late_message_is_not_checked_twice(spark, stage):
 
     for messages in ([message(0, 0), message(5, 375)], [message(3, 100), message(6, 750)]):
         stage.arrive(*messages)
-        jobs.start_slot_check(stage.rows(), stage.out, stage.state, stage.checkpoint).awaitTermination()
+        jobs.start_slot_check(stage.rows(), stage.out, stage.checkpoint).awaitTermination()
     found = spark.read.parquet(stage.out).orderBy("date_bucket").collect()
     assert [(r["prev_slot"], r["slot_num"]) for r in found] == [(0, 375), (375, 750)]
 
@@ -145,22 +145,138 @@ def test_two_checkpoints_do_not_replace_each_other(spark, stage):
     assert latest_records(read_records(spark, stage.out)).count() == 4
 
 
-def test_state_stays_bounded(spark, stage, monkeypatch):
-    """Vessels that say nothing are not written again; older state goes; a silent vessel is forgotten at last."""
-    import pathlib
+def _check(stage, **options):
+    query = jobs.start_slot_check(stage.rows(), stage.out, stage.checkpoint, **options)
+    query.awaitTermination()
+    return query
+
+
+def _pairs(spark, stage):
+    found = spark.read.parquet(stage.out).orderBy("mmsi", "date_bucket")
+    return [(r["mmsi"], r["date_bucket"], r["prev_slot"], r["slot_num"]) for r in found.collect()]
+
 
-    monkeypatch.setattr(jobs, "STATE_BATCHES", 3)
-    monkeypatch.setattr(jobs, "STATE_DAYS", 1)
-    state = pathlib.Path(stage.state)
-    for i in range(8):
-        vessel = "quiet" if i == 0 else "busy"
-        stage.arrive((vessel, T0 + timedelta(hours=6 * i), {"sog": 50}, {"slotNum": 375 * i % 2250}))
-        jobs.start_slot_check(stage.rows(), stage.out, stage.state, stage.checkpoint).awaitTermination()
-        if i:
-            assert [r["mmsi"] for r in spark.read.parquet(f"{stage.state}/batch-{i}").collect()] == ["busy"]
-    assert {p.name for p in state.iterdir()} == {"all-3", "all-6", "batch-3", "batch-4", "batch-5", "batch-6", "batch-7"}
-    assert [r["mmsi"] for r in spark.read.parquet(f"{stage.state}/all-6").collect()] == ["busy"]
-    assert spark.read.parquet(stage.out).count() == 6
+def _batch_pairs(stage):
+    checked = slot_check(accepted(stage.batch())).orderBy("mmsi", "date_bucket")
+    return [(r["mmsi"], r["date_bucket"], r["prev_slot"], r["slot_num"]) for r in checked.collect()]
+
+
+def test_wrong_clocks_and_long_silence(spark, stage):
+    """A message from 2099, of another vessel or its own, and a vessel back after 31 days, over many runs."""
+    ahead = datetime(2099, 1, 1)
+    for i in range(6):
+        messages = [("1", T0 + timedelta(minutes=i), {"sog": 50}, {"slotNum": 375 * i}),
+                    ("2", T0 + timedelta(minutes=i), {"sog": 50}, {"slotNum": 10 + i})]
+        if i in (0, 5):
+            messages.append(("3", T0 + timedelta(days=31 * (i > 0)), {"sog": 60}, {"slotNum": 100 + i}))
+        if i == 1:
+            messages.append(("4", ahead, {"sog": 50}, {"slotNum": 7}))
+        if i == 2:
+            messages.append(("2", ahead, {"sog": 50}, {"slotNum": 7}))
+        stage.arrive(*messages)
+        _check(stage)
+    found, batch = _pairs(spark, stage), _batch_pairs(stage)
+    assert [p for p in found if p[1] != ahead] == [p for p in batch if p[1] != ahead]
+    assert len([p for p in found if p[0] == "3"]) == 1
+    # The wrong clock itself meets the message before it, which in a batch is the vessel's very last.
+    assert [p[2:] for p in found if p[1] == ahead] == [(12, 7)] and [p[2:] for p in batch if p[1] == ahead] == [(15, 7)]
+
+
+def test_state_is_as_large_as_the_fleet(spark, stage):
+    """Many messages leave a row of state for each vessel."""
+    for i in range(3):
+        stage.arrive(*[(str(v), T0 + timedelta(minutes=60 * i + m), {"sog": 50}, {"slotNum": m}) for v in (1, 2) for m in range(40)])
+        query = _check(stage)
+        (state,) = query.recentProgress[-1].stateOperators
+        assert state.numRowsTotal <= 2
+    assert len(_pairs(spark, stage)) == len(_batch_pairs(stage)) == 2 * 119
+
+
+def test_speed_zero_in_a_stream(spark, stage):
+    stage.arrive(*[("1", T0 + timedelta(minutes=m), {"speedOverGround": 0}, {"slotNum": m}) for m in range(3)])
+    _check(stage, zero_speed="invalid")
+    assert [r["slot_valid"] for r in spark.read.parquet(stage.out).collect()] == [False, False]
+    with pytest.raises(ValueError):
+        jobs.checked_slots(stage.rows(), zero_speed="other")
+
+
+def test_state_expires_by_the_clock_of_the_machines(spark, stage, monkeypatch):
+    """With a time to live the stream runs on; what a vessel left long ago is gone."""
+    from aislane.streaming import laststate
+
+    made = laststate.PreviousMessage(["a"], "a int", ["a"], keep_days=30)
+    assert made.keep_ms == 30 * 86_400_000
+    stage.arrive(*[("1", T0 + timedelta(minutes=m), {"sog": 50}, {"slotNum": m}) for m in range(3)])
+    checked = jobs.checked_slots(stage.rows(), keep_days=30)
+    query = (
+        checked.writeStream.format("parquet").outputMode("append").option("path", stage.out)
+        .option("checkpointLocation", stage.checkpoint).trigger(processingTime="1 second").start()
+    )
+    try:
+        for _ in range(60):
+            query.awaitTermination(1)
+            if query.lastProgress and query.lastProgress.batchId > 0:
+                break
+    finally:
+        query.stop()
+    assert len(_pairs(spark, stage)) == 2
+
+
+def test_backlog_is_taken_in_bounded_batches(spark, stage, tmp_path):
+    """Each file once, a few at a time, into the same table as at once; what is done moves to the archive."""
+    for i in range(7):
+        stage.arrive(*[(str(v), T0 + timedelta(minutes=i), {"sog": 5}, {"slotNum": v}) for v in range(1, 4)])
+    bounded = stream_lines(spark, stage.source, files_per_batch=2)
+    query = jobs.start_ingest(bounded, stage.out, stage.rejects, stage.checkpoint, RECEIVED)
+    query.awaitTermination()
+    batches = [p.numInputRows for p in query.recentProgress if p.numInputRows]
+    # The progress counts a batch's rows once for every use of the batch.
+    assert len(batches) == 4
+    written = spark.read.parquet(stage.out)
+    runs = {r["run_id"]: r["count"] for r in written.groupBy("run_id").count().collect()}
+    assert sorted(runs.values()) == [3, 6, 6, 6]
+    at_once = jobs.start_ingest(stage.lines(), stage.out + "-2", stage.rejects + "-2", stage.checkpoint + "-2", RECEIVED)
+    at_once.awaitTermination()
+    columns = [c for c in written.columns if c not in ("run_id", "p_date")]
+    assert as_set(written, *columns) == as_set(spark.read.parquet(stage.out + "-2"), *columns)
+
+
+def test_finished_files_are_archived(spark, stage, tmp_path):
+    archive = tmp_path / "done"
+    for i in range(3):
+        stage.arrive(("1", T0 + timedelta(minutes=i), {"sog": 5}, {"slotNum": i}))
+        lines = stream_lines(spark, stage.source, bytes_per_batch=1024, archive=str(archive))
+        jobs.start_ingest(lines, stage.out, stage.rejects, stage.checkpoint, RECEIVED).awaitTermination()
+    moved = list(archive.rglob("*.json"))
+    assert moved and not {p.parent.name for p in moved} & {p.parent.name for p in pathlib.Path(stage.source).rglob("*.json")}
+    assert spark.read.parquet(stage.out).count() == 3
+
+
+def test_late_rows_are_found_and_windows_corrected(spark, stage):
+    def message(minute, mmsi="1"):
+        return (mmsi, T0 + timedelta(minutes=minute), {}, {})
+
+    def run():
+        windows = jobs.windowed_vessel_summary(stage.rows())
+        jobs.start_append(windows, stage.out, stage.checkpoint).awaitTermination()
+
+    stage.arrive(message(1), message(9), message(3, "2"), message(40))
+    run()
+    before = accepted(stage.batch()).count()
+    stage.arrive(message(2), message(4), message(5, "3"), message(41))
+    run()
+    rows = accepted(stage.batch())
+    fresh = rows.where(F.minute("date_bucket").isin(2, 4, 5, 41))
+    closed = spark.read.parquet(stage.out)
+    found = jobs.corrected_windows(closed, rows, fresh)
+    assert before == 4 and as_set(found, "mmsi", "counted", "late", "count") == [("1", 2, 2, 4), ("3", 0, 1, 1)]
+    whole = rows.where(F.minute("date_bucket") < 10).groupBy("mmsi").agg(
+        F.min("date_bucket").alias("start_time"), F.max("date_bucket").alias("end_time"), F.count("*").alias("count")
+    )
+    right = jobs.with_corrections(closed, found).where(F.minute("bucket_start") == 0)
+    assert as_set(right, "mmsi", "start_time", "end_time", "count") == as_set(whole, "mmsi", "start_time", "end_time", "count")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan
 
 
 def test_stream_of_records_joined_by_two_characters(spark, stage):
