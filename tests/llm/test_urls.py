@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import itertools
+import math
+import random
+import re
+from collections import Counter
 
 import pytest
 
@@ -80,12 +84,72 @@ def test_segments_are_the_likeliest():
         assert sum(map(segment.word_cost, words)) == pytest.approx(min(ways))
 
 
-def test_naive_bayes_by_hand():
-    bayes = urls.NaiveBayes({1: (3, 1), 2: (0, 4)}, (2, 3))
-    import math
+def brute_judged(rows):
+    """The whole method in plain Python with every word and token: page_id, host, path, verdict, odds."""
+    words = Counter()
+    for _, _, html, *_ in rows:
+        text = re.sub(r"(?s)<(script|style)\b.*?</\1>|<[^>]*>", " ", html or "")
+        words.update(re.findall("[a-z]+", text.lower()))
+    segment = urls.Segmenter({w: n for w, n in words.items() if len(w) <= 24}, words.total())
+
+    def tokens(host, path):
+        out = []
+        for part in re.findall(r"[a-z]+|[0-9]+|[^a-z0-9.\-]+", host):
+            out += [f"h:{w}" for w in (segment(part) if re.fullmatch("[a-z]+", part) else [part])]
+        return out + [f"p:{t}" for t in re.findall(r"[^\W_]+", path.lower())]
+
+    parts = [(r[0], *brute_parts(r[1])) for r in rows]
+    verdicts = [(x := brute_rule(h, p)) and x.verdict for _, h, p in parts]
+    seen, urls_of = {v: Counter() for v in ("allow", "block")}, Counter(filter(None, verdicts))
+    for (_, h, p), v in zip(parts, verdicts, strict=True):
+        if v:
+            seen[v].update(tokens(h, p))
+    size = max(1, len(seen["allow"] | seen["block"]))
+    prior = math.log(urls_of["block"] + 1) - math.log(urls_of["allow"] + 1)
+    out = []
+    for (i, h, p), v in zip(parts, verdicts, strict=True):
+        odds = prior
+        for t in tokens(h, p):
+            odds += math.log((seen["block"][t] + 1) / (seen["block"].total() + size))
+            odds -= math.log((seen["allow"][t] + 1) / (seen["allow"].total() + size))
+        out.append((i, h, p, v, odds))
+    return out
+
+
+def compare(found, rows):
+    want = sorted(brute_judged(rows), key=lambda w: (str(w[:3]), w[4]))
+    got = sorted(found.collect(), key=lambda r: (str((r.page_id, r.host, r.path)), r.block_odds))
+    assert len(got) == len(want)
+    for g, (i, host, path, verdict, odds) in zip(got, want, strict=True):
+        assert (g.page_id, g.host, g.path) == (i, host, path)
+        assert g.block_odds == pytest.approx(odds, abs=1e-6)
+        if verdict or abs(odds) > 1e-6:
+            assert g.verdict == (verdict or ("block" if odds > 0 else "allow"))
+
+
+def test_whole_method_like_brute_force(spark):
+    frame, rows = pages(spark)
+    compare(urls.judge_urls(frame), rows)
+
+
+def test_whole_method_with_many_words(spark):
+    """Far more words, labels and tokens, each with its own count; a host and a label that a third of all pages have."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(1, 9))) for _ in range(4000)] + ["w" * 24, "v" * 25]
+    rows = []
+    for i in range(900):
+        label = "".join(rng.choices(words, k=rng.randint(1, 3))) + rng.choice(["", "7", "-x"])
+        host = rng.choice([f"{label}.net", f"{label}.com", f"www.{label}.org", "hot.example.org"])
+        path = "/" + "/".join(rng.choices(["es", "fr", "en", *words[:400]], k=rng.randint(0, 4)))
+        rows.append((i, f"http://{host}{path}", "<p>" + " ".join(rng.choices(words, k=40)) + "</p>", None, None, None))
+    rows.append((900, "http://" + "ab" * 500 + ".org/" + "x" * 3000, "w" * 24 + " " + "v" * 25, None, None, None))
+    compare(urls.judge_urls(spark.createDataFrame(rows, PAGES)), rows)
+
 
-    assert bayes.prior == pytest.approx(math.log(4 / 3))
-    assert bayes.odds[1] == pytest.approx(math.log((1 + 1) / (5 + 2)) - math.log((3 + 1) / (3 + 2)))
+def test_odds_by_hand():
+    odds = urls.Odds.of((2, 3), (3, 5), 2)
+    assert odds.prior == round(math.log(4 / 3) * 1e9) and odds.unseen == round(math.log(5 / 7) * 1e9)
+    assert urls.Odds.of((0, 0), (0, 0), 0) == urls.Odds(0, 0)
 
 
 def test_empty_table_and_query(spark, sf_dir):
@@ -94,6 +158,7 @@ def test_empty_table_and_query(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
     got = {r.page_id: r for r in op10_urls(spark, sf_dir).collect()}
     assert len(got) == len(rows)
+    compare(op10_urls(spark, sf_dir), [(r.page_id, r.url, r.html) for r in rows])
     for row in rows:
         host, path = brute_parts(row.url)
         rule = brute_rule(host, path)
