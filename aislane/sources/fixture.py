@@ -53,7 +53,9 @@ def ais_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(path: str) -> None:
         events = spark.read.parquet(f"{sf_dir}/events.parquet")
         rows = spark.sql(AIS_SELECT.format(events="{events}"), events=events)
-        rows.repartitionByRange("mmsi", "date_bucket").sortWithinPartitions("mmsi", "date_bucket").write.parquet(path)
+        # Small as it may be, it is cut as finely as a large table, so that every core has a part.
+        cut = rows.repartitionByRange(spark.sparkContext.defaultParallelism, "mmsi", "date_bucket")
+        cut.sortWithinPartitions("mmsi", "date_bucket").write.parquet(path)
 
     return spark.read.parquet(_once(spark, sf_dir, "ais", write))
 

@@ -40,7 +40,7 @@ class PreviousMessage(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         made = Row(*self.columns)
-        last = [made(*r) for r in self.tracks.get()] if self.tracks.exists() else []
+        last = [made(*r) for r in self.tracks.get()]
         for row in sorted((made(*[r[c] for c in self.columns]) for r in rows), key=self.place):
             ahead = min((t for t in last if self.place(t) > self.place(row)), key=self.place, default=None)
             if ahead is not None and ahead[self.order[0]] - row[self.order[0]] <= GAP:
