@@ -31,6 +31,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--carry-minutes", type=int, default=0, help="how far back a vessel's previous message may lie")
     parser.add_argument("--full", action="store_true", help="also the signal datasets that are as long as the rows")
     parser.add_argument("--day", type=date.fromisoformat, help="day to compact")
+    parser.add_argument("--layout", choices=("vessel", "both"), default="vessel", help="what compacted files are laid out for: scans of vessels, or of vessels and hours")
     options = parser.parse_args(arguments)
     if options.job == "compact" and options.day is None:
         parser.error("compact needs --day")
@@ -40,7 +41,7 @@ def main(arguments: list[str] | None = None) -> None:
     spark = configure(SparkSession.builder.appName(f"aislane {options.job}").getOrCreate())
     as_of = options.as_of or datetime.now(timezone.utc)
     if options.job == "compact":
-        compact_day(spark, options.table, options.day)
+        compact_day(spark, options.table, options.day, options.layout)
         return
     if options.job == "process":
         if options.start and options.end:

@@ -113,8 +113,11 @@ def test_joined_records_carry_over_and_skipped_files(spark, tmp_path):
     main(["slot-report", *common, *later, "--carry-minutes", "10"])
     carried = sum(r["total"] for r in spark.read.parquet(f"{out}/slot_summary").collect())
     assert carried == alone + 3
-    main(["compact", "--table", table, "--day", "2026-03-20"])
-    assert spark.read.parquet(table).count() == 60
+    for layout in ("vessel", "both"):
+        main(["compact", "--table", table, "--day", "2026-03-20", "--layout", layout])
+        assert spark.read.parquet(table).count() == 60
+    numbers = spark.read.parquet(f"{out}/corrupt_lines").collect()
+    assert [(r["line_number"], r["line"]) for r in numbers] == [(61, "bad{")]
 
 
 def test_buckets_of_a_range_are_processed_anew(spark, tmp_path):
