@@ -3,9 +3,9 @@
 A merge (BPE) model's pieces are put together from characters, best-scored merge first. With dropout, every merge that
 comes up is skipped with the stated chance, by its own draw: a keyed hash of seed, the document's key, the word's place in the text and
 the number of the merge in the word, so the same text has several segmentations, each repeatable. A skipped pair comes up again only as part of a longer piece.
-What a worker remembers is free of draws: a word's pieces without a skip and with one, and how many merges come up then.
-An occurrence starts without skips and adds its next one as long as that merge comes up. Words that are new are
-merged many at a time: those of one length make matrices, and every step does or skips the best merge of each row.
+What a worker remembers is free of draws: a tree for each word, whose nodes are its pieces under some skips, with how many merges come up then.
+An occurrence starts at the root and goes on to the child of its next skip as long as that merge comes up. Nodes that are new are
+worked out many at a time: rows of one width make a matrix, and every step does or skips the best merge of each row.
 
 No piece of such a model has a space behind other characters, so words are encoded one by one (checked when the model is
 read). A character without a piece becomes its UTF-8 bytes, and so does the model's own space mark where a text holds it, which
@@ -20,6 +20,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,10 @@ from aislane.llm.common import row_key, worker_store
 
 DROPOUT = 0.1
 SEED = 20_240
-# A word's first skip is remembered as a character behind the chunk, one bit a merge; 20 bits fit. All else is worked out each batch.
-_BITS = 20
+# Skips of the first so many merges are remembered, one bit a merge. Words with later ones are worked out each time.
+_BITS = 64
+# Words that are merged together.
+_TOGETHER = 50_000
 # The draws say after how many merges the next one is skipped, up to so many at once.
 _GAPS = 256
 # Fixed value: the mark that stands for a space in pieces.
@@ -39,7 +42,9 @@ SPACE = "▁"
 # Chunks that are merged on their own. Where no piece joins a letter with a full stop or comma behind it, and none
 # holds a line break, texts are cut there too: fewer different chunks.
 _WORDS = re.compile(r" *[^ ]+| +")
-_FINE_WORDS = re.compile(r"\n+| *[^ \n]*[^\W\d_](?=[.,](?:[ \n]|$))| *[^ \n]+| +")
+_PLAIN = r"[^ \n.,]++"
+_TAIL = rf"(?:[.,]++{_PLAIN})*+(?:(?<=[^\W\d_])(?=[.,](?:[ \n]|$))|[.,]*+)"
+_FINE_WORDS = re.compile(rf" *{_PLAIN}(?:(?=[ \n])|{_TAIL})| *[.,]++(?:{_PLAIN}{_TAIL})?|\n+| +")
 _LONG = 48
 _MASK = (1 << 64) - 1
 
@@ -78,20 +83,64 @@ class PieceModel:
         return data[1:].decode() if data else ""
 
 
+class _Grown:
+    """An array that grows at its end."""
+
+    def __init__(self, kind):
+        self.room, self.size = np.zeros(1024, dtype=kind), 0
+
+    @property
+    def all(self) -> np.ndarray:
+        return self.room[: self.size]
+
+    def add(self, values: np.ndarray) -> int:
+        """Put ``values`` at the end; where they begin."""
+        begin, self.size = self.size, self.size + len(values)
+        if self.size > len(self.room):
+            wider = np.zeros(max(self.size, 2 * len(self.room)), dtype=self.room.dtype)
+            wider[:begin] = self.room[:begin]
+            self.room = wider
+        self.room[begin : self.size] = values
+        return begin
+
+
+class _Known:
+    """Segmentations met so far. Each word has a tree of them: the root has no skip, and a node's child adds one behind its last."""
+
+    def __init__(self):
+        self.root: dict[str, int] = {}
+        # Words: their characters' pieces; a length of 0 marks those in ``odd``, which the matrices don't take.
+        self.odd: dict[int, str] = {}
+        self.symbols, self.symbol_begin, self.length = _Grown(np.int32), _Grown(np.int64), _Grown(np.int32)
+        # Nodes: word, skips as bits, merges that come up, pieces. ``child`` plus a skip is a place in ``children``, -1 where not worked out.
+        self.word, self.mask, self.steps = _Grown(np.int32), _Grown(np.uint64), _Grown(np.int32)
+        self.pieces, self.begin, self.count = _Grown(np.uint32), _Grown(np.int64), _Grown(np.int32)
+        self.children, self.child = _Grown(np.int32), _Grown(np.int64)
+
+    def add_nodes(self, words, masks, after, steps, counts, flat) -> np.ndarray:
+        """New nodes whose children's skips are ``after`` or later."""
+        begin = self.pieces.add(flat)
+        self.begin.add(begin + np.cumsum(counts) - counts)
+        self.count.add(counts)
+        self.mask.add(masks)
+        self.steps.add(steps)
+        slots = np.maximum(np.minimum(steps, _BITS) - after, 0)
+        self.child.add(self.children.add(np.full(slots.sum(), -1, np.int32)) + np.cumsum(slots) - slots - after)
+        return self.word.add(words) + np.arange(len(words))
+
+
 class Encoder:
     """Encodes texts; ``dropout`` 0 gives the model's plain segmentation."""
 
-    MOST_KNOWN = 300_000
+    # Some 100 bytes each; beyond, all are worked out anew as they come up.
+    MOST_WORDS, MOST_NODES = 400_000, 2_000_000
 
     def __init__(self, model: PieceModel, dropout: float = DROPOUT, seed: int = SEED):
         self.model, self.seed = model, seed
         self.size = len(model.raw)
         # What part of the draws go on after so many merges, rising.
         self.goes_on = np.array([int((1 - dropout) ** (g + 1) * 2**53) for g in range(_GAPS)][::-1], dtype=np.uint64)
-        self.known: dict[str, bytes] = {}
-        self.steps: dict[str, int] = {}
-        # What was known before the last change; what is asked for again moves up.
-        self.older: tuple[dict[str, bytes], dict[str, int]] = {}, {}
+        self.known = _Known()
         self._pairs()
 
     def _gaps(self, words: np.ndarray, number: int | np.ndarray) -> np.ndarray:
@@ -115,7 +164,7 @@ class Encoder:
             begin += 64
 
     def _pairs(self) -> None:
-        """All pairs of pieces that merge, as rising numbers, with the merged piece; characters by code point."""
+        """All pairs of pieces that merge, as rising numbers, with the rank of the merged piece; characters by code point."""
         ids, found = self.model.id, []
         for piece, number in ids.items():
             for cut in range(1, len(piece)):
@@ -126,8 +175,13 @@ class Encoder:
         # The last place stands for pairs that don't merge.
         self.pair_keys = np.array([k for k, _ in found] + [2**62], dtype=np.int64)
         self.pair_piece = np.array([n for _, n in found] + [0], dtype=np.int32)
-        # Smaller is better.
-        self.pair_cost = np.array([-self.model.score[self.model.piece[n]] for _, n in found] + [np.inf], dtype=np.float32)
+        scores = sorted({self.model.score[self.model.piece[n]] for _, n in found}, reverse=True)
+        rank, self.none = {score: r for r, score in enumerate(scores)}, len(scores)
+        self.pair_rank = np.array([rank[self.model.score[self.model.piece[n]]] for _, n in found] + [self.none], dtype=np.int32)
+        # -1 where several pieces have the score: runs of spaces do.
+        self.piece_of_rank = np.zeros(self.none + 1, dtype=np.int32)
+        self.piece_of_rank[self.pair_rank] = self.pair_piece
+        self.piece_of_rank[self.pair_rank[self.piece_of_rank[self.pair_rank] != self.pair_piece]] = -1
         # A table for pairs of characters. Only those that some pair joins have a place of their own, the rest share place 0.
         ones = np.zeros(self.size, dtype=bool)
         ones[[number for piece, number in ids.items() if len(piece) == 1]] = True
@@ -136,8 +190,8 @@ class Encoder:
         joined = np.unique(np.r_[left[at], right[at]])
         self.single = np.zeros(self.size, dtype=np.int32)
         self.single[joined] = np.arange(1, len(joined) + 1)
-        self.of_singles = np.full((len(joined) + 1, len(joined) + 1), len(found), dtype=np.int32)
-        self.of_singles[self.single[left[at]], self.single[right[at]]] = at
+        self.rank_of_singles = np.full((len(joined) + 1, len(joined) + 1), self.none, dtype=np.int32)
+        self.rank_of_singles[self.single[left[at]], self.single[right[at]]] = self.pair_rank[at]
         self.char = np.full(0x110000, -1, dtype=np.int32)
         for piece, number in ids.items():
             if len(piece) == 1 and piece != SPACE:
@@ -148,82 +202,130 @@ class Encoder:
         """Where a pair stands among those that merge, the last place if it doesn't."""
         keys = left.astype(np.int64) * self.size + right
         at = np.searchsorted(self.pair_keys, keys)
-        at[self.pair_keys[at] != keys] = len(self.pair_keys) - 1
-        return at
+        return np.where(self.pair_keys[at] == keys, at, len(self.pair_keys) - 1)
 
-    def _merge_rows(self, symbols: np.ndarray, masks: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-        """Pieces of words of one length: rows, their pieces, how many merges came up. Bit t of a row's mask skips its merge t.
+    def _merge_rows(self, words: np.ndarray, masks: np.ndarray, steps: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows and their pieces, many rows at a time. Bit t of a row's mask skips its merge t; ``steps`` counts those that came up.
 
-        A step does or skips one merge in every row; rows with the same number of pieces left are one matrix.
+        Rows of one width are a matrix. Those that merge join the rows that are one narrower.
         """
-        short = self.single[symbols]
-        costs = self.pair_cost[self.of_singles[short[:, :-1], short[:, 1:]]]
-        parts, step = {symbols.shape[1]: [(np.arange(len(symbols)), symbols, costs, masks)]}, 0
-        while parts:
-            following: dict[int, list] = {}
-            for width, same in parts.items():
-                rows, symbols, costs, masks = same[0] if len(same) == 1 else map(np.concatenate, zip(*same, strict=True))
-                if width == 1:
-                    yield rows, symbols, step
-                    continue
-                best = costs.argmin(axis=1)
-                live = np.isfinite(costs[np.arange(len(rows)), best])
+        known = self.known
+        lengths, begin = known.length.all[words], known.symbol_begin.all[words]
+        widest = int(lengths.max(initial=0))
+        by_length = np.argsort(lengths, kind="stable")
+        cuts = np.searchsorted(lengths[by_length], np.arange(1, widest + 2))
+        narrower: list[tuple] = []
+        for width in range(widest, 0, -1):
+            same, narrower = narrower, []
+            starting = by_length[cuts[width - 1] : cuts[width]]
+            if len(starting):
+                symbols = known.symbols.all[begin[starting][:, None] + np.arange(width)]
+                short = self.single[symbols]
+                same.append((starting, symbols, self.rank_of_singles[short[:, :-1], short[:, 1:]], masks[starting]))
+            if not same:
+                continue
+            rows, symbols, ranks, left = same[0] if len(same) == 1 else map(np.concatenate, zip(*same, strict=True))
+            if width == 1:
+                yield rows, symbols
+                return
+            while len(rows):
+                best = ranks.argmin(axis=1)
+                lowest = ranks[np.arange(len(rows)), best]
+                live = lowest < self.none
                 if not live.all():
-                    yield rows[~live], symbols[~live], step
-                    rows, symbols, costs, masks, best = (x[live] for x in (rows, symbols, costs, masks, best))
-                    if not len(rows):
-                        continue
-                skipped = (masks >> np.uint64(step)) & np.uint64(1) != 0 if step < 64 else np.zeros(len(rows), bool)
-                if skipped.any():
-                    left_out = costs[skipped]
-                    left_out[np.arange(len(left_out)), best[skipped]] = np.inf
-                    following.setdefault(width, []).append((rows[skipped], symbols[skipped], left_out, masks[skipped]))
-                    rows, symbols, costs, masks, best = (x[~skipped] for x in (rows, symbols, costs, masks, best))
-                if len(rows):
-                    symbols, costs = self._merged(symbols, costs, best)
-                    following.setdefault(width - 1, []).append((rows, symbols, costs, masks))
-            parts, step = following, step + 1
-
-    def _merged(self, symbols: np.ndarray, costs: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                    yield rows[~live], symbols[~live]
+                    rows, symbols, ranks, left, best, lowest = (x[live] for x in (rows, symbols, ranks, left, best, lowest))
+                steps[rows] += 1
+                skipped = (left & np.uint64(1)).astype(bool)
+                left = left >> np.uint64(1)
+                if not skipped.any():
+                    narrower.append((rows, *self._merged(symbols, ranks, best, lowest), left))
+                    break
+                done = ~skipped
+                if done.any():
+                    narrower.append((rows[done], *self._merged(symbols[done], ranks[done], best[done], lowest[done]), left[done]))
+                rows, symbols, ranks, left, best = (x[skipped] for x in (rows, symbols, ranks, left, best))
+                ranks[np.arange(len(rows)), best] = self.none
+
+    def _merged(self, symbols: np.ndarray, ranks: np.ndarray, best: np.ndarray, lowest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows with their pair at ``best`` merged."""
         each, width = np.arange(len(symbols)), symbols.shape[1]
-        merged = self.pair_piece[self._find(symbols[each, best], symbols[each, best + 1])]
         # What stands right of the merge moves one place left.
-        right = np.arange(width - 1)[None, :] > best[:, None]
+        right = np.arange(width - 1) > best[:, None]
+        merged = self.piece_of_rank[lowest]
+        tied = np.flatnonzero(merged < 0)
+        if len(tied):
+            merged[tied] = self.pair_piece[self._find(symbols[tied, best[tied]], symbols[tied, best[tied] + 1])]
         symbols = np.where(right, symbols[:, 1:], symbols[:, :-1])
         symbols[each, best] = merged
-        if width == 2:
-            return symbols, np.zeros((len(symbols), 0), dtype=np.float32)
-        costs = np.where(right[:, :-1], costs[:, 1:], costs[:, :-1])
-        behind, before = best < width - 2, best > 0
-        r, c = np.r_[each[behind], each[before]], np.r_[best[behind], best[before] - 1]
-        costs[r, c] = self.pair_cost[self._find(symbols[r, c], symbols[r, c + 1])]
-        return symbols, costs
-
-    def _work_out(self, chunks: list[str], masks: np.ndarray) -> list[tuple[bytes, int]]:
-        """The pieces of chunks with the merges of their masks skipped, and how many merges come up."""
-        out: list = [None] * len(chunks)
-        lengths = np.array(list(map(len, chunks)), dtype=np.int64)
-        flat = np.frombuffer("".join(chunks).encode("utf-32-le"), "<u4").astype(np.int64)
-        begin = np.cumsum(np.r_[0, lengths])[:-1]
-        ids = self.char[flat]
+        ranks = np.where(right[:, :-1], ranks[:, 1:], ranks[:, :-1])
+        behind, before = np.flatnonzero(best < width - 2), np.flatnonzero(best > 0)
+        r, c = np.concatenate((behind, before)), np.concatenate((best[behind], best[before] - 1))
+        ranks[r, c] = self.pair_rank[self._find(symbols[r, c], symbols[r, c + 1])]
+        return symbols, ranks
+
+    def _work_out(self, words: np.ndarray, masks: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """New nodes: the pieces of words with the merges of their masks skipped."""
+        known, n = self.known, len(words)
+        steps, counts, parts = np.zeros(n, np.int32), np.zeros(n, np.int32), []
+        odd = known.length.all[words] == 0
+        plain = np.flatnonzero(~odd)
+        own = np.zeros(len(plain), np.int32)
+        for rows, pieces in self._merge_rows(words[plain], masks[plain], own):
+            counts[plain[rows]] = pieces.shape[1]
+            parts.append((plain[rows], pieces))
+        steps[plain] = own
+        for i in np.flatnonzero(odd).tolist():
+            data, steps[i] = self._encoded(known.odd[int(words[i])], _set_bits(int(masks[i])))
+            pieces = np.frombuffer(data, "<u4")[None, :]
+            counts[i] = pieces.shape[1]
+            parts.append((np.array([i]), pieces))
+        begin, flat = np.cumsum(counts, dtype=np.int64) - counts, np.zeros(counts.sum(dtype=np.int64), np.uint32)
+        for rows, pieces in parts:
+            flat[begin[rows][:, None] + np.arange(pieces.shape[1])] = pieces
+        return known.add_nodes(words, masks, after, steps, counts, flat)
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Remember new chunks, without skips."""
+        known = self.known
+        lengths = np.array(list(map(len, chunks)), dtype=np.int32)
+        # A lone surrogate has no piece, so it can't be lost here.
+        ids = self.char[np.frombuffer("".join(chunks).encode("utf-32-le"), "<u4").astype(np.int64)]
+        begin = np.cumsum(lengths, dtype=np.int64) - lengths
         plain = (np.minimum.reduceat(ids, begin) >= 0) & (lengths <= _LONG)
-        for length in np.unique(lengths[plain]).tolist():
-            which = np.flatnonzero(plain & (lengths == length))
-            symbols = ids[begin[which][:, None] + np.arange(length)]
-            for rows, pieces, steps in self._merge_rows(symbols, masks[which]):
-                data, width = pieces.astype("<u4").tobytes(), 4 * pieces.shape[1]
-                for i, row in enumerate(which[rows].tolist()):
-                    out[row] = data[i * width : (i + 1) * width], steps
-        for i in np.flatnonzero(~plain).tolist():
-            out[i] = self._encoded(chunks[i], _set_bits(int(masks[i])))
-        return out
-
-    def _learn(self, keys: list[str]) -> None:
-        """Remember the pieces of chunks, each followed by its skips."""
-        masks = np.array([ord(k[-1]) for k in keys], dtype=np.uint64)
-        for key, (data, steps) in zip(keys, self._work_out([k[:-1] for k in keys], masks), strict=True):
-            self.known[key], self.steps[key] = data, steps
+        words = known.length.size + np.arange(len(chunks))
+        known.odd |= {int(words[i]): chunks[i] for i in np.flatnonzero(~plain).tolist()}
+        known.length.add(np.where(plain, lengths, 0))
+        known.symbol_begin.add(known.symbols.add(ids) + begin)
+        nodes = self._work_out(words, np.zeros(len(chunks), np.uint64), np.zeros(len(chunks), np.int64))
+        known.root.update(zip(chunks, nodes.tolist(), strict=True))
+
+    def _roots(self, chunks: list[str]) -> np.ndarray:
+        """The nodes of chunks without skips; new chunks are merged together."""
+        nodes = np.fromiter(map(self.known.root.get, chunks, repeat(-1)), np.int64, len(chunks))
+        missing = np.flatnonzero(nodes < 0)
+        if len(missing):
+            own = [chunks[i] for i in missing.tolist()]
+            new = list(dict.fromkeys(own))
+            for begin in range(0, len(new), _TOGETHER):
+                self._learn(new[begin : begin + _TOGETHER])
+            nodes[missing] = np.fromiter(map(self.known.root.__getitem__, own), np.int64, len(own))
+        return nodes
+
+    def _with_skip(self, nodes: np.ndarray, skip: np.ndarray) -> np.ndarray:
+        """The children of nodes by their next skip; those not met before are worked out together."""
+        known = self.known
+        at = known.child.all[nodes] + skip
+        new = np.flatnonzero(known.children.all[at] < 0)
+        if len(new):
+            slots, first = np.unique(at[new], return_index=True)
+            parents, skips = nodes[new[first]], skip[new[first]]
+            for begin in range(0, len(slots), _TOGETHER):
+                part = slice(begin, begin + _TOGETHER)
+                masks = known.mask.all[parents[part]] | np.uint64(1) << skips[part].astype(np.uint64)
+                made = self._work_out(known.word.all[parents[part]], masks, skips[part] + 1)
+                known.children.all[slots[part]] = made
+        return known.children.all[at].astype(np.int64)
 
     def _symbols(self, chunk: str) -> list[str]:
         # A text's own space mark stays apart from the spaces: no piece holds a NUL with something else.
@@ -272,9 +374,6 @@ class Encoder:
                 out += [model.byte_id[b] for b in piece.removeprefix("\0").encode() or b"\0"]
         return np.array(out, "<u4").tobytes(), steps
 
-    def _ids(self, chunk: str, mask: int) -> bytes:
-        return self._encoded(chunk, _set_bits(mask))[0]
-
     def _words(self, key: int, count: int) -> np.ndarray:
         """A hash of each of a text's words by its place."""
         h = np.arange(1, count + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -286,67 +385,40 @@ class Encoder:
     def encode(self, text: str, key: int = 0) -> np.ndarray:
         return next(self.encode_all([text], [key]))
 
-    def _learn_new(self, keys: list[str]) -> None:
-        new, (known, steps) = [], self.older
-        for key in set(keys).difference(self.known):
-            if key in known:
-                self.known[key], self.steps[key] = known[key], steps[key]
-            else:
-                new.append(key)
-        for begin in range(0, len(new), 50_000):
-            self._learn(new[begin : begin + 50_000])
-
     def encode_all(self, texts: list[str], keys: list[int]) -> Iterator[np.ndarray]:
         """The pieces of every text; what is new in them is merged together."""
-        if len(self.known) > self.MOST_KNOWN // 2:
-            self.older, self.known, self.steps = (self.known, self.steps), {}, {}
-        chunks, words, ends = [], [], [0]
+        if len(self.known.root) > self.MOST_WORDS or self.known.word.size > self.MOST_NODES:
+            self.known = _Known()
+        known, chunks, words, ends = self.known, [], [], [0]
         for text, key in zip(texts, keys, strict=True):
             own = self.model.chunks.findall(" " + text) if text else []
             chunks += own
             words.append(self._words(key, len(own)))
             ends.append(len(chunks))
         hashes = np.concatenate([*words, np.zeros(0, np.uint64)])
-        plain = [c + "\0" for c in chunks]
-        self._learn_new(plain)
-        out = list(map(self.known.__getitem__, plain))
+        nodes = self._roots(chunks)
         skip = self._gaps(hashes, 0)
-        active = np.flatnonzero(skip < np.fromiter(map(self.steps.__getitem__, plain), np.int64, len(plain)))
-        skip, masks, number = skip[active], np.zeros(len(active), np.uint64), 0
+        active, number = np.flatnonzero(skip < known.steps.all[nodes]), 0
+        skip = skip[active]
         while len(active):
             number += 1
-            # Beyond what a mask holds a word is worked out with all its skips.
-            far = skip >= 64
+            # Beyond what a mask holds, or a gap tells, a word is worked out with all its skips.
+            far = skip >= _BITS
             for i in active[far].tolist():
-                out[i] = self._encoded(chunks[i], self._all_skips(int(hashes[i])))[0]
-            active, skip, masks = active[~far], skip[~far], masks[~far]
-            masks = masks | np.uint64(1) << skip.astype(np.uint64)
-            own, bits = [chunks[i] for i in active.tolist()], masks.tolist()
-            short = masks < np.uint64(1 << _BITS) if number == 1 else np.zeros(len(active), bool)
-            steps = np.zeros(len(active), np.int64)
-            if short.any():
-                keyed = [c + chr(m) for c, m in zip(own, bits, strict=True) if m < 1 << _BITS]
-                self._learn_new(keyed)
-                steps[short] = np.fromiter(map(self.steps.__getitem__, keyed), np.int64, len(keyed))
-                for i, data in zip(active[short].tolist(), map(self.known.__getitem__, keyed), strict=True):
-                    out[i] = data
-            # Further skips are too many to remember beyond the batch.
-            rest = np.flatnonzero(~short).tolist()
-            found, new = {}, list({(own[j], bits[j]) for j in rest})
-            for begin in range(0, len(new), 50_000):
-                part = new[begin : begin + 50_000]
-                found |= zip(part, self._work_out([c for c, _ in part], np.array([m for _, m in part], np.uint64)), strict=True)
-            for j, i in zip(rest, active[rest].tolist(), strict=True):
-                out[i], steps[j] = found[own[j], bits[j]]
-            gap = self._gaps(hashes[active], number)
-            skip = skip + 1 + gap
-            more = (skip < steps) & (gap < _GAPS)
-            # A gap that is not told in full is followed by others.
-            for i in active[(skip < steps) & (gap >= _GAPS)].tolist():
-                out[i] = self._encoded(chunks[i], self._all_skips(int(hashes[i])))[0]
-            active, skip, masks = active[more], skip[more], masks[more]
+                data, steps = self._encoded(chunks[i], self._all_skips(int(hashes[i])))
+                pieces = np.frombuffer(data, "<u4")
+                one = np.array([0])
+                nodes[i] = known.add_nodes(one, one, one, one, np.array([len(pieces)]), pieces)[0]
+            active, skip = active[~far], skip[~far]
+            nodes[active] = self._with_skip(nodes[active], skip)
+            skip = skip + 1 + self._gaps(hashes[active], number)
+            more = skip < known.steps.all[nodes[active]]
+            active, skip = active[more], skip[more]
+        counts = known.count.all[nodes].astype(np.int64)
+        bounds = np.r_[0, np.cumsum(counts)]
+        flat = known.pieces.all[np.repeat(known.begin.all[nodes] - bounds[:-1], counts) + np.arange(bounds[-1])]
         for begin, end in zip(ends, ends[1:], strict=False):
-            yield np.frombuffer(b"".join(out[begin:end]), "<u4")
+            yield flat[bounds[begin] : bounds[end]]
 
 
 def _set_bits(mask: int) -> Iterator[int]:

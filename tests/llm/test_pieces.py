@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import numpy as np
 import pytest
@@ -52,10 +53,37 @@ def test_ways_of_merging_agree():
     """Many words at a time, and one by one with an agenda."""
     rng, encoder = random.Random(4), pieces.Encoder(MODEL, 0.15)
     words = ["".join(rng.choice("theanoi rst.,é\n") for _ in range(rng.randint(1, 40))) for _ in range(1500)]
-    keys = sorted({c + chr(rng.randrange(8)) for w in words for c in MODEL.chunks.findall(" " + w)})
-    encoder._learn(keys)
-    for key in keys:
-        assert encoder.known[key] == encoder._ids(key[:-1], ord(key[-1]))
+    chunks = sorted({c for w in [*words, "   ", "a▁b", "🎉", "x" * 60] for c in MODEL.chunks.findall(" " + w)})
+    roots, known = encoder._roots(chunks), encoder.known
+    masks = np.array([rng.choice((0, 1, 2, 5, 8, 1 << 63, rng.getrandbits(12))) for _ in chunks], dtype=np.uint64)
+    nodes = encoder._work_out(known.word.all[roots], masks, np.zeros(len(chunks), np.int64))
+    for chunk, mask, node in zip(chunks, masks.tolist(), nodes.tolist(), strict=True):
+        data, steps = encoder._encoded(chunk, pieces._set_bits(mask))
+        begin = known.begin.all[node]
+        assert known.pieces.all[begin : begin + known.count.all[node]].tobytes() == data and known.steps.all[node] == steps
+
+
+def test_what_is_remembered_changes_nothing():
+    """In other batches, and where all is forgotten time and again."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(("international", "a.", "x..", "the,", "é", "123,", "🎉a", "q" * 90)) for _ in range(60)) for _ in range(40)]
+    want = [i.tolist() for i in pieces.Encoder(MODEL, 0.3).encode_all(texts, list(range(40)))]
+    forgetful = pieces.Encoder(MODEL, 0.3)
+    forgetful.MOST_WORDS = 3
+    assert [forgetful.encode(t, k).tolist() for k, t in enumerate(texts)] == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab1_é., \n", max_size=30))
+def test_words_of_a_text(text):
+    """A full stop or comma at a word's end is cut off where it stands alone behind a letter; nothing is lost."""
+    got = MODEL.chunks.findall(text)
+    assert MODEL.chunks is pieces._FINE_WORDS and "".join(got) == text and all(got)
+    want = []
+    for run in re.findall(r"\n+| *[^ \n]+| +", text):
+        cut = len(run) > 1 and run[-1] in ".," and run[-2].isalpha()
+        want += [run[:-1], run[-1]] if cut else [run]
+    assert got == want
 
 
 def test_every_occurrence_has_its_own_draws():
