@@ -1,16 +1,18 @@
 """Language-model scores by Katz backoff over words, with Good-Turing discounts.
 
 The model has two levels. Unigrams cover every training word; unseen words share the Good-Turing missing mass. Bigrams
-are counted between the tokens of the model's vocabulary and the start of a text. The vocabulary are the training tokens that
-occur at least so often that there are at most ``VOCABULARY`` of them, and the end of a text; it is the model's one fixed size. A seen bigram has its discounted relative frequency, any other the context's backoff weight times the
+are counted between all training tokens, the end of a text included, and the start of a text. A seen bigram has its discounted relative frequency, any other the context's backoff weight times the
 unigram probability; the weight is what the context's bigrams leave over, divided by the unigram mass of the words not seen
 after it, so every context's probabilities add up to one.
 
+How bigrams are kept depends on their words, what they score doesn't. The at most ``VOCABULARY`` most frequent words have numbers, and
+bigrams of two such words are number blocks. Every other bigram holds a word with less than a ``VOCABULARY``-th of all tokens; those are rows of
+tables, grouped and joined by that word or the whole bigram, so no key of theirs is hot.
+
 What grows with the corpus stays in tables dealt out by a hash of the bigram: its counts, and for scoring the documents'
 bigrams too, as sorted number blocks (differences, zstandard). A partition merges what it holds; a hot bigram is
 pre-aggregated when it is counted, and the at most ``HOT_BIGRAMS`` most frequent ones (each with more than a
-``HOT_BIGRAMS``-th of all bigrams) are scored where the documents are. Only vectors over the vocabulary go through the driver. Words outside it
-get their unigram by a join with the table of counts.
+``HOT_BIGRAMS``-th of all bigrams) are scored where the documents are. Only vectors over the vocabulary go through the driver.
 
 Defined results: a null text is empty and has one token, its end. Without training documents counts are zero and every score is that
 of unseen words. Rows that repeat id and text share their score. Null ids count as the empty text when folds are dealt.
@@ -25,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aislane.llm.common import LOWER, fold_remainder, row_key, staged, text_bytes
@@ -262,6 +264,61 @@ def _counts_of_counts(table: DataFrame) -> dict[int, int]:
     return {r["r"]: r["n"] for r in rows}
 
 
+def _kept(n: Column, factors: np.ndarray) -> Column:
+    """The discounted count."""
+    by_count = F.element_at(F.array(*[F.lit(float(f)) for f in factors[1:]]), F.greatest(F.lit(1), F.least(n, F.lit(DISCOUNTED))).cast("int"))
+    return F.when(n <= DISCOUNTED, by_count).otherwise(1.0) * n
+
+
+def _log_p(n: Column, unigrams: Unigrams) -> Column:
+    kept = _kept(n, unigrams.factors) * F.lit((1 - unigrams.missing) / max(unigrams.mass, 1e-300))
+    return F.log10(F.when(n > 0, kept).otherwise(F.lit(float(unigrams.missing))))
+
+
+def rare_bigrams(lower: DataFrame, rare: DataFrame, unigrams: Unigrams) -> DataFrame:
+    """Training bigrams with a word outside the vocabulary: ``context_id, context, word_id, word, n`` and the word's ``log_p``.
+
+    A side outside the vocabulary has the number -1 and its word, the other its number and no word.
+    """
+    met = lower.where("not held_out").select(F.explode("others").alias("o")).select("o.*")
+    counted = [
+        met.where(side).groupBy("context_id", "context", "word_id", "word").agg(F.sum("times").alias("n"))
+        for side in ("word_id < 0", "word_id >= 0")
+    ]
+    log_p = unigrams.log_p(unigrams.counts)
+    numbers = pa.table({"word_id": pa.array(np.arange(len(log_p)), pa.int64()), "log_p": pa.array(log_p, pa.float64())})
+    named = F.broadcast(lower.sparkSession.createDataFrame(numbers))
+    by_word = counted[0].join(rare.select("word", _log_p(F.col("n"), unigrams).alias("log_p")), "word")
+    return staged(by_word.unionByName(counted[1].join(named, "word_id")), "rare-bigrams")
+
+
+def rare_contexts(bigrams: DataFrame, rare: DataFrame, factors: np.ndarray) -> DataFrame:
+    """``word, n, weight, scale`` of the words outside the vocabulary, as contexts."""
+    sums = _context_sums(bigrams.where("context_id < 0"), factors).withColumnRenamed("context", "word").drop("context_id")
+    share, n = F.col("kept") / F.col("n"), F.col("n")
+    whole = F.coalesce(share > 1 - 1e-9, F.lit(False))
+    shrunk = F.when(whole, n / (n + 1)).otherwise(F.lit(1.0))
+    weight = F.log10(1 - share * shrunk) - F.log10(F.greatest(1 - F.col("lower"), F.lit(1e-12)))
+    joined = rare.join(sums, "word", "left")
+    return staged(joined.select("word", "n", F.coalesce(weight, F.lit(0.0)).alias("weight"), F.log10(shrunk).alias("scale")), "contexts")
+
+
+def _context_sums(bigrams: DataFrame, factors: np.ndarray) -> DataFrame:
+    kept, lower = F.sum(_kept(F.col("n"), factors)), F.sum(F.pow(F.lit(10.0), F.col("log_p")))
+    return bigrams.groupBy("context_id", "context").agg(kept.alias("kept"), lower.alias("lower"))
+
+
+def rare_gains(bigrams: DataFrame, contexts: DataFrame, backoff: Backoff) -> DataFrame:
+    """What each of the training bigrams of ``rare_bigrams`` scores beyond backing off."""
+    vectors = {"n_context": backoff.counts, "weight": backoff.weight, "scale": backoff.scale}
+    numbers = pa.table({"context_id": pa.array(np.arange(len(backoff.counts)), pa.int64())} | {k: pa.array(v) for k, v in vectors.items()})
+    named = F.broadcast(bigrams.sparkSession.createDataFrame(numbers))
+    own = contexts.select(F.col("word").alias("context"), F.col("n").alias("n_context"), "weight", "scale")
+    met = bigrams.where("context_id < 0").join(own, "context").unionByName(bigrams.where("context_id >= 0").join(named, "context_id"))
+    gain = F.log10(_kept(F.col("n"), backoff.factors) / F.col("n_context")) + F.col("scale") - F.col("weight") - F.col("log_p")
+    return met.select("context_id", "context", "word_id", "word", gain.alias("gain"))
+
+
 def _hot(table: DataFrame, total: int, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Bigrams with more than a ``most``-th of all, so fewer than ``most`` of them."""
 
@@ -304,9 +361,11 @@ class Backoff:
         return np.where(seen, np.log10(share) + self.scale[context] - self.weight[context] - log_p[word], 0.0)
 
 
-def fit_backoff(table: DataFrame, unigrams: Unigrams, starts: int) -> Backoff:
-    """Backoff weights of all contexts; partitions hand over two sums for each context they hold."""
-    factors = discounts(_counts_of_counts(table))
+def fit_backoff(table: DataFrame, rare: DataFrame, unigrams: Unigrams, starts: int) -> Backoff:
+    """Backoff weights of the vocabulary's contexts; partitions hand over two sums for each context they hold."""
+    of_counts = Counter(_counts_of_counts(table))
+    low = rare.where(F.col("n") <= DISCOUNTED + 1).groupBy("n").agg(F.count("*").alias("types")).collect()
+    factors = discounts(of_counts + Counter({r["n"]: r["types"] for r in low}))
     log_p = unigrams.log_p(unigrams.counts)
     size = len(unigrams.counts) + 1
     shared = table.sparkSession.sparkContext.broadcast((factors, 10.0**log_p))
@@ -324,7 +383,8 @@ def fit_backoff(table: DataFrame, unigrams: Unigrams, starts: int) -> Backoff:
                 )
 
     summed = table.select("a", "b").mapInArrow(sums, "context long, kept double, lower double")
-    rows = summed.groupBy("context").agg(F.sum("kept").alias("kept"), F.sum("lower").alias("lower")).toArrow()
+    others = _context_sums(rare.where("context_id >= 0"), factors).select(F.col("context_id").alias("context"), "kept", "lower")
+    rows = summed.unionByName(others).groupBy("context").agg(F.sum("kept").alias("kept"), F.sum("lower").alias("lower")).toArrow()
     counts = np.append(unigrams.counts, starts)
     weight, scale = np.zeros(size), np.zeros(size)
     if rows.num_rows:
@@ -342,7 +402,7 @@ def fit_backoff(table: DataFrame, unigrams: Unigrams, starts: int) -> Backoff:
 def _bigram_gains(
     docs: DataFrame, table: DataFrame, unigrams: Unigrams, backoff: Backoff, hot: tuple, parts: int
 ) -> DataFrame:
-    """``row_key, gain``: per document the sum of what its seen bigrams score beyond backing off."""
+    """``row_key, gain``: per document the weights of its contexts in the vocabulary, and what its seen bigrams of such words score beyond backing off."""
     vectors = (backoff.counts, backoff.weight, backoff.scale, backoff.factors)
     shared = docs.sparkSession.sparkContext.broadcast((unigrams.vocabulary, vectors, unigrams.log_p(unigrams.counts), hot))
 
@@ -350,7 +410,7 @@ def _bigram_gains(
         from pyspark import TaskContext
 
         vocabulary, own, log_p, (hot_keys, hot_counts) = shared.value
-        tokens = Tokens(vocabulary)
+        tokens, weight = Tokens(vocabulary), own[1]
         hot_gains = Backoff(*own).gain(hot_keys, hot_counts, log_p)
         number, row_keys, near, waiting, size = 0, [], [], [], 0
 
@@ -369,11 +429,13 @@ def _bigram_gains(
 
         for batch in batches:
             for key, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                pairs = tokens.bigrams(tokens(t))
+                ids = tokens(t)
+                pairs = tokens.bigrams(ids)
+                backed = float(weight[ids[:-1][ids[:-1] >= 0]].sum() + weight[tokens.start])
                 at = np.minimum(np.searchsorted(hot_keys, pairs), max(0, len(hot_keys) - 1))
                 is_hot = hot_keys[at] == pairs if len(hot_keys) else np.zeros(len(pairs), bool)
                 row_keys.append(key)
-                near.append(float(hot_gains[at[is_hot]].sum()) if len(hot_keys) else 0.0)
+                near.append(backed + (float(hot_gains[at[is_hot]].sum()) if len(hot_keys) else 0.0))
                 waiting.append(pairs[~is_hot])
                 size += len(waiting[-1])
             if size >= BLOCK_TOKENS:
@@ -427,37 +489,51 @@ def _bigram_gains(
     return met.mapInArrow(look_up, _BLOBS).repartition("block").mapInArrow(gather, "row_key long, gain double")
 
 
-def _lower_scores(docs: DataFrame, unigrams: Unigrams, backoff: Backoff) -> DataFrame:
-    """Per document what the vocabulary alone can tell, and the words outside it."""
+_OTHERS = "context_id long, context binary, word_id long, word binary, times long"
+
+
+def _lower_scores(docs: DataFrame, unigrams: Unigrams) -> DataFrame:
+    """Per document what the vocabulary's unigrams tell, and the bigrams with a word outside it."""
     shared = docs.sparkSession.sparkContext.broadcast(
-        (unigrams.vocabulary, backoff.weight, unigrams.log_p(unigrams.counts), unigrams.log_base(unigrams.counts))
+        (unigrams.vocabulary, unigrams.log_p(unigrams.counts), unigrams.log_base(unigrams.counts))
     )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, weight, log_p, base = shared.value
+        vocabulary, log_p, base = shared.value
         tokens = Tokens(vocabulary)
+        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int64())
+        names = ("context_id", "context", "word_id", "word", "times")
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], []]
+            others, ends = [], [0]
             for text in batch.column(batch.num_columns - 1).to_pylist():
                 ids = tokens(text)
                 known = ids[ids >= 0]
                 before = np.concatenate((np.array([tokens.start]), ids[:-1]))
-                backed = weight[before[before >= 0]].sum()
                 # The end is outside the vocabulary only if nothing was learned.
-                found = [w for w, i in zip([*words(text), END], ids.tolist(), strict=True) if i < 0]
-                for column, value in zip(
-                    out, (len(ids), len(known), base[known].sum(), log_p[known].sum() + backed, found), strict=True
-                ):
+                own = [*words(text), END]
+                found = Counter(
+                    (int(before[i]), own[i - 1] if before[i] < 0 else b"", int(ids[i]), own[i] if ids[i] < 0 else b"")
+                    for i in np.flatnonzero((before < 0) | (ids < 0)).tolist()
+                )
+                others += [(*bigram, times) for bigram, times in found.items()]
+                ends.append(len(others))
+                for column, value in zip(out, (len(ids), len(known), base[known].sum(), log_p[known].sum()), strict=True):
                     column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.binary()))
+            columns = zip(*others, strict=True) if others else [[]] * 5
+            rows = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+            plain = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *(pa.array(c, k) for c, k in zip(out, kinds, strict=True))],
+                [*batch.columns[:-1], *(pa.array(c, k) for c, k in zip(out, plain, strict=True)),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)],
                 [*batch.schema.names[:-1], "n_tokens", "n_known", "base", "lower", "others"],
-            )
+            )
 
+    own = ", ".join(f.replace(" ", ": ", 1) for f in _OTHERS.split(", "))
     return docs.select("doc_id", "row_key", "held_out", "text").mapInArrow(
         score,
-        "doc_id long, row_key long, held_out boolean, n_tokens long, n_known long, base double, lower double, others array<binary>",
+        "doc_id long, row_key long, held_out boolean, n_tokens long, n_known long, base double, lower double, "
+        f"others array<struct<{own}>>",
     )
 
 
@@ -487,29 +563,38 @@ def katz_scores(
     counts = staged(word_counts(learn), "word-counts")
     unigrams = fit_unigrams(counts, vocabulary)
     starts = int(unigrams.counts[unigrams.vocabulary.index(END)]) if END in unigrams.vocabulary else 0
+    least = min((n for w, n in zip(unigrams.vocabulary, unigrams.counts.tolist(), strict=True) if w != END), default=None)
+    rare = counts.where(F.col("word") != F.lit(bytearray(END))).where(F.lit(True) if least is None else F.col("n") < least)
+    lower = staged(_lower_scores(narrow, unigrams), "lower-scores")
     table = bigram_table(learn, unigrams.vocabulary, parts)
-    backoff = fit_backoff(table, unigrams, starts)
+    bigrams = rare_bigrams(lower, rare, unigrams)
+    backoff = fit_backoff(table, bigrams, unigrams, starts)
+    contexts = rare_contexts(bigrams, rare, backoff.factors)
     hot = _hot(table, max(1, unigrams.total), hot_bigrams)
 
     gains = _bigram_gains(narrow, table, unigrams, backoff, hot, parts)
     gains = gains.groupBy("row_key").agg(F.max("gain").alias("gain"))
-    lower = staged(_lower_scores(narrow, unigrams, backoff), "lower-scores")
 
-    # Words outside the vocabulary: their training counts, if any, by a join.
+    others = lower.select("row_key", F.explode("others").alias("o")).select("row_key", "o.*")
+    times = F.col("times")
+    seen = others.join(rare_gains(bigrams, contexts, backoff), ["context_id", "context", "word_id", "word"]).select(
+        "row_key", F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"), (times * F.col("gain")).alias("score")
+    )
+    # Every occurrence of a word outside the vocabulary is the word of one bigram and the context of one.
     base_of = F.log10((F.col("n") + 1) / F.lit(float(unigrams.total + unigrams.distinct + 1)))
-    by_count = F.element_at(
-        F.array(*[F.lit(float(f)) for f in unigrams.factors[1:]]), F.greatest(F.lit(1), F.least("n", F.lit(DISCOUNTED))).cast("int")
+    alone = (
+        others.where("word_id < 0")
+        .join(contexts.select("word", "n", "weight"), "word", "left")
+        .withColumns({"n": F.coalesce("n", F.lit(0)), "weight": F.coalesce("weight", F.lit(0.0))})
+        .select(
+            "row_key",
+            F.when(F.col("n") > 0, times).otherwise(0).alias("known"),
+            (times * base_of).alias("base"),
+            (times * (_log_p(F.col("n"), unigrams) + F.col("weight"))).alias("score"),
+        )
     )
-    kept = F.when(F.col("n") <= DISCOUNTED, by_count).otherwise(1.0) * F.col("n")
-    rate = (1 - unigrams.missing) / max(unigrams.mass, 1e-300)
-    p_of = F.when(F.col("n") > 0, kept * rate).otherwise(unigrams.missing)
-    others = lower.select("row_key", F.explode("others").alias("word")).groupBy("row_key", "word").agg(F.count("*").alias("times"))
-    rare = counts.where(~F.col("word").isin([END])).select("word", "n")
-    found = others.join(rare, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    summed = found.groupBy("row_key").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("times") * base_of).alias("more_base"),
-        F.sum(F.col("times") * F.log10(p_of)).alias("more_lower"),
+    summed = alone.unionByName(seen).groupBy("row_key").agg(
+        F.sum("known").alias("more_known"), F.sum("base").alias("more_base"), F.sum("score").alias("more_lower")
     )
     # Rows that repeat id and text were summed together.
     copies = lower.groupBy("row_key").agg(F.count("*").alias("copies"))

@@ -22,7 +22,7 @@ def times(n, factors):
 class Brute:
     """The model as nested dictionaries."""
 
-    def __init__(self, rows, size):
+    def __init__(self, rows):
         self.tokens = [(i, [*katz.words((t or "").encode()), katz.END]) for i, t in rows]
         learn = [t for i, t in self.tokens if not self.held_out(i)]
         self.count = Counter(w for t in learn for w in t)
@@ -30,9 +30,7 @@ class Brute:
         self.factors = katz.discounts(of_counts)
         self.missing = min(0.5, max(of_counts[1], 1) / (self.total + 1)) if self.total else 1.0
         self.mass = sum(times(n, self.factors) for n in self.count.values())
-        often = [n for n in self.count.values() if sum(m >= n for m in self.count.values()) <= size]
-        known = {w for w, n in self.count.items() if often and n >= min(often)} | {None, katz.END}
-        self.pairs = Counter(p for t in learn for p in zip([None, *t], t) if p[0] in known and p[1] in known)
+        self.pairs = Counter(p for t in learn for p in zip([None, *t], t))
         self.pair_factors = katz.discounts(Counter(self.pairs.values()))
         self.contexts = dict(self.count) | {None: len(learn)}
         self.after = {}
@@ -65,11 +63,12 @@ class Brute:
             )
 
 
-@pytest.mark.parametrize(("size", "hot"), [(1 << 18, 1 << 16), (40, 30), (5, 1000)])
+@pytest.mark.parametrize(("size", "hot"), [(1 << 18, 1 << 16), (40, 30), (5, 1000), (0, 10)])
 def test_like_brute_force(spark, size, hot):
+    """The words that have numbers change nothing: every bigram counts."""
     docs, rows = awkward(spark)
     more = [(100 + i, prose(i % 150, 40)) for i in range(200)]
-    brute = Brute(rows + more, size)
+    brute = Brute(rows + more)
     got = katz.katz_scores(
         docs.unionByName(frame(spark, more), allowMissingColumns=True), vocabulary=size, hot_bigrams=hot
     ).collect()
