@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import sys
 import types
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 from itertools import islice
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,11 +37,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(frame: DataFrame, name: str) -> DataFrame:
-    """``frame`` written to the shared folder and read again, which cuts its lineage."""
-    path = scratch_path(frame.sparkSession, name)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.parquet(path)
+# Spark's option to delete a query's shuffle files when the query ends.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """The shuffles of writes in this block leave the executors' disks once the table stands; nothing reads them again."""
+    before = spark.conf.get(FREE_SHUFFLES)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+
+
+def staged(frame: DataFrame, name: str, free: bool = False) -> DataFrame:
+    """``frame`` written to the shared folder and read again, which cuts its lineage; ``free`` as in ``freed_shuffles``."""
+    spark = frame.sparkSession
+    path = scratch_path(spark, name)
+    with freed_shuffles(spark) if free else nullcontext():
+        frame.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def text_bytes(column: str = "text") -> Column:

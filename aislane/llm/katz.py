@@ -6,8 +6,9 @@ unigram probability; the weight is what the context's bigrams leave over, divide
 after it, so every context's probabilities add up to one.
 
 How bigrams are kept depends on their words, what they score doesn't. The at most ``VOCABULARY`` most frequent words have numbers, and
-bigrams of two such words are number blocks. Every other bigram holds a word with less than a ``VOCABULARY``-th of all tokens; those are rows of
-tables, grouped and joined by that word or the whole bigram, so no key of theirs is hot.
+bigrams of two such words are number blocks. Every other bigram holds a word with less than a ``VOCABULARY``-th of all training tokens; the occurrences
+of these words, each with its two neighbours, are dealt out by word once, into a bucketed table, and counted and scored from there without another shuffle. A
+document's repetitions of one are one row, so no key is hot.
 
 What grows with the corpus stays in tables dealt out by a hash of the bigram: its counts, and for scoring the documents'
 bigrams too, as sorted number blocks (differences, zstandard). A partition merges what it holds; a hot bigram is
@@ -27,11 +28,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aislane.llm.common import LOWER, fold_remainder, row_key, staged, text_bytes
+from aislane.llm.common import LOWER, fold_remainder, freed_shuffles, row_key, staged, text_bytes
 from aislane.llm.sparse import most_frequent
+from aislane.session import scratch_path
 
 VOCABULARY = 1 << 18
 HOT_BIGRAMS = 1 << 16
@@ -249,7 +251,7 @@ def bigram_table(docs: DataFrame, vocabulary: list[bytes], parts: int, text: str
             yield _blob_rows([(part, _COUNTS, 0, pack(keys), _pack_small(n, "<u8"))])
 
     partial = docs.select(text).mapInArrow(count, _BLOBS)
-    return staged(partial.repartition("part").mapInArrow(merge, _BLOBS), "bigrams")
+    return staged(partial.repartition("part").mapInArrow(merge, _BLOBS), "bigrams", free=True)
 
 
 def _counts_of_counts(table: DataFrame) -> dict[int, int]:
@@ -275,48 +277,93 @@ def _log_p(n: Column, unigrams: Unigrams) -> Column:
     return F.log10(F.when(n > 0, kept).otherwise(F.lit(float(unigrams.missing))))
 
 
-def rare_bigrams(lower: DataFrame, rare: DataFrame, unigrams: Unigrams) -> DataFrame:
-    """Training bigrams with a word outside the vocabulary: ``context_id, context, word_id, word, n`` and the word's ``log_p``.
+def deal_rare(lower: DataFrame) -> tuple[DataFrame, str]:
+    """The occurrences of words outside the vocabulary, dealt out by word into a bucketed table, and that table's name.
 
-    A side outside the vocabulary has the number -1 and its word, the other its number and no word.
+    Counting, weights and scores all go by ``word`` over this table, so its rows are shuffled this once.
     """
-    met = lower.where("not held_out").select(F.explode("others").alias("o")).select("o.*")
-    counted = [
-        met.where(side).groupBy("context_id", "context", "word_id", "word").agg(F.sum("times").alias("n"))
-        for side in ("word_id < 0", "word_id >= 0")
-    ]
-    log_p = unigrams.log_p(unigrams.counts)
-    numbers = pa.table({"word_id": pa.array(np.arange(len(log_p)), pa.int64()), "log_p": pa.array(log_p, pa.float64())})
-    named = F.broadcast(lower.sparkSession.createDataFrame(numbers))
-    by_word = counted[0].join(rare.select("word", _log_p(F.col("n"), unigrams).alias("log_p")), "word")
-    return staged(by_word.unionByName(counted[1].join(named, "word_id")), "rare-bigrams")
+    spark = lower.sparkSession
+    path, buckets = scratch_path(spark, "rare-words"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    rows = lower.select("row_key", "held_out", F.explode("others").alias("o")).select("row_key", "held_out", "o.*")
+    writer = rows.repartition(buckets, "word").write.bucketBy(buckets, "word").sortBy("word")
+    with freed_shuffles(spark):
+        writer.options(path=path, compression="zstd").saveAsTable(name)
+    return spark.table(name), name
 
 
-def rare_contexts(bigrams: DataFrame, rare: DataFrame, factors: np.ndarray) -> DataFrame:
-    """``word, n, weight, scale`` of the words outside the vocabulary, as contexts."""
-    sums = _context_sums(bigrams.where("context_id < 0"), factors).withColumnRenamed("context", "word").drop("context_id")
-    share, n = F.col("kept") / F.col("n"), F.col("n")
-    whole = F.coalesce(share > 1 - 1e-9, F.lit(False))
-    shrunk = F.when(whole, n / (n + 1)).otherwise(F.lit(1.0))
-    weight = F.log10(1 - share * shrunk) - F.log10(F.greatest(1 - F.col("lower"), F.lit(1e-12)))
-    joined = rare.join(sums, "word", "left")
-    return staged(joined.select("word", "n", F.coalesce(weight, F.lit(0.0)).alias("weight"), F.log10(shrunk).alias("scale")), "contexts")
+def rare_sides(dealt: DataFrame) -> DataFrame:
+    """A row for the bigram that ends with the word (``as_word``) and one for that which begins with it; ``id`` and ``other`` are its other word.
 
+    The other word has its number and an empty ``other``, or -1 and itself if it is outside the vocabulary too.
+    """
+    before = F.struct(F.lit(True).alias("as_word"), F.col("before_id").alias("id"), F.col("before").alias("other"))
+    after = F.struct(F.lit(False).alias("as_word"), F.col("after_id").alias("id"), F.col("after").alias("other"))
+    sides = dealt.select("word", "row_key", "held_out", "times", F.explode(F.array(before, after)).alias("side"))
+    return sides.select("word", "row_key", "held_out", "times", "side.*").where(F.col("id").isNotNull())
+
+
+def rare_bigrams(dealt: DataFrame, unigrams: Unigrams) -> DataFrame:
+    """Training counts ``n`` of the bigrams of ``rare_sides``, with the word's own, ``n_word``, and its ``log_p``."""
+    learned = rare_sides(dealt.where("not held_out"))
+    counted = learned.groupBy("word", "as_word", "id", "other").agg(F.sum("times").alias("n"))
+    own = F.sum(F.when(F.col("as_word"), F.col("n"))).over(Window.partitionBy("word"))
+    return counted.withColumn("n_word", own).withColumn("log_p", _log_p(F.col("n_word"), unigrams))
+
+
+def rare_contexts(bigrams: DataFrame, unigrams: Unigrams, factors: np.ndarray) -> DataFrame:
+    """``word, n_word, weight, scale`` of the words outside the vocabulary, as contexts."""
+    numbers = _vectors(bigrams.sparkSession, "id", {"log_p": unigrams.log_p(unigrams.counts)})
+    after = bigrams.where("not as_word").drop("log_p").join(numbers, "id", "left")
+    sums = after.groupBy("word").agg(
+        F.max("n_word").alias("n_word"), F.sum(_kept(F.col("n"), factors)).alias("kept"),
+        F.sum(F.pow(F.lit(10.0), F.col("log_p"))).alias("lower"),
+    )
+    # Where both words are outside the vocabulary, the probability of the second comes from where it was dealt to.
+    both = bigrams.where("as_word and id < 0").groupBy(F.col("other").alias("word")).agg(
+        F.sum(F.pow(F.lit(10.0), F.col("log_p"))).alias("lower_rare")
+    )
+    joined = sums.join(both, "word", "left")
+    share, n = F.col("kept") / F.col("n_word"), F.col("n_word")
+    shrunk = F.when(share > 1 - 1e-9, n / (n + 1)).otherwise(F.lit(1.0))
+    lower = F.coalesce("lower", F.lit(0.0)) + F.coalesce("lower_rare", F.lit(0.0))
+    weight = F.log10(1 - share * shrunk) - F.log10(F.greatest(1 - lower, F.lit(1e-12)))
+    return joined.select("word", "n_word", weight.alias("weight"), F.log10(shrunk).alias("scale"))
 
-def _context_sums(bigrams: DataFrame, factors: np.ndarray) -> DataFrame:
-    kept, lower = F.sum(_kept(F.col("n"), factors)), F.sum(F.pow(F.lit(10.0), F.col("log_p")))
-    return bigrams.groupBy("context_id", "context").agg(kept.alias("kept"), lower.alias("lower"))
 
+def rare_scores(dealt: DataFrame, contexts: DataFrame, unigrams: Unigrams, backoff: Backoff) -> DataFrame:
+    """``row_key, more_known, more_base, more_lower``: what words outside the vocabulary add to a document.
 
-def rare_gains(bigrams: DataFrame, contexts: DataFrame, backoff: Backoff) -> DataFrame:
-    """What each of the training bigrams of ``rare_bigrams`` scores beyond backing off."""
-    vectors = {"n_context": backoff.counts, "weight": backoff.weight, "scale": backoff.scale}
-    numbers = pa.table({"context_id": pa.array(np.arange(len(backoff.counts)), pa.int64())} | {k: pa.array(v) for k, v in vectors.items()})
-    named = F.broadcast(bigrams.sparkSession.createDataFrame(numbers))
-    own = contexts.select(F.col("word").alias("context"), F.col("n").alias("n_context"), "weight", "scale")
-    met = bigrams.where("context_id < 0").join(own, "context").unionByName(bigrams.where("context_id >= 0").join(named, "context_id"))
-    gain = F.log10(_kept(F.col("n"), backoff.factors) / F.col("n_context")) + F.col("scale") - F.col("weight") - F.col("log_p")
-    return met.select("context_id", "context", "word_id", "word", gain.alias("gain"))
+    A bigram of two such words is scored in two places: the second word's probability where that was dealt to, the rest at the first.
+    """
+    log_p = np.append(unigrams.log_p(unigrams.counts), 0.0)
+    numbers = _vectors(
+        dealt.sparkSession, "id",
+        {"its_n": backoff.counts, "its_weight": backoff.weight, "its_scale": backoff.scale, "its_log_p": log_p},
+    )
+    learned = F.sum(F.when(F.col("held_out"), 0).otherwise(F.col("times")))
+    counted = rare_sides(dealt).withColumn("n", learned.over(Window.partitionBy("word", "as_word", "id", "other")))
+    rows = counted.join(contexts, "word", "left").join(numbers, "id", "left")
+    n_word, weight = F.coalesce("n_word", F.lit(0)), F.coalesce("weight", F.lit(0.0))
+    kept, seen, numbered, as_word = _kept(F.col("n"), backoff.factors), F.col("n") > 0, F.col("id") >= 0, F.col("as_word")
+    own = _log_p(n_word, unigrams)
+    ends = F.when(numbered, F.log10(kept / F.col("its_n")) + F.col("its_scale") - F.col("its_weight")).otherwise(0.0)
+    begins = F.log10(kept / n_word) + F.col("scale") - F.when(numbered, F.col("its_log_p")).otherwise(0.0)
+    score = F.when(as_word, F.when(seen, ends).otherwise(own)).otherwise(F.when(seen, begins).otherwise(weight))
+    base = F.log10((n_word + 1) / F.lit(float(unigrams.total + unigrams.distinct + 1)))
+    times = F.col("times")
+    return rows.groupBy("row_key").agg(
+        F.sum(F.when(as_word & (n_word > 0), times).otherwise(0)).alias("more_known"),
+        F.sum(F.when(as_word, times * base).otherwise(0.0)).alias("more_base"),
+        F.sum(times * score).alias("more_lower"),
+    )
+
+
+def _vectors(spark: SparkSession, name: str, vectors: dict[str, np.ndarray]) -> DataFrame:
+    """Vectors over the vocabulary as a broadcast table by number."""
+    size = len(next(iter(vectors.values())))
+    rows = pa.table({name: pa.array(np.arange(size), pa.int64())} | {k: pa.array(v) for k, v in vectors.items()})
+    return F.broadcast(spark.createDataFrame(rows))
 
 
 def _hot(table: DataFrame, total: int, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -364,7 +411,9 @@ class Backoff:
 def fit_backoff(table: DataFrame, rare: DataFrame, unigrams: Unigrams, starts: int) -> Backoff:
     """Backoff weights of the vocabulary's contexts; partitions hand over two sums for each context they hold."""
     of_counts = Counter(_counts_of_counts(table))
-    low = rare.where(F.col("n") <= DISCOUNTED + 1).groupBy("n").agg(F.count("*").alias("types")).collect()
+    # A bigram of two rare words is in both words' buckets; it counts in the second's.
+    once = rare.where("as_word or id >= 0")
+    low = once.where(F.col("n") <= DISCOUNTED + 1).groupBy("n").agg(F.count("*").alias("types")).collect()
     factors = discounts(of_counts + Counter({r["n"]: r["types"] for r in low}))
     log_p = unigrams.log_p(unigrams.counts)
     size = len(unigrams.counts) + 1
@@ -383,7 +432,10 @@ def fit_backoff(table: DataFrame, rare: DataFrame, unigrams: Unigrams, starts: i
                 )
 
     summed = table.select("a", "b").mapInArrow(sums, "context long, kept double, lower double")
-    others = _context_sums(rare.where("context_id >= 0"), factors).select(F.col("context_id").alias("context"), "kept", "lower")
+    met = rare.where("as_word and id >= 0").withColumnRenamed("id", "context")
+    others = met.groupBy("context").agg(
+        F.sum(_kept(F.col("n"), factors)).alias("kept"), F.sum(F.pow(F.lit(10.0), F.col("log_p"))).alias("lower")
+    )
     rows = summed.unionByName(others).groupBy("context").agg(F.sum("kept").alias("kept"), F.sum("lower").alias("lower")).toArrow()
     counts = np.append(unigrams.counts, starts)
     weight, scale = np.zeros(size), np.zeros(size)
@@ -489,11 +541,11 @@ def _bigram_gains(
     return met.mapInArrow(look_up, _BLOBS).repartition("block").mapInArrow(gather, "row_key long, gain double")
 
 
-_OTHERS = "context_id long, context binary, word_id long, word binary, times long"
+_OTHERS = "word binary, before_id long, before binary, after_id long, after binary, times long"
 
 
 def _lower_scores(docs: DataFrame, unigrams: Unigrams) -> DataFrame:
-    """Per document what the vocabulary's unigrams tell, and the bigrams with a word outside it."""
+    """Per document what the vocabulary's unigrams tell, and the words outside it with the words before and after."""
     shared = docs.sparkSession.sparkContext.broadcast(
         (unigrams.vocabulary, unigrams.log_p(unigrams.counts), unigrams.log_base(unigrams.counts))
     )
@@ -501,8 +553,8 @@ def _lower_scores(docs: DataFrame, unigrams: Unigrams) -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, log_p, base = shared.value
         tokens = Tokens(vocabulary)
-        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int64())
-        names = ("context_id", "context", "word_id", "word", "times")
+        kinds = (pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int64())
+        names = ("word", "before_id", "before", "after_id", "after", "times")
         for batch in batches:
             out: list[list] = [[], [], [], []]
             others, ends = [], [0]
@@ -510,17 +562,17 @@ def _lower_scores(docs: DataFrame, unigrams: Unigrams) -> DataFrame:
                 ids = tokens(text)
                 known = ids[ids >= 0]
                 before = np.concatenate((np.array([tokens.start]), ids[:-1]))
-                # The end is outside the vocabulary only if nothing was learned.
-                own = [*words(text), END]
+                # The end is outside the vocabulary only if nothing was learned; nothing comes after it.
+                at, own, number = np.flatnonzero(ids < 0).tolist(), [*words(text), END], [*ids.tolist(), None]
                 found = Counter(
-                    (int(before[i]), own[i - 1] if before[i] < 0 else b"", int(ids[i]), own[i] if ids[i] < 0 else b"")
-                    for i in np.flatnonzero((before < 0) | (ids < 0)).tolist()
+                    (own[i], b, own[i - 1] if b < 0 else b"", a, own[i + 1] if a is not None and a < 0 else b"")
+                    for i, b, a in zip(at, before[at].tolist(), [number[i + 1] for i in at], strict=True)
                 )
                 others += [(*bigram, times) for bigram, times in found.items()]
                 ends.append(len(others))
                 for column, value in zip(out, (len(ids), len(known), base[known].sum(), log_p[known].sum()), strict=True):
                     column.append(value)
-            columns = zip(*others, strict=True) if others else [[]] * 5
+            columns = zip(*others, strict=True) if others else [[]] * 6
             rows = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
             plain = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
             yield pa.RecordBatch.from_arrays(
@@ -560,42 +612,22 @@ def katz_scores(
     learn = narrow.where("not held_out")
     parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    counts = staged(word_counts(learn), "word-counts")
+    counts = staged(word_counts(learn), "word-counts", free=True)
     unigrams = fit_unigrams(counts, vocabulary)
     starts = int(unigrams.counts[unigrams.vocabulary.index(END)]) if END in unigrams.vocabulary else 0
-    least = min((n for w, n in zip(unigrams.vocabulary, unigrams.counts.tolist(), strict=True) if w != END), default=None)
-    rare = counts.where(F.col("word") != F.lit(bytearray(END))).where(F.lit(True) if least is None else F.col("n") < least)
-    lower = staged(_lower_scores(narrow, unigrams), "lower-scores")
+    lower = staged(_lower_scores(narrow, unigrams), "lower-scores", free=True)
     table = bigram_table(learn, unigrams.vocabulary, parts)
-    bigrams = rare_bigrams(lower, rare, unigrams)
+    dealt, rare_words = deal_rare(lower)
+    bigrams = rare_bigrams(dealt, unigrams)
     backoff = fit_backoff(table, bigrams, unigrams, starts)
-    contexts = rare_contexts(bigrams, rare, backoff.factors)
+    contexts = rare_contexts(bigrams, unigrams, backoff.factors)
+    summed = staged(rare_scores(dealt, contexts, unigrams, backoff), "rare-scores", free=True)
+    spark.sql(f"DROP TABLE {rare_words}")
     hot = _hot(table, max(1, unigrams.total), hot_bigrams)
 
     gains = _bigram_gains(narrow, table, unigrams, backoff, hot, parts)
-    gains = gains.groupBy("row_key").agg(F.max("gain").alias("gain"))
+    gains = staged(gains.groupBy("row_key").agg(F.max("gain").alias("gain")), "gains", free=True)
 
-    others = lower.select("row_key", F.explode("others").alias("o")).select("row_key", "o.*")
-    times = F.col("times")
-    seen = others.join(rare_gains(bigrams, contexts, backoff), ["context_id", "context", "word_id", "word"]).select(
-        "row_key", F.lit(0).cast("long").alias("known"), F.lit(0.0).alias("base"), (times * F.col("gain")).alias("score")
-    )
-    # Every occurrence of a word outside the vocabulary is the word of one bigram and the context of one.
-    base_of = F.log10((F.col("n") + 1) / F.lit(float(unigrams.total + unigrams.distinct + 1)))
-    alone = (
-        others.where("word_id < 0")
-        .join(contexts.select("word", "n", "weight"), "word", "left")
-        .withColumns({"n": F.coalesce("n", F.lit(0)), "weight": F.coalesce("weight", F.lit(0.0))})
-        .select(
-            "row_key",
-            F.when(F.col("n") > 0, times).otherwise(0).alias("known"),
-            (times * base_of).alias("base"),
-            (times * (_log_p(F.col("n"), unigrams) + F.col("weight"))).alias("score"),
-        )
-    )
-    summed = alone.unionByName(seen).groupBy("row_key").agg(
-        F.sum("known").alias("more_known"), F.sum("base").alias("more_base"), F.sum("score").alias("more_lower")
-    )
     # Rows that repeat id and text were summed together.
     copies = lower.groupBy("row_key").agg(F.count("*").alias("copies"))
     joined = lower.drop("others").join(gains, "row_key", "left").join(copies, "row_key").join(summed, "row_key", "left")
