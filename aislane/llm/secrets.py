@@ -4,12 +4,14 @@ The patterns report assignments, access keys and long hexadecimal strings. Beyon
 more characters of ``[A-Za-z0-9+/_=-]`` with letters and digits in it. It stands in a *sensitive context* if one
 of the context words occurs in the 48 characters before it. Its novelty is marginal: the bytes that a
 zstandard frame of context and candidate takes beyond a frame of the context alone, both primed with a dictionary of
-common identifiers and of the text's own words nearby, against the candidate's length. Words, identifiers and
+identifiers, against the candidate's length. The dictionary has a few words of code and, learned from all texts, the at most ``LEARNED``
+most frequent words without digits that follow many different words; copies of a text add none, so a key that
+many copies hold is not learned. The surrounding code is in the frames themselves. Words, identifiers and
 repeats cost few bytes; random keys cost three quarters of a byte per character or more and are reported as kind ``novel``.
 Copies of the candidate, or of a long part of it with digits, are taken out of the context first, so a key that stands twice is judged like one
 that stands once, and reported at each place in a sensitive context.
 
-Defined results: a null text is empty and has no spans. Spans are in code points, end exclusive. Of a candidate that
+Defined results: a null text is empty and has no spans. Words of one frequency are all learned or, where they would exceed the bound, none of them. Spans are in code points, end exclusive. Of a candidate that
 overlaps patterns' spans only what they leave over counts: letters and digits that go on beside an access key or a hexadecimal string without a break are
 reported with it, the rest is judged like a candidate. Repeated rows are scanned one by one.
 """
@@ -17,14 +19,19 @@ reported with it, the rest is judged like a candidate. Repeated rows are scanned
 from __future__ import annotations
 
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
 import zstandard
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aislane.llm.sparse import most_frequent
+
 # The patterns, and how long a match has to be.
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
@@ -47,6 +54,13 @@ LEAST_PART = 16
 RUN_ON, RUN_UP = re.compile(r"[A-Za-z0-9]+"), re.compile(r"[A-Za-z0-9]+\Z")
 NOVELTY = 0.7
 
+# What is learned from the corpus: whole words of letters and ``_``, at most so many (so 84 KB at most are broadcast).
+WORD = re.compile(r"(?<![A-Za-z0-9_])[A-Za-z_]{4,40}(?![A-Za-z0-9_])")
+LEARNED = 2048
+# Words before a word are told apart by 64 buckets; a word that is learned has met this many of them.
+BUCKETS, LEAST_BUCKETS = 64, 16
+COUNT_WORDS = 300_000
+
 # Words of code and configuration that a coder should know already.
 IDENTIFIERS = """
 public private protected static final const class struct interface function return import export default package
@@ -61,10 +75,11 @@ getElementById addEventListener createElement toString valueOf hasOwnProperty un
 
 
 class Novelty:
-    """Marginal compressed bytes of a candidate, given the text around it."""
+    """Marginal compressed bytes of a candidate, given the text around it and words to know, the most frequent last."""
 
-    def __init__(self):
-        known = zstandard.ZstdCompressionDict(IDENTIFIERS, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    def __init__(self, learned: tuple[str, ...] = ()):
+        words = IDENTIFIERS + "\n".join(learned).encode()
+        known = zstandard.ZstdCompressionDict(words, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         options = {"write_checksum": False, "write_content_size": False, "write_dict_id": False}
         self.coder = zstandard.ZstdCompressor(level=9, dict_data=known, **options)
 
@@ -150,15 +165,58 @@ def novel_spans(text: str, taken: list[tuple[int, int, str]], novelty: Novelty)
     return sorted(found)
 
 
+def word_contexts(docs: DataFrame, text_column: str = "text") -> DataFrame:
+    """``word, n, buckets``: how often each word without digits stands in all texts, and after how many buckets of words."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        times: Counter[str] = Counter()
+        after: dict[str, int] = {}
+
+        def out() -> pa.RecordBatch:
+            # A mask of 64 bits as a signed number.
+            masks = [m - (1 << BUCKETS) if m >> (BUCKETS - 1) else m for m in map(after.get, times)]
+            columns = (pa.array(list(times), pa.string()), pa.array(list(times.values()), pa.int64()), pa.array(masks, pa.int64()))
+            times.clear()
+            after.clear()
+            return pa.RecordBatch.from_arrays(list(columns), ["word", "n", "mask"])
+
+        for batch in batches:
+            pairs: set[tuple[str, str]] = set()
+            for text in batch.column(0).to_pylist():
+                found = WORD.findall(text)
+                times.update(found)
+                pairs.update(zip(["", *found], found, strict=False))
+            bits = {before: 1 << zlib.crc32(before.encode()) % BUCKETS for before in {p[0] for p in pairs}}
+            for before, word in pairs:
+                after[word] = after.get(word, 0) | bits[before]
+            if len(times) >= COUNT_WORDS:
+                yield out()
+        if times:
+            yield out()
+
+    texts = docs.select(F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
+    counted = texts.mapInArrow(count, "word string, n long, mask long")
+    return counted.groupBy("word").agg(F.sum("n").alias("n"), F.bit_count(F.bit_or("mask")).alias("buckets"))
+
+
+def learned_identifiers(docs: DataFrame, text_column: str = "text", most: int = LEARNED) -> tuple[str, ...]:
+    """At most ``most`` words for the coder's dictionary, the most frequent last."""
+    counted = word_contexts(docs, text_column).where(F.col("buckets") >= LEAST_BUCKETS).persist(StorageLevel.DISK_ONLY)
+    chosen = most_frequent(counted, "n", most).select("n", "word").collect()
+    counted.unpersist()
+    return tuple(r["word"] for r in sorted(chosen))
+
+
 def joined(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{kind}:{begin}:{end}" for begin, end, kind in spans)
 
 
 def secret_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """A row per document: ``doc_id, spans array<struct<kind, begin, end, base>>``, in order."""
+    shared = docs.sparkSession.sparkContext.broadcast(learned_identifiers(docs, text_column))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        novelty = Novelty()
+        novelty = Novelty(shared.value)
         kind = pa.list_(
             pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())])
         )
@@ -183,13 +241,14 @@ def span_text(spans):
 
 def masked(docs: DataFrame, text_column: str = "text", mask: str = "[secret]") -> DataFrame:
     """``docs`` with every reported span replaced; other columns as they were, null texts stay null."""
+    shared = docs.sparkSession.sparkContext.broadcast(learned_identifiers(docs, text_column))
     novelty = []
 
     def replace(text: str | None) -> str | None:
         if text is None:
             return None
         if not novelty:
-            novelty.append(Novelty())
+            novelty.append(Novelty(shared.value))
         base = pattern_spans(text)
         parts, at = [], 0
         for begin, end, _ in in_order(base + novel_spans(text, base, novelty[0])):

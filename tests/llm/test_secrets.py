@@ -6,7 +6,11 @@ import hashlib
 import random
 import re
 import string
+import zlib
+from collections import Counter
 
+import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -125,3 +129,73 @@ def test_query(spark, sf_dir):
         assert row.base_sha256 == hashlib.sha256(base.encode()).hexdigest()
         assert set(filter(None, base.split(","))) <= set(filter(None, row.spans.split(",")))
         assert [row.n_assign, row.n_access, row.n_hex] == [base.count(k) for k in ("assign:", "access:", "hex:")]
+
+
+def brute_identifiers(texts, most):
+    """Word by word, as sets."""
+    n, before = Counter(), {}
+    for text in texts:
+        last = ""
+        for run in re.findall(r"[A-Za-z0-9_]+", text or ""):
+            if 4 <= len(run) <= 40 and not re.search("[0-9]", run):
+                n[run] += 1
+                before.setdefault(run, set()).add(zlib.crc32(last.encode()) % 64)
+                last = run
+    ranked = sorted((-c, w) for w, c in n.items() if len(before[w]) >= 16)
+    while len(ranked) > most:
+        ranked = [r for r in ranked if r[0] != ranked[-1][0]]
+    return tuple(w for _, w in sorted((-c, w) for c, w in ranked))
+
+
+def brute_novel(text, learned):
+    """Spans of texts without patterns or copies of keys, each by a coder of its own."""
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]+", text):
+        run, near = m[0], text[max(0, m.start() - 48) : m.start()].lower()
+        known = "pass pwd secret token api key auth bearer credential private signature session cookie login akia".split()
+        if len(run) < 16 or run.isalpha() or not re.search("[0-9]", run) or not re.search("[A-Za-z]", run) or not any(k in near for k in known):
+            continue
+        around = (text[max(0, m.start() - 256) : m.start()] + text[m.end() : m.end() + 256]).encode()
+
+        def size(data):
+            words = zstandard.ZstdCompressionDict(secrets.IDENTIFIERS + "\n".join(learned).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            made = zstandard.ZstdCompressor(level=9, dict_data=words, write_checksum=False, write_content_size=False, write_dict_id=False)
+            return len(made.compress(data))
+
+        if (size(around + b"\n" + run.encode()) - size(around)) / len(run) >= 0.7:
+            out.append(f"novel:{m.start()}:{m.end()}")
+    return ",".join(out)
+
+
+NAME = "ledgerReconciliation"
+
+
+def corpus():
+    """A name that stands after many words, and a key with a long run of letters in many copies of one text."""
+    rng = random.Random(5)
+    copied = f"{prose(3)} Authorization: Bearer {KEY}/QwErTzUiOpAsDfGhJk/7{KEY[::-1]} {prose(4)}"
+    rows = [(i, f"{prose(i)} {rng.choice(prose(i + 500).split())}Q{chr(97 + i % 26)}x {NAME} {prose(i + 90)}") for i in range(200)]
+    rows += [(300 + i, copied) for i in range(100)]
+    rows += [(500 + i, f"{prose(i)} the session {''.join(rng.choices(string.ascii_letters + string.digits, k=20 + i))}7a {prose(i + 7)}") for i in range(20)]
+    return [*rows, (600, f"{prose(8)} cookie {NAME}_9 {prose(9)}"), (601, None), (602, "")]
+
+
+@pytest.mark.parametrize("most", [0, 7, 60, 2048])
+def test_identifiers_like_brute_force(spark, most):
+    rows = corpus()
+    assert secrets.learned_identifiers(frame(spark, rows), most=most) == brute_identifiers([t for _, t in rows], most)
+    assert secrets.learned_identifiers(empty(spark)) == ()
+
+
+def test_learned_names_are_known_and_copied_keys_are_not(spark):
+    rows = corpus()
+    learned = brute_identifiers([t for _, t in rows], secrets.LEARNED)
+    assert NAME in learned and "QwErTzUiOpAsDfGhJk" not in learned
+    texts = dict(rows)
+    found = {r.doc_id: r.spans for r in secrets.secret_spans(frame(spark, rows)).collect()}
+    for doc_id, spans in found.items():
+        assert secrets.joined([(s.begin, s.end, s.kind) for s in spans]) == brute_novel(texts[doc_id] or "", learned)
+    assert all(found[300 + i] for i in range(100)) and not found[600]
+    others = tuple(w for w in learned if w != NAME)
+    with_name, without = (secrets.Novelty(words).ratio(texts[600].replace(f"{NAME}_9", ""), f"{NAME}_9") for words in (learned, others))
+    assert with_name < secrets.NOVELTY <= without
