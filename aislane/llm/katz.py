@@ -149,8 +149,11 @@ class Tokens:
         self.start, self.end = len(vocabulary), self.number.get(END, -1)
 
     def __call__(self, text: bytes) -> np.ndarray:
+        return self.of_words(words(text))
+
+    def of_words(self, own: list[bytes]) -> np.ndarray:
         get = self.number.get
-        return np.array([get(w, -1) for w in words(text)] + [self.end], dtype=np.int64)
+        return np.array([get(w, -1) for w in own] + [self.end], dtype=np.int64)
 
     def bigrams(self, ids: np.ndarray) -> np.ndarray:
         """context * (size + 1) + word for every pair that the vocabulary covers."""
@@ -559,14 +562,17 @@ def _lower_scores(docs: DataFrame, unigrams: Unigrams) -> DataFrame:
             out: list[list] = [[], [], [], []]
             others, ends = [], [0]
             for text in batch.column(batch.num_columns - 1).to_pylist():
-                ids = tokens(text)
+                own = words(text)
+                ids = tokens.of_words(own)
                 known = ids[ids >= 0]
                 before = np.concatenate((np.array([tokens.start]), ids[:-1]))
                 # The end is outside the vocabulary only if nothing was learned; nothing comes after it.
-                at, own, number = np.flatnonzero(ids < 0).tolist(), [*words(text), END], [*ids.tolist(), None]
+                own.append(END)
+                at = np.flatnonzero(ids < 0)
+                after = [None if i == len(ids) else int(ids[i]) for i in (at + 1).tolist()]
                 found = Counter(
                     (own[i], b, own[i - 1] if b < 0 else b"", a, own[i + 1] if a is not None and a < 0 else b"")
-                    for i, b, a in zip(at, before[at].tolist(), [number[i + 1] for i in at], strict=True)
+                    for i, b, a in zip(at.tolist(), before[at].tolist(), after, strict=True)
                 )
                 others += [(*bigram, times) for bigram, times in found.items()]
                 ends.append(len(others))
