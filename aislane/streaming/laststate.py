@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
+from operator import itemgetter
 
 from pyspark import cloudpickle
 from pyspark.sql import Row
@@ -33,26 +34,43 @@ class PreviousMessage(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.tracks = handle.getListState("tracks", self.schema, self.keep_ms)
+        self.made = Row(*self.columns, "prev_slot", "prev_sog")
+        self.time, self.slot, self.speed = (self.columns.index(c) for c in (self.order[0], "slot_num", "sog"))
+        self.places = [self.columns.index(c) for c in self.order]
 
-    def place(self, row) -> tuple:
+    def place(self, row: tuple) -> tuple:
         """Sorts as the batch check does: ascending, without a value last."""
-        return tuple((row[c] is None, row[c] if row[c] is not None else 0) for c in self.order)
+        return tuple([(True, 0) if row[i] is None else (False, row[i]) for i in self.places])
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        made = Row(*self.columns)
-        last = [made(*r) for r in self.tracks.get()]
-        for row in sorted((made(*[r[c] for c in self.columns]) for r in rows), key=self.place):
-            ahead = min((t for t in last if self.place(t) > self.place(row)), key=self.place, default=None)
-            if ahead is not None and ahead[self.order[0]] - row[self.order[0]] <= GAP:
+        made, time, slot, speed = self.made, self.time, self.slot, self.speed
+        last = [(self.place(row), row) for row in map(tuple, self.tracks.get())]
+        batch, members = [], None
+        for row in rows:
+            # Rows of one group have their members in one order, which is looked up once.
+            members = members or itemgetter(*[row.__fields__.index(c) for c in self.columns])
+            values = members(row)
+            batch.append((self.place(values), values))
+        batch.sort(key=itemgetter(0))
+        for placed in batch:
+            place, row = placed
+            before = ahead = None
+            for track in last:
+                if track[0] > place:
+                    if ahead is None or track[0] < ahead[0]:
+                        ahead = track
+                elif before is None or track[0] > before[0]:
+                    before = track
+            if ahead is not None and ahead[1][time] - row[time] <= GAP:
                 continue
-            before = max((t for t in last if self.place(t) <= self.place(row)), key=self.place, default=None)
-            yield Row(*self.columns, "prev_slot", "prev_sog")(
-                *row, before and before["slot_num"], before and before["sog"]
-            )
-            if before is not None and row[self.order[0]] - before[self.order[0]] <= GAP:
-                last.remove(before)
-            last = [*last, row][-TRACKS:]
-        self.tracks.put([tuple(r) for r in last])
+            if before is None:
+                yield made(*row, None, None)
+            else:
+                yield made(*row, before[1][slot], before[1][speed])
+                if row[time] - before[1][time] <= GAP:
+                    last.remove(before)
+            last = [*last, placed][-TRACKS:]
+        self.tracks.put([row for _, row in last])
 
     def close(self) -> None:
         pass
