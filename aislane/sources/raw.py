@@ -57,7 +57,7 @@ SOURCE_KIND = "struct<path:string,block:bigint,row:bigint,piece:int,element:int>
 
 def _source() -> Column:
     """Where a physical line stands. Rows are numbered in a task, and a block is read in one task from its start."""
-    path = F.translate("file", "/", _STEP)
+    path = F.replace("file", F.lit("/"), F.lit(_STEP))
     return F.struct(path.alias("path"), F.col("block"), F.monotonically_increasing_id().alias("row"))
 
 
@@ -196,25 +196,32 @@ def _pieces() -> Column:
     """The lines in a physical line, ``value``, as they stand."""
     value = F.col("value")
     rare = functools.reduce(Column.__or__, [value.contains(mark) for mark in _RARE_BREAKS])
+    common = value.contains(_TWO_CHARACTERS) | value.contains("\n")
     plain = F.replace(value, F.lit(_TWO_CHARACTERS), F.lit("\n"))
-    return F.when(rare, F.split(plain, f"\r\n|[\n{_RARE_BREAKS}]")).otherwise(F.split(plain, "\n"))
+    # Most lines have no break and are copied no further.
+    return (
+        F.when(rare, F.split(plain, f"\r\n|[\n{_RARE_BREAKS}]"))
+        .when(common, F.split(plain, "\n"))
+        .otherwise(F.array(value))
+    )
 
 
 def split_lines(physical: DataFrame) -> DataFrame:
     """Cut the ``value`` text at every line break, trim, drop blanks; other columns stay, ``source`` with the piece."""
     others = [c for c in physical.columns if c not in ("value", "source")]
-    lines = F.transform(_pieces(), _trimmed)
+    # Pieces are trimmed as rows: a function over the list would be interpreted line by line.
     if "source" not in physical.columns:
-        cut = physical.select(*others, F.explode(lines).alias("line"))
+        cut = physical.select(*others, F.explode(_pieces()).alias("line"))
     else:
-        placed = physical.select(*others, "source", F.posexplode(lines).alias("piece", "line"))
+        placed = physical.select(*others, "source", F.posexplode(_pieces()).alias("piece", "line"))
         cut = placed.select(*others, F.col("source").withField("piece", F.col("piece")).alias("source"), "line")
-    return cut.where("line != ''")
+    return cut.withColumn("line", _trimmed(F.col("line"))).where("line != ''")
 
 
 def _trimmed(line: Column) -> Column:
     blanks = F.lit(_BLANKS)
-    at_edge = blanks.contains(F.left(line, F.lit(1))) | blanks.contains(F.right(line, F.lit(1)))
+    closed = (line.startswith("{") | line.startswith("[")) & (line.endswith("}") | line.endswith("]"))
+    at_edge = ~closed & (blanks.contains(F.left(line, F.lit(1))) | blanks.contains(F.right(line, F.lit(1))))
     return F.when(at_edge, F.btrim(line, blanks)).otherwise(line)
 
 

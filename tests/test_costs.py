@@ -45,3 +45,16 @@ def test_state_step_places_each_row_once():
     assert [r["prev_slot"] for r in found[1:]] == list(range(199))
     assert state.kept[-1] == tuple(rows[-1]) and len(state.kept) == 4
     assert step.calls <= len(rows) + 4
+
+
+def test_lines_are_cut_and_trimmed_without_interpreted_functions(spark, tmp_path):
+    """Cutting and trimming stay in generated code, and give the same lines."""
+    from aislane.sources.raw import read_lines
+
+    written = [' {"a":1}\t', '{"b":2}\\n　[3]  \\n{"c":4}', "   ", "5", '{"d":6} x\xa0', "\x85"]
+    (tmp_path / "one.json").write_text("\n".join(written) + "\n", encoding="utf-8")
+    for positions in (False, True):
+        lines = read_lines(spark, str(tmp_path), positions=positions)
+        found = sorted(r["line"] for r in lines.collect())
+        assert found == sorted(['{"a":1}', '{"b":2}', "[3]", '{"c":4}', "5", '{"d":6} x'])
+        assert "lambda" not in lines._jdf.queryExecution().optimizedPlan().toString()
