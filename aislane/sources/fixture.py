@@ -118,10 +118,12 @@ def raw_lines(ais: DataFrame) -> DataFrame:
 
 
 def write_raw(ais: DataFrame, path: str) -> None:
-    """Append the rows' raw lines as ``.json`` files in folders of their own."""
-    spark = ais.sparkSession
+    """Append the rows' raw lines as ``.json`` files in folders of their own, one for each part of the rows.
+
+    The lines are several times as long as the rows, which lie in even parts (``ais_rows``), so they go to files where they are made.
+    """
     fresh = f"{path}/_new-{uuid.uuid4().hex}"
-    raw_lines(ais).repartition(spark.sparkContext.defaultParallelism).write.text(fresh)
+    raw_lines(ais).write.text(fresh)
     for number, file in enumerate(files.listed(fresh, ".txt")):
         files.move(file, f"{path}/{uuid.uuid4().hex}/{number % 3}/{number}.json")
     files.remove(fresh)

@@ -58,3 +58,19 @@ def test_lines_are_cut_and_trimmed_without_interpreted_functions(spark, tmp_path
         found = sorted(r["line"] for r in lines.collect())
         assert found == sorted(['{"a":1}', '{"b":2}', "[3]", '{"c":4}', "5", '{"d":6} x'])
         assert "lambda" not in lines._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_raw_lines_are_written_without_a_shuffle(spark, ais, tmp_path):
+    """Raw lines go to files where they are made; a shuffle of them is most of the bytes a landing moves."""
+    from aislane.sources.fixture import write_raw
+
+    cores, text = spark.sparkContext.defaultParallelism, type(ais)
+    shuffled, kept = [], text.repartition
+    text.repartition = lambda self, *a: shuffled.append(self.columns) or kept(self, *a)
+    try:
+        write_raw(ais, str(tmp_path / "raw"))
+    finally:
+        text.repartition = kept
+    files = list((tmp_path / "raw").rglob("*.json"))
+    assert shuffled == [] and 2 <= len(files) <= 2 * cores
+    assert sum(len(f.read_text().splitlines()) for f in files) == ais.count()
