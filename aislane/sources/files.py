@@ -27,3 +27,10 @@ def move(source: str, target: str) -> None:
     system, path = _opened(target)
     system.create_dir(path.rpartition("/")[0], recursive=True)
     system.move(_opened(source)[1], path)
+
+
+def create(address: str):
+    """A stream into a new file, which replaces one of that name; its folder is made."""
+    system, path = _opened(address)
+    system.create_dir(path.rpartition("/")[0], recursive=True)
+    return system.open_output_stream(path)

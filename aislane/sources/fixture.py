@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aislane.session import scratch_path
 from aislane.sources import files
 
+# Tasks write files with it; it travels with the job.
+cloudpickle.register_pickle_by_value(files)
+
 # Runs unchanged on Spark and in the SQL checks. Three of four messages come in the first minute of an hour, so that
 # short windows hold several. Every third vessel keeps to its slots but for a few messages; some RSSI values are far off.
 AIS_SELECT = """
@@ -51,11 +57,11 @@ def ais_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reception rows, as a table written once per session: the analyses read files, as in use."""
 
     def write(path: str) -> None:
-        events = spark.read.parquet(f"{sf_dir}/events.parquet")
+        # Small as it may be, it is cut as finely as a large table, so that every core has a part. The window needs a user's
+        # rows together, so this is its only shuffle.
+        events = spark.read.parquet(f"{sf_dir}/events.parquet").repartition(spark.sparkContext.defaultParallelism, "user_id")
         rows = spark.sql(AIS_SELECT.format(events="{events}"), events=events)
-        # Small as it may be, it is cut as finely as a large table, so that every core has a part.
-        cut = rows.repartitionByRange(spark.sparkContext.defaultParallelism, "mmsi", "date_bucket")
-        cut.sortWithinPartitions("mmsi", "date_bucket").write.parquet(path)
+        rows.sortWithinPartitions("mmsi", "date_bucket").write.parquet(path)
 
     return spark.read.parquet(_once(spark, sf_dir, "ais", write))
 
@@ -139,9 +145,31 @@ ORDERED_FILE = 512
 
 
 def write_ordered(lines: DataFrame, path: str) -> None:
-    """``part, place, value`` as one text file for each part (``part=…/``), its lines by place."""
-    placed = lines.repartition("part").sortWithinPartitions("part", "place")
-    placed.select("value", "part").write.mode("append").partitionBy("part").text(path)
+    """``part, place, value`` as one text file for each part (``part=….txt``), its lines by place.
+
+    All files lie in one folder, which is listed at once; a folder for each would be a task for each.
+    """
+    placed = lines.repartition("part").sortWithinPartitions("part", "place").select("part", "value")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, stream = None, None
+        for batch in batches:
+            names = batch.column(0).to_pylist()
+            texts = batch.column(1).to_pylist()
+            begin = 0
+            for name, rows in itertools.groupby(names):
+                end = begin + sum(1 for _ in rows)
+                if name != part:
+                    if stream is not None:
+                        stream.close()
+                    part, stream = name, files.create(f"{path}/part={name}.txt")
+                stream.write("".join(f"{text}\n" for text in texts[begin:end]).encode())
+                begin = end
+        if stream is not None:
+            stream.close()
+        yield pa.RecordBatch.from_pydict({"done": pa.array([1], pa.int64())})
+
+    placed.mapInArrow(write, "done long").agg(F.sum("done")).collect()
 
 
 def landed_ordered(spark: SparkSession, sf_dir: str) -> str:
