@@ -77,9 +77,9 @@ def _normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize(records(_lines(spark, sf_dir)), RECEIVED_AT)
 
 
-def _normalized_stream(spark: SparkSession, path: str) -> DataFrame:
+def _normalized_stream(spark: SparkSession, path: str, brief: bool = False) -> DataFrame:
     lines = stream_lines(configure(spark), path)
-    return normalize(records(lines), RECEIVED_AT)
+    return normalize(records(lines), RECEIVED_AT, brief)
 
 
 # These may have been left out of this copy; whatever else is missing is an error.
@@ -215,10 +215,10 @@ def signal_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(sg.signal_preview(_signal(spark, sf_dir), order=TIME_ORDER), "distance_km")
 
 
-def _settled_stream(spark: SparkSession, sf_dir: str, name: str, stream) -> DataFrame:
+def _settled_stream(spark: SparkSession, sf_dir: str, name: str, stream, brief: bool = False) -> DataFrame:
     """Run a stream over the raw files to its end and read back what it wrote."""
     out, checkpoint = scratch_path(spark, name), scratch_path(spark, f"{name}-checkpoint")
-    normalized = _normalized_stream(spark, landed_raw(spark, sf_dir))
+    normalized = _normalized_stream(spark, landed_raw(spark, sf_dir), brief)
     jobs.start_append(stream(normalized), out, checkpoint).awaitTermination()
     return spark.read.parquet(out)
 
@@ -232,7 +232,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_vessel_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _settled_stream(spark, sf_dir, "summary", jobs.windowed_vessel_summary)
+    return _settled_stream(spark, sf_dir, "summary", jobs.windowed_vessel_summary, brief=True)
 
 
 def stream_signal_series(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -368,7 +368,7 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint = scratch_path(spark, "windows-checkpoint")
     for part in (ais.where(~late), ais.where(late)):
         write_raw(part, source)
-        windows = jobs.windowed_vessel_summary(_normalized_stream(spark, source))
+        windows = jobs.windowed_vessel_summary(_normalized_stream(spark, source, brief=True))
         jobs.start_append(windows, out, checkpoint).awaitTermination()
     return jobs.corrected_windows(spark.read.parquet(out), ais, ais.where(late))
 

@@ -76,5 +76,7 @@ def as_vessel_id(number: Column) -> Column:
 
 def as_bucket_time(text: Column) -> Column:
     """Time from ``2025-07-01-08:15:30.5``, fraction of 0 to 6 digits; NULL if malformed."""
-    iso = F.when(text.rlike(_BUCKET), F.regexp_replace(text, _BUCKET, "$1 $2"))
+    iso = F.when(
+        text.rlike(_BUCKET), F.concat(F.substring_index(text, "-", 3), F.lit(" "), F.substring_index(text, "-", -1))
+    )
     return iso.try_cast("timestamp_ntz")

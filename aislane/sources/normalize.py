@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -31,12 +31,14 @@ _RECEPTION = ("rssi", "slotNum", "snr")
 # Members of the payload whose truthiness decides something.
 _JUDGED = ("mmsi", "messageId", "navigationalStatus", "raimFlag", "sog", "timeStamp")
 
-# Where each number of a record comes from.
-_NUMBERS = (
-    ("env", "messageId"),
-    *(("body", name) for name in _PAYLOAD),
-    *(("vsi", name) for name in _RECEPTION),
-)
+# What decides whether a record is refused, or names its vessel and time.
+_DECIDING = ("mmsi", "date_bucket", "received_at")
+
+
+def _numbers(payload: Sequence[str], reception: Sequence[str]) -> list[tuple[str, str]]:
+    """Where each number of a record comes from."""
+    return [("env", "messageId"), *(("body", name) for name in payload), *(("vsi", name) for name in reception)]
+
 
 REJECT_REASONS = (
     "corrupt_json",
@@ -63,7 +65,7 @@ def _unusable(path: str) -> Column:
     return F.coalesce(found, F.lit(False))
 
 
-def _open_records(records: DataFrame) -> DataFrame:
+def _open_records(records: DataFrame, payload: Sequence[str], reception: Sequence[str]) -> DataFrame:
     """The members in use: structs ``env`` and ``body`` of texts, array ``numbers``.
 
     The body is ``data`` or, where that is missing or empty, the record itself;
@@ -73,15 +75,15 @@ def _open_records(records: DataFrame) -> DataFrame:
     parts = records.withColumns(
         {
             "env": member_texts(record, "$", _ENVELOPE),
-            "data": member_texts(record, "$.data", _PAYLOAD),
-            "data_number": member_numbers(record, "$.data", _PAYLOAD),
-            "vsi": member_texts(record, "$.vsi", _RECEPTION),
-            "vsi_number": member_numbers(record, "$.vsi", _RECEPTION),
+            "data": member_texts(record, "$.data", payload),
+            "data_number": member_numbers(record, "$.data", payload),
+            "vsi": member_texts(record, "$.vsi", reception),
+            "vsi_number": member_numbers(record, "$.vsi", reception),
         }
     )
     known = F.coalesce(
-        *[F.col(f"data_number.{name}") for name in _PAYLOAD],
-        *[F.octet_length(f"data.{name}") for name in _PAYLOAD],
+        *[F.col(f"data_number.{name}") for name in payload],
+        *[F.octet_length(f"data.{name}") for name in payload],
     ).isNotNull()
     in_data = F.when(F.col("data").isNotNull(), known | (_written("$.data") != "{}")).when(
         ~_unusable("$.data"), False
@@ -92,42 +94,38 @@ def _open_records(records: DataFrame) -> DataFrame:
 
     parts = parts.withColumn("in_data", in_data).withColumns(
         {
-            "body": either(F.col("data"), member_texts(record, "$", _PAYLOAD)),
-            "body_number": either(F.col("data_number"), member_numbers(record, "$", _PAYLOAD)),
+            "body": either(F.col("data"), member_texts(record, "$", payload)),
+            "body_number": either(F.col("data_number"), member_numbers(record, "$", payload)),
             "env_number": F.struct(
                 F.try_variant_get(record, "$.messageId", "double").alias("messageId")
             ),
         }
     )
-    # Lists and objects need a closer look, so only records that lack a judged member get it.
-    complete = F.lit(True)
-    for name in _JUDGED:
-        complete = complete & F.coalesce(
-            F.octet_length(f"body.{name}"), F.col(f"body_number.{name}")
-        ).isNotNull()
-    judged = f"struct<{','.join(name + ':string' for name in _JUDGED)}>"
+    # Lists and objects need a closer look, which only members get that are neither text nor number.
+    def other(name: str, part: str, written: Column) -> Column:
+        known = F.coalesce(F.octet_length(f"{part}.{name}"), F.col(f"{part}_number.{name}"))
+        return F.when(known.isNull(), written).alias(name)
+
+    numbers = _numbers(payload, reception)
     return parts.withColumns(
         {
             "numbers": exact_numbers(
-                [F.col(f"{part}.{name}") for part, name in _NUMBERS],
-                [F.col(f"{part}_number.{name}") for part, name in _NUMBERS],
+                [F.col(f"{part}.{name}") for part, name in numbers],
+                [F.col(f"{part}_number.{name}") for part, name in numbers],
             ),
-            "body_other": F.when(
-                ~complete,
-                either(
-                    F.try_variant_get(record, "$.data", judged),
-                    F.try_variant_get(record, "$", judged),
-                ),
+            "body_other": F.struct(
+                *[other(name, "body", either(_written(f"$.data.{name}"), _written(f"$.{name}"))) for name in _JUDGED if name in payload]
             ),
-            "env_other": F.struct(_written("$.messageId").alias("messageId")),
+            "env_other": F.struct(other("messageId", "env", _written("$.messageId"))),
         }
     )
 
 
-def normalize(records: DataFrame, received_at: datetime | Column | None = None) -> DataFrame:
+def normalize(records: DataFrame, received_at: datetime | Column | None = None, brief: bool = False) -> DataFrame:
     """Canonical columns plus ``reject_reason`` and ``reject_text``, both NULL for good rows.
 
-    ``received_at`` is the run's time; left out, it is the query's start.
+    ``received_at`` is the run's time; left out, it is the query's start. ``brief`` gives the same rows with vessel and times alone, and
+    looks up no other members.
     """
     if received_at is None:
         received_at = F.localtimestamp()
@@ -135,7 +133,9 @@ def normalize(records: DataFrame, received_at: datetime | Column | None = None)
         received_at = F.lit(received_at)
 
     carried = [c for c in records.columns if c not in ("record", "corrupt_line")]
-    position = {key: i for i, key in enumerate(_NUMBERS)}
+    payload, reception = (("mmsi", "userId"), ("rssi",)) if brief else (_PAYLOAD, _RECEPTION)
+    columns = _DECIDING if brief else RECORD_COLUMNS
+    position = {key: i for i, key in enumerate(_numbers(payload, reception))}
 
     def number(name: str, part: str = "body") -> Column:
         return F.get("numbers", F.lit(position[part, name]))
@@ -153,15 +153,16 @@ def normalize(records: DataFrame, received_at: datetime | Column | None = None)
         return F.round(as_double(number(name)) / POSITION_UNITS_PER_DEGREE, 6)
 
     decided = {
-        "mmsi": as_vessel_id(first_truthy("mmsi", "userId")),
-        "date_bucket": as_bucket_time(F.col("env.dataBucket").cast("string")),
-        "msg_type": as_int(first_truthy("messageId", "messageId", "env")),
-        "nav_status": as_int(first_truthy("navigationalStatus", "navigationStatus")),
+        "mmsi": lambda: as_vessel_id(first_truthy("mmsi", "userId")),
+        "date_bucket": lambda: as_bucket_time(F.col("env.dataBucket").cast("string")),
+        "msg_type": lambda: as_int(first_truthy("messageId", "messageId", "env")),
+        "nav_status": lambda: as_int(first_truthy("navigationalStatus", "navigationStatus")),
         # Absent stays NULL; the text "false" is true.
-        "raim_flag": is_truthy("raimFlag"),
-        "sog": as_double(first_truthy("sog", "speedOverGround")),
-        "timestamp_sec": as_int(first_truthy("timeStamp", "timestamp_sec")),
+        "raim_flag": lambda: is_truthy("raimFlag"),
+        "sog": lambda: as_double(first_truthy("sog", "speedOverGround")),
+        "timestamp_sec": lambda: as_int(first_truthy("timeStamp", "timestamp_sec")),
     }
+    decided = {name: made() for name, made in decided.items() if name in columns}
     reason = (
         F.when(F.col("corrupt_line").isNotNull(), "corrupt_json")
         .when(F.col("env").isNull(), "not_an_object")
@@ -173,7 +174,7 @@ def normalize(records: DataFrame, received_at: datetime | Column | None = None)
     # Passing the values through a generator keeps a later filter on the reason from
     # repeating all that leads to it.
     settled = (
-        _open_records(records)
+        _open_records(records, payload, reception)
         .withColumns(decided)
         .select(
             *carried,
@@ -187,21 +188,21 @@ def normalize(records: DataFrame, received_at: datetime | Column | None = None)
         )
     )
     direct = {
-        "received_at": received_at.cast("timestamp_ntz"),
-        "cog": as_double(number("cog")),
-        "integrity_flag": as_int(number("positionAccuracy")),
-        "latitude": degrees("latitude"),
-        "longitude": degrees("longitude"),
-        "rot": as_double(number("rateOfTurn")),
-        "true_heading": as_int(number("trueHeading")),
-        "rssi": as_double(number("rssi", "vsi")),
-        "slot_num": as_int(number("slotNum", "vsi")),
-        "snr": as_double(number("snr", "vsi")),
+        "received_at": lambda: received_at.cast("timestamp_ntz"),
+        "cog": lambda: as_double(number("cog")),
+        "integrity_flag": lambda: as_int(number("positionAccuracy")),
+        "latitude": lambda: degrees("latitude"),
+        "longitude": lambda: degrees("longitude"),
+        "rot": lambda: as_double(number("rateOfTurn")),
+        "true_heading": lambda: as_int(number("trueHeading")),
+        "rssi": lambda: as_double(number("rssi", "vsi")),
+        "slot_num": lambda: as_int(number("slotNum", "vsi")),
+        "snr": lambda: as_double(number("snr", "vsi")),
     }
     refused = F.col("reject_reason").isNotNull()
     return settled.select(
         *carried,
-        *[direct[name].alias(name) if name in direct else name for name in RECORD_COLUMNS],
+        *[direct[name]().alias(name) if name in direct else name for name in columns],
         "reject_reason",
         F.when(refused, F.coalesce("corrupt_line", F.to_json("record"))).alias("reject_text"),
     )
@@ -210,7 +211,8 @@ def normalize(records: DataFrame, received_at: datetime | Column | None = None)
 def accepted(normalized: DataFrame) -> DataFrame:
     """Rows fit for the table: canonical columns, and ``source`` where known."""
     source = ["source"] if "source" in normalized.columns else []
-    return normalized.where(F.col("reject_reason").isNull()).select(*RECORD_COLUMNS, *source)
+    present = [c for c in RECORD_COLUMNS if c in normalized.columns]
+    return normalized.where(F.col("reject_reason").isNull()).select(*present, *source)
 
 
 def rejected(normalized: DataFrame) -> DataFrame:
