@@ -45,7 +45,8 @@ def process_run(
         "rejects": rejected(normalized),
     }
     if counts.first()["corrupt_json"]:
-        datasets["corrupt_lines"] = corrupt_lines(spark, source, line_separator, file_pattern, skip_unreadable)
+        known = normalized.where(F.col("reject_reason") == "corrupt_json").select(F.col("reject_text").alias("line"))
+        datasets["corrupt_lines"] = corrupt_lines(spark, source, line_separator, file_pattern, skip_unreadable, known)
     if skip_unreadable:
         skipped = unreadable_files(spark, source, file_pattern)
         datasets["unreadable_files"] = skipped

@@ -104,17 +104,24 @@ def _bare(address: str) -> str:
     return "/" + re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", address).strip("/")
 
 
+# As many hashes of corrupt lines go to every task.
+KNOWN_TEXTS = 100_000
+
+
 def corrupt_lines(
     spark: SparkSession,
     paths: str | Sequence[str],
     line_separator: str | None = None,
     file_pattern: str = "*.json",
     skip_unreadable: bool = False,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """Lines that hold no JSON, with their number in the file, counted from 1: file, line_number, line.
 
     One scan, whatever the size of a file: each task counts the lines of its blocks and keeps only the corrupt ones and the
     physical lines that are several; a block is one row then, and sums over a file's blocks give where each begins.
+    ``known`` holds the text of every corrupt line (``line``), where the files have been parsed before: then only lines with the
+    hash of one of at most ``KNOWN_TEXTS`` texts are parsed again; beyond that, all are.
     """
     physical = _physical(spark, paths, line_separator, file_pattern, skip_unreadable)
     # The number is given to rows of the scan, before anything multiplies them.
@@ -122,7 +129,17 @@ def corrupt_lines(
     lines = placed.select(
         "file", "block", "row", F.size("pieces").alias("n"), F.posexplode("pieces").alias("piece", "line")
     ).withColumn("line", _trimmed(F.col("line")))
-    parsed = parse_lines(lines).withColumn("first", F.col("piece") == 0)
+    hashes = None if known is None else known.select(F.xxhash64("line").alias("hash")).distinct().limit(KNOWN_TEXTS + 1).persist()
+    if hashes is not None and hashes.count() <= KNOWN_TEXTS:
+        suspects = F.broadcast(hashes.withColumn("suspect", F.lit(True)))
+        marked = lines.withColumn("hash", F.xxhash64("line")).join(suspects, "hash", "left").drop("hash")
+        # Lines that are not suspected stand as an empty list, which costs next to nothing to parse.
+        suspected = F.col("suspect").isNotNull()
+        parsed = parse_lines(marked.withColumns({"whole": F.col("line"), "line": F.when(suspected, F.col("line")).otherwise("[]")}))
+        parsed = parsed.withColumn("line", F.col("whole"))
+    else:
+        parsed = parse_lines(lines)
+    parsed = parsed.withColumn("first", F.col("piece") == 0)
     corrupt = (F.col("line") != "") & F.col("value").isNull() & ~_is_long_list()
     several = F.col("first") & (F.col("n") > 1)
     event = F.struct("row", F.when(corrupt, F.col("piece")).alias("piece"), F.when(corrupt, F.col("line")).alias("line"),
@@ -195,7 +212,13 @@ def stream_lines(
 def _pieces() -> Column:
     """The lines in a physical line, ``value``, as they stand."""
     value = F.col("value")
-    rare = functools.reduce(Column.__or__, [value.contains(mark) for mark in _RARE_BREAKS])
+    # Marks beyond ASCII are looked for only in lines that have more bytes than characters.
+    plain_ascii = F.octet_length(value) == F.length(value)
+    rare, rare_wide = (
+        functools.reduce(Column.__or__, [value.contains(mark) for mark in _RARE_BREAKS if mark.isascii() is ascii_mark])
+        for ascii_mark in (True, False)
+    )
+    rare = rare | (~plain_ascii & rare_wide)
     common = value.contains(_TWO_CHARACTERS) | value.contains("\n")
     plain = F.replace(value, F.lit(_TWO_CHARACTERS), F.lit("\n"))
     # Most lines have no break and are copied no further.

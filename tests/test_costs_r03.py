@@ -9,6 +9,43 @@ from pyspark.sql import functions as F
 RECEIVED = datetime(2026, 3, 20, 13)
 
 
+def numbered(frame):
+    return sorted((r["file"].rpartition("/")[2], r["line_number"], r["line"]) for r in frame.collect())
+
+
+def test_known_corrupt_lines_are_numbered_alike_and_others_not_parsed(spark, tmp_path, monkeypatch):
+    """A second look parses only lines whose text is known to be corrupt; beyond the bound it parses all."""
+    from aislane.sources import raw
+
+    written = ['{"a":1}', "bad{\\n{\"b\":2}\\nbad{", "  worse] ", "", "42", "bad{", '{"c":3} x', "null"]
+    for name in ("one", "two"):
+        (tmp_path / f"{name}.json").write_text("\n".join(written * 3) + "\n", encoding="utf-8")
+    plain = raw.corrupt_lines(spark, str(tmp_path))
+    known = plain.select("line")
+    parsed = []
+    parse = raw.parse_lines
+    monkeypatch.setattr(raw, "parse_lines", lambda lines: parsed.append(lines) or parse(lines))
+    again = raw.corrupt_lines(spark, str(tmp_path), known=known)
+    assert numbered(again) == numbered(plain) and plain.count() == 30
+    texts = {r["line"] for r in parsed[0].select("line").distinct().collect()}
+    assert texts == {"[]", "bad{", "worse]", '{"c":3} x'}
+    monkeypatch.setattr(raw, "KNOWN_TEXTS", 1)
+    assert numbered(raw.corrupt_lines(spark, str(tmp_path), known=known)) == numbered(plain)
+
+
+def test_process_run_numbers_corrupt_lines_from_what_it_has_parsed(spark, tmp_path, monkeypatch):
+    from aislane.plans import reports
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "one.json").write_text('bad{\n{"mmsi":1,"dataBucket":"2026-03-20-12:00:00"}\nbad[\n')
+    given, number = [], reports.corrupt_lines
+    monkeypatch.setattr(reports, "corrupt_lines", lambda *a: given.append(a[-1]) or number(*a))
+    reports.process_run(spark, str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / "out"), "r", RECEIVED)
+    assert given[0].columns == ["line"]
+    found = spark.read.parquet(str(tmp_path / "out" / "corrupt_lines"))
+    assert numbered(found) == [("one.json", 1, "bad{"), ("one.json", 3, "bad[")]
+
+
 def test_ordered_files_lie_in_one_folder(spark, tmp_path):
     """Each folder is a task of the listing, so files share one; a part's lines stand by place, whatever batches they come in."""
     from aislane.sources.fixture import write_ordered
