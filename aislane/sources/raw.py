@@ -135,12 +135,12 @@ def corrupt_lines(
         marked = lines.withColumn("hash", F.xxhash64("line")).join(suspects, "hash", "left").drop("hash")
         # Lines that are not suspected stand as an empty list, which costs next to nothing to parse.
         suspected = F.col("suspect").isNotNull()
-        parsed = parse_lines(marked.withColumns({"whole": F.col("line"), "line": F.when(suspected, F.col("line")).otherwise("[]")}))
+        parsed = _sealed(marked.withColumns({"whole": F.col("line"), "line": F.when(suspected, F.col("line")).otherwise("[]")}))
         parsed = parsed.withColumn("line", F.col("whole"))
     else:
-        parsed = parse_lines(lines)
+        parsed = _sealed(lines)
     parsed = parsed.withColumn("first", F.col("piece") == 0)
-    corrupt = (F.col("line") != "") & F.col("value").isNull() & ~_is_long_list()
+    corrupt = (F.col("line") != "") & ~F.col("_intact") & ~_is_long_list()
     several = F.col("first") & (F.col("n") > 1)
     event = F.struct("row", F.when(corrupt, F.col("piece")).alias("piece"), F.when(corrupt, F.col("line")).alias("line"),
                      F.when(several, F.col("n") - 1).otherwise(0).alias("more"))
@@ -270,6 +270,13 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     pass. Parsed as a list that ends in the line's own hash, any surplus text
     breaks the list or moves the hash.
     """
+    return _sealed(lines).withColumn(
+        "value", F.when(F.col("_intact"), F.try_variant_get("_listed", "$[0]", "variant"))
+    ).drop("_listed", "_intact")
+
+
+def _sealed(lines: DataFrame) -> DataFrame:
+    """Add the line's list as ``_listed``, and ``_intact``: does the line hold exactly one JSON value?"""
     line = F.col("line")
     has_bare_word = line.contains("NaN") | line.contains("Infinity")
     strict = lines.withColumn(
@@ -282,9 +289,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
         ),
     )
     intact = F.try_variant_get("_listed", "$[1]", "bigint") == F.col("_seal")
-    return sealed.withColumn(
-        "value", F.when(intact, F.try_variant_get("_listed", "$[0]", "variant"))
-    ).drop("_strict", "_seal", "_listed")
+    return sealed.withColumn("_intact", F.coalesce(intact, F.lit(False))).drop("_strict", "_seal")
 
 
 # A list this long may be too much for one VARIANT, whose limit is 128 MB; its elements are not.

@@ -23,8 +23,8 @@ def test_known_corrupt_lines_are_numbered_alike_and_others_not_parsed(spark, tmp
     plain = raw.corrupt_lines(spark, str(tmp_path))
     known = plain.select("line")
     parsed = []
-    parse = raw.parse_lines
-    monkeypatch.setattr(raw, "parse_lines", lambda lines: parsed.append(lines) or parse(lines))
+    parse = raw._sealed
+    monkeypatch.setattr(raw, "_sealed", lambda lines: parsed.append(lines) or parse(lines))
     again = raw.corrupt_lines(spark, str(tmp_path), known=known)
     assert numbered(again) == numbered(plain) and plain.count() == 30
     texts = {r["line"] for r in parsed[0].select("line").distinct().collect()}
@@ -107,3 +107,13 @@ def test_only_members_that_are_neither_text_nor_number_are_written_out(spark, ai
 
     plan = normalize(records(split_lines(raw_lines(ais))), RECEIVED)._jdf.queryExecution().optimizedPlan().toString()
     assert "timeStamp,StringType" not in plan
+
+
+def test_numbering_copies_no_value(spark, tmp_path):
+    """Whether a line holds JSON is all that numbering asks; its value is not taken out of the parsed line."""
+    from aislane.sources.raw import corrupt_lines
+
+    (tmp_path / "one.json").write_text('null\n{"a":[1,{"b":NaN}]}\n1,2\n"x"\n[]]\n')
+    found = corrupt_lines(spark, str(tmp_path))
+    assert numbered(found) == [("one.json", 3, "1,2"), ("one.json", 5, "[]]")]
+    assert "$[0]" not in found._jdf.queryExecution().optimizedPlan().toString()
