@@ -226,8 +226,9 @@ class WordEncoder:
     def _learn(self, runs: set[bytes]) -> None:
         stems = {r[:-1] if r[-1:] in self.stop and r[:-1].isalpha() else r for r in runs}
         new = [s for s in stems if s not in self.known]
-        letters = [s for s in new if s.decode().isalpha()]
-        others = [s for s in new if not s.decode().isalpha()]
+        letters, others = [], []
+        for stem in new:
+            (letters if stem.decode().isalpha() else others).append(stem)
         for batch, encode in ((letters, self._together), (others, self._alone)):
             for begin in range(0, len(batch), self.TOGETHER):
                 part = batch[begin : begin + self.TOGETHER]
@@ -236,15 +237,30 @@ class WordEncoder:
             if run not in self.known:
                 self.known[run] = self.known[run[:-1]] + self.stop[run[-1:]]
 
-    def encode(self, text: str) -> np.ndarray:
+    @staticmethod
+    def _runs(text: str) -> list[bytes]:
         data = text.encode()
-        runs = data.lower().split() if text.isascii() else [r.lower() if r.isascii() else r for r in data.split()]
+        return data.lower().split() if text.isascii() else [r.lower() if r.isascii() else r for r in data.split()]
+
+    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text; runs that are new in any of them go to the library together."""
+        split = [self._runs(text) for text in texts]
         if len(self.known) > self.MOST_RUNS:
             forget_half(self.known)
-        new = {r for r in runs if r not in self.known}
+        new: set[bytes] = set()
+        for runs in split:
+            new |= set(runs).difference(self.known)
         if new:
             self._learn(new)
-        return np.frombuffer(b"".join(map(self.known.__getitem__, runs)), "<u4")
+        find = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(find, runs)), "<u4") for runs in split]
+
+    def encode(self, text: str) -> np.ndarray:
+        return self.encode_many([text])[0]
+
+
+# Documents that are encoded together.
+DOCUMENTS = 4
 
 
 def write_shards(
@@ -280,8 +296,11 @@ def write_shards(
                 stream = files.open_output_stream(path)
                 out, first = ShardWriter(stream), batch.column(0)[0].as_py()
                 part = _partition()
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                out.add(doc_id, np.concatenate((encoder.encode(text), end)))
+            for begin in range(0, batch.num_rows, DOCUMENTS):
+                some = batch.slice(begin, DOCUMENTS)
+                encoded = encoder.encode_many(some.column(1).to_pylist())
+                for doc_id, ids in zip(some.column(0).to_pylist(), encoded, strict=True):
+                    out.add(doc_id, np.concatenate((ids, end)))
         if out is not None:
             out.close()
             stream.close()

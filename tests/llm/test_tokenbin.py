@@ -85,3 +85,21 @@ def test_files_like_brute_force(spark):
 def test_empty_table(spark):
     folder = tokenbin.shard_folder(spark)
     assert tokenbin.read_shards(tokenbin.write_shards(empty(spark), PATH, folder), folder).count() == 0
+
+
+def test_texts_encoded_together_get_the_ids_of_each_alone():
+    """New runs of many texts go to the library at once, and give the ids that it gives to each text."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from aislane.llm.tokenbin import WordEncoder
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, encoder = Tokenizer.from_file(path), WordEncoder(path)
+    texts = ["", "Alpha beta, gamma.", "alpha BETA x1 gamma", " \n", "Größe İstanbul naïve, x1", "beta beta, zzqqy."]
+    calls, learn = [], encoder._learn
+    encoder._learn = lambda runs: calls.append(len(runs)) or learn(runs)
+    found = [ids.tolist() for ids in encoder.encode_many(texts)]
+    assert found == [library.encode(t, add_special_tokens=False).ids for t in texts] and len(calls) == 1
+    encoder.MOST_RUNS = 2
+    assert [ids.tolist() for ids in encoder.encode_many(texts[::-1])] == found[::-1]
