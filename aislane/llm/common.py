@@ -52,12 +52,12 @@ def freed_shuffles(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(FREE_SHUFFLES, before)
 
 
-def staged(frame: DataFrame, name: str, free: bool = False) -> DataFrame:
+def staged(frame: DataFrame, name: str, free: bool = False, **options: str) -> DataFrame:
     """``frame`` written to the shared folder and read again, which cuts its lineage; ``free`` as in ``freed_shuffles``."""
     spark = frame.sparkSession
     path = scratch_path(spark, name)
     with freed_shuffles(spark) if free else nullcontext():
-        frame.write.parquet(path)
+        frame.write.options(**options).parquet(path)
     return spark.read.parquet(path)
 
 

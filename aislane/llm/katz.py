@@ -24,9 +24,11 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -40,7 +42,7 @@ HOT_BIGRAMS = 1 << 16
 # Katz discounts counts up to here.
 DISCOUNTED = 5
 BLOCK_TOKENS = 1_500_000
-COUNT_WORDS = 300_000
+COUNT_BYTES = 32 << 20
 _BLOBS = "part int, kind int, block long, a binary, b binary"
 _COUNTS, _OCCURRENCES, _DOCS = 0, 1, 2
 
@@ -49,6 +51,19 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(LOWER).split()
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, one after the other, and how many each text has; like ``words``."""
+    found = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    every, sizes = found.flatten().view(pa.binary()), found.value_lengths().to_numpy().astype(np.int64)
+    # White space at the ends of a text, and a text without words, leave empty strings.
+    empty = pc.equal(every, b"").to_numpy(zero_copy_only=False)
+    if empty.any():
+        text = np.repeat(np.arange(len(texts)), sizes)
+        sizes = sizes - np.bincount(text[empty], minlength=len(texts))
+        every = every.filter(pa.array(~empty))
+    return every, sizes
+
+
 def discounts(of_counts: dict[int, int]) -> np.ndarray:
     """Katz's factor for counts 0 to ``DISCOUNTED`` (index 0 unused); larger counts are kept as they are.
 
@@ -100,22 +115,23 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``word binary, n`` over all texts, the end of each text included."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
+        waiting: list[pa.Array] = []
+        texts, size = 0, 0
 
         def out() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"]
-            )
-            seen.clear()
-            return made
+            counted = pc.value_counts(pa.concat_arrays(waiting))
+            waiting.clear()
+            every = pa.concat_arrays([counted.field("values"), pa.array([END], pa.binary())])
+            n = np.append(counted.field("counts").to_numpy(), texts)
+            return pa.RecordBatch.from_arrays([every, pa.array(n, pa.int64())], ["word", "n"])
 
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                seen.update(words(t))
-                seen[END] += 1
-            if len(seen) >= COUNT_WORDS:
+            waiting.append(split_words(batch.column(0))[0])
+            texts, size = texts + batch.num_rows, size + waiting[-1].nbytes
+            if size >= COUNT_BYTES:
                 yield out()
-        if seen:
+                texts, size = 0, 0
+        if texts:
             yield out()
 
     return docs.select(text).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
@@ -148,18 +164,35 @@ class Tokens:
         self.number = {w: i for i, w in enumerate(vocabulary)}
         self.start, self.end = len(vocabulary), self.number.get(END, -1)
 
-    def __call__(self, text: bytes) -> np.ndarray:
-        return self.of_words(words(text))
+    def __call__(self, every: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The different words, which of them each word is, and the numbers of the different ones."""
+        coded = every.dictionary_encode()
+        own = coded.dictionary
+        numbers = np.fromiter(
+            map(self.number.get, own.to_numpy(zero_copy_only=False).tolist(), repeat(-1)), np.int64, len(own)
+        )
+        return own, coded.indices.to_numpy().astype(np.int64), numbers
+
+
+def _held_numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all texts, each with its end, as ``_lower_scores`` hands them on, and where each text begins."""
+    bounds = np.frombuffer(column.buffers()[1], "<i4")[column.offset : column.offset + len(column) + 1].astype(np.int64) // 4
+    numbers = np.frombuffer(column.buffers()[2], "<i4", bounds[-1])[bounds[0] :]
+    return numbers.astype(np.int64), bounds[:-1] - bounds[0]
 
-    def of_words(self, own: list[bytes]) -> np.ndarray:
-        get = self.number.get
-        return np.array([get(w, -1) for w in own] + [self.end], dtype=np.int64)
 
-    def bigrams(self, ids: np.ndarray) -> np.ndarray:
-        """context * (size + 1) + word for every pair that the vocabulary covers."""
-        before = np.concatenate((np.array([self.start]), ids[:-1]))
-        known = (before >= 0) & (ids >= 0)
-        return before[known] * (self.start + 1) + ids[known]
+def _contexts(ids: np.ndarray, begins: np.ndarray, start: int) -> np.ndarray:
+    """What stands before each token."""
+    before = np.empty_like(ids)
+    before[1:] = ids[:-1]
+    before[begins] = start
+    return before
+
+
+def _pairs(before: np.ndarray, ids: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """context * (size + 1) + word for every pair that the vocabulary covers, and the places of these pairs."""
+    known = np.flatnonzero((before >= 0) & (ids >= 0))
+    return before[known] * (start + 1) + ids[known], known
 
 
 def _parts(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -197,6 +230,8 @@ def _blob_rows(rows: list[tuple[int, int, int, bytes, bytes]]) -> pa.RecordBatch
 def _by_part(keys: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
     """(part, places of its keys), for rising keys; the places rise too."""
     part = _parts(keys, parts)
+    # Two bytes are sorted by radix.
+    part = part.astype(np.uint16) if parts <= 1 << 16 else part
     order = np.argsort(part, kind="stable")
     cuts = np.searchsorted(part[order], np.arange(parts + 1))
     for p in range(parts):
@@ -204,6 +239,16 @@ def _by_part(keys: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
             yield p, order[cuts[p] : cuts[p + 1]]
 
 
+def _sorted(keys: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Both by key, then row; as one number, if it fits."""
+    bits = n_rows.bit_length()
+    if len(keys) and int(keys.max()).bit_length() + bits < 63:
+        both = np.sort((keys << bits) | rows)
+        return both >> bits, both & ((1 << bits) - 1)
+    order = np.lexsort((rows, keys))
+    return keys[order], rows[order]
+
+
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     if not keys:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -214,12 +259,10 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return every[starts], np.add.reduceat(n, starts)
 
 
-def bigram_table(docs: DataFrame, vocabulary: list[bytes], parts: int, text: str = "text") -> DataFrame:
+def bigram_table(numbered: DataFrame, start: int, parts: int) -> DataFrame:
     """The counts of all bigrams as blobs, a few rows per part: rising keys in ``a``, their counts in ``b``."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(shared.value)
         waiting: list[np.ndarray] = []
 
         def out() -> pa.RecordBatch:
@@ -230,9 +273,11 @@ def bigram_table(docs: DataFrame, vocabulary: list[bytes], parts: int, text: str
 
         size = 0
         for batch in batches:
-            for t in batch.column(0).to_pylist():
-                waiting.append(tokens.bigrams(tokens(t)))
-                size += len(waiting[-1])
+            if not batch.num_rows:
+                continue
+            ids, begins = _held_numbers(batch.column(0))
+            waiting.append(_pairs(_contexts(ids, begins, start), ids, start)[0])
+            size += len(waiting[-1])
             if size >= BLOCK_TOKENS:
                 yield out()
                 size = 0
@@ -253,7 +298,7 @@ def bigram_table(docs: DataFrame, vocabulary: list[bytes], parts: int, text: str
             keys, n = _merged(*own)
             yield _blob_rows([(part, _COUNTS, 0, pack(keys), _pack_small(n, "<u8"))])
 
-    partial = docs.select(text).mapInArrow(count, _BLOBS)
+    partial = numbered.select("ids").mapInArrow(count, _BLOBS)
     return staged(partial.repartition("part").mapInArrow(merge, _BLOBS), "bigrams", free=True)
 
 
@@ -285,14 +330,22 @@ def deal_rare(lower: DataFrame) -> tuple[DataFrame, str]:
 
     Counting, weights and scores all go by ``word`` over this table, so its rows are shuffled this once.
     """
-    spark = lower.sparkSession
-    path, buckets = scratch_path(spark, "rare-words"), int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = path.rsplit("/", 1)[-1].replace("-", "_")
     rows = lower.select("row_key", "held_out", F.explode("others").alias("o")).select("row_key", "held_out", "o.*")
-    writer = rows.repartition(buckets, "word").write.bucketBy(buckets, "word").sortBy("word")
+    return _by_word(rows.repartition(_buckets(lower.sparkSession), "word"), "rare-words")
+
+
+def _buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _by_word(rows: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Rows that are dealt out by word already, written as a bucketed table, and the table's name."""
+    spark = rows.sparkSession
+    path = scratch_path(spark, name)
+    held = path.rsplit("/", 1)[-1].replace("-", "_")
     with freed_shuffles(spark):
-        writer.options(path=path, compression="zstd").saveAsTable(name)
-    return spark.table(name), name
+        rows.write.bucketBy(_buckets(spark), "word").sortBy("word").options(path=path, compression="zstd").saveAsTable(held)
+    return spark.table(held), held
 
 
 def rare_sides(dealt: DataFrame) -> DataFrame:
@@ -306,12 +359,16 @@ def rare_sides(dealt: DataFrame) -> DataFrame:
     return sides.select("word", "row_key", "held_out", "times", "side.*").where(F.col("id").isNotNull())
 
 
-def rare_bigrams(dealt: DataFrame, unigrams: Unigrams) -> DataFrame:
-    """Training counts ``n`` of the bigrams of ``rare_sides``, with the word's own, ``n_word``, and its ``log_p``."""
+def rare_bigrams(dealt: DataFrame, unigrams: Unigrams) -> tuple[DataFrame, str]:
+    """Training counts ``n`` of the bigrams of ``rare_sides``, with the word's own, ``n_word``, and its ``log_p``.
+
+    They are counted once, into a table like ``dealt``, whose name comes with them.
+    """
     learned = rare_sides(dealt.where("not held_out"))
     counted = learned.groupBy("word", "as_word", "id", "other").agg(F.sum("times").alias("n"))
     own = F.sum(F.when(F.col("as_word"), F.col("n"))).over(Window.partitionBy("word"))
-    return counted.withColumn("n_word", own).withColumn("log_p", _log_p(F.col("n_word"), unigrams))
+    held, name = _by_word(counted.withColumn("n_word", own), "rare-bigrams")
+    return held.withColumn("log_p", _log_p(F.col("n_word"), unigrams)), name
 
 
 def rare_contexts(bigrams: DataFrame, unigrams: Unigrams, factors: np.ndarray) -> DataFrame:
@@ -459,48 +516,51 @@ def _bigram_gains(
 ) -> DataFrame:
     """``row_key, gain``: per document the weights of its contexts in the vocabulary, and what its seen bigrams of such words score beyond backing off."""
     vectors = (backoff.counts, backoff.weight, backoff.scale, backoff.factors)
-    shared = docs.sparkSession.sparkContext.broadcast((unigrams.vocabulary, vectors, unigrams.log_p(unigrams.counts), hot))
+    start = len(unigrams.vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast((vectors, unigrams.log_p(unigrams.counts), hot))
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        vocabulary, own, log_p, (hot_keys, hot_counts) = shared.value
-        tokens, weight = Tokens(vocabulary), own[1]
+        own, log_p, (hot_keys, hot_counts) = shared.value
+        # The last place is for tokens outside the vocabulary, -1.
+        weight = np.append(own[1], 0.0)
         hot_gains = Backoff(*own).gain(hot_keys, hot_counts, log_p)
-        number, row_keys, near, waiting, size = 0, [], [], [], 0
+        number, row_keys, near, waiting, size, texts = 0, [], [], [], 0, 0
 
         def out() -> pa.RecordBatch:
             block = (TaskContext.get().partitionId() << 24) + number
-            lengths = [len(w) for w in waiting]
-            keys, doc = np.concatenate(waiting), np.repeat(np.arange(len(waiting)), lengths)
-            order = np.argsort(keys, kind="stable")
-            keys, doc = keys[order], doc[order]
+            keys, doc = _sorted(*(np.concatenate(c) for c in zip(*waiting, strict=True)), texts)
+            first, last = np.searchsorted(keys, hot_keys), np.searchsorted(keys, hot_keys, "right")
+            times = last - first
+            is_hot = np.zeros(len(keys), bool)
+            is_hot[np.repeat(first - np.cumsum(times) + times, times) + np.arange(times.sum())] = True
+            backed = np.concatenate(near) + np.bincount(doc[is_hot], np.repeat(hot_gains, times), minlength=texts)
+            keys, doc = keys[~is_hot], doc[~is_hot]
             rows = [(p, _OCCURRENCES, block, pack(keys[at]), _pack_small(doc[at], "<u4")) for p, at in _by_part(keys, parts)]
-            about = np.array(row_keys, "<i8").tobytes()
-            rows.append((block % parts, _DOCS, block, about, np.array(near, "<f8").tobytes()))
+            rows.append((block % parts, _DOCS, block, np.concatenate(row_keys).astype("<i8").tobytes(), backed.astype("<f8").tobytes()))
             for held in (row_keys, near, waiting):
                 held.clear()
             return _blob_rows(rows)
 
         for batch in batches:
-            for key, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = tokens(t)
-                pairs = tokens.bigrams(ids)
-                backed = float(weight[ids[:-1][ids[:-1] >= 0]].sum() + weight[tokens.start])
-                at = np.minimum(np.searchsorted(hot_keys, pairs), max(0, len(hot_keys) - 1))
-                is_hot = hot_keys[at] == pairs if len(hot_keys) else np.zeros(len(pairs), bool)
-                row_keys.append(key)
-                near.append(backed + (float(hot_gains[at[is_hot]].sum()) if len(hot_keys) else 0.0))
-                waiting.append(pairs[~is_hot])
-                size += len(waiting[-1])
+            if not batch.num_rows:
+                continue
+            ids, begins = _held_numbers(batch.column(1))
+            before = _contexts(ids, begins, start)
+            row_keys.append(batch.column(0).to_numpy())
+            near.append(np.add.reduceat(weight[before], begins))
+            pairs, at = _pairs(before, ids, start)
+            waiting.append((pairs, np.searchsorted(begins, at, "right") - 1 + texts))
+            texts, size = texts + batch.num_rows, size + len(pairs)
             if size >= BLOCK_TOKENS:
                 yield out()
-                number, size = number + 1, 0
-        if row_keys:
+                number, size, texts = number + 1, 0, 0
+        if texts:
             yield out()
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, own, log_p, _ = shared.value
+        own, log_p, _ = shared.value
         model = Backoff(*own)
         counts, asked = {}, []
         for batch in batches:
@@ -519,9 +579,16 @@ def _bigram_gains(
                 if part in counts:
                     keys, n = unpack(counts[part][0]), _unpack_small(counts[part][1], "<u8").astype(np.int64)
             own_keys, doc = unpack(a), _unpack_small(b, "<u4")
-            gains = model.gain(own_keys, _lookup(own_keys, keys, n), log_p)
-            some, at = np.unique(doc, return_inverse=True)
-            sums = np.bincount(at, gains, minlength=len(some))
+            first = np.flatnonzero(np.append(True, own_keys[1:] != own_keys[:-1]))
+            each = model.gain(own_keys[first], _lookup(own_keys[first], keys, n), log_p)
+            gains = np.repeat(each, np.diff(first, append=len(own_keys)))
+            if doc.max() < 8 * len(doc):
+                sums = np.bincount(doc, gains)
+                some = np.flatnonzero(sums)
+                sums = sums[some]
+            else:
+                some, at = np.unique(doc, return_inverse=True)
+                sums = np.bincount(at, gains, minlength=len(some))
             yield _blob_rows([(part, _OCCURRENCES, block, pack(some.astype(np.int64)), sums.astype("<f8").tobytes())])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -539,7 +606,7 @@ def _bigram_gains(
                 total[unpack(places)] += np.frombuffer(values, "<f8")
             yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(a, "<i8")), pa.array(total)], ["row_key", "gain"])
 
-    asked = docs.select("row_key", "text").mapInArrow(occurrences, _BLOBS)
+    asked = docs.select("row_key", "ids").mapInArrow(occurrences, _BLOBS)
     met = asked.unionByName(table.select("part", "kind", "block", "a", "b")).repartition("part")
     return met.mapInArrow(look_up, _BLOBS).repartition("block").mapInArrow(gather, "row_key long, gain double")
 
@@ -548,50 +615,70 @@ _OTHERS = "word binary, before_id long, before binary, after_id long, after bina
 
 
 def _lower_scores(docs: DataFrame, unigrams: Unigrams) -> DataFrame:
-    """Per document what the vocabulary's unigrams tell, and the words outside it with the words before and after."""
+    """Per document what the vocabulary's unigrams tell, its tokens' numbers, and the words outside it with the words before and after."""
     shared = docs.sparkSession.sparkContext.broadcast(
         (unigrams.vocabulary, unigrams.log_p(unigrams.counts), unigrams.log_base(unigrams.counts))
     )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, log_p, base = shared.value
+        vocabulary, *logs = shared.value
         tokens = Tokens(vocabulary)
-        kinds = (pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int64())
+        # The last place is for tokens outside the vocabulary, -1.
+        log_p, base = (np.append(x, 0.0) for x in logs)
         names = ("word", "before_id", "before", "after_id", "after", "times")
         for batch in batches:
-            out: list[list] = [[], [], [], []]
-            others, ends = [], [0]
-            for text in batch.column(batch.num_columns - 1).to_pylist():
-                own = words(text)
-                ids = tokens.of_words(own)
-                known = ids[ids >= 0]
-                before = np.concatenate((np.array([tokens.start]), ids[:-1]))
-                # The end is outside the vocabulary only if nothing was learned; nothing comes after it.
-                own.append(END)
-                at = np.flatnonzero(ids < 0)
-                after = [None if i == len(ids) else int(ids[i]) for i in (at + 1).tolist()]
-                found = Counter(
-                    (own[i], b, own[i - 1] if b < 0 else b"", a, own[i + 1] if a is not None and a < 0 else b"")
-                    for i, b, a in zip(at.tolist(), before[at].tolist(), after, strict=True)
-                )
-                others += [(*bigram, times) for bigram, times in found.items()]
-                ends.append(len(others))
-                for column, value in zip(out, (len(ids), len(known), base[known].sum(), log_p[known].sum()), strict=True):
-                    column.append(value)
-            columns = zip(*others, strict=True) if others else [[]] * 6
-            rows = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
-            plain = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
+            if not batch.num_rows:
+                continue
+            every, sizes = split_words(batch.column(batch.num_columns - 1))
+            own, which, numbers = tokens(every)
+            # Three more codes: the end, the start, and what comes after an end.
+            end, start, nothing = range(len(own), len(own) + 3)
+            some = pa.concat_arrays([own, pa.array([END, b"", b""], pa.binary())])
+            numbers = np.append(numbers, (tokens.end, tokens.start, 0))
+            last = np.cumsum(sizes + 1) - 1
+            begins = last - sizes
+            codes = np.full(last[-1] + 1, end)
+            is_word = np.ones(len(codes), bool)
+            is_word[last] = False
+            codes[is_word] = which
+            ids = numbers[codes]
+
+            # The end is outside the vocabulary only if nothing was learned; nothing comes after it.
+            at = np.flatnonzero(ids < 0)
+            doc = np.searchsorted(begins, at, "right") - 1
+            word, before = codes[at], np.where(at == begins[doc], start, codes[at - 1])
+            after = np.where(at == last[doc], nothing, codes[np.minimum(at + 1, len(codes) - 1)])
+            left, right = word * (nothing + 1) + before, doc * (nothing + 1) + after
+            order = np.lexsort((left, right))
+            left, right = left[order], right[order]
+            first = np.flatnonzero(np.append(True, (left[1:] != left[:-1]) | (right[1:] != right[:-1]))[: len(at)])
+            times = np.diff(first, append=len(at))
+            doc, word, before, after = (x[order[first]] for x in (doc, word, before, after))
+
+            def texts_of(code: np.ndarray, some: pa.Array = some, numbers: np.ndarray = numbers, start: int = start) -> pa.Array:
+                return some.take(pa.array(np.where(numbers[code] < 0, code, start)))
+
+            others = pa.StructArray.from_arrays(
+                [texts_of(word), pa.array(numbers[before]), texts_of(before),
+                 pa.array(numbers[after], mask=after == nothing), texts_of(after), pa.array(times)],
+                names,
+            )
+            held = pa.Array.from_buffers(
+                pa.binary(), batch.num_rows,
+                [None, pa.py_buffer((np.append(0, last + 1) * 4).astype("<i4").tobytes()), pa.py_buffer(ids.astype("<i4").tobytes())],
+            )
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *(pa.array(c, k) for c, k in zip(out, plain, strict=True)),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)],
-                [*batch.schema.names[:-1], "n_tokens", "n_known", "base", "lower", "others"],
+                [*batch.columns[:-1], pa.array(sizes + 1), pa.array(np.add.reduceat((ids >= 0).astype(np.int64), begins)),
+                 pa.array(np.add.reduceat(base[ids], begins)), pa.array(np.add.reduceat(log_p[ids], begins)), held,
+                 pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(batch.num_rows + 1)), pa.int32()), others)],
+                [*batch.schema.names[:-1], "n_tokens", "n_known", "base", "lower", "ids", "others"],
             )
 
     own = ", ".join(f.replace(" ", ": ", 1) for f in _OTHERS.split(", "))
     return docs.select("doc_id", "row_key", "held_out", "text").mapInArrow(
         score,
         "doc_id long, row_key long, held_out boolean, n_tokens long, n_known long, base double, lower double, "
-        f"others array<struct<{own}>>",
+        f"ids binary, others array<struct<{own}>>",
     )
 
 
@@ -621,17 +708,19 @@ def katz_scores(
     counts = staged(word_counts(learn), "word-counts", free=True)
     unigrams = fit_unigrams(counts, vocabulary)
     starts = int(unigrams.counts[unigrams.vocabulary.index(END)]) if END in unigrams.vocabulary else 0
-    lower = staged(_lower_scores(narrow, unigrams), "lower-scores", free=True)
-    table = bigram_table(learn, unigrams.vocabulary, parts)
+    lower = staged(_lower_scores(narrow, unigrams), "lower-scores", free=True, compression="zstd")
+    # Texts are split twice, to count words and here; bigrams are made from the numbers that this hands on.
+    table = bigram_table(lower.where("not held_out"), len(unigrams.vocabulary), parts)
     dealt, rare_words = deal_rare(lower)
-    bigrams = rare_bigrams(dealt, unigrams)
+    bigrams, rare_counts = rare_bigrams(dealt, unigrams)
     backoff = fit_backoff(table, bigrams, unigrams, starts)
     contexts = rare_contexts(bigrams, unigrams, backoff.factors)
     summed = staged(rare_scores(dealt, contexts, unigrams, backoff), "rare-scores", free=True)
-    spark.sql(f"DROP TABLE {rare_words}")
+    for name in (rare_words, rare_counts):
+        spark.sql(f"DROP TABLE {name}")
     hot = _hot(table, max(1, unigrams.total), hot_bigrams)
 
-    gains = _bigram_gains(narrow, table, unigrams, backoff, hot, parts)
+    gains = _bigram_gains(lower, table, unigrams, backoff, hot, parts)
     gains = staged(gains.groupBy("row_key").agg(F.max("gain").alias("gain")), "gains", free=True)
 
     # Rows that repeat id and text were summed together.

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -112,3 +113,46 @@ def test_nothing_to_learn_from(spark):
     (row,) = katz.katz_scores(frame(spark, [(held, "a b")])).collect()
     assert (row.n_tokens, row.n_known, row.train_tokens) == (3, 0, 0)
     assert row.score == pytest.approx(0.0) and row.base_score == pytest.approx(0.0)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from(["", " ", "\x1c\x0b \t", "A\x85É \x0c"]), st.text(alphabet=" \n\r\x1fAZaz.é\u2003\0", max_size=30))))
+def test_words_of_many_texts_are_those_of_each(texts):
+    data = [t.encode() for t in texts]
+    every, sizes = katz.split_words(pa.array(data, pa.binary()))
+    assert every.to_pylist() == [w for t in data for w in katz.words(t)]
+    assert sizes.tolist() == [len(katz.words(t)) for t in data]
+    # A slice begins in the middle of the buffers.
+    every, sizes = katz.split_words(pa.array([b"x y", *data], pa.binary())[1:])
+    assert every.to_pylist() == [w for t in data for w in katz.words(t)] and len(sizes) == len(data)
+
+
+def test_bigrams_come_from_numbers_and_rare_ones_are_counted_once(spark):
+    """Neither the blocks of bigrams nor their scores split texts again; counts of rare bigrams are read, not worked out again."""
+    rows = [(i, prose(i, 30)) for i in range(20)]
+    narrow = frame(spark, rows).selectExpr(
+        "doc_id", "doc_id as row_key", "false as held_out", "cast(text as binary) as text"
+    )
+    unigrams = katz.fit_unigrams(katz.word_counts(narrow), 12)
+    lower = katz._lower_scores(narrow, unigrams)
+    number = {w: i for i, w in enumerate(unigrams.vocabulary)}
+    want = {i: [number.get(w, -1) for w in [*katz.words(t.encode()), katz.END]] for i, t in rows}
+    assert {r.doc_id: np.frombuffer(r.ids, "<i4").tolist() for r in lower.collect()} == want
+    start, pairs = len(number), Counter()
+    for ids in want.values():
+        pairs.update(b * (start + 1) + w for b, w in zip([start, *ids], ids) if b >= 0 and w >= 0)
+    got = Counter()
+    for r in katz.bigram_table(lower.select("ids"), start, 4).collect():
+        got.update(dict(zip(katz.unpack(r.a).tolist(), katz._unpack_small(r.b, "<u8").tolist(), strict=True)))
+    assert got == pairs
+    dealt, _ = katz.deal_rare(lower)
+    bigrams, _ = katz.rare_bigrams(dealt, unigrams)
+    assert "Aggregate" not in bigrams._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("rows", [1 << 3, 1 << 40])
+def test_keys_are_sorted_with_their_rows(rows):
+    rng = np.random.default_rng(3)
+    keys, doc = rng.integers(0, 1 << 36, 500).repeat(2), rng.integers(0, 8, 1000)
+    got = katz._sorted(keys, doc, rows)
+    assert list(zip(*(x.tolist() for x in got), strict=True)) == sorted(zip(keys.tolist(), doc.tolist(), strict=True))
