@@ -8,6 +8,9 @@ from collections.abc import Iterator
 from contextlib import contextmanager, nullcontext
 from itertools import islice
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,6 +83,21 @@ def fold_remainder(id_column: str, parts: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % parts
 
 
+# Bytes of a column that are worked on at once.
+PIECE_BYTES = 8 << 20
+
+
+def by_bytes(batch: pa.RecordBatch, column: int, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of whole rows with at most ``most`` bytes in the column, or one row."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy().astype(np.int64))
+    begin = 0
+    while begin < batch.num_rows:
+        stop = int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + most, "right"))
+        stop = max(begin + 1, stop)
+        yield batch.slice(begin, stop - begin)
+        begin = stop
+
+
 def worker_store() -> dict:
     """A dictionary that lives as long as the Python worker: later tasks find what earlier ones worked out."""
     return sys.modules.setdefault("_aislane_worker_store", types.ModuleType("_aislane_worker_store")).__dict__

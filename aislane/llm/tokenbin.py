@@ -22,6 +22,7 @@ their texts. An empty table has a manifest without shards.
 
 from __future__ import annotations
 
+import string
 import struct
 import uuid
 import zlib
@@ -29,11 +30,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aislane.llm.common import forget_half, staged, worker_store
+from aislane.llm.common import by_bytes, forget_half, staged, worker_store
 from aislane.session import scratch_path
 
 MAGIC = b"PFR1"
@@ -94,11 +96,15 @@ class ShardWriter:
         self.at += len(data)
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
+        self.add_many([doc_id], ids, np.array([len(ids)]))
+
+    def add_many(self, doc_ids: list[int | None], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Documents whose ids follow each other, ``sizes`` of them each."""
         self.pending.append(ids)
         self.waiting += len(ids)
+        self.ends += (self.n_ids + np.cumsum(sizes)).tolist()
         self.n_ids += len(ids)
-        self.ends.append(self.n_ids)
-        self.doc_ids.append(doc_id)
+        self.doc_ids += doc_ids
         if self.waiting >= 16 * BLOCK:
             self._flush(False)
 
@@ -189,33 +195,37 @@ class WordEncoder:
     Each distinct run between white space goes to the library once per worker, of which about ``MOST_RUNS`` are remembered;
     documents are put together from the runs' ids. Runs of letters are sent many at a time and taken apart at the ends of words; if their number
     disagrees, and for all other runs, each is encoded on its own. An ASCII run differs from its lower-case form in
-    nothing, and a comma or full stop behind ASCII letters is a word of its own.
+    nothing, small ASCII letters pass everything before the model unchanged, and ``MARKS`` behind letters are a word of their own.
     """
 
     MOST_RUNS = 600_000
     TOGETHER = 1000
     END_OF_WORD = "</w>"
+    # ASCII's punctuation without the apostrophe, which begins words like 's.
+    MARKS = string.punctuation.replace("'", "")
 
     def __init__(self, path: str):
         import os
 
         # One thread per task, as Spark plans it; read when the library first encodes.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith(self.END_OF_WORD)]] = True
-        self.known: dict[bytes, bytes] = {}
-        self.stop = {mark: self._alone([mark])[0] for mark in (b".", b",")}
+        self.known: dict[str, bytes] = {}
 
-    def _alone(self, runs: list[bytes]) -> list[bytes]:
-        texts = [r.decode() for r in runs]
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _alone(self, runs: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
 
-    def _together(self, runs: list[bytes]) -> list[bytes]:
-        (encoded,) = self.tokenizer.encode_batch_fast([b" ".join(runs).decode()], add_special_tokens=False)
+    def _together(self, runs: list[str]) -> list[bytes]:
+        data = " ".join(runs)
+        library = self.plain if data.isascii() else self.tokenizer
+        (encoded,) = library.encode_batch_fast([data], add_special_tokens=False)
         ids = np.array(encoded.ids, "<u4")
         bounds = np.flatnonzero(self.ends[ids]) + 1
         if len(bounds) != len(runs):
@@ -223,46 +233,66 @@ class WordEncoder:
         data, at = ids.tobytes(), [0, *(4 * bounds).tolist()]
         return [data[a:b] for a, b in zip(at, at[1:], strict=False)]
 
-    def _learn(self, runs: set[bytes]) -> None:
-        stems = {r[:-1] if r[-1:] in self.stop and r[:-1].isalpha() else r for r in runs}
-        new = [s for s in stems if s not in self.known]
-        letters, others = [], []
-        for stem in new:
-            (letters if stem.decode().isalpha() else others).append(stem)
-        for batch, encode in ((letters, self._together), (others, self._alone)):
+    @staticmethod
+    def _letters(stem: str) -> bool:
+        """Whether these are letters to every version of Unicode, and stay so in lower case."""
+        return stem.isalpha() and (stem.isascii() or (max(stem) <= "\u017f" and "\u0130" not in stem))
+
+    def _learn(self, runs: set[str]) -> None:
+        ends = {}
+        for run in runs:
+            stem = run.rstrip(self.MARKS)
+            if len(stem) < len(run) and self._letters(stem):
+                ends[run] = stem, run[len(stem) :]
+        new = runs.difference(ends)
+        for parts in ends.values():
+            new.update(parts)
+        new.difference_update(self.known)
+        small, letters, others = [], [], []
+        for part in new:
+            (others if not part.isalpha() else small if part.isascii() else letters).append(part)
+        for batch, encode in ((small, self._together), (letters, self._together), (others, self._alone)):
             for begin in range(0, len(batch), self.TOGETHER):
                 part = batch[begin : begin + self.TOGETHER]
                 self.known.update(zip(part, encode(part), strict=True))
-        for run in runs:
-            if run not in self.known:
-                self.known[run] = self.known[run[:-1]] + self.stop[run[-1:]]
-
-    @staticmethod
-    def _runs(text: str) -> list[bytes]:
-        data = text.encode()
-        return data.lower().split() if text.isascii() else [r.lower() if r.isascii() else r for r in data.split()]
-
-    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text; runs that are new in any of them go to the library together."""
-        split = [self._runs(text) for text in texts]
+        for run, (stem, marks) in ends.items():
+            self.known[run] = self.known[stem] + self.known[marks]
+
+    def encode_texts(self, texts: pa.Array, end: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each followed by ``end``, and how many each text has; new runs go to the library together."""
+        found = pc.ascii_split_whitespace(texts)
+        coded = found.flatten().dictionary_encode()
+        own = coded.dictionary
+        runs = pc.if_else(pc.string_is_ascii(own), pc.ascii_lower(own), own).to_numpy(zero_copy_only=False).tolist()
         if len(self.known) > self.MOST_RUNS:
             forget_half(self.known)
-        new: set[bytes] = set()
-        for runs in split:
-            new |= set(runs).difference(self.known)
+        new = set(runs).difference(self.known)
         if new:
             self._learn(new)
-        find = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(find, runs)), "<u4") for runs in split]
+        held = [*map(self.known.__getitem__, runs), np.array(end, "<u4").tobytes()]
+        ids = np.frombuffer(b"".join(held), "<u4")
+        sizes = np.fromiter(map(len, held), np.int64, len(held)) // 4
+        starts = np.cumsum(sizes) - sizes
+        # Runs and ends in their order, then the places of their ids.
+        last = np.cumsum(found.value_lengths().to_numpy().astype(np.int64) + 1) - 1
+        codes = np.full(last[-1] + 1 if len(last) else 0, len(runs))
+        is_run = np.ones(len(codes), bool)
+        is_run[last] = False
+        codes[is_run] = coded.indices.to_numpy()
+        size = sizes[codes]
+        until = np.cumsum(size)
+        places = np.repeat(starts[codes] - until + size, size) + np.arange(size.sum())
+        return ids[places], np.diff(until[last], prepend=0)
+
+    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        ids, sizes = self.encode_texts(pa.array(texts, pa.string()), [])
+        return np.split(ids, np.cumsum(sizes)[:-1]) if texts else []
 
     def encode(self, text: str) -> np.ndarray:
         return self.encode_many([text])[0]
 
 
-# Documents that are encoded together.
-DOCUMENTS = 4
-
-
 def write_shards(
     docs: DataFrame,
     tokenizer_path: str,
@@ -288,7 +318,6 @@ def write_shards(
         out, shard, first, part = None, f"{uuid.uuid4().hex}.pfr", None, 0
         store = worker_store()
         encoder = store[tokenizer_path] = store.get(tokenizer_path) or WordEncoder(tokenizer_path)
-        end = np.array([end_id], "<u4")
         files, path = _open(f"{folder}/{shard}")
         for batch in batches:
             if out is None:
@@ -296,11 +325,8 @@ def write_shards(
                 stream = files.open_output_stream(path)
                 out, first = ShardWriter(stream), batch.column(0)[0].as_py()
                 part = _partition()
-            for begin in range(0, batch.num_rows, DOCUMENTS):
-                some = batch.slice(begin, DOCUMENTS)
-                encoded = encoder.encode_many(some.column(1).to_pylist())
-                for doc_id, ids in zip(some.column(0).to_pylist(), encoded, strict=True):
-                    out.add(doc_id, np.concatenate((ids, end)))
+            for some in by_bytes(batch, 1):
+                out.add_many(some.column(0).to_pylist(), *encoder.encode_texts(some.column(1), [end_id]))
         if out is not None:
             out.close()
             stream.close()

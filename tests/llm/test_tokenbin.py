@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.fs as pafs
 import pytest
 from hypothesis import given, settings
@@ -12,6 +13,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from aislane.llm import tokenbin
+from aislane.llm.common import by_bytes
 from tests.llm.common import awkward, empty, prose
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -103,3 +105,43 @@ def test_texts_encoded_together_get_the_ids_of_each_alone():
     assert found == [library.encode(t, add_special_tokens=False).ids for t in texts] and len(calls) == 1
     encoder.MOST_RUNS = 2
     assert [ids.tolist() for ids in encoder.encode_many(texts[::-1])] == found[::-1]
+
+
+ODD = [
+    "it's. 's! x's?! <|endoftext|>. a<|endoftext|>. é. É!! İ. İ!? ŉ. ſ, ª; H\u0331. h\u0331! \ufb01. ǅ; ß### ÅÅ\u0301. a\u0301. \u1e9e! Ω, ʰ. \U0001e6c0!",
+    " a1. 1! .a, ... !?x!? 'tis' o'er. we'll!' \u2003b. c\u00a0. d\x1c. e\x85! f\0. ", "", " ", "K\u0338. =\u0338 <\u0338! a<\u0338.",
+]
+
+
+def test_marks_behind_letters_are_words_of_their_own():
+    """Letters that are known go to the library no more, whatever marks are behind them; ids stay the library's."""
+    library, encoder = Tokenizer.from_file(PATH), tokenbin.WordEncoder(PATH)
+    for texts in (ODD, ODD[::-1]):
+        assert [ids.tolist() for ids in encoder.encode_many(texts)] == [
+            library.encode(t, add_special_tokens=False).ids for t in texts
+        ]
+    encoder.encode_many(["blendly éouly ### !?"])
+    asked = []
+    encoder._alone = encoder._together = lambda runs: asked.append(runs)
+    (got,) = encoder.encode_many(["Blendly### blendly!? ÉOULY".replace("ÉOULY", "éouly!?")])
+    assert not asked and got.tolist() == library.encode("blendly### blendly!? éouly!?", add_special_tokens=False).ids
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(max_size=12), max_size=30), st.integers(1, 20))
+def test_batches_are_cut_by_bytes(texts, most):
+    batch = pa.RecordBatch.from_pydict({"t": pa.array(texts, pa.string())}).slice(len(texts) // 3)
+    parts = [p.column(0).to_pylist() for p in by_bytes(batch, 0, most)]
+    assert [t for p in parts for t in p] == batch.column(0).to_pylist()
+    assert all(len(p) == 1 or 0 < sum(len(t.encode()) for t in p) <= most or not any(p) for p in parts) and all(parts)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet="aBéÉİſ\u0301\u0331H'.!,#<|>1 \u2003", max_size=14), max_size=4))
+def test_any_text_has_the_ids_of_the_library(texts):
+    assert [ids.tolist() for ids in ENCODER.encode_many(texts)] == [
+        LIBRARY.encode(t, add_special_tokens=False).ids for t in texts
+    ]
+
+
+LIBRARY, ENCODER = Tokenizer.from_file(PATH), tokenbin.WordEncoder(PATH)
