@@ -33,7 +33,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aislane.llm.common import LOWER, fold_remainder, freed_shuffles, row_key, staged, text_bytes
+from aislane.llm.common import LOWER, by_bytes, fold_remainder, freed_shuffles, row_key, staged, text_bytes
 from aislane.llm.sparse import most_frequent
 from aislane.session import scratch_path
 
@@ -125,7 +125,7 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
             n = np.append(counted.field("counts").to_numpy(), texts)
             return pa.RecordBatch.from_arrays([every, pa.array(n, pa.int64())], ["word", "n"])
 
-        for batch in batches:
+        for batch in (some for whole in batches for some in by_bytes(whole, 0)):
             waiting.append(split_words(batch.column(0))[0])
             texts, size = texts + batch.num_rows, size + waiting[-1].nbytes
             if size >= COUNT_BYTES:
@@ -272,9 +272,7 @@ def bigram_table(numbered: DataFrame, start: int, parts: int) -> DataFrame:
             return _blob_rows(rows)
 
         size = 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (some for whole in batches for some in by_bytes(whole, 0)):
             ids, begins = _held_numbers(batch.column(0))
             waiting.append(_pairs(_contexts(ids, begins, start), ids, start)[0])
             size += len(waiting[-1])
@@ -543,9 +541,7 @@ def _bigram_gains(
                 held.clear()
             return _blob_rows(rows)
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (some for whole in batches for some in by_bytes(whole, 1)):
             ids, begins = _held_numbers(batch.column(1))
             before = _contexts(ids, begins, start)
             row_keys.append(batch.column(0).to_numpy())
@@ -626,9 +622,7 @@ def _lower_scores(docs: DataFrame, unigrams: Unigrams) -> DataFrame:
         # The last place is for tokens outside the vocabulary, -1.
         log_p, base = (np.append(x, 0.0) for x in logs)
         names = ("word", "before_id", "before", "after_id", "after", "times")
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (some for whole in batches for some in by_bytes(whole, whole.num_columns - 1)):
             every, sizes = split_words(batch.column(batch.num_columns - 1))
             own, which, numbers = tokens(every)
             # Three more codes: the end, the start, and what comes after an end.
