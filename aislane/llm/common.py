@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager, nullcontext
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -98,12 +97,20 @@ def by_bytes(batch: pa.RecordBatch, column: int, most: int = PIECE_BYTES) -> Ite
         begin = stop
 
 
+def gathered(batches: Iterable[pa.RecordBatch], column: int, most: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches' rows in their order, in batches of at most ``most`` bytes in all, or one row of ``by_bytes``."""
+    held, size = [], 0
+    for batch in batches:
+        for some in by_bytes(batch, column, most):
+            if held and size + some.nbytes > most:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+            held.append(some)
+            size += some.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def worker_store() -> dict:
     """A dictionary that lives as long as the Python worker: later tasks find what earlier ones worked out."""
     return sys.modules.setdefault("_aislane_worker_store", types.ModuleType("_aislane_worker_store")).__dict__
-
-
-def forget_half(remembered: dict) -> None:
-    """Drop the half that came first."""
-    for key in list(islice(remembered, len(remembered) // 2)):
-        del remembered[key]

@@ -35,7 +35,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aislane.llm.common import by_bytes, forget_half, staged, worker_store
+from aislane.llm.common import gathered, staged, worker_store
 from aislane.session import scratch_path
 
 MAGIC = b"PFR1"
@@ -192,17 +192,21 @@ def _open(address: str):
 class WordEncoder:
     """Encodes by a lower-casing tokenizer that drops white space, never joins what stands on two sides of it, and ends words in a mark.
 
-    Each distinct run between white space goes to the library once per worker, of which about ``MOST_RUNS`` are remembered;
-    documents are put together from the runs' ids. Runs of letters are sent many at a time and taken apart at the ends of words; if their number
-    disagrees, and for all other runs, each is encoded on its own. An ASCII run differs from its lower-case form in
-    nothing, small ASCII letters pass everything before the model unchanged, and ``MARKS`` behind letters are a word of their own.
+    Each distinct run between white space goes to the library once per worker, of which about ``MOST_RUNS`` (and ``MOST_BYTES``) are remembered,
+    those used last; they and their ids are Arrow columns, and documents are put together from them. Runs of letters are sent many at a time and
+    taken apart at the ends of words; if their number disagrees, and for all other runs, each is encoded on its own. An ASCII run differs
+    from its lower-case form in nothing, and so do ``LETTERS``; small ASCII letters pass everything before the model unchanged. ``MARKS``
+    behind ``LETTERS`` are a word of their own, so both are remembered apart.
     """
 
     MOST_RUNS = 600_000
+    MOST_BYTES = 64 << 20
     TOGETHER = 1000
     END_OF_WORD = "</w>"
     # ASCII's punctuation without the apostrophe, which begins words like 's.
     MARKS = string.punctuation.replace("'", "")
+    # Letters to every version of Unicode, which meet no combining mark among themselves and stay one letter in lower case.
+    LETTERS = "".join(c for c in map(chr, range(0x180)) if c.isalpha() and c != "\u0130")
 
     def __init__(self, path: str):
         import os
@@ -217,12 +221,15 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith(self.END_OF_WORD)]] = True
-        self.known: dict[str, bytes] = {}
+        # What is remembered, its ids as bytes, and the call that used it last.
+        self.known, self.known_ids = pa.array([""], pa.string()), pa.array([b""], pa.large_binary())
+        self.used, self.calls = np.zeros(1, np.int64), 0
 
-    def _alone(self, runs: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
+    def _alone(self, runs: list[str]) -> pa.Array:
+        found = self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)
+        return pa.array([np.array(e.ids, "<u4").tobytes() for e in found], pa.large_binary())
 
-    def _together(self, runs: list[str]) -> list[bytes]:
+    def _together(self, runs: list[str]) -> pa.Array:
         data = " ".join(runs)
         library = self.plain if data.isascii() else self.tokenizer
         (encoded,) = library.encode_batch_fast([data], add_special_tokens=False)
@@ -230,59 +237,70 @@ class WordEncoder:
         bounds = np.flatnonzero(self.ends[ids]) + 1
         if len(bounds) != len(runs):
             return self._alone(runs)
-        data, at = ids.tobytes(), [0, *(4 * bounds).tolist()]
-        return [data[a:b] for a, b in zip(at, at[1:], strict=False)]
+        at = 4 * np.append(0, bounds).astype(np.int64)
+        return pa.Array.from_buffers(pa.large_binary(), len(runs), [None, pa.py_buffer(at), pa.py_buffer(ids)])
 
-    @staticmethod
-    def _letters(stem: str) -> bool:
-        """Whether these are letters to every version of Unicode, and stay so in lower case."""
-        return stem.isalpha() and (stem.isascii() or (max(stem) <= "\u017f" and "\u0130" not in stem))
-
-    def _learn(self, runs: set[str]) -> None:
-        ends = {}
-        for run in runs:
-            stem = run.rstrip(self.MARKS)
-            if len(stem) < len(run) and self._letters(stem):
-                ends[run] = stem, run[len(stem) :]
-        new = runs.difference(ends)
-        for parts in ends.values():
-            new.update(parts)
-        new.difference_update(self.known)
+    def _learn(self, runs: list[str]) -> None:
         small, letters, others = [], [], []
-        for part in new:
-            (others if not part.isalpha() else small if part.isascii() else letters).append(part)
+        for run in runs:
+            (others if not run.isalpha() else small if run.isascii() else letters).append(run)
+        words, ids = [self.known], [self.known_ids]
         for batch, encode in ((small, self._together), (letters, self._together), (others, self._alone)):
             for begin in range(0, len(batch), self.TOGETHER):
                 part = batch[begin : begin + self.TOGETHER]
-                self.known.update(zip(part, encode(part), strict=True))
-        for run, (stem, marks) in ends.items():
-            self.known[run] = self.known[stem] + self.known[marks]
+                words.append(pa.array(part, pa.string()))
+                ids.append(encode(part))
+        self.known, self.known_ids = pa.concat_arrays(words), pa.concat_arrays(ids)
+        self.used = np.append(self.used, np.full(len(runs), self.calls))
+
+    def _forget(self) -> None:
+        """Keep half of what may be remembered: what was used last, of one call the small ones first."""
+        size = pc.add(pc.binary_length(self.known), pc.binary_length(self.known_ids)).to_numpy()
+        kept = np.lexsort((size, -self.used))[: self.MOST_RUNS // 2]
+        kept = kept[np.cumsum(size[kept]) <= self.MOST_BYTES // 2]
+        self.known, self.known_ids, self.used = self.known.take(kept), self.known_ids.take(kept), self.used[kept]
+
+    def _look_up(self, runs: pa.Array) -> pa.Array:
+        """The ids of different runs, as bytes; new ones go to the library together."""
+        self.calls += 1
+        if len(self.known) > self.MOST_RUNS or self.known.nbytes + self.known_ids.nbytes > self.MOST_BYTES:
+            self._forget()
+        places = pc.index_in(runs, value_set=self.known)
+        if places.null_count:
+            had, new = len(self.known), runs.filter(places.is_null())
+            self._learn(new.to_pylist())
+            found = pc.add(pc.index_in(new, value_set=self.known.slice(had)), pa.scalar(had, pa.int32()))
+            places = pc.replace_with_mask(places, places.is_null(), found)
+        self.used[places.to_numpy()] = self.calls
+        return self.known_ids.take(places)
+
+    def _ids_of(self, runs: pa.Array) -> pa.Array:
+        """The ids of different runs as they stand in texts, as bytes."""
+        marks, letters = pc.utf8_ltrim(runs, self.LETTERS), pc.ascii_rtrim(runs, self.MARKS)
+        is_word = pc.and_(pc.equal(pc.ascii_ltrim(marks, self.MARKS), ""), pc.not_equal(letters, ""))
+        others = pc.if_else(pc.string_is_ascii(runs), pc.ascii_lower(runs), runs)
+        parts = pc.if_else(is_word, pc.utf8_lower(letters), others), pc.if_else(is_word, marks, "")
+        coded = pa.concat_arrays(parts).dictionary_encode()
+        ids = self._look_up(coded.dictionary)
+        front, back = ids.take(coded.indices[: len(runs)]), ids.take(coded.indices[len(runs) :])
+        return pc.binary_join_element_wise(front, back, pa.scalar(b"", pa.large_binary()))
 
     def encode_texts(self, texts: pa.Array, end: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each followed by ``end``, and how many each text has; new runs go to the library together."""
+        if not len(texts):
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
         found = pc.ascii_split_whitespace(texts)
         coded = found.flatten().dictionary_encode()
-        own = coded.dictionary
-        runs = pc.if_else(pc.string_is_ascii(own), pc.ascii_lower(own), own).to_numpy(zero_copy_only=False).tolist()
-        if len(self.known) > self.MOST_RUNS:
-            forget_half(self.known)
-        new = set(runs).difference(self.known)
-        if new:
-            self._learn(new)
-        held = [*map(self.known.__getitem__, runs), np.array(end, "<u4").tobytes()]
-        ids = np.frombuffer(b"".join(held), "<u4")
-        sizes = np.fromiter(map(len, held), np.int64, len(held)) // 4
-        starts = np.cumsum(sizes) - sizes
-        # Runs and ends in their order, then the places of their ids.
+        held = pa.concat_arrays([self._ids_of(coded.dictionary), pa.array([np.array(end, "<u4").tobytes()], pa.large_binary())])
+        # Runs and ends in their order, then their ids.
         last = np.cumsum(found.value_lengths().to_numpy().astype(np.int64) + 1) - 1
-        codes = np.full(last[-1] + 1 if len(last) else 0, len(runs))
+        codes = np.full(last[-1] + 1, len(held) - 1, np.int32)
         is_run = np.ones(len(codes), bool)
         is_run[last] = False
         codes[is_run] = coded.indices.to_numpy()
-        size = sizes[codes]
-        until = np.cumsum(size)
-        places = np.repeat(starts[codes] - until + size, size) + np.arange(size.sum())
-        return ids[places], np.diff(until[last], prepend=0)
+        _, at, data = held.take(pa.array(codes)).buffers()
+        until = np.frombuffer(at, np.int64, len(codes) + 1)[last + 1] // 4
+        return np.frombuffer(data or b"", "<u4", until[-1]), np.diff(until, prepend=0)
 
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
@@ -319,14 +337,13 @@ def write_shards(
         store = worker_store()
         encoder = store[tokenizer_path] = store.get(tokenizer_path) or WordEncoder(tokenizer_path)
         files, path = _open(f"{folder}/{shard}")
-        for batch in batches:
+        for some in gathered(batches, 1):
             if out is None:
                 files.create_dir(path.rpartition("/")[0], recursive=True)
                 stream = files.open_output_stream(path)
-                out, first = ShardWriter(stream), batch.column(0)[0].as_py()
+                out, first = ShardWriter(stream), some.column(0)[0].as_py()
                 part = _partition()
-            for some in by_bytes(batch, 1):
-                out.add_many(some.column(0).to_pylist(), *encoder.encode_texts(some.column(1), [end_id]))
+            out.add_many(some.column(0).to_pylist(), *encoder.encode_texts(some.column(1), [end_id]))
         if out is not None:
             out.close()
             stream.close()
